@@ -1,0 +1,39 @@
+"""Connected components of a table of edges, by alternating large and small stars."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import written
+
+
+def _star(edges: DataFrame, small: bool) -> DataFrame:
+    """Point each node's larger neighbours (large), or the node and its smaller neighbours (small), at the least of them."""
+    arcs = edges if small else edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    least = arcs.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("least"))
+    both = arcs.join(least, "u")
+    moved = both.where(F.col("v") != F.col("least")) if small else both.where("v > u")
+    out = moved.select(F.col("v").alias("u"), F.col("least").alias("v"))
+    if small:
+        out = out.unionAll(least.select("u", F.col("least").alias("v")))
+    return out.where("u <> v").distinct()
+
+
+def components(edges: DataFrame, name: str = "components") -> DataFrame:
+    """(node, root) for each node of the undirected ``edges(u, v)``: the root is the least node that it is linked to.
+
+    Rounds of constant-size jobs until the edges are stars; each round's edges are written to the shared folder. Self
+    edges are ignored. The number of rounds grows with the logarithm of the longest chain.
+    """
+    big, low = F.greatest("u", "v"), F.least("u", "v")
+    now = written(edges.where("u <> v").select(big.alias("u"), low.alias("v")).distinct(), name)
+    mark = lambda e: e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+    before = mark(now)
+    while True:
+        now = written(_star(_star(now, False), True), name)
+        after = mark(now)
+        if after == before:
+            break
+        before = after
+    return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionAll(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
