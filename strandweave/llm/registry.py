@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import substring_dedup, suffix_dedup
+from . import jaccard_join, substring_dedup, suffix_dedup
 
 QUERIES = {
     "op2_substring_dedup": substring_dedup.op2_substring_dedup,
+    "op8_ngram_jaccard_join": jaccard_join.op8_ngram_jaccard_join,
     "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
 }
 SQL: dict[str, str] = {}
