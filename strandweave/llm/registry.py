@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from . import jaccard_join, substring_dedup, suffix_dedup
+from . import decontaminate, jaccard_join, quality_rules, secret_scan, substring_dedup, suffix_dedup
 
 QUERIES = {
     "op2_substring_dedup": substring_dedup.op2_substring_dedup,
+    "op3_quality_rules": quality_rules.op3_quality_rules,
+    "op4_secret_scan": secret_scan.op4_secret_scan,
+    "op5_decontaminate": decontaminate.op5_decontaminate,
     "op8_ngram_jaccard_join": jaccard_join.op8_ngram_jaccard_join,
     "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
 }
