@@ -194,8 +194,14 @@ def buckets_of(batches: Iterator[pa.RecordBatch], dtypes: list) -> Iterator[list
         yield [np.concatenate(c) for c in zip(*held, strict=True)]
 
 
+def bucket_count(df: DataFrame) -> int:
+    """Two buckets for each shuffle partition: a packed row for each task and bucket, and half a partition in memory."""
+    return 2 * parallelism(df.sparkSession)
+
+
 def dealt(blobs: DataFrame) -> DataFrame:
-    return blobs.repartition(parallelism(blobs.sparkSession), "bucket").sortWithinPartitions("bucket")
+    """Buckets are dealt by their number, so that each partition gets as many."""
+    return blobs.repartitionById(parallelism(blobs.sparkSession), "bucket").sortWithinPartitions("bucket")
 
 
 def settle(blobs: DataFrame, earlier: bool) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import repeats as R
-from .common import keyed, parallelism, written
+from .common import keyed, written
 
 #: Longest symbol, context of a cut after one round of runs and two of pairs, words in an anchor's key.
 LONGEST, MARGIN, KEY = 4, 12, 12
@@ -126,7 +126,7 @@ def remove_repeated_passages(docs: DataFrame, window: int = 35) -> DataFrame:
     if not 2 <= window <= 60:
         raise ValueError("window must be from 2 to 60")
     docs = keyed(docs, "text")
-    buckets = 8 * parallelism(docs.sparkSession)
+    buckets = R.bucket_count(docs)
     marks = written(R.settle(R.anchor_rows(docs, _chunk_runs(window), buckets, False), False), "passage-runs")
     open_docs = R.listed(docs, marks.where("pk & 2 > 0"))
     blobs = open_docs.where("marks is not null").mapInArrow(_open_windows(window, buckets), R.BLOB)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import repeats as R
-from .common import keyed, parallelism, written
+from .common import keyed, written
 
 #: Length of the hashed grams that anchor the windows.
 GRAM = 20
@@ -139,7 +139,7 @@ def find_repeated_bytes(docs: DataFrame, min_bytes: int = 50) -> DataFrame:
     if min_bytes > 60 or min_bytes < 2:
         raise ValueError("min_bytes must be from 2 to 60")
     docs = keyed(docs, "text")
-    buckets = 8 * parallelism(docs.sparkSession)
+    buckets = R.bucket_count(docs)
     marks = written(R.settle(R.anchor_rows(docs, _chunk_runs(min_bytes), buckets, True), True), "suffix-runs")
     open_docs = R.listed(docs, marks.where("pk & 15 > 1"))
     blobs = open_docs.where("marks is not null").mapInArrow(_contexts(min_bytes, buckets), "bucket int, bytes binary, doc binary, pk binary")
