@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from . import decontaminate, jaccard_join, quality_rules, secret_scan, substring_dedup, suffix_dedup
+from . import decontaminate, jaccard_join, mixing, quality_classifier, quality_rules, secret_scan, substring_dedup, suffix_dedup, token_counts
 
 QUERIES = {
     "op2_substring_dedup": substring_dedup.op2_substring_dedup,
     "op3_quality_rules": quality_rules.op3_quality_rules,
     "op4_secret_scan": secret_scan.op4_secret_scan,
     "op5_decontaminate": decontaminate.op5_decontaminate,
+    "op6_quality_classifier": quality_classifier.op6_quality_classifier,
+    "op7_token_counts": token_counts.op7_token_counts,
     "op8_ngram_jaccard_join": jaccard_join.op8_ngram_jaccard_join,
+    "op9_mixing": mixing.op9_mixing,
     "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op9_mixing": mixing.SQL}
