@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import decontaminate, jaccard_join, mixing, quality_classifier, quality_rules, secret_scan, substring_dedup, suffix_dedup, token_counts
+from . import decontaminate, jaccard_join, mixing, quality_classifier, quality_rules, secret_scan, sharding, substring_dedup, suffix_dedup, token_counts
 
 QUERIES = {
+    "op1_sharding": sharding.op1_sharding,
     "op2_substring_dedup": substring_dedup.op2_substring_dedup,
     "op3_quality_rules": quality_rules.op3_quality_rules,
     "op4_secret_scan": secret_scan.op4_secret_scan,
@@ -15,4 +16,4 @@ QUERIES = {
     "op9_mixing": mixing.op9_mixing,
     "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
 }
-SQL: dict[str, str] = {"op9_mixing": mixing.SQL}
+SQL: dict[str, str] = {"op1_sharding": sharding.SQL, "op9_mixing": mixing.SQL}
