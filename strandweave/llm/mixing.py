@@ -45,28 +45,29 @@ def weight_of(level: str) -> Column:
 
 def budgets(leaves: DataFrame, budget_percent: int = BUDGET_PERCENT, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """(domain, lang, source, tokens, budget) for each leaf with tokens; ``leaves`` has a row for each document."""
-    nodes = {len(LEVELS): leaves.groupBy(*LEVELS).agg(F.sum("n_words").alias("tokens")).where("tokens > 0").withColumn("capacity", F.col("tokens") * max_epochs)}
+    levels = ("root", *LEVELS)
+    nodes = {len(LEVELS): leaves.groupBy(F.lit("all").alias("root"), *LEVELS).agg(F.sum("n_words").alias("tokens")).where("tokens > 0").withColumn("capacity", F.col("tokens") * max_epochs)}
     for depth in range(len(LEVELS) - 1, -1, -1):
-        nodes[depth] = nodes[depth + 1].groupBy(*LEVELS[:depth]).agg(F.sum("tokens").alias("tokens"), F.sum("capacity").alias("capacity"))
-    given = nodes[0].select(F.least(F.expr(f"tokens * {budget_percent} div 100"), "capacity").alias("budget"))
+        nodes[depth] = nodes[depth + 1].groupBy(*levels[: depth + 1]).agg(F.sum("tokens").alias("tokens"), F.sum("capacity").alias("capacity"))
+    given = nodes[0].select("root", F.least(F.expr(f"tokens * {budget_percent} div 100"), "capacity").alias("budget"))
     for depth in range(1, len(LEVELS) + 1):
-        above = list(LEVELS[: depth - 1])
+        above = list(levels[:depth])
         level = LEVELS[depth - 1]
-        children = nodes[depth].withColumn("w", weight_of(level)).join(given, above) if above else nodes[depth].withColumn("w", weight_of(level)).crossJoin(F.broadcast(given))
+        children = nodes[depth].withColumn("w", weight_of(level)).join(given, above)
         # Siblings in the order in which they fill up; those that fill up below the common level get their capacity.
-        order = W.partitionBy(*above, F.lit(0)).orderBy(F.col("capacity") / F.col("w"), level)
+        order = W.partitionBy(*above).orderBy(F.col("capacity") / F.col("w"), level)
         before = order.rowsBetween(W.unboundedPreceding, -1)
         onward = order.rowsBetween(0, W.unboundedFollowing)
         children = children.withColumn("rest", F.col("budget") - F.coalesce(F.sum("capacity").over(before), F.lit(0))).withColumn("weights", F.sum("w").over(onward))
         children = children.withColumn("full", F.col("capacity") * F.col("weights") <= F.col("rest") * F.col("w"))
-        siblings = W.partitionBy(*above, F.lit(0))
+        siblings = W.partitionBy(*above)
         first = F.min(F.when(~F.col("full"), F.struct(F.col("capacity") / F.col("w"), F.col(level), "rest", "weights"))).over(siblings)
         share = F.expr("first.rest * w div first.weights")
         children = children.withColumn("first", first).withColumn("given", F.when(F.col("full"), F.col("capacity")).otherwise(share))
         given = children.select(*above, level, "tokens", F.col("given").alias("budget"))
         if depth < len(LEVELS):
             given = given.drop("tokens")
-    return given
+    return given.drop("root")
 
 
 def mix(leaves: DataFrame, budget_percent: int = BUDGET_PERCENT, max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> DataFrame:

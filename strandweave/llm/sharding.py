@@ -126,8 +126,7 @@ def sharded(docs: DataFrame, rows: int = ARRIVAL_ROWS, fan_in: int = FAN_IN, sma
     """``docs`` from a new store, with shard, shard_rows, shard_bytes and tier: appended, planned, compacted, read again."""
     spark = docs.sparkSession
     if docs.isEmpty():
-        empty = "shard long, shard_rows long, shard_bytes long, tier int"
-        return docs.drop("shard").crossJoin(F.broadcast(spark.createDataFrame([], empty)))
+        return docs.drop("shard").select("*", *(F.lit(None).cast(t).alias(c) for c, t in (("shard", "long"), ("shard_rows", "long"), ("shard_bytes", "long"), ("tier", "int"))))
     store = scratch_dir(spark, "store")
     append(docs, store, rows)
     plan = written(plan_compaction(shard_sizes(read(spark, store)), fan_in, smallest, target), "compaction")
