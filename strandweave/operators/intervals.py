@@ -5,8 +5,9 @@ Every operator takes the columns that its groups have in common (``keys``, with
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -122,3 +123,17 @@ def cumulative_offset(exons: DataFrame, transcript: Sequence[str], strand: str =
 def numbered(df: DataFrame, groups: Sequence[str], order: Sequence[str | Column], name: str = "number") -> DataFrame:
     """Rows numbered from 1 inside each group."""
     return df.withColumn(name, F.row_number().over(W.partitionBy(*groups).orderBy(*order)))
+
+
+def folded(df: DataFrame, keys: Sequence[str], fold: Callable[[pd.DataFrame], pd.DataFrame], schema: str, per_partition: int = 8) -> DataFrame:
+    """``fold`` over each group of ``keys``, for choices that depend on an order.
+
+    Groups are dealt to a few buckets a partition, so that many small ones share a call; a bucket has to fit into memory.
+    """
+    buckets = per_partition * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = list(keys)
+
+    def each(bucket: pd.DataFrame) -> pd.DataFrame:
+        return pd.concat([fold(g) for _, g in bucket.groupby(keys, sort=False)], ignore_index=True)
+
+    return df.groupBy(F.pmod(F.xxhash64(*keys), F.lit(buckets)).alias("__bucket")).applyInPandas(each, schema)

@@ -32,3 +32,9 @@ def timings(runs: DataFrame, column: str = "real_time") -> DataFrame:
     """Least, most, mean and total time by kind of step."""
     c = F.col(column)
     return runs.groupBy("kind").agg(F.min(c).alias("least"), F.max(c).alias("most"), F.avg(c).alias("mean"), F.sum(c).alias("total"), F.count("*").alias("n"))
+
+
+def report(runs: DataFrame, ready: DataFrame) -> DataFrame:
+    """A row a sequence: progress of its chunks, the statuses seen, total time and number of runs."""
+    spent = runs.groupBy("seq_id").agg(F.round(F.sum("real_time"), 2).alias("total"), F.count("*").alias("runs"))
+    return ready.join(spent, "seq_id").select("seq_id", "chunks", "finished", "statuses", "total", "runs")
