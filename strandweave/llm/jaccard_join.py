@@ -4,10 +4,10 @@
 2. Each tree of the forest sorts the representatives by a signature prefix. The prefix starts at ``max_depth`` values
    and is shortened until the chance that two texts of similarity ``threshold`` share a prefix in some tree reaches
    ``recall`` (see ``prefix_depth``; the default misses 3 in a million pairs at the threshold, fewer above it).
-3. Texts that share a prefix are linked to *leaders* of their bucket when their signatures agree, which leaves a star of
-   few edges a bucket instead of all pairs. A text joins a leader at an estimate of 0.8 and is tied to any leader from
-   0.35 on: texts of similarity 0.8 have leaders so close that they end in one component (triangle inequality of the
-   Jaccard distance, with four standard errors of room). Large buckets are split and only their leaders meet.
+3. Texts that share a prefix are grouped with *leaders* of their bucket when their signatures agree, which leaves a row a
+   text instead of all pairs. A text is a leader's member at an estimate of 0.8 and is tied to it from 0.35 on, and
+   leads on itself if it is tied only: texts of similarity 0.8 end in one group (triangle inequality of the Jaccard
+   distance, with four standard errors of room). Large buckets are split, and all but the members meet once more.
 4. Components of these stars are verified exactly, each set is shipped once. Components over ``block`` texts are cut
    into blocks, and each pair of blocks is a task of its own.
 
@@ -102,7 +102,11 @@ def _grouped(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[list
 
 
 def _leaders(tied: float):
-    """Stars of each bucket (key, part, doc_id, sig): edges to leaders (lead null), and the leaders (u = v)."""
+    """Groups of each bucket (key, part, doc_id, sig): (key, u, v, sig) with the least doc_id of u's group as v.
+
+    Texts that may have partners outside their group's first leader's reach come with their signature, for the leaders
+    of a split bucket to meet.
+    """
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
@@ -110,14 +114,20 @@ def _leaders(tied: float):
             order = sorted(range(len(docs)), key=docs.__getitem__)
             sig = np.frombuffer(b"".join(sigs[i] for i in order), np.uint8).reshape(len(docs), -1)
             docs = np.array([docs[i] for i in order])
-            left = np.arange(len(docs))
-            while len(left):
-                lead = left[0]
-                alike = (sig[left] == sig[lead]).mean(1)
-                out += [(key[0], int(u), int(docs[lead]), None) for u in docs[left[1:][alike[1:] >= tied]]]
-                out.append((key[0], int(docs[lead]), int(docs[lead]), sig[lead].tobytes()))
-                # A text that is tied but no member stays, so that it may lead and be tied to others too.
-                left = left[1:][alike[1:] < MEMBER]
+            outside = np.arange(len(docs))
+            while len(outside):
+                root, outside = outside[0], outside[1:]
+                leaders, met, members = [root], [root], []
+                while leaders and len(outside):
+                    alike = (sig[outside] == sig[leaders.pop()]).mean(1)
+                    # Whoever is similar to a member is tied to the leader too; others that are tied lead on.
+                    near = outside[(alike >= tied) & (alike < MEMBER)]
+                    leaders += list(near)
+                    met += list(near)
+                    members += list(outside[alike >= MEMBER])
+                    outside = outside[alike < tied]
+                out += [(key[0], int(docs[x]), int(docs[root]), sig[x].tobytes()) for x in met]
+                out += [(key[0], int(docs[x]), int(docs[root]), None) for x in members]
             if len(out) >= 20_000:
                 yield _rows(out)
                 out = []
