@@ -31,9 +31,7 @@ def amino_acid(codon: Column) -> Column:
 
 def codons(seq: Column | str) -> Column:
     """Whole codons of frame 0."""
-    seq = F.upper(_col(seq))
-    n = F.floor(F.length(seq) / 3).cast("int")
-    return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.substring(seq, i * 3 + 1, F.lit(3)))).otherwise(F.lit([]).cast("array<string>"))
+    return F.regexp_extract_all(F.upper(_col(seq)), F.lit("(...)"), F.lit(1))
 
 
 def translate_codons(seq: Column | str, partial: str = "drop") -> Column:

@@ -117,7 +117,7 @@ def rename_types(kind: Column, names: dict) -> Column:
 
 def parse_attributes(text: Column) -> Column:
     """key=value[,value] pairs between semicolons, as a map of arrays."""
-    pairs = F.filter(F.transform(F.split(text, ";"), F.trim), lambda p: F.contains(p, F.lit("=")))
+    pairs = F.filter(F.transform(F.split(text, ";"), lambda p: F.trim(p)), lambda p: F.contains(p, F.lit("=")))
     entries = F.transform(pairs, lambda p: F.struct(F.split(p, "=", 2)[0].alias("key"), F.split(F.split(p, "=", 2)[1], ",").alias("value")))
     first = F.transform(F.array_distinct(F.transform(entries, lambda e: e["key"])), lambda k: F.element_at(F.filter(entries, lambda e: e["key"] == k), -1))
     return F.map_from_entries(first)

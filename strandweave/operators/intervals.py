@@ -125,15 +125,21 @@ def numbered(df: DataFrame, groups: Sequence[str], order: Sequence[str | Column]
     return df.withColumn(name, F.row_number().over(W.partitionBy(*groups).orderBy(*order)))
 
 
-def folded(df: DataFrame, keys: Sequence[str], fold: Callable[[pd.DataFrame], pd.DataFrame], schema: str, per_partition: int = 8) -> DataFrame:
+def folded(df: DataFrame, keys: Sequence[str], fold: Callable[[pd.DataFrame], pd.DataFrame], schema: str, alone: bool = False, per_partition: int = 8) -> DataFrame:
     """``fold`` over each group of ``keys``, for choices that depend on an order.
 
     Groups are dealt to a few buckets a partition, so that many small ones share a call; a bucket has to fit into memory.
+    ``alone``: rows that are alone in their group pass as they are.
     """
     buckets = per_partition * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = list(keys)
+    columns = [c.split()[0] for c in schema.split(", ")]
 
     def each(bucket: pd.DataFrame) -> pd.DataFrame:
-        return pd.concat([fold(g) for _, g in bucket.groupby(keys, sort=False)], ignore_index=True)
+        parts = []
+        if alone:
+            single = ~bucket.duplicated(keys, keep=False)
+            parts, bucket = [bucket.loc[single, columns]], bucket[~single]
+        return pd.concat(parts + [fold(g) for _, g in bucket.groupby(keys, sort=False)], ignore_index=True)
 
     return df.groupBy(F.pmod(F.xxhash64(*keys), F.lit(buckets)).alias("__bucket")).applyInPandas(each, schema)

@@ -94,7 +94,7 @@ def select_models(models: DataFrame) -> DataFrame:
     components are independent and spread over the cluster. Models of one locus have to fit into a task's memory.
     """
     rows = cluster_intervals(models, ["seq_id"]).select("seq_id", "cluster_start", "model_id", F.col("file_level").cast("int"), "start_pos", "end_pos", F.col("hit_coverage").cast("double"), F.col("score").cast("double"))
-    return folded(rows, ["seq_id", "cluster_start"], _choose, "seq_id string, model_id string, file_level int, start_pos long, end_pos long, score double")
+    return folded(rows, ["seq_id", "cluster_start"], _choose, "seq_id string, model_id string, file_level int, start_pos long, end_pos long, score double", alone=True)
 
 
 def splice_sites(parts: DataFrame, tiles: DataFrame, model: str = "parent_id", width: int = TILE) -> DataFrame:

@@ -81,38 +81,49 @@ def representatives(clusters: DataFrame, figures: DataFrame, priority: Sequence[
     return rows.withColumn("__k", F.row_number().over(W.partitionBy("cluster").orderBy(*order, transcript))).where("__k = 1").drop("__k")
 
 
+def _both_strands(seqs: DataFrame) -> DataFrame:
+    """(seq_id, n, strand, s): each sequence and its reverse complement."""
+    sides = F.array(F.struct(F.lit(1).alias("strand"), F.upper("residues").alias("s")), F.struct(F.lit(-1).alias("strand"), F.upper(revcomp("residues")).alias("s")))
+    return seqs.select("seq_id", F.length("residues").alias("n"), F.explode(sides).alias("x")).select("seq_id", "n", "x.strand", "x.s")
+
+
 def scan_orfs(seqs: DataFrame, shortest: int = 30, longest: int = 1_000_000) -> DataFrame:
     """Reading frames between stops in all six frames of ``seqs(seq_id, residues)``: (seq_id, strand, frame, start_pos,
-    end_pos) on the plus strand's axis, for those of ``shortest`` to ``longest`` bases; sequence ends count as stops."""
-    both = seqs.select("seq_id", F.length("residues").alias("n"), F.explode(F.array(F.struct(F.lit(1).alias("strand"), F.upper("residues").alias("s")), F.struct(F.lit(-1).alias("strand"), F.upper(revcomp("residues")).alias("s")))).alias("x"))
-    rows = both.select("seq_id", "n", "x.strand", "x.s", F.explode(F.lit([0, 1, 2])).alias("frame"))
-    rows = rows.withColumn("c", codons(F.substring(F.col("s"), F.col("frame") + 1, F.length("s"))))
-    stop_at = F.filter(F.transform("c", lambda c, i: F.when(c.isin(*STOPS), i).otherwise(-1)), lambda i: i >= 0)
-    fences = F.concat(F.array(F.lit(-1)), stop_at, F.array(F.size("c")))
-    spans = F.transform(F.sequence(F.lit(0), F.size(fences) - 2), lambda k: F.struct((fences[k] + 1).alias("a"), fences[k + 1].alias("b")))
-    rows = rows.select("seq_id", "n", "strand", "frame", F.explode(spans).alias("o")).select("seq_id", "n", "strand", "frame", (F.col("frame") + F.col("o.a") * 3 + 1).alias("a"), (F.col("frame") + F.col("o.b") * 3).alias("b"))
-    rows = rows.where((F.col("b") - F.col("a") + 1).between(shortest, longest))
+    end_pos) on the plus strand's axis, for those of ``shortest`` to ``longest`` bases; sequence ends count as stops.
+
+    Stops become rows, and a frame is what lies between two of them, so that long sequences aren't one row's work.
+    """
+    rows = _both_strands(seqs).select("seq_id", "n", "strand", "s", F.explode(F.lit([0, 1, 2])).alias("frame"))
+    codon = rows.select("seq_id", "strand", "frame", F.posexplode(codons(F.substring(F.col("s"), F.col("frame") + 1, F.length("s")))).alias("i", "codon"))
+    stops = codon.where(F.col("codon").isin(*STOPS)).select("seq_id", "strand", "frame", "i")
+    size = F.floor((F.col("n") - F.col("frame")) / 3).cast("int")
+    fences = rows.select("seq_id", "strand", "frame", F.explode(F.array(F.lit(-1), size)).alias("i"))
+    order = W.partitionBy("seq_id", "strand", "frame").orderBy("i")
+    spans = stops.unionByName(fences).withColumn("next", F.lead("i").over(order)).where("next is not null")
+    spans = spans.join(seqs.select("seq_id", F.length("residues").alias("n")), "seq_id")
+    spans = spans.select("seq_id", "n", "strand", "frame", (F.col("frame") + (F.col("i") + 1) * 3 + 1).alias("a"), (F.col("frame") + F.col("next") * 3).alias("b"))
+    spans = spans.where((F.col("b") - F.col("a") + 1).between(shortest, longest))
     plus = F.col("strand") == 1
-    return rows.select("seq_id", "strand", "frame", F.when(plus, F.col("a")).otherwise(F.col("n") - F.col("b") + 1).alias("start_pos"), F.when(plus, F.col("b")).otherwise(F.col("n") - F.col("a") + 1).alias("end_pos"))
+    return spans.select("seq_id", "strand", "frame", F.when(plus, F.col("a")).otherwise(F.col("n") - F.col("b") + 1).alias("start_pos"), F.when(plus, F.col("b")).otherwise(F.col("n") - F.col("a") + 1).alias("end_pos"))
 
 
 def orfs_from_hits(seqs: DataFrame, hits: DataFrame) -> DataFrame:
-    """Frames around hits: (seq_id, start_pos, end_pos, protein) on the hit's strand axis.
+    """Frames around hits: (seq_id, strand, h_start, start_pos, end_pos, protein) on the hit's strand axis.
 
     From the hit's first codon up to the furthest M behind the last stop before it (or the codon after that stop, or the
     sequence's start), and down to the first stop. ``hits(seq_id, strand, h_start)`` give a base of the hit's frame.
-    Frames with a stop inside, or without any codon, drop out.
+    Frames without any codon drop out. Each frame of a sequence is translated once, not once a hit.
     """
-    rows = hits.join(seqs.select("seq_id", F.upper("residues").alias("r")), "seq_id")
-    s = F.when(F.col("strand") == -1, revcomp("r")).otherwise(F.col("r"))
-    rows = rows.withColumn("s", s).withColumn("frame", ((F.col("h_start") - 1) % 3).cast("int")).withColumn("at", F.floor((F.col("h_start") - 1) / 3).cast("int"))
-    rows = rows.withColumn("p", translate_codons(F.substring(F.col("s"), F.col("frame") + 1, F.length("s"))))
+    frames = _both_strands(seqs).select("seq_id", "strand", "s", F.explode(F.lit([0, 1, 2])).alias("frame"))
+    frames = frames.select("seq_id", "strand", "frame", translate_codons(F.substring(F.col("s"), F.col("frame") + 1, F.length("s"))).alias("p"))
+    rows = hits.withColumn("frame", ((F.col("h_start") - 1) % 3).cast("int")).join(frames.repartition("seq_id", "strand", "frame"), ["seq_id", "strand", "frame"])
+    rows = rows.withColumn("at", F.floor((F.col("h_start") - 1) / 3).cast("int"))
     before, behind = F.substring("p", F.lit(1), F.col("at")), F.substring("p", F.col("at") + 1, F.length("p"))
     open_from = F.when(F.contains(before, F.lit("*")), F.length(before) - F.instr(F.reverse(before), "*") + 1).otherwise(0)
-    rows = rows.withColumns({"up": F.substring(before, open_from + 1, F.length(before)), "from": open_from, "down": F.instr(behind, "*")})
-    start = F.col("from") + F.when(F.contains("up", F.lit("M")), F.instr("up", "M") - 1).otherwise(0)
-    stop = F.when(F.col("down") > 0, F.col("at") + F.col("down")).otherwise(F.length("p"))
-    rows = rows.withColumns({"first": start, "stop": stop}).where("stop > first")
+    up = F.substring(before, open_from + 1, F.length(before))
+    start = open_from + F.when(F.contains(up, F.lit("M")), F.instr(up, "M") - 1).otherwise(0)
+    down = F.instr(behind, "*")
+    rows = rows.withColumns({"first": start, "stop": F.when(down > 0, F.col("at") + down).otherwise(F.length("p"))}).where("stop > first")
     return rows.select("seq_id", "strand", "h_start", (F.col("frame") + F.col("first") * 3 + 1).alias("start_pos"), (F.col("frame") + F.col("stop") * 3).alias("end_pos"), F.substring("p", F.col("first") + 1, F.col("stop") - F.col("first")).alias("protein"))
 
 
@@ -163,16 +174,15 @@ def dedupe_windows(windows: DataFrame, share: float = 0.9) -> DataFrame:
     Longer ones first, then by start and id; the choice is a fold over one cluster of overlapping windows at a time.
     """
     def keep(group: pd.DataFrame) -> pd.DataFrame:
-        g = group.assign(n=group["end_pos"] - group["start_pos"] + 1).sort_values(["n", "start_pos", "window_id"], ascending=[False, True, True])
-        start, end, kept = g["start_pos"].to_numpy(), g["end_pos"].to_numpy(), []
-        for i in range(len(g)):
+        start, end, names, kept = group["start_pos"].to_numpy(), group["end_pos"].to_numpy(), group["window_id"].to_list(), []
+        for i in sorted(range(len(group)), key=lambda i: (start[i] - end[i], start[i], names[i])):
             common = np.minimum(end[kept], end[i]) - np.maximum(start[kept], start[i]) + 1 if kept else np.zeros(0)
             if not (common >= share * (end[i] - start[i] + 1)).any():
                 kept.append(i)
-        return g.iloc[kept][["seq_id", "window_id", "start_pos", "end_pos"]]
+        return group[["seq_id", "window_id", "start_pos", "end_pos"]].iloc[kept]
 
     rows = cluster_intervals(windows, ["seq_id"]).select("seq_id", "cluster_start", "window_id", "start_pos", "end_pos")
-    return folded(rows, ["seq_id", "cluster_start"], keep, "seq_id string, window_id string, start_pos long, end_pos long")
+    return folded(rows, ["seq_id", "cluster_start"], keep, "seq_id string, window_id string, start_pos long, end_pos long", alone=True)
 
 
 def chain_hsps(hsps: DataFrame, t_gap: int = 10, g_gap: int = 10_000, coverage: float = 0.8) -> DataFrame:

@@ -77,7 +77,7 @@ def n5(t):
     return P.parse_vulgar(t.fx_exons.where("strand = 1").select("feature_id", line.alias("value")), ["feature_id"]).select("feature_id", "part", "q_start", "q_end", "start_pos", "end_pos")
 
 
-@query("a12_vulgar_minus", "SELECT feature_id, 1::INT AS part, -1 AS strand, 1::BIGINT AS q_start, 12::BIGINT AS q_end, start_pos - 11 AS start_pos, start_pos AS end_pos FROM fx_exons UNION ALL SELECT feature_id, 2, -1, 11, 20, start_pos - 120, start_pos - 109 FROM fx_exons")
+@query("a12_vulgar_minus", "SELECT feature_id, 1::INT AS part, -1 AS strand, 1::BIGINT AS q_start, 12::BIGINT AS q_end, start_pos - 11 AS start_pos, start_pos AS end_pos FROM fx_exons UNION ALL SELECT feature_id, 2, -1, 11, 20, start_pos - 121, start_pos - 110 FROM fx_exons")
 def a12(t):
     line = F.concat(F.lit("vulgar: q 0 20 + t "), F.col("start_pos").cast("string"), F.lit(" 0 - 5 M 10 10 S 2 2 5 0 2 I 0 94 3 0 2 S 0 2 M 8 10"))
     parts = P.parse_vulgar(t.fx_exons.select("feature_id", line.alias("value")), ["feature_id"])

@@ -168,11 +168,11 @@ def n20(t):
 
 
 HITS19 = "h AS (SELECT DISTINCT seq_id, strand, start_pos AS h_start FROM fx_cds)"
-FOUND19 = f"""{HITS19}, j AS (SELECT h.*, CASE WHEN strand = -1 THEN upper({sql_revcomp("residues")}) ELSE upper(residues) END AS s, (h_start - 1) % 3 AS frame, (h_start - 1) // 3 AS at FROM h JOIN fx_sequences q ON q.seq_id = h.seq_id),
+FOUND19 = f"""{HITS19}, j AS (SELECT h.*, CASE WHEN strand = -1 THEN upper({sql_revcomp("residues")}) ELSE upper(residues) END AS s, (h_start - 1) % 3 AS frame, (h_start - 1) // 3 AS ats FROM h JOIN fx_sequences q ON q.seq_id = h.seq_id),
 pr AS (SELECT * REPLACE (substring(s, CAST(frame + 1 AS INT)) AS s) FROM j), p AS (SELECT *, {sql_protein("s")} AS p FROM pr),
-z AS (SELECT *, substring(p, 1, CAST(at AS INT)) AS bf, substring(p, CAST(at + 1 AS INT)) AS bh FROM p),
+z AS (SELECT *, substring(p, 1, CAST(ats AS INT)) AS bf, substring(p, CAST(ats + 1 AS INT)) AS bh FROM p),
 y AS (SELECT *, CASE WHEN contains(bf, '*') THEN length(bf) - instr(reverse(bf), '*') + 1 ELSE 0 END AS fr, instr(bh, '*') AS down FROM z),
-x AS (SELECT *, substring(bf, CAST(fr + 1 AS INT)) AS up FROM y), w AS (SELECT *, fr + CASE WHEN contains(up, 'M') THEN instr(up, 'M') - 1 ELSE 0 END AS first, CASE WHEN down > 0 THEN at + down ELSE length(p) END AS stop FROM x),
+x AS (SELECT *, substring(bf, CAST(fr + 1 AS INT)) AS up FROM y), w AS (SELECT *, fr + CASE WHEN contains(up, 'M') THEN instr(up, 'M') - 1 ELSE 0 END AS first, CASE WHEN down > 0 THEN ats + down ELSE length(p) END AS stop FROM x),
 found AS (SELECT seq_id, strand, h_start, frame + first * 3 + 1 AS start_pos, frame + stop * 3 AS end_pos, substring(p, CAST(first + 1 AS INT), CAST(stop - first AS INT)) AS protein FROM w WHERE stop > first)"""
 
 
@@ -276,12 +276,12 @@ def f9(t):
     return t.fx_evidence.groupBy("seq_id", "start_pos", "end_pos", "strand").agg(F.count("*").alias("n"))
 
 
-DOMAINS = "do AS (SELECT DISTINCT parent_id, concat('d', parent_id) AS domain_id, 1 + file_level * 10 AS aa_start, 30 + file_level * 12 AS aa_end FROM fx_exons)"
+DOMAINS = "dom AS (SELECT DISTINCT parent_id, concat('d', parent_id) AS domain_id, 1 + file_level * 10 AS aa_start, 30 + file_level * 12 AS aa_end FROM fx_exons)"
 
 
 @query(
     "n34_lift_domains",
-    f"""WITH {OFFSETS}, {DOMAINS}, r AS (SELECT do.parent_id, domain_id, seq_id, strand, start_pos, end_pos, greatest(3 * (aa_start - 1), off) - off AS f, least(3 * aa_end, off + size) - off AS u FROM do JOIN o USING (parent_id))
+    f"""WITH {OFFSETS}, {DOMAINS}, r AS (SELECT dom.parent_id, domain_id, seq_id, strand, start_pos, end_pos, greatest(3 * (aa_start - 1), off) - off AS f, least(3 * aa_end, off + size) - off AS u FROM dom JOIN o USING (parent_id))
     SELECT parent_id, domain_id, seq_id, strand, CASE WHEN strand = 1 THEN start_pos + f ELSE end_pos - u + 1 END AS start_pos, CASE WHEN strand = 1 THEN start_pos + u - 1 ELSE end_pos - f END AS end_pos FROM r WHERE f < u""",
 )
 def n34(t):
@@ -289,7 +289,7 @@ def n34(t):
     return A.lift_domains(domains, t.fx_exons.select("parent_id", "seq_id", "strand", "start_pos", "end_pos"))
 
 
-@query("e13_protein_lift", f"WITH {OFFSETS}, {DOMAINS} SELECT parent_id, count(*) AS pieces FROM do JOIN o USING (parent_id) WHERE greatest(3 * (aa_start - 1), off) < least(3 * aa_end, off + size) GROUP BY parent_id")
+@query("e13_protein_lift", f"WITH {OFFSETS}, {DOMAINS} SELECT parent_id, count(*) AS pieces FROM dom JOIN o USING (parent_id) WHERE greatest(3 * (aa_start - 1), off) < least(3 * aa_end, off + size) GROUP BY parent_id")
 def e13(t):
     return n34(t).groupBy("parent_id").agg(F.count("*").alias("pieces"))
 
