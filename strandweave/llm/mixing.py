@@ -82,7 +82,7 @@ def mix(leaves: DataFrame, budget_percent: int = BUDGET_PERCENT, max_epochs: int
     ahead = sums.select(*LEVELS, "bucket", ahead.alias("ahead"))
     inside = F.sum("n_words").over(W.partitionBy(*LEVELS, "bucket").orderBy("rank", "doc_id").rowsBetween(W.unboundedPreceding, 0))
     rows = rows.join(ahead, [*LEVELS, "bucket"]).withColumn("upto", F.col("ahead") + inside)
-    extra = F.when(F.col("upto") <= F.col("rest"), 1).otherwise(0)
+    extra = F.when((F.col("rest") > 0) & (F.col("upto") <= F.col("rest")), 1).otherwise(0)
     return rows.select("doc_id", *LEVELS, "n_words", F.coalesce(F.col("epochs") + extra, F.lit(0)).cast("long").alias("copies"))
 
 
@@ -127,5 +127,5 @@ g0 AS (SELECT least(sum(tokens)::BIGINT * {BUDGET_PERCENT} // 100, sum(capacity)
 r AS (SELECT doc_id, domain, lang, source, n_words, budget // tokens AS epochs, budget % tokens AS rest FROM l LEFT JOIN g3 USING (domain, lang, source)),
 o AS (SELECT *, md5(concat('{SEED}:', CAST(coalesce(epochs, 0) AS VARCHAR), ':', CAST(doc_id AS VARCHAR))) AS rank FROM r),
 u AS (SELECT *, sum(n_words) OVER (PARTITION BY domain, lang, source ORDER BY rank, doc_id ROWS UNBOUNDED PRECEDING) AS upto FROM o)
-SELECT doc_id, domain, lang, source, n_words, CAST(coalesce(epochs + CASE WHEN upto <= rest THEN 1 ELSE 0 END, 0) AS BIGINT) AS copies FROM u
+SELECT doc_id, domain, lang, source, n_words, CAST(coalesce(epochs + CASE WHEN rest > 0 AND upto <= rest THEN 1 ELSE 0 END, 0) AS BIGINT) AS copies FROM u
 """
