@@ -5,23 +5,24 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared checkpoint folder and read it again: cuts the lineage, survives lost executors.
-
-    Only where the session names no folder (as in tests) a local one is set.
-    """
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder of the cluster; only where the session names none (as in tests) a local one is set."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = tempfile.mkdtemp(prefix="strandweave-")
         spark.conf.set("spark.checkpoint.dir", root)
-    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return root.rstrip("/")
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write a table to the shared folder and read it again: cuts the lineage, survives lost executors."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:

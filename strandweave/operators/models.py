@@ -184,3 +184,47 @@ def annotated_models(winners: DataFrame, features: DataFrame, tags: DataFrame) -
 def top_of_locus(models: DataFrame, locus: Sequence[str]) -> DataFrame:
     """Models of each locus by hit coverage, with their ``place``."""
     return models.withColumn("place", F.row_number().over(W.partitionBy(*locus).orderBy(F.desc("hit_coverage"), "file_level", "start_pos", "end_pos", "model_id")))
+
+
+REACH = 600
+
+
+def _codons_from(text: Column, first: Column, step: int, n: Column) -> Column:
+    """``n`` codons of ``text`` from place ``first`` (1-based) on, ``step`` bases apart."""
+    return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda k: F.substring(text, first + k * step, F.lit(3)))).otherwise(F.lit([]).cast("array<string>"))
+
+
+def repair_start_stop(parts: DataFrame, tiles: DataFrame, lengths: DataFrame, model: str = "parent_id", reach: int = REACH, width: int = TILE) -> DataFrame:
+    """Start and stop codons for models that lack them: (model, strand, start_pos, end_pos, start_shift, stop_shift, unsure).
+
+    The start is looked for in frame from 12 bases inside the first exon (less where it is short) to ``reach`` bases
+    outside: the first ATG wins, a stop codon ends the search. The stop is the first one from the next codon outside on.
+    Shifts count outward, null where nothing was found or needed; ``unsure`` tells of an N among the codons looked at.
+    ``lengths(seq_id, length)`` bound the search.
+    """
+    coding = coding_sequences(parts, tiles, model, width).withColumn("protein", translate_codons("coding"))
+    ends = parts.groupBy("seq_id", model, "strand").agg(F.min("start_pos").alias("low"), F.max("end_pos").alias("high"), F.min_by(F.col("end_pos") - F.col("start_pos") + 1, F.col("start_pos") * F.col("strand")).alias("first_len"))
+    rows = ends.join(coding.select("seq_id", model, F.startswith("protein", F.lit("M")).alias("has_start"), F.endswith("protein", F.lit("*")).alias("has_stop")), ["seq_id", model]).join(lengths, "seq_id")
+    inside = F.when(F.col("first_len") - 12 <= 6, F.greatest(F.lit(0), F.col("first_len") - 6)).otherwise(12)
+    rows = rows.withColumn("inside", (F.floor(inside / 3) * 3).cast("int"))
+    rows = rows.withColumns({"from": F.greatest(F.lit(1), F.col("low") - reach - 2), "upto": F.least("length", F.col("high") + reach + 2)})
+    key = ["seq_id", model, "strand", "low", "high", "inside", "has_start", "has_stop", "from", "upto"]
+    around = extract_subseq(rows.withColumns({"start_pos": F.col("from"), "end_pos": F.col("upto")}), tiles, key, width)
+    plus = F.col("strand") != -1
+    text = F.when(plus, F.col("part")).otherwise(revcomp("part"))
+    # In the direction of the strand: bases in front of the first codon, and behind the last one.
+    front = F.when(plus, F.col("low") - F.col("from")).otherwise(F.col("upto") - F.col("high")).cast("int")
+    rear = F.when(plus, F.col("upto") - F.col("high")).otherwise(F.col("low") - F.col("from")).cast("int")
+    rows = around.select(*key, F.upper(text).alias("text"), front.alias("front"), rear.alias("rear"))
+    ups = _codons_from(F.col("text"), F.col("front") + 1 + F.col("inside"), -3, F.floor((F.least(F.lit(reach), "front") + F.col("inside")) / 3).cast("int") + 1)
+    downs = _codons_from(F.col("text"), F.length("text") - F.col("rear") + 1, 3, F.floor(F.least(F.lit(reach), "rear") / 3).cast("int"))
+    rows = rows.withColumns({"ups": ups, "downs": downs})
+    first = lambda codons, *wanted: F.least(*(F.nullif(F.array_position(codons, w), F.lit(0).cast("long")) for w in wanted), F.lit(None).cast("long"))
+    atg, bar, stop = first("ups", "ATG"), first("ups", "TAA", "TAG", "TGA"), first("downs", "TAA", "TAG", "TGA")
+    begin = F.when(~F.col("has_start") & atg.isNotNull() & (bar.isNull() | (atg < bar)), (atg - 1) * 3 - F.col("inside"))
+    finish = F.when(~F.col("has_stop"), stop * 3)
+    unsure = (~F.col("has_start") & F.exists(F.slice("ups", F.lit(1), F.coalesce(F.least(atg, bar), F.size("ups")).cast("int")), lambda c: c.contains("N"))) | (~F.col("has_stop") & F.exists(F.slice("downs", F.lit(1), F.coalesce(stop, F.size("downs")).cast("int")), lambda c: c.contains("N")))
+    rows = rows.withColumns({"start_shift": begin, "stop_shift": finish, "unsure": unsure})
+    a, b = F.coalesce("start_shift", F.lit(0)), F.coalesce("stop_shift", F.lit(0))
+    low, high = F.when(plus, F.col("low") - a).otherwise(F.col("low") - b), F.when(plus, F.col("high") + b).otherwise(F.col("high") + a)
+    return rows.select(model, "strand", low.alias("start_pos"), high.alias("end_pos"), "start_shift", "stop_shift", "unsure")

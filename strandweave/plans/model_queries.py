@@ -289,3 +289,9 @@ def f24(t):
     kind = F.when(F.col("start_pos") % 3 == 0, "CDS").when(F.col("start_pos") % 3 == 1, "five_prime_UTR").otherwise("other")
     rows = X.segments(t.fx_exons.withColumn("type", kind), ["parent_id"], {"CDS": "C", "five_prime_UTR": "5"})
     return rows.select("parent_id", "strand", F.array_join(F.transform("segments", lambda s: F.concat(s["start_pos"].cast("string"), F.lit("-"), s["end_pos"].cast("string"), s["class"])), " ").alias("segments"))
+
+
+@query("n6_repair_start_stop")
+def n6(t):
+    lengths = t.fx_sequences.select("seq_id", F.length("residues").cast("long").alias("length"))
+    return G.repair_start_stop(t.fx_cds.distinct(), tiles(t), lengths, width=W)

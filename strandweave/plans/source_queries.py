@@ -178,3 +178,117 @@ def b3(t):
 def i2(t):
     a = t.fx_exons.where("file_level = 0").select(F.lit("a").alias("origin"), "seq_id", "start_pos", "end_pos")
     return a.unionByName(t.fx_evidence.select(F.lit("b").alias("origin"), "seq_id", "start_pos", "end_pos"))
+
+
+def saved(lines, name: str) -> str:
+    """Lines written to the shared folder as text files."""
+    import uuid
+
+    from strandweave.operators.graph import shared_folder
+
+    path = f"{shared_folder(lines.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    lines.select("value").write.text(path)
+    return path
+
+
+def saved_xml(records, root: str, files: int = 8) -> str:
+    """XML records written to the shared folder, one document a file: the reader takes only the first of a file."""
+    import uuid
+
+    from strandweave.operators.graph import shared_folder
+
+    spark = records.sparkSession
+    rows = records.select(F.pmod(F.xxhash64("value"), F.lit(files)).cast("int").alias("part"), F.lit(1).alias("place"), "value")
+    ends = F.explode(F.array(*(F.struct(F.lit(k).alias("place"), F.lit(v).alias("value")) for k, v in ((0, f"<{root}>"), (2, f"</{root}>"))))).alias("x")
+    rows = rows.unionByName(spark.range(files).select(F.col("id").cast("int").alias("part"), ends).select("part", "x.place", "x.value"))
+    path = f"{shared_folder(spark)}/{root}-{uuid.uuid4().hex}"
+    rows.repartition("part").sortWithinPartitions("part", "place").select("part", "value").write.partitionBy("part").text(path)
+    return path
+
+
+@query("a3_read_fasta", "SELECT seq_id, 'a note' AS description, residues FROM fx_sequences")
+def a3(t):
+    rows = t.fx_sequences.select(F.concat(F.lit(">lcl|"), "seq_id", F.lit(" a note\n"), F.regexp_replace("residues", "(.{60})", "$1\n")).alias("value"))
+    return P.read_fasta(rows.sparkSession, saved(rows, "fasta"))
+
+
+@query("a3_fasta_tiles", "SELECT seq_id, k::INT AS tile_no, k * 256 + 1 AS tile_start, substring(residues, CAST(k * 256 + 1 AS INT), 256) AS residues FROM (SELECT seq_id, residues, unnest(range(0, 4)) AS k FROM fx_sequences)")
+def a3_tiles(t):
+    rows = t.fx_sequences.select(F.concat(F.lit(">"), "seq_id", F.lit("\n"), F.regexp_replace("residues", "(.{60})", "$1\n")).alias("value"))
+    return P.read_fasta_tiles(rows.sparkSession, saved(rows, "fasta"), 256)
+
+
+@query(
+    "a4_read_search_xml",
+    """SELECT query_id, query_len, hit_id, hit_len, strand, q_start, q_end, h_start, h_end, align_len, 2::BIGINT AS gaps, align_len - 2 AS hit_len_aligned, n_identical FROM fx_hsps""",
+)
+def a4(t):
+    tag = lambda name, value: F.concat(F.lit(f"<{name}>"), value.cast("string"), F.lit(f"</{name}>"))
+    c = F.col
+    minus = c("strand") == -1
+    hsp = F.concat(
+        tag("Hsp_query-from", F.when(minus, c("q_end")).otherwise(c("q_start"))), tag("Hsp_query-to", F.when(minus, c("q_start")).otherwise(c("q_end"))), tag("Hsp_hit-from", c("h_start")), tag("Hsp_hit-to", c("h_end")),
+        tag("Hsp_hit-frame", c("strand")), tag("Hsp_identity", c("n_identical")), tag("Hsp_align-len", c("align_len")), F.lit("<Hsp_hseq>AC--GT</Hsp_hseq>"),
+    )
+    hit = F.concat(tag("Hit_accession", c("hit_id")), tag("Hit_len", c("hit_len")), F.lit("<Hit_hsps><Hsp>"), hsp, F.lit("</Hsp></Hit_hsps>"))
+    line = F.concat(F.lit("<Iteration>"), tag("Iteration_query-def", c("query_id")), tag("Iteration_query-len", c("query_len")), F.lit("<Iteration_hits><Hit>"), hit, F.lit("</Hit></Iteration_hits></Iteration>"))
+    rows = t.fx_hsps.select(line.alias("value"))
+    return P.read_search_xml(rows.sparkSession, saved_xml(rows, "report")).select("query_id", "query_len", "hit_id", "hit_len", "strand", "q_start", "q_end", "h_start", "h_end", "align_len", "gaps", "hit_len_aligned", "n_identical")
+
+
+@query("a5_read_domain_table", "SELECT p_partkey::VARCHAR AS target, concat('D', (p_size)::VARCHAR) AS domain_id, 0.5::DOUBLE AS evalue, concat(p_name, ' x') AS description FROM part")
+def a5(t):
+    line = F.concat_ws("  ", F.col("p_partkey").cast("string"), F.concat(F.lit("D"), F.col("p_size").cast("string")), F.lit("q - 0.5 6 7 8 9 10 11 12 13 14 15 16 17 18"), F.concat("p_name", F.lit(" x")))
+    rows = t.part.select(line.alias("value"))
+    return P.read_domain_table(rows.sparkSession, saved(rows, "domains")).select("target", "domain_id", "evalue", "description")
+
+
+@query("a8_read_ncrna_table", "SELECT feature_id AS name, seq_id, start_pos, end_pos, strand, 2.5::DOUBLE AS score FROM fx_exons")
+def a8(t):
+    minus = F.col("strand") == -1
+    s, e = F.col("start_pos").cast("string"), F.col("end_pos").cast("string")
+    line = F.concat_ws("  ", "feature_id", F.lit("RF1"), "seq_id", F.lit("- cm 1 9"), F.when(minus, e).otherwise(s), F.when(minus, s).otherwise(e), F.when(minus, "-").otherwise("+"), F.lit("no 1 0.5 0.0 2.5 1e-3 ! some text"))
+    rows = t.fx_exons.select(line.alias("value"))
+    return P.read_ncrna_table(rows.sparkSession, saved(rows, "ncrna")).select("name", "seq_id", "start_pos", "end_pos", "strand", "score")
+
+
+@query("a9_read_rrna_gff", "SELECT seq_id, start_pos, end_pos, strand, feature_id AS note FROM fx_exons")
+def a9(t):
+    line = F.concat_ws("\t", "seq_id", F.lit("T"), F.lit("rRNA"), F.col("start_pos").cast("string"), F.col("end_pos").cast("string"), F.lit("1.5"), F.when(F.col("strand") == -1, "-").otherwise("+"), F.lit("."), "feature_id")
+    rows = t.fx_exons.select(line.alias("value"))
+    return P.read_rrna_gff(rows.sparkSession, saved(rows, "rrna")).select("seq_id", "start_pos", "end_pos", "strand", F.col("attributes")["Note"][0].alias("note"))
+
+
+@query("a10_read_domains_tsv", "SELECT p_name AS protein_id, 'Pfam' AS tool, concat('PF', p_size::VARCHAR) AS domain_id, 1::BIGINT AS aa_start, p_size::BIGINT + 1 AS aa_end FROM part")
+def a10(t):
+    key = F.concat(F.lit("s"), F.col("p_partkey").cast("string"))
+    line = F.concat_ws("\t", key, F.lit("crc"), F.lit("9"), F.lit("Pfam"), F.concat(F.lit("PF"), F.col("p_size").cast("string"), F.lit(";")), F.lit("n"), F.lit("1"), (F.col("p_size") + 1).cast("string"), F.lit("0.1"))
+    rows = t.part.select(line.alias("value"))
+    names = t.part.select(key.alias("short_id"), F.col("p_name").alias("protein_id"))
+    return P.read_domains_tsv(rows.sparkSession, saved(rows, "tsv"), names).select("protein_id", "tool", "domain_id", "aa_start", "aa_end")
+
+
+@query("a11_read_domains_xml", "SELECT p_name AS protein_id, concat('S', p_size::VARCHAR) AS signature, p_size::BIGINT AS aa_start, p_size::BIGINT + 9 AS aa_end, CASE WHEN p_partkey % 2 = 0 THEN 0.25::DOUBLE ELSE 0.5::DOUBLE END AS evalue FROM part")
+def a11(t):
+    size = F.col("p_size").cast("string")
+    own = F.when(F.col("p_partkey") % 2 == 0, ' evalue="0.25"').otherwise("")
+    line = F.concat(F.lit('<protein><xref id="'), "p_name", F.lit('"/><matches><match evalue="0.5"><signature ac="S'), size, F.lit('"/><locations><location start="'), size, F.lit('" end="'), (F.col("p_size") + 9).cast("string"), F.lit('"'), own, F.lit("/></locations></match></matches></protein>"))
+    rows = t.part.select(line.alias("value"))
+    return P.read_domains_xml(rows.sparkSession, saved_xml(rows, "matches")).select("protein_id", "signature", "aa_start", "aa_end", "evalue")
+
+
+@query("a21_read_run_tables", "SELECT task_id, kind AS name, status, chunk_no::DOUBLE AS real_time FROM fx_task_runs")
+def a21(t):
+    line = F.concat(F.lit('<program id="'), F.col("task_id").cast("string"), F.lit('" name="'), "kind", F.lit('"><status>'), F.col("status").cast("string"), F.lit("</status><real_time>"), F.col("chunk_no").cast("string"), F.lit("</real_time></program>"))
+    rows = t.fx_task_runs.select(line.alias("value"))
+    return P.read_run_tables(rows.sparkSession, saved_xml(rows, "unit")).select("task_id", "name", "status", "real_time")
+
+
+@query(
+    "a22_spliced_alignments",
+    """WITH k AS (SELECT feature_id, start_pos AS s, end_pos % 90 + 40 AS n FROM fx_exons)
+    SELECT feature_id AS transcript_id, 1::INT AS exon, 1::BIGINT AS q_start, 4::BIGINT AS q_end, s AS g_start, s + 3 AS g_end, 3::INT AS match_len FROM k UNION ALL SELECT feature_id, 2, 5, 7, s + 4 + n, s + 7 + n, 3 FROM k""",
+)
+def a22(t):
+    rows = t.fx_exons.select(F.col("feature_id").alias("transcript_id"), F.lit(1).cast("long").alias("q_start"), F.col("start_pos").alias("t_start"), F.lit("ACGT....AC-T").alias("query"), F.lit("ACCT....ACGT").alias("subject"), F.array(F.col("end_pos") % 90 + 40).alias("introns"))
+    return P.parse_spliced_alignments(rows).select("transcript_id", "exon", "q_start", "q_end", "g_start", "g_end", "match_len")
