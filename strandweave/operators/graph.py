@@ -9,20 +9,32 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The checkpoint folder of the cluster; only where the session names none (as in tests) a local one is set."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="strandweave-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="strandweave-"))
+        root = spark.sparkContext.getCheckpointDir()
     return root.rstrip("/")
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it again: cuts the lineage, survives lost executors."""
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write a table to the shared folder and read it again: cuts the lineage, survives lost executors.
+
+    The shuffle files of the write aren't needed any more once it is done, and are removed at once.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    usual = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, usual)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:

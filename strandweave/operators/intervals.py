@@ -74,7 +74,8 @@ def islands(df: DataFrame, keys: Sequence[str], reach: int, tile: int = TILE) ->
     t = t.withColumn("__opens", F.when(opens, F.col("start_pos")))
     starts = t.groupBy(*by).agg(F.max("__opens").alias("__last")).select(*by, F.max("__last").over(before).alias("__from"))
     t = t.join(starts, by)
-    return t.withColumn("island_start", F.coalesce(F.max("__opens").over(order.rowsBetween(W.unboundedPreceding, 0)), "__from")).drop("__tile", "__before", "__opens", "__from")
+    # By range, so that of equal intervals each gets the start that one of them opens.
+    return t.withColumn("island_start", F.coalesce(F.max("__opens").over(order.rangeBetween(W.unboundedPreceding, W.currentRow)), "__from")).drop("__tile", "__before", "__opens", "__from")
 
 
 def merge_intervals(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -32,6 +32,8 @@ def test_clusters_need_a_shared_base(spark):
 def test_islands_cross_tiles(spark):
     rng = random.Random(3)
     rows = [(a, a + rng.randrange(60)) for a in (rng.randrange(1, 4000) for _ in range(300))]
+    rows += rows[:150]
+    assert I.islands(spans(spark, rows), ["seq_id"], 1, 64).where("island_start is null or island_start > start_pos").count() == 0
     small, whole = (sorted((r.id, r.island_start) for r in I.islands(spans(spark, rows), ["seq_id"], 1, tile).collect()) for tile in (64, 1 << 20))
     assert small == whole
 
