@@ -25,7 +25,7 @@ from .common import parallelism
 U = np.uint64
 BASE = U(0x9E3779B97F4A7C15)
 #: Bytes of text in one pass, anchors in one flush, contexts of a key beyond which its windows are dealt one by one.
-CHUNK_BYTES, FLUSH, HOT_CONTEXTS = 1_500_000, 600_000, 20_000
+CHUNK_BYTES, FLUSH, HOT_CONTEXTS = 700_000, 250_000, 20_000
 SETTLED, OPEN, HOT = 1, 2, 3
 BLOB = "bucket int, key binary, ctx binary, doc binary, pk binary"
 
@@ -51,7 +51,7 @@ class Hasher:
     """Hashes of any stretch of a unit array from prefix sums of ``value * BASE**-i`` (mod 2**64)."""
 
     def __init__(self, values: np.ndarray):
-        size = 1 << max(21, int(len(values) + 1).bit_length())
+        size = 1 << max(20, int(len(values) + 1).bit_length())
         self.up, down = _powers(size)
         self.sums = np.zeros(len(values) + 1, U)
         np.cumsum(values * down[: len(values)], dtype=U, out=self.sums[1:])
@@ -126,6 +126,11 @@ def text_chunks(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[i
         low = high
 
 
+def release() -> None:
+    """Give memory that Arrow keeps for later back: a reused worker would hold it through the stages to come."""
+    pa.default_memory_pool().release_unused()
+
+
 def split_groups(order_key: np.ndarray, *columns: np.ndarray) -> Iterator[tuple[int, list[np.ndarray]]]:
     order = np.argsort(order_key, kind="stable")
     sorted_key = order_key[order]
@@ -152,6 +157,10 @@ def _flush(parts: list[tuple], buckets: int, earlier: bool) -> Iterator[pa.Recor
     bucket = (np.where(done, mix(doc.astype(U)), key) % U(buckets)).astype(np.int64)
     key = np.where(done, U(0), key)
     ctx = np.where(done, U(0), ctx)
+    # Back in the order of the text, in which documents and places compress well.
+    back = np.empty(len(order), np.int64)
+    back[order] = np.arange(len(order))
+    bucket, key, ctx, doc, pk = (c[back] for c in (bucket, key, ctx, doc, pk))
     rows = [(b, *(c.tobytes() for c in cols)) for b, cols in split_groups(bucket, key, ctx, doc, pk)]
     if rows:
         cols = list(zip(*rows, strict=True))
@@ -173,6 +182,7 @@ def anchor_rows(docs: DataFrame, chunk_runs: Callable, buckets: int, earlier: bo
                 if held >= FLUSH:
                     yield from _flush(parts, buckets, earlier)
                     parts, held = [], 0
+            release()
         if held:
             yield from _flush(parts, buckets, earlier)
 
@@ -242,6 +252,7 @@ def settle(blobs: DataFrame, earlier: bool) -> DataFrame:
                 status = np.where(status == 4, SETTLED, status)
                 out_pk.append((pk[keep] & ~15) | status[keep])
             doc, pk = np.concatenate(out_doc), np.concatenate(out_pk)
+            release()
             for low in range(0, len(doc), 200_000):
                 yield pa.RecordBatch.from_arrays([pa.array(doc[low : low + 200_000]), pa.array(pk[low : low + 200_000])], names=["doc_id", "pk"])
 
@@ -253,8 +264,11 @@ def is_settled(pk: np.ndarray) -> np.ndarray:
 
 
 def listed(docs: DataFrame, marks: DataFrame) -> DataFrame:
-    """``docs(doc_id, text)`` with the array ``marks`` of all pk of each document (null: none)."""
-    return docs.select("doc_id", "text").join(marks.groupBy("doc_id").agg(F.collect_list("pk").alias("marks")), "doc_id", "left")
+    """``docs(doc_id, text)`` with the array ``marks`` of all pk of each document (null: none).
+
+    With the same filter and columns each time, Spark shuffles the texts once for all joins of a plan.
+    """
+    return docs.where("doc_id is not null").select("doc_id", "text").join(marks.groupBy("doc_id").agg(F.collect_list("pk").alias("marks")), "doc_id", "left")
 
 
 def marks_of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

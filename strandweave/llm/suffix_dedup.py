@@ -26,7 +26,7 @@ from .common import keyed, written
 #: Length of the hashed grams that anchor the windows.
 GRAM = 20
 #: Suffixes sorted at once.
-SLICE = 1_500_000
+SLICE = 400_000
 _TABLE = R.mix(np.arange(1, 257, dtype=np.uint64) * R.U(0x9E3779B97F4A7C15))
 
 
@@ -121,6 +121,7 @@ def _factors(min_bytes: int):
                 own = np.flatnonzero(lead == k) if slices > 1 else np.arange(len(run))
                 if len(own):
                     found[own] = has_previous_factor(data, start[own], doc[run[own]], min_bytes)
+            R.release()
             new = found.copy()
             new[1:] &= ~(found[:-1] & (run[1:] == run[:-1]))
             begin = np.flatnonzero(new)
@@ -148,6 +149,7 @@ def find_repeated_bytes(docs: DataFrame, min_bytes: int = 50) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            R.release()
             ids, flat, edges = R.marks_of(batch)
             for low, high, data, bounds in R.text_chunks(batch):
                 first, _, count, _ = R.unpack(flat[edges[low] : edges[high]])
