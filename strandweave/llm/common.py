@@ -2,30 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strandweave.operators.graph import shared_folder, written  # noqa: F401
+
 #: Words are maximal runs of anything but the ASCII blanks; ``bytes.split()`` cuts UTF-8 text in the same places.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A new folder name under the shared checkpoint folder of the cluster (a local one only where none is set)."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="strandweave-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it again: cuts the lineage, survives lost executors."""
-    path = scratch_dir(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """A new folder name under the shared checkpoint folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def parallelism(spark: SparkSession) -> int:

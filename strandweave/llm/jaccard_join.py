@@ -24,9 +24,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strandweave.operators.graph import components
+
 from . import repeats as R
 from .common import documents, keyed, parallelism, written
-from .components import components
 from .substring_dedup import _TABLE, word_spans
 
 TREES, MAX_DEPTH, RECALL = 24, 5, 0.99999

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from strandweave.llm import decontaminate, jaccard_join, mixing, quality_classifier, quality_rules, secret_scan, sharding, substring_dedup, suffix_dedup, token_counts
 from strandweave.llm.common import keyed, scratch_dir
-from strandweave.llm.components import components
+from strandweave.operators.graph import components
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, shard long, marks string, root long, size int, key string, label int"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
