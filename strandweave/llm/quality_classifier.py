@@ -79,8 +79,8 @@ class Model:
         flat = self._weighted(counts)
         self.mean = flat.mean(0)
         flat = flat - self.mean
-        _, _, axes = np.linalg.svd(flat.T @ flat)
-        self.axes = axes[:LATENT].T.astype(np.float32)
+        # The right singular vectors of the sample are the eigenvectors of its Gram matrix; the last are the largest.
+        self.axes = np.linalg.eigh(flat.T @ flat)[1][:, : -LATENT - 1 : -1].astype(np.float32)
         self.points = self._unit(flat @ self.axes)
         self.labels = labels.astype(np.float32)
         share = labels.mean()
