@@ -1,14 +1,17 @@
 """Benchmark decontamination by template canonicalisation.
 
 Words lose surrounding punctuation and case; numbers, units after numbers, and names (capitalised words inside a
-sentence) become typed placeholders. Windows of ``WINDOW`` such tokens, with two literal tokens at least, are hashed;
-windows of documents that no benchmark item has are dropped early, the rest are hash-joined with the items' windows.
-On each alignment of a document with an item, the values that fill the placeholders have to map one to one (slot
-consistency), so a re-parameterised question is caught and a chance fit of placeholders isn't. An item counts as leaked
-if ``CONTAINED`` of its windows are found, or if one alignment matches ``RUN`` windows.
-
-Null and empty texts and items match nothing. Case folding covers ASCII and Latin-1 letters. Items of fewer than
-``WINDOW`` words can't be told from chance and are ignored. Repeated item_ids count as one item with all their windows.
+sentence) become typed placeholders. Two kinds of windows of ``WINDOW`` tokens are hashed: all windows by their literal
+tokens, and those with placeholders and two literal tokens at least by their templates. Windows of documents that no
+benchmark item has are dropped early, the rest are hash-joined with the items' windows. A literal hit counts as it is,
+so verbatim and recased copies are found whatever their tokens are taken for. For template hits, the values that fill
+the placeholders of an alignment of a document with an item have to map one to one (slot consistency), so a
+re-parameterised question is caught and a chance fit of placeholders isn't. An item counts as leaked if ``CONTAINED`` of
+its windows, or of those with two literal tokens, are found, or if one alignment matches ``RUN`` windows.
+
+Null and empty texts and items match nothing. Case folding covers ASCII and Latin-1 letters. An item of fewer than
+``WINDOW`` words is one literal window: a text leaks it if it holds these words in a row, however few they are. Repeated
+item_ids count as one item with all their windows.
 """
 
 from __future__ import annotations
@@ -84,42 +87,65 @@ def templates(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndar
     return token, literal, number | unit | name, units
 
 
-def _windows(data: np.ndarray, bounds: np.ndarray, window: int) -> tuple:
-    """Window hash, document, first token's place in it, for all windows with two literal tokens; and tokens."""
+def _windows(data: np.ndarray, bounds: np.ndarray, window: int, shorter: list[int] | None) -> Iterator[tuple]:
+    """Windows by literal tokens, then by templates: hash, document, place, whether two tokens are literal, and slots.
+
+    ``shorter``: lengths below ``window`` that are taken at all places too; without it, a shorter text is one window.
+    """
     token, literal, slot, units = templates(data, bounds)
-    many = np.maximum(np.diff(units) - window + 1, 0)
-    doc = np.repeat(np.arange(len(many)), many)
-    at = np.arange(len(doc)) - np.repeat(np.cumsum(many) - many, many)
-    first = units[:-1][doc] + at
-    slots = np.concatenate([[0], np.cumsum(slot)])
-    fine = slots[first + window] - slots[first] <= window - 2
-    first, doc, at = first[fine], doc[fine], at[fine]
-    return R.Hasher(token)(first, first + window), doc, at, first, literal, slot
+    size, slots, exact = np.diff(units), np.concatenate([[0], np.cumsum(slot)]), R.Hasher(literal)
+    for width in [*(range(1, window) if shorter is None else shorter), window]:
+        many = np.maximum(size - width + 1, 0) if shorter is not None or width == window else (size == width).astype(np.int64)
+        doc = np.repeat(np.arange(len(many)), many)
+        at = np.arange(len(doc)) - np.repeat(np.cumsum(many) - many, many)
+        first = units[:-1][doc] + at
+        names = R.mix(exact(first, first + width) + R.U(width))
+        filled = slots[first + width] - slots[first]
+        fit = (filled <= window - 2) & (width == window)
+        if width < window:  # such an item has no other window, so that one place in a text is enough
+            once = np.unique(np.stack([doc.astype(np.uint64), names]), axis=1, return_index=True)[1] if shorter is not None else slice(None)
+            yield names[once], doc[once], at[once], fit[once], None, None
+            continue
+        yield names, doc, at, fit, None, None
+        typed = np.flatnonzero(fit & (filled > 0))
+        first = first[typed]
+        index = first[:, None] + np.arange(window)
+        yield R.Hasher(token)(first, first + window), doc[typed], at[typed], fit[typed], slot[index], literal[index]
+
+
+def token_counts(texts: DataFrame) -> DataFrame:
+    """The number of tokens of each text of ``texts(id, text)`` that has some, as ``words``."""
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, data, bounds in R.text_chunks(batch):
+                size = np.diff(templates(data, bounds)[3])
+                yield pa.RecordBatch.from_arrays([pa.array(size[size > 0].astype(np.int32))], names=["words"])
+
+    return texts.mapInArrow(of, "words int")
 
 
-WINDOW_ROWS = "id long, at int, total int, hash long, fill array<long>"
+WINDOW_ROWS = "id long, at int, hash long, exact boolean, fit boolean, fill array<long>"
 
 
-def window_rows(texts: DataFrame, window: int, wanted: np.ndarray | None = None) -> DataFrame:
-    """Windows of ``texts(id, text)``: place, number of windows of the text, hash and the values of the placeholders.
+def window_rows(texts: DataFrame, window: int, wanted: np.ndarray | None = None, shorter: list[int] | None = None) -> DataFrame:
+    """Windows of ``texts(id, text)``: place, hash, kind, and for templates the values of the placeholders.
 
-    ``wanted``: sorted hashes; other windows are dropped.
+    ``wanted``: sorted hashes; other windows are dropped. ``shorter``: see ``_windows``.
     """
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for low, high, data, bounds in R.text_chunks(batch):
-                names, doc, at, first, literal, slot = _windows(data, bounds, window)
-                total = np.bincount(doc, minlength=high - low)[doc]
-                if wanted is not None:
-                    hit = np.flatnonzero(_among(names, wanted))
-                    names, doc, at, first, total = names[hit], doc[hit], at[hit], first[hit], total[hit]
-                index = first[:, None] + np.arange(window)
-                filled = slot[index]
-                values = pa.array(literal[index[filled]].view(np.int64))
-                edges = np.concatenate([[0], np.cumsum(filled.sum(1))]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(ids[low:high][doc].astype(np.int64)), pa.array(at, pa.int32()), pa.array(total, pa.int32()), pa.array(names.view(np.int64)), pa.ListArray.from_arrays(pa.array(edges), values)], names=["id", "at", "total", "hash", "fill"])
+                for names, doc, at, fit, slot, literal in _windows(data, bounds, window, shorter):
+                    hit = slice(None) if wanted is None else np.flatnonzero(_among(names, wanted))
+                    names, doc, at, fit = names[hit], doc[hit], at[hit], fit[hit]
+                    slot = np.zeros((len(names), 0), bool) if slot is None else slot[hit]
+                    values = pa.array((np.zeros(0, np.uint64) if literal is None else literal[hit][slot]).view(np.int64))
+                    edges = np.concatenate([[0], np.cumsum(slot.sum(1))]).astype(np.int32)
+                    kind = pa.array(np.full(len(names), literal is None))
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[low:high][doc].astype(np.int64)), pa.array(at, pa.int32()), pa.array(names.view(np.int64)), kind, pa.array(fit), pa.ListArray.from_arrays(pa.array(edges), values)], names=["id", "at", "hash", "exact", "fit", "fill"])
 
     return texts.mapInArrow(of, WINDOW_ROWS)
 
@@ -127,22 +153,27 @@ def window_rows(texts: DataFrame, window: int, wanted: np.ndarray | None = None)
 def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, contained: float = CONTAINED, run: int = RUN) -> DataFrame:
     """Rows (doc_id, item_id, n_windows, n_found): the benchmark items that a document holds.
 
-    Found windows are counted once each, over all consistent alignments.
+    Found windows are counted once each, over all alignments and both kinds.
     """
-    items = window_rows(benchmark.where("item_id is not null").select(F.col("item_id").cast("long").alias("id"), "text"), window)
+    texts = benchmark.where("item_id is not null").select(F.col("item_id").cast("long").alias("id"), "text")
+    items = window_rows(texts, window)
     size = items.select("hash").distinct().limit(MAX_BROADCAST_WINDOWS + 1)
     wanted = None
     if size.count() <= MAX_BROADCAST_WINDOWS:
         wanted = np.sort(np.array([r.hash for r in size.toLocalIterator()], np.int64).view(np.uint64))
-    rows = window_rows(keyed(docs, "text").select(F.col("doc_id").alias("id"), "text"), window, wanted)
-    sides = items.select(F.col("id").alias("item_id"), F.col("at").alias("item_at"), "hash", F.col("fill").alias("item_fill"))
+    shorter = sorted(r.words for r in token_counts(texts).where(F.col("words") < window).distinct().collect())
+    rows = window_rows(keyed(docs, "text").select(F.col("doc_id").alias("id"), "text"), window, wanted, shorter)
+    sides = items.select(F.col("id").alias("item_id"), F.col("at").alias("item_at"), "hash", "exact", "fit", F.col("fill").alias("item_fill"))
     pairs = rows.select(F.col("id").alias("doc_id"), "at", "hash", "fill").join(sides, "hash")
-    fills = F.arrays_zip(F.col("item_fill").alias("a"), F.col("fill").alias("b"))
-    lines = pairs.groupBy("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).agg(F.collect_set("item_at").alias("found"), F.array_distinct(F.flatten(F.collect_set(fills))).alias("fills"))
+    fills = F.when(~F.col("exact"), F.arrays_zip(F.col("item_fill").alias("a"), F.col("fill").alias("b")))
+    chosen = lambda condition, name: F.collect_set(F.when(condition, F.col("item_at"))).alias(name)
+    lines = pairs.groupBy("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).agg(chosen(F.expr("exact and fit"), "sure"), chosen(F.expr("exact and not fit"), "bare"), chosen(F.expr("not exact"), "typed"), F.array_distinct(F.flatten(F.collect_set(fills))).alias("fills"))
     one_to_one = (F.size(F.array_distinct("fills.a")) == F.size("fills")) & (F.size(F.array_distinct("fills.b")) == F.size("fills"))
-    totals = items.groupBy(F.col("id").alias("item_id")).agg(F.count_distinct("at").alias("n_windows"))
-    found = lines.where(one_to_one).groupBy("doc_id", "item_id").agg(F.size(F.array_distinct(F.flatten(F.collect_list("found")))).alias("n_found"), F.max(F.size("found")).alias("longest"))
-    leaked = (F.col("n_found") >= contained * F.col("n_windows")) | (F.col("longest") >= run)
+    lines = lines.withColumn("fitting", F.when(one_to_one, F.array_union("sure", "typed")).otherwise(F.col("sure"))).withColumn("found", F.array_union("fitting", "bare"))
+    places = lambda name: F.size(F.array_distinct(F.flatten(F.collect_list(name))))
+    found = lines.groupBy("doc_id", "item_id").agg(places("found").alias("n_found"), places("fitting").alias("n_fitting"), F.max(F.size("found")).alias("longest"))
+    totals = items.groupBy(F.col("id").alias("item_id")).agg(F.count_distinct("at").alias("n_windows"), F.count_distinct(F.when(F.col("fit"), F.col("at"))).alias("n_fit"))
+    leaked = F.expr("n_found > 0") & ((F.col("n_found") >= contained * F.col("n_windows")) | F.expr("n_fit > 0") & (F.col("n_fitting") >= contained * F.col("n_fit")) | (F.col("longest") >= run))
     return found.join(totals, "item_id").where(leaked).select("doc_id", "item_id", F.col("n_windows").cast("long").alias("n_windows"), F.col("n_found").cast("long").alias("n_found"))
 
 

@@ -181,6 +181,18 @@ def test_decontamination(spark):
     assert {r.doc_id for r in decontaminate.drop_leaky(rows, bench).collect()} == {3, 4, 5, 6}
 
 
+def test_decontamination_finds_verbatim_and_recased_copies(spark, monkeypatch):
+    plain = "when the red fox had left, it ran to the old barn. there it slept until the sun came up. nobody saw it go"
+    items = {1: "7 + 8 = 15 , 9 + 6 = 15 , 4 + 4 = 8", 2: "Anna Boris Clara David Emma Felix Greta", 3: "What is 12 + 30?", 4: plain, 5: "THE CAT SAT ON A MAT AND LOOKED AT US ALL DAY"}
+    copies = {10: f"so {items[1]} it is", 11: f"present were {items[2]} and others", 12: f"she asks: {items[3]} he sighs", 13: plain.upper(), 14: plain.title(), 15: plain.replace(".", "").replace(" there", " There").replace(" nobody", " Nobody"), 16: "the cat sat on a mat and looked at us all day", 17: "what is 12 and why"}
+    bench = spark.createDataFrame([*items.items()], "item_id long, text string")
+    rows = spark.createDataFrame([*copies.items()], "doc_id long, text string")
+    wanted = {(10, 1), (11, 2), (12, 3), (13, 4), (14, 4), (15, 4), (16, 5)}
+    assert {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(rows, bench).collect()} == wanted
+    monkeypatch.setattr(decontaminate, "MAX_BROADCAST_WINDOWS", 1)
+    assert {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(rows, bench).collect()} == wanted
+
+
 def test_decontamination_beyond_the_broadcast_bound(spark, monkeypatch):
     item = "A train leaves the old station at 9 and travels 120 km with Anna on board before noon comes"
     bench, rows = spark.createDataFrame([(1, item)], "item_id long, text string"), spark.createDataFrame([(1, item), (2, "x y z " * 9)], "doc_id long, text string")
