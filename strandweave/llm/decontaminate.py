@@ -5,9 +5,10 @@ sentence) become typed placeholders. Two kinds of windows of ``WINDOW`` tokens a
 tokens, and those with placeholders and two literal tokens at least by their templates. Windows of documents that no
 benchmark item has are dropped early, the rest are hash-joined with the items' windows. A literal hit counts as it is,
 so verbatim and recased copies are found whatever their tokens are taken for. For template hits, the values that fill
-the placeholders of an alignment of a document with an item have to map one to one (slot consistency), so a
-re-parameterised question is caught and a chance fit of placeholders isn't. An item counts as leaked if ``CONTAINED`` of
-its windows, or of those with two literal tokens, are found, or if one alignment matches ``RUN`` windows.
+the placeholders of an alignment of a document with an item have to map one to one (slot consistency): windows with a
+slot that more other slots contradict are dropped, the rest stays, so a re-parameterised question is caught and a chance
+fit of placeholders isn't. An item counts as leaked if ``CONTAINED`` of its windows, or of those with two literal tokens,
+are found, or if one alignment matches ``RUN`` windows.
 
 Null and empty texts and items match nothing. Case folding covers ASCII and Latin-1 letters. An item of fewer than
 ``WINDOW`` words is one literal window: a text leaks it if it holds these words in a row, however few they are. Repeated
@@ -16,6 +17,7 @@ item_ids count as one item with all their windows.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -125,11 +127,11 @@ def token_counts(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(of, "words int")
 
 
-WINDOW_ROWS = "id long, at int, hash long, exact boolean, fit boolean, fill array<long>"
+WINDOW_ROWS = "id long, at int, hash long, exact boolean, fit boolean, fill array<long>, place array<int>"
 
 
 def window_rows(texts: DataFrame, window: int, wanted: np.ndarray | None = None, shorter: list[int] | None = None) -> DataFrame:
-    """Windows of ``texts(id, text)``: place, hash, kind, and for templates the values of the placeholders.
+    """Windows of ``texts(id, text)``: place, hash, kind, and for templates the placeholders' values and places.
 
     ``wanted``: sorted hashes; other windows are dropped. ``shorter``: see ``_windows``.
     """
@@ -143,13 +145,29 @@ def window_rows(texts: DataFrame, window: int, wanted: np.ndarray | None = None,
                     names, doc, at, fit = names[hit], doc[hit], at[hit], fit[hit]
                     slot = np.zeros((len(names), 0), bool) if slot is None else slot[hit]
                     values = pa.array((np.zeros(0, np.uint64) if literal is None else literal[hit][slot]).view(np.int64))
-                    edges = np.concatenate([[0], np.cumsum(slot.sum(1))]).astype(np.int32)
+                    edges = pa.array(np.concatenate([[0], np.cumsum(slot.sum(1))]).astype(np.int32))
+                    places = pa.array((at[:, None] + np.arange(slot.shape[1]))[slot], pa.int32())
                     kind = pa.array(np.full(len(names), literal is None))
-                    yield pa.RecordBatch.from_arrays([pa.array(ids[low:high][doc].astype(np.int64)), pa.array(at, pa.int32()), pa.array(names.view(np.int64)), kind, pa.array(fit), pa.ListArray.from_arrays(pa.array(edges), values)], names=["id", "at", "hash", "exact", "fit", "fill"])
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[low:high][doc].astype(np.int64)), pa.array(at, pa.int32()), pa.array(names.view(np.int64)), kind, pa.array(fit), pa.ListArray.from_arrays(edges, values), pa.ListArray.from_arrays(edges, places)], names=["id", "at", "hash", "exact", "fit", "fill", "place"])
 
     return texts.mapInArrow(of, WINDOW_ROWS)
 
 
+def undisputed(typed: list[int] | None, fills: list | None, window: int) -> list[int] | None:
+    """The windows of an alignment without a slot that is outvoted: one of its values maps to another value at more places.
+
+    Values at equally many places stay: different slots of an item can hold equal values by chance.
+    """
+    if fills is None:
+        return None
+    votes = Counter((a, b) for _, a, b in fills)
+    most: dict = {}
+    for (a, b), n in votes.items():
+        most["a", a], most["b", b] = max(most.get(("a", a), 0), n), max(most.get(("b", b), 0), n)
+    lost = {p - k for p, a, b in fills if votes[a, b] < max(most["a", a], most["b", b]) for k in range(window)}
+    return [x for x in typed if x not in lost]
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, contained: float = CONTAINED, run: int = RUN) -> DataFrame:
     """Rows (doc_id, item_id, n_windows, n_found): the benchmark items that a document holds.
 
@@ -163,13 +181,15 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, cont
         wanted = np.sort(np.array([r.hash for r in size.toLocalIterator()], np.int64).view(np.uint64))
     shorter = sorted(r.words for r in token_counts(texts).where(F.col("words") < window).distinct().collect())
     rows = window_rows(keyed(docs, "text").select(F.col("doc_id").alias("id"), "text"), window, wanted, shorter)
-    sides = items.select(F.col("id").alias("item_id"), F.col("at").alias("item_at"), "hash", "exact", "fit", F.col("fill").alias("item_fill"))
+    sides = items.select(F.col("id").alias("item_id"), F.col("at").alias("item_at"), "hash", "exact", "fit", F.col("fill").alias("item_fill"), F.col("place").alias("item_place"))
     pairs = rows.select(F.col("id").alias("doc_id"), "at", "hash", "fill").join(sides, "hash")
-    fills = F.when(~F.col("exact"), F.arrays_zip(F.col("item_fill").alias("a"), F.col("fill").alias("b")))
+    fills = F.when(~F.col("exact"), F.arrays_zip(F.col("item_place").alias("p"), F.col("item_fill").alias("a"), F.col("fill").alias("b")))
     chosen = lambda condition, name: F.collect_set(F.when(condition, F.col("item_at"))).alias(name)
     lines = pairs.groupBy("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).agg(chosen(F.expr("exact and fit"), "sure"), chosen(F.expr("exact and not fit"), "bare"), chosen(F.expr("not exact"), "typed"), F.array_distinct(F.flatten(F.collect_set(fills))).alias("fills"))
-    one_to_one = (F.size(F.array_distinct("fills.a")) == F.size("fills")) & (F.size(F.array_distinct("fills.b")) == F.size("fills"))
-    lines = lines.withColumn("fitting", F.when(one_to_one, F.array_union("sure", "typed")).otherwise(F.col("sure"))).withColumn("found", F.array_union("fitting", "bare"))
+    distinct = lambda *names: F.size(F.array_distinct(F.arrays_zip(*(f"fills.{x}" for x in names))))
+    clash = (distinct("a") != distinct("a", "b")) | (distinct("b") != distinct("a", "b"))
+    voted = F.udf(lambda typed, fills: undisputed(typed, fills, window), "array<int>")(F.when(clash, F.col("typed")), F.when(clash, F.col("fills")))
+    lines = lines.withColumn("fitting", F.array_union("sure", F.coalesce(voted, "typed"))).withColumn("found", F.array_union("fitting", "bare"))
     places = lambda name: F.size(F.array_distinct(F.flatten(F.collect_list(name))))
     found = lines.groupBy("doc_id", "item_id").agg(places("found").alias("n_found"), places("fitting").alias("n_fitting"), F.max(F.size("found")).alias("longest"))
     totals = items.groupBy(F.col("id").alias("item_id")).agg(F.count_distinct("at").alias("n_windows"), F.count_distinct(F.when(F.col("fit"), F.col("at"))).alias("n_fit"))

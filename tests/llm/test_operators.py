@@ -193,6 +193,35 @@ def test_decontamination_finds_verbatim_and_recased_copies(spark, monkeypatch):
     assert {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(rows, bench).collect()} == wanted
 
 
+def test_decontamination_drops_clashing_windows_only(spark):
+    words = "quiet river bends around old mills before reaching wide green fields where children play all summer long".split()
+    items = {
+        1: "the box weighs 5 kg when it is full of sand and it also weighs 5 kg when wet",
+        2: "Sam buys 3 apples and then takes home 3 pears for the whole family today",
+        3: "give 2 red hats to them and 4 blue ones to us before the show begins",
+        4: " ".join(words) + " now 4 boats pass by with 4 sails and so the day ends here for good",
+        5: "pay 6 coins now then 6 coins later then 6 coins more and then 6 coins last",
+    }
+    copies = {
+        11: items[1].replace("weighs 5 kg when wet", "weighs 6 kg when wet"),
+        12: items[2].replace("3 apples", "4 apples").replace("3 pears", "7 pears"),
+        13: items[3].replace("2 red", "3 red").replace("4 blue", "3 blue"),
+        14: "once " + " ".join(words) + " now 5 boats pass by with 9 sails then something else came up",
+        15: "pay 8 coins now then 9 coins later then 8 coins more and then 8 coins last",
+    }
+    bench = spark.createDataFrame([*items.items()], "item_id long, text string")
+    rows = spark.createDataFrame([*copies.items()], "doc_id long, text string")
+    found = {(r.doc_id, r.item_id): (r.n_windows, r.n_found) for r in decontaminate.find_leaks(rows, bench).collect()}
+    assert found.keys() >= {(11, 1), (12, 2), (13, 3), (14, 4), (15, 5)} and all(d == i + 10 for d, i in found)
+    assert found[12, 2] == (11, 11) and found[15, 5] == (12, 7)
+
+
+def test_outvoted_slots():
+    assert decontaminate.undisputed([0, 3, 9], None, 5) is None
+    assert decontaminate.undisputed([0, 3, 9], [(4, 1, 2), (8, 1, 2), (12, 1, 3)], 5) == [0, 3]
+    assert decontaminate.undisputed([0, 3, 9], [(4, 1, 2), (12, 1, 3)], 5) == [0, 3, 9]
+
+
 def test_decontamination_beyond_the_broadcast_bound(spark, monkeypatch):
     item = "A train leaves the old station at 9 and travels 120 km with Anna on board before noon comes"
     bench, rows = spark.createDataFrame([(1, item)], "item_id long, text string"), spark.createDataFrame([(1, item), (2, "x y z " * 9)], "doc_id long, text string")
