@@ -7,9 +7,11 @@
 3. Texts that share a prefix are grouped with *leaders* of their bucket when their signatures agree, which leaves a row a
    text instead of all pairs. A text is a leader's member at an estimate of 0.8 and is tied to it from 0.35 on, and
    leads on itself if it is tied only: texts of similarity 0.8 end in one group (triangle inequality of the Jaccard
-   distance, with four standard errors of room). Large buckets are split, and all but the members meet once more.
-4. Components of these stars are verified exactly, each set is shipped once. Components over ``block`` texts are cut
-   into blocks, and each pair of blocks is a task of its own.
+   distance, with four standard errors of room). All texts of a bucket over ``SPLIT`` are tied to its least doc_id.
+4. Components of these stars are verified exactly, each set is shipped once. Components over ``block`` texts go the
+   cheaper of two exact ways: cut into blocks, with a task for each pair of blocks; or dealt to groups that share one of
+   their rarest shingles (prefix filter: similar texts share one of the first ``size - ceil(threshold * size) + 1``
+   in any common order, here by rarity). A pair counts in the group of the least shingle that both prefixes hold.
 
 Null texts, and texts without words, are linked to nothing. Texts of fewer than ``n`` words are one shingle.
 """
@@ -31,9 +33,11 @@ from .common import documents, keyed, parallelism, written
 from .substring_dedup import _TABLE, word_spans
 
 TREES, MAX_DEPTH, RECALL = 24, 5, 0.99999
-MEMBER, TIED, TIED_LEADERS = 0.8, 0.35, 0.15
+MEMBER, TIED = 0.8, 0.35
 #: Texts of a bucket, or of a component, that one task takes at once.
 SPLIT, BLOCK = 4096, 1024
+#: Counters for the rarity of shingles; shingles that share one only make prefixes less rare.
+COUNTERS = 1 << 18
 
 
 def prefix_depth(threshold: float, recall: float = RECALL, trees: int = TREES, longest: int = MAX_DEPTH) -> int:
@@ -102,64 +106,46 @@ def _grouped(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[list
         yield held
 
 
-def _leaders(tied: float):
-    """Groups of each bucket (key, part, doc_id, sig): (key, u, v, sig) with the least doc_id of u's group as v.
-
-    Texts that may have partners outside their group's first leader's reach come with their signature, for the leaders
-    of a split bucket to meet.
-    """
-
-    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple] = []
-        for key, _, docs, sigs in _grouped(batches, 2):
-            order = sorted(range(len(docs)), key=docs.__getitem__)
-            sig = np.frombuffer(b"".join(sigs[i] for i in order), np.uint8).reshape(len(docs), -1)
-            docs = np.array([docs[i] for i in order])
-            outside = np.arange(len(docs))
-            while len(outside):
-                root, outside = outside[0], outside[1:]
-                leaders, met, members = [root], [root], []
-                while leaders and len(outside):
-                    alike = (sig[outside] == sig[leaders.pop()]).mean(1)
-                    # Whoever is similar to a member is tied to the leader too; others that are tied lead on.
-                    near = outside[(alike >= tied) & (alike < MEMBER)]
-                    leaders += list(near)
-                    met += list(near)
-                    members += list(outside[alike >= MEMBER])
-                    outside = outside[alike < tied]
-                out += [(key[0], int(docs[x]), int(docs[root]), sig[x].tobytes()) for x in met]
-                out += [(key[0], int(docs[x]), int(docs[root]), None) for x in members]
-            if len(out) >= 20_000:
-                yield _rows(out)
-                out = []
-        if out:
+def _leaders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Groups of each bucket (key, doc_id, sig): (u, v) with the least doc_id of u's group as v."""
+    out: list[tuple] = []
+    for _, docs, sigs in _grouped(batches, 1):
+        order = sorted(range(len(docs)), key=docs.__getitem__)
+        sig = np.frombuffer(b"".join(sigs[i] for i in order), np.uint8).reshape(len(docs), -1)
+        docs = np.array([docs[i] for i in order])
+        outside = np.arange(len(docs))
+        while len(outside):
+            root, outside = outside[0], outside[1:]
+            leaders, met = [root], []
+            while leaders and len(outside):
+                alike = (sig[outside] == sig[leaders.pop()]).mean(1)
+                # Whoever is similar to a member is tied to the leader too; others that are tied lead on.
+                leaders += list(outside[(alike >= TIED) & (alike < MEMBER)])
+                met += list(outside[alike >= TIED])
+                outside = outside[alike < TIED]
+            out += [(int(docs[x]), int(docs[root])) for x in met]
+        if len(out) >= 20_000:
             yield _rows(out)
-
-    return of
+            out = []
+    if out:
+        yield _rows(out)
 
 
 def _rows(out: list[tuple]) -> pa.RecordBatch:
-    key, u, v, sig = zip(*out, strict=True)
-    return pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(u, pa.int64()), pa.array(v, pa.int64()), pa.array(sig, pa.binary())], names=["key", "u", "v", "sig"])
+    u, v = zip(*out, strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
 
 def _candidate_edges(reps: DataFrame) -> DataFrame:
-    spark = reps.sparkSession
-    parts = parallelism(spark)
+    parts = parallelism(reps.sparkSession)
     keys = reps.select("doc_id", F.explode("keys").alias("key"))
-    shared = keys.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    rows = keys.join(shared, "key").join(reps.select("doc_id", "sig"), "doc_id")
-    part = F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("size") / SPLIT))
-    rows = rows.select("key", part.alias("part"), "doc_id", "sig", (F.col("size") > SPLIT).alias("large"))
-    schema = "key long, u long, v long, sig binary"
-    dealt = lambda df: df.select("key", "part", "doc_id", "sig").repartition(parts, "key", "part").sortWithinPartitions("key", "part")
-    stars = dealt(rows).mapInArrow(_leaders(TIED), schema)
-    large = shared.where(F.col("size") > SPLIT).select("key")
-    if large.isEmpty():
-        return stars.where("u <> v").select("u", "v")
-    stars = written(stars, "stars")
-    met = stars.where("sig is not null").join(large, "key", "left_semi").select("key", F.lit(0).cast("long").alias("part"), F.col("u").alias("doc_id"), "sig")
-    return stars.unionAll(dealt(met).mapInArrow(_leaders(TIED_LEADERS), schema)).where("u <> v").select("u", "v")
+    shared = keys.groupBy("key").agg(F.count("*").alias("size"), F.min("doc_id").alias("least")).where("size > 1")
+    rows = keys.join(shared, "key")
+    small = rows.where(F.col("size") <= SPLIT).join(reps.select("doc_id", "sig"), "doc_id").select("key", "doc_id", "sig")
+    stars = small.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_leaders, "u long, v long")
+    if shared.where(F.col("size") > SPLIT).isEmpty():
+        return stars
+    return stars.unionAll(rows.where((F.col("size") > SPLIT) & (F.col("doc_id") != F.col("least"))).select(F.col("doc_id").alias("u"), F.col("least").alias("v")))
 
 
 def _sets(n: int):
@@ -173,21 +159,85 @@ def _sets(n: int):
     return of
 
 
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(COUNTERS, np.int64)
+    for batch in batches:
+        for grams in batch.column(0).to_pylist():
+            total += np.bincount((np.frombuffer(grams, np.uint64) % R.U(COUNTERS)).astype(np.int64), minlength=COUNTERS)
+    some = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["counter", "count"])
+
+
+def _prefixes(threshold: float, counts: np.ndarray):
+    """The rarest shingles of each set, of which two sets of the threshold's similarity share one at least."""
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for grams in batch.column(2).to_pylist():
+                grams = np.frombuffer(grams, np.uint64)
+                many = len(grams) - int(np.ceil(threshold * len(grams) - 1e-9)) + 1
+                found.append(np.sort(grams[np.lexsort((grams, counts[grams % R.U(COUNTERS)]))[:many]]))
+            tokens = pa.array([x.view(np.int64) for x in found], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), tokens, pa.array([x.tobytes() for x in found], pa.binary())], names=["doc_id", "root", "tokens", "prefix"])
+
+    return of
+
+
+def _dealt(sets: DataFrame, sizes: DataFrame, threshold: float, block: int) -> DataFrame:
+    """Sets with the groups and numbers of blocks they are verified in: (root, token, blocks, doc_id, weight, grams, prefix)."""
+    whole = lambda df: df.select("root", F.lit(0).cast("long").alias("token"), "blocks", "doc_id", "weight", "grams", F.lit(None).cast("binary").alias("prefix"))
+    large = sizes.where("blocks > 1")
+    if large.isEmpty():
+        return whole(sets)
+    sets = written(sets, "sets")
+    counts = np.zeros(COUNTERS, np.int64)
+    for r in sets.where("blocks > 1").select("grams").mapInArrow(_counts, "counter long, count long").groupBy("counter").agg(F.sum("count").alias("count")).toLocalIterator():
+        counts[r["counter"]] = r["count"]
+    rare = sets.where("blocks > 1").select("doc_id", "root", "grams").mapInArrow(_prefixes(threshold, counts), "doc_id long, root long, tokens array<long>, prefix binary")
+    rare = rare.select("root", F.explode("tokens").alias("token"), "doc_id", "prefix")
+    groups = written(rare.groupBy("root", "token").agg(F.count("*").alias("n")).where("n > 1").select("root", "token", "n", F.ceil(F.col("n") / block).alias("blocks")), "rare-shingles")
+    cost = groups.groupBy("root").agg(F.sum(F.col("n") * F.col("n")).alias("cost"))
+    sparse = large.join(cost, "root", "left").where(F.coalesce("cost", F.lit(0)) < F.col("n") * F.col("n") / 2).select("root")
+    sparse = written(sparse, "sparse-components")
+    members = rare.join(groups.join(sparse, "root", "left_semi").select("root", "token", "blocks"), ["root", "token"])
+    members = members.join(sets.select("doc_id", "weight", "grams"), "doc_id").select("root", "token", "blocks", "doc_id", "weight", "grams", "prefix")
+    return whole(sets.join(sparse, "root", "left_anti")).unionAll(members)
+
+
+def _overlaps(sets: list[np.ndarray]):
+    """A function from the number of a set to the sizes of its intersections with all sets, by posting lists."""
+    m, edges_of, flat = len(sets), np.concatenate([[0], np.cumsum([len(x) for x in sets])]), np.concatenate(sets)
+    if not len(flat):
+        return lambda x: np.zeros(m, np.int64)
+    owner = np.repeat(np.arange(m), np.diff(edges_of))
+    order = np.argsort(flat, kind="stable")
+    column = np.cumsum(np.diff(flat[order], prepend=flat[order[:1]]) != 0)
+    posts, edges = owner[order], np.searchsorted(column, np.arange(column[-1] + 2))
+    column_of = np.empty(len(flat), np.int64)
+    column_of[order] = column
+
+    def of(x: int) -> np.ndarray:
+        columns = column_of[edges_of[x] : edges_of[x + 1]]
+        low, many = edges[columns], edges[columns + 1] - edges[columns]
+        hit = np.repeat(low - np.cumsum(many) + many, many) + np.arange(many.sum())
+        return np.bincount(posts[hit], minlength=m)
+
+    return of
+
+
 def _verify(threshold: float):
-    """Exact similarities inside a group (root, i, j): pairs of block i with block j, by posting lists of the rarer grams."""
+    """Exact similarities inside a group (root, token, i, j): pairs of block i with block j, by posting lists of the grams."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, i, j, block, docs, weights, grams in _grouped(batches, 3):
+        for _, token, i, j, block, docs, weights, grams, prefix in _grouped(batches, 4):
             m = len(docs)
             sizes = np.array([len(g) // 8 for g in grams])
-            flat = np.frombuffer(b"".join(grams), np.uint64)
-            owner = np.repeat(np.arange(m), sizes)
-            order = np.argsort(flat, kind="stable")
-            column = np.cumsum(np.diff(flat[order], prepend=flat[order[:1]]) != 0)
-            posts, edges = owner[order], np.searchsorted(column, np.arange(column[-1] + 2))
-            column_of = np.empty(len(flat), np.int64)
-            column_of[order] = column
-            edges_of = np.concatenate([[0], np.cumsum(sizes)])
+            common_with = _overlaps([np.frombuffer(g, np.uint64) for g in grams])
+            if prefix[0] is not None:  # a pair counts in the group of the least shingle of both prefixes
+                least = np.array(token[:1], np.int64).view(np.uint64)
+                lower = [np.frombuffer(x, np.uint64) for x in prefix]
+                lower_with = _overlaps([x[x < least] for x in lower])
             docs, weights, block = np.array(docs), np.array(weights), np.array(block)
             links, root = np.zeros(m, np.int64), np.arange(m)
 
@@ -198,14 +248,13 @@ def _verify(threshold: float):
                 return x
 
             for x in np.flatnonzero(block == i[0]):
-                columns = column_of[edges_of[x] : edges_of[x + 1]]
-                low, many = edges[columns], edges[columns + 1] - edges[columns]
-                hit = np.repeat(low - np.cumsum(many) + many, many) + np.arange(many.sum())
-                common = np.bincount(posts[hit], minlength=m)
+                common = common_with(x)
                 ok = common >= threshold * (sizes + sizes[x] - common) - 1e-9
                 ok[x] = False
                 if i[0] != j[0]:
                     ok &= block == j[0]
+                if prefix[0] is not None:
+                    ok &= lower_with(x) == 0
                 near = np.flatnonzero(ok)
                 links[x] += weights[near].sum()
                 if i[0] != j[0]:
@@ -234,13 +283,15 @@ def jaccard_classes(docs: DataFrame, threshold: float = 0.8, n: int = 5, block:
     equal = written(equal, "equal-sets")
     reps = signed.join(equal.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "sig", "keys")
     near = components(_candidate_edges(reps), "candidates").withColumnsRenamed({"node": "doc_id"})
-    sizes = near.groupBy("root").agg(F.ceil(F.count("*") / block).alias("blocks"))
+    sizes = near.groupBy("root").agg(F.count("*").alias("n"), F.ceil(F.count("*") / block).alias("blocks"))
     texts = docs.join(near.join(equal.select(F.col("rep").alias("doc_id"), "weight"), "doc_id"), "doc_id").select("doc_id", "text", "root", "weight")
-    sets = texts.mapInArrow(_sets(n), "doc_id long, root long, weight long, grams binary").join(sizes, "root")
+    sets = texts.mapInArrow(_sets(n), "doc_id long, root long, weight long, grams binary").join(sizes.select("root", "blocks"), "root")
     own = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).alias("block")
     pairs = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda k: F.struct(F.least(k, F.col("block")).alias("i"), F.greatest(k, F.col("block")).alias("j")))
-    tasks = sets.select("*", own).select("root", F.explode(pairs).alias("p"), "block", "doc_id", "weight", "grams").select("root", "p.i", "p.j", "block", "doc_id", "weight", "grams")
-    verified = tasks.repartition(parts, "root", "i", "j").sortWithinPartitions("root", "i", "j").mapInArrow(_verify(threshold), "doc_id long, top long, links long")
+    rows = ["block", "doc_id", "weight", "grams", "prefix"]
+    tasks = _dealt(sets, sizes, threshold, block).select("*", own).select("root", "token", F.explode(pairs).alias("p"), *rows).select("root", "token", "p.i", "p.j", *rows)
+    group = ["root", "token", "i", "j"]
+    verified = tasks.repartition(parts, *group).sortWithinPartitions(*group).mapInArrow(_verify(threshold), "doc_id long, top long, links long")
     verified = written(verified, "verified")
     tops = components(verified.select(F.col("doc_id").alias("u"), F.col("top").alias("v")), "classes")
     links = verified.groupBy("doc_id").agg(F.sum("links").alias("links"))

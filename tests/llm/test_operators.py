@@ -230,6 +230,37 @@ def test_decontamination_beyond_the_broadcast_bound(spark, monkeypatch):
     assert decontaminate.find_leaks(rows, bench).collect() == usual
 
 
+def test_jaccard_join_of_a_templated_source(spark, monkeypatch):
+    """Texts that share a template but too little for links aren't compared as all pairs of blocks of their component."""
+    rng = random.Random(8)
+    template = [f"t{i}" for i in range(60)]
+    rows = {i: " ".join(template + [f"own{i}x{k}" for k in range(25)]) for i in range(1, 301)}
+    for i in range(301, 311):  # near copies inside it, and one exact copy
+        rows[i] = rows[7].replace("own7x24", f"new{i}")
+    rows[311] = rows[9]
+    sets = {i: {tuple(x.split()[k : k + 5]) for k in range(len(x.split()) - 4)} for i, x in rows.items()}
+    similar = lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+    links = {i: sum(similar(i, j) for j in rows if j != i) for i in rows}
+    assert links[7] == 10 and links[9] == 1 and sum(links.values()) == 112
+    sizes, verify = spark.sparkContext.accumulator(0), jaccard_join._verify
+
+    def counting(threshold):
+        def of(batches):
+            for batch in verify(threshold)(batches):
+                sizes.add(batch.num_rows)
+                yield batch
+
+        return of
+
+    monkeypatch.setattr(jaccard_join, "_verify", counting)
+    monkeypatch.setattr(jaccard_join, "SPLIT", 2)
+    mixed = rng.sample(sorted(rows), len(rows))
+    docs = spark.createDataFrame([(i, rows[i]) for i in mixed], "doc_id long, text string")
+    got = {r.doc_id: (r.class_id, r.n_links) for r in jaccard_join.jaccard_classes(docs, 0.8, 5, block=16).collect()}
+    assert got == {i: (min([i, *(j for j in rows if similar(i, j))]), links[i]) for i in rows}
+    assert 0 < sizes.value < 1000  # all pairs of 20 blocks of 16 texts make 310 * 20 rows
+
+
 def test_classifier(spark, docs):
     rng = random.Random(2)
     good = [(i, " ".join(rng.choice("the of and river stone walks".split()) for _ in range(50)), 1) for i in range(100, 160)]
