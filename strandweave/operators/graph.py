@@ -3,37 +3,52 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_LOCK = threading.Lock()
+_USERS: list[str | None] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder of the cluster; only where the session names none (as in tests) a local one is set."""
+    """The checkpoint folder of the cluster; only a local session may have none (as in tests), and gets a local one."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="strandweave-"))
         root = spark.sparkContext.getCheckpointDir()
     return root.rstrip("/")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it again: cuts the lineage, survives lost executors.
+@contextmanager
+def without_shuffle_files(spark: SparkSession) -> Iterator[None]:
+    """Jobs inside remove their shuffle files once they are done. The setting is the session's: the last thread resets it."""
+    with _LOCK:
+        _USERS.append(spark.conf.get(CLEANUP, None) if not _USERS else _USERS[0])
+        spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        with _LOCK:
+            before = _USERS.pop()
+            if not _USERS:
+                spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
 
-    The shuffle files of the write aren't needed any more once it is done, and are removed at once.
-    """
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write a table to the shared folder and read it again: cuts the lineage, survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    usual = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")
-    try:
+    with without_shuffle_files(spark):
         df.write.option("compression", "zstd").parquet(path)
-    finally:
-        spark.conf.set(CLEANUP, usual)
     return spark.read.schema(df.schema).parquet(path)
 
 
