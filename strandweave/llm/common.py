@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandweave.operators.graph import shared_folder, written  # noqa: F401
+from strandweave.operators.graph import shared_folder, without_shuffle_files, written  # noqa: F401
 
 #: Words are maximal runs of anything but the ASCII blanks; ``bytes.split()`` cuts UTF-8 text in the same places.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -23,18 +24,31 @@ def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def keyed(docs: DataFrame, *columns: str) -> DataFrame:
-    """``doc_id`` and some columns, with one row a doc_id.
+def has_clean_ids(docs: DataFrame) -> bool:
+    """Whether each row has a doc_id of its own; a count over the ids alone."""
+    return docs.groupBy(F.col("doc_id").cast("long").alias("id")).count().where("count > 1 or id is null").isEmpty()
 
-    Rows without a doc_id are left out; of several rows with one doc_id the least stays (column by column, nulls first).
-    A count over the ids alone tells whether anything has to be done, so that clean tables aren't shuffled.
+
+def numbered(docs: DataFrame, row: bool = False) -> tuple[DataFrame, Callable[..., DataFrame]]:
+    """(doc_id, text) with a number for each row as doc_id, and a function that gives a result its true doc_ids back.
+
+    Where every row has a doc_id of its own, that is the number. Else the rows are numbered in the order of doc_id (none
+    last) and text, in a written table, so that numbers stay the same when a task runs again. ``row`` adds the whole row
+    as a struct of that name.
     """
-    docs = docs.select(F.col("doc_id").cast("long"), *columns)
-    seen = docs.groupBy("doc_id").count()
-    if seen.where("count > 1 or doc_id is null").isEmpty():
-        return docs
-    least = F.min(F.struct(*columns)).alias("least")
-    return docs.where("doc_id is not null").groupBy("doc_id").agg(least).select("doc_id", *(F.col(f"least.{c}") for c in columns))
+    whole = [F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")] if row else []
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), *whole)
+    if has_clean_ids(docs):
+        return docs, lambda found, *columns: found
+    docs = written(docs.orderBy(F.col("doc_id").asc_nulls_last(), "text").withColumn("number", F.monotonically_increasing_id()), "numbered")
+    of = docs.select(F.col("number").alias("__number"), F.col("doc_id").alias("__id"))
+
+    def named(found: DataFrame, *columns: str) -> DataFrame:
+        for column in columns or ("doc_id",):
+            found = found.join(of, found[column] == of["__number"]).select(*(F.col("__id").alias(c) if c == column else F.col(c) for c in found.columns))
+        return found
+
+    return docs.select(F.col("number").alias("doc_id"), "text", *(["row"] if row else [])), named
 
 
 def words(text: Column) -> Column:

@@ -1,17 +1,21 @@
 """Exact search for windows of units (bytes or words) that occur more than once in a corpus.
 
-A window of ``window`` units holds one *anchor*: the leftmost unit, among the allowed cuts in its middle, whose next
-``key`` units have the least hash. The anchor depends on the window's content alone, so equal windows have their anchors
-at equal offsets. Consecutive windows with one anchor form a *run*; its ``context`` is all units that they cover.
-
-Round 1 deals packed anchors by key. A run whose context repeats is settled at once; a run whose key repeats in other
-contexts goes on to round 2, which compares its single windows. Rounds ship about one row for ``window / 3`` units, and
-repeated contexts of one batch are merged before the shuffle, so that frequent passages don't pile up in one task.
-Hashes have 64 bits a key and 64 bits a context, so two unequal runs count as equal with a chance of about 2**-100.
+A window of ``window`` units holds one *anchor*, a stretch of units that its content alone determines, so that equal
+windows have their anchors at equal offsets. Consecutive windows with one anchor form a *run*; its ``context`` is all
+units that they cover.
+
+Round 1 deals packed anchors by key, the anchor's name. A run whose context repeats is settled at once; a run whose key
+repeats in other contexts goes on to round 2, which compares its single windows. Rounds ship about one row for
+``window / 3`` units, and repeated contexts of one batch are merged before the shuffle, so that frequent passages don't
+pile up in one task.
+
+Names (``Hasher``) are residues modulo the prime 2**61 - 1: they only bring candidates together. Whether contexts or
+windows are equal is decided by their content: by the first 128 bits of the SHA-256 of their bytes (``digests``).
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -23,10 +27,14 @@ from pyspark.sql import functions as F
 from .common import parallelism
 
 U = np.uint64
-BASE = U(0x9E3779B97F4A7C15)
+PRIME = (1 << 61) - 1
+BASE = 0x1E3779B97F4A7C15 % PRIME
+_P, _LOW31, _LOW30 = U(PRIME), U((1 << 31) - 1), U((1 << 30) - 1)
 #: Bytes of text in one pass, anchors in one flush, contexts of a key beyond which its windows are dealt one by one.
 CHUNK_BYTES, FLUSH, HOT_CONTEXTS = 700_000, 250_000, 20_000
-SETTLED, OPEN, HOT = 1, 2, 3
+#: Contexts of one key in one flush beyond which its rows are dealt by context.
+HOT_IN_FLUSH = 64
+SETTLED, OPEN, HOT, SALTED = 1, 2, 3, 8
 BLOB = "bucket int, key binary, ctx binary, doc binary, pk binary"
 
 
@@ -39,29 +47,74 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def _reduced(x: np.ndarray) -> np.ndarray:
+    x = (x & _P) + (x >> U(61))
+    return np.where(x >= _P, x - _P, x)
+
+
+def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``a * b`` modulo the prime, for residues."""
+    a1, a0, b1, b0 = a >> U(31), a & _LOW31, b >> U(31), b & _LOW31
+    middle = a1 * b0 + a0 * b1
+    return _reduced(((a1 * b1) << U(1)) + (middle >> U(30)) + ((middle & _LOW30) << U(31)) + a0 * b0)
+
+
 @lru_cache(1)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    inverse = U(pow(int(BASE), -1, 1 << 64))
-    up, down = np.full(n, BASE, U), np.full(n, inverse, U)
-    up[0] = down[0] = 1
-    return np.cumprod(up, dtype=U), np.cumprod(down, dtype=U)
+    """Powers of the base and of its inverse, by doubling; ``n`` is a power of two."""
+    out = []
+    for base in (BASE, pow(BASE, -1, PRIME)):
+        powers, step = np.ones(1, U), base
+        while len(powers) < n:
+            powers, step = np.concatenate([powers, times(powers, U(step))]), step * step % PRIME
+        out.append(powers)
+    return out[0], out[1]
 
 
 class Hasher:
-    """Hashes of any stretch of a unit array from prefix sums of ``value * BASE**-i`` (mod 2**64)."""
+    """Names of any stretch of a unit array, from prefix sums of ``value * BASE**-i`` modulo 2**61 - 1.
+
+    Two unequal stretches of ``n`` units share a name with a chance of about ``n / 2**61``.
+    """
 
     def __init__(self, values: np.ndarray):
         size = 1 << max(20, int(len(values) + 1).bit_length())
         self.up, down = _powers(size)
-        self.sums = np.zeros(len(values) + 1, U)
-        np.cumsum(values * down[: len(values)], dtype=U, out=self.sums[1:])
+        # Sums of 31 and 30 bits each stay below 2**63 for any text that fits into memory.
+        terms = times(_reduced(values), down[: len(values)])
+        self.low, self.high = np.zeros(len(values) + 1, U), np.zeros(len(values) + 1, U)
+        np.cumsum(terms & _LOW31, dtype=U, out=self.low[1:])
+        np.cumsum(terms >> U(31), dtype=U, out=self.high[1:])
+
+    def __len__(self) -> int:
+        return len(self.low) - 1
+
+    @staticmethod
+    def _name(low: np.ndarray, high: np.ndarray, power: np.ndarray) -> np.ndarray:
+        high = _reduced(high)
+        return mix(times(_reduced(_reduced(low) + ((high & _LOW30) << U(31)) + (high >> U(30))), power))
 
     def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix((self.sums[end] - self.sums[start]) * self.up[start])
+        return self._name(self.low[end] - self.low[start], self.high[end] - self.high[start], self.up[start])
 
     def fixed(self, length: int) -> np.ndarray:
-        n = len(self.sums) - length
-        return mix((self.sums[length:] - self.sums[:n]) * self.up[:n])
+        n = len(self.low) - length
+        return self._name(self.low[length:] - self.low[:n], self.high[length:] - self.high[:n], self.up[:n])
+
+
+def digests(content: bytes, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """128 bits of the SHA-256 of each stretch of bytes, as two numbers in a row."""
+    view, sha = memoryview(content), hashlib.sha256
+    joined = b"".join([sha(view[a:b]).digest() for a, b in zip(start.tolist(), end.tolist(), strict=True)])
+    return np.ascontiguousarray(np.frombuffer(joined, U).reshape(-1, 4)[:, :2])
+
+
+def equal_bytes(data: np.ndarray, one: np.ndarray, other: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether the ``size`` bytes at ``one`` and at ``other`` are the same, for each pair of places."""
+    edges = np.concatenate([[0], np.cumsum(size)])
+    step = np.arange(edges[-1]) - np.repeat(edges[:-1], size)
+    differs = np.concatenate([[0], np.cumsum(data[np.repeat(one, size) + step] != data[np.repeat(other, size) + step])])
+    return differs[edges[1:]] == differs[edges[:-1]]
 
 
 def leftmost_minimum(values: np.ndarray, width: int) -> np.ndarray:
@@ -76,28 +129,17 @@ def leftmost_minimum(values: np.ndarray, width: int) -> np.ndarray:
     return at
 
 
-def runs(hashes: Hasher, bounds: np.ndarray, window: int, key: int, margin: int, cut: np.ndarray | None) -> tuple:
-    """Anchored runs of all windows inside documents: key, context hash, document number, first window, anchor, windows."""
-    n = len(hashes.sums) - 1
-    none = np.zeros(0, np.int64)
-    if n < window:
-        return none.astype(U), none.astype(U), none, none, none, none
-    names = grams = hashes.fixed(key)
-    if cut is not None:
-        grams = np.where(cut[: len(grams)], grams, ~U(0))
-    width = window - key - margin + 1
-    at = leftmost_minimum(grams[margin:], width)[: n - window + 1].astype(np.int64) + margin
-    doc = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))[: n - window + 1]
-    inside = np.arange(n - window + 1) + window <= bounds[doc + 1]
-    new = np.ones(len(at), bool)
+def runs_of(at: np.ndarray, bounds: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Document, first window and number of windows of each run, from the anchor ``at`` of every window."""
+    n = len(at)
+    doc = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))[:n]
+    inside = np.arange(n) + window <= bounds[doc + 1]
+    new = np.ones(n, bool)
     new[1:] = (at[1:] != at[:-1]) | (doc[1:] != doc[:-1])
-    new &= inside
-    first = np.flatnonzero(new)
-    stop = np.append(first[1:], len(at))
+    first = np.flatnonzero(new & inside)
     # Windows that cross into the next document end a run early.
-    count = np.minimum(stop, bounds[doc[first] + 1] - window + 1) - first
-    q = at[first]
-    return names[q], hashes(first, first + count - 1 + window), doc[first], first, q, count
+    stop = np.append(first[1:], n)
+    return doc[first], first, np.minimum(stop, bounds[doc[first] + 1] - window + 1) - first
 
 
 def pack(first: np.ndarray, q: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -141,10 +183,10 @@ def split_groups(order_key: np.ndarray, *columns: np.ndarray) -> Iterator[tuple[
 
 def _flush(parts: list[tuple], buckets: int, earlier: bool) -> Iterator[pa.RecordBatch]:
     key, ctx, doc, pk = (np.concatenate(x) for x in zip(*parts, strict=True))
-    order = np.lexsort((pk, doc, ctx, key))
+    order = np.lexsort((pk, doc, ctx[:, 1], ctx[:, 0], key))
     key, ctx, doc, pk = key[order], ctx[order], doc[order], pk[order]
     new = np.ones(len(key), bool)
-    new[1:] = (key[1:] != key[:-1]) | (ctx[1:] != ctx[:-1])
+    new[1:] = (key[1:] != key[:-1]) | (ctx[1:] != ctx[:-1]).any(1)
     head = np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))
     if earlier:  # a later document's copy is settled here; the first document's rows go on
         done = doc[head] < doc
@@ -153,22 +195,34 @@ def _flush(parts: list[tuple], buckets: int, earlier: bool) -> Iterator[pa.Recor
         done = ~new
         pk = np.where(again, pk | SETTLED, pk)
     pk = np.where(done, pk | SETTLED, pk)
+    # A key with many contexts is dealt by context, but for one row, which tells the key's own bucket that it is hot.
+    new_key = np.append(True, key[1:] != key[:-1])
+    group = np.cumsum(new_key) - 1
+    hot = (np.bincount(group, new)[group] > HOT_IN_FLUSH) & ~done
+    pk = np.where(hot, pk | SALTED, pk)
     # Settled rows only pass through: they have key 0 and may go to any bucket.
-    bucket = (np.where(done, mix(doc.astype(U)), key) % U(buckets)).astype(np.int64)
+    bucket = np.where(done, mix(doc.astype(U)), np.where(hot & ~new_key, mix(key ^ ctx[:, 0]), key))
+    bucket = (bucket % U(buckets)).astype(np.int64)
     key = np.where(done, U(0), key)
-    ctx = np.where(done, U(0), ctx)
     # Back in the order of the text, in which documents and places compress well.
     back = np.empty(len(order), np.int64)
     back[order] = np.arange(len(order))
     bucket, key, ctx, doc, pk = (c[back] for c in (bucket, key, ctx, doc, pk))
-    rows = [(b, *(c.tobytes() for c in cols)) for b, cols in split_groups(bucket, key, ctx, doc, pk)]
+    rows = []
+    for b, cols in split_groups(bucket, key, ctx, doc, pk):
+        going = cols[0] != 0
+        rows.append((b, cols[0].tobytes(), cols[1][going].tobytes(), cols[2].tobytes(), cols[3].tobytes()))
     if rows:
         cols = list(zip(*rows, strict=True))
         yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[1:])], names=["bucket", "key", "ctx", "doc", "pk"])
 
 
 def anchor_rows(docs: DataFrame, chunk_runs: Callable, buckets: int, earlier: bool) -> DataFrame:
-    """Packed anchors of ``docs(doc_id, text)``; ``chunk_runs(bytes, bounds)`` gives the runs of a chunk and unit bounds."""
+    """Packed anchors of ``docs(doc_id, text)``.
+
+    ``chunk_runs(bytes, bounds)`` gives the runs of a chunk (key, context's digest, document, first window, anchor, windows)
+    and the documents' bounds in units. A key of 0 is not used (it marks settled rows).
+    """
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
@@ -177,7 +231,7 @@ def anchor_rows(docs: DataFrame, chunk_runs: Callable, buckets: int, earlier: bo
             for low, high, data, bounds in text_chunks(batch):
                 key, ctx, doc, first, q, count, units = chunk_runs(data, bounds)
                 start = units[doc]
-                parts.append((key, ctx, ids[low:high][doc].astype(np.int64), pack(first - start, q - start, count)))
+                parts.append((np.maximum(key, U(1)), ctx, ids[low:high][doc].astype(np.int64), pack(first - start, q - start, count)))
                 held += len(key)
                 if held >= FLUSH:
                     yield from _flush(parts, buckets, earlier)
@@ -223,30 +277,31 @@ def settle(blobs: DataFrame, earlier: bool) -> DataFrame:
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, ctx, doc, pk in buckets_of(batches, [U, U, np.int64, np.int64]):
-            passed = key == 0
+            passed, ctx = key == 0, ctx.reshape(-1, 2)
             out_doc, out_pk = [doc[passed]], [(pk[passed] & ~15) | SETTLED]
-            key, ctx, doc, pk = (c[~passed] for c in (key, ctx, doc, pk))
+            key, doc, pk = (c[~passed] for c in (key, doc, pk))
             if len(key):
-                order = np.lexsort((doc, ctx, key))
+                order = np.lexsort((doc, ctx[:, 1], ctx[:, 0], key))
                 key, ctx, doc, pk = key[order], ctx[order], doc[order], pk[order]
                 index = np.arange(len(key))
                 new_key = np.ones(len(key), bool)
                 new_key[1:] = key[1:] != key[:-1]
                 new_ctx = new_key.copy()
-                new_ctx[1:] |= ctx[1:] != ctx[:-1]
+                new_ctx[1:] |= (ctx[1:] != ctx[:-1]).any(1)
                 head = np.maximum.accumulate(np.where(new_ctx, index, 0))
                 group = np.cumsum(new_key) - 1
                 contexts = np.bincount(group, new_ctx)[group]
-                several = contexts > 1
+                salted = np.maximum.reduceat(pk & SALTED, np.flatnonzero(new_key))[group] > 0
+                several = (contexts > 1) | salted
                 if earlier:
                     settled = doc[head] < doc
                     goes_on = several & ~settled
                 else:
                     size = np.bincount(np.cumsum(new_ctx) - 1)[np.cumsum(new_ctx) - 1]
-                    marked = np.maximum.reduceat((pk & 15 != 0).astype(np.int8), np.flatnonzero(new_ctx))[np.cumsum(new_ctx) - 1] > 0
+                    marked = np.maximum.reduceat((pk & SETTLED != 0).astype(np.int8), np.flatnonzero(new_ctx))[np.cumsum(new_ctx) - 1] > 0
                     settled = (size > 1) | marked
                     goes_on = several & new_ctx
-                status = np.where(goes_on, np.where(contexts > HOT_CONTEXTS, HOT, OPEN), 0) | np.where(settled, 4, 0)
+                status = np.where(goes_on, np.where((contexts > HOT_CONTEXTS) | salted, HOT, OPEN), 0) | np.where(settled, 4, 0)
                 keep = status > 0
                 out_doc.append(doc[keep])
                 status = np.where(status == 4, SETTLED, status)
