@@ -1,14 +1,18 @@
 """Removal of byte strings that an earlier document already has, by longest-previous-factor arrays.
 
 ``LPF[i]`` is the length of the longest string that starts at suffix ``i`` and also starts in an earlier document. In
-suffix order it is the larger of the common prefixes with the previous and the next suffix of an earlier document
-(previous and next smaller positions). Only ``LPF >= min_bytes`` matters here, so suffixes are cut to ``min_bytes``:
-then all suffixes that share a cut string stand together, ordered by document, and the previous smaller position is the
-head of that group. Suffix arrays are built for the windows of one bucket at a time; ``repeats`` deals equal strings to
-one bucket and settles whole runs with equal contexts before.
-
-Null texts are empty. Texts shorter than ``min_bytes`` stay whole. Documents are told apart by doc_id (see ``keyed``). An
-empty table gives an empty result. Other columns are ignored and may have any name.
+suffix order it is the larger of two common prefixes: with the nearest suffix above that belongs to an earlier document
+(previous smaller position) and with the nearest one below (next smaller position). A window of ``min_bytes`` goes if the
+LPF at its start is that long.
+
+A corpus has no single suffix array. ``repeats`` deals all windows by an anchor (the least 20-byte gram in them), so that
+equal windows are in one bucket; windows whose anchor no other document has take no further part, and runs of windows
+whose whole content an earlier document has too are settled as copies of it before the sort (equal suffixes would only
+stand side by side). Suffix, common-prefix and previous-factor arrays of the rest are built a bucket at a time.
+
+Null texts are empty. Texts shorter than ``min_bytes`` stay whole. Each row is a document. Rows are taken in the order of
+their doc_ids, rows with one doc_id in the order of their texts, rows without a doc_id last (see ``numbered``). An empty
+table gives an empty result. Other columns are ignored and may have any name.
 """
 
 from __future__ import annotations
@@ -21,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import repeats as R
-from .common import keyed, written
+from .common import documents, numbered, written
 
 #: Length of the hashed grams that anchor the windows.
 GRAM = 20
@@ -34,38 +38,86 @@ def _chunk_runs(min_bytes: int):
     gram = min(GRAM, max(1, min_bytes // 2))
 
     def of(data: np.ndarray, bounds: np.ndarray) -> tuple:
-        return *R.runs(R.Hasher(_TABLE[data]), bounds, min_bytes, gram, 0, None), bounds
+        n = len(data) - min_bytes + 1
+        if n < 1:
+            return np.zeros(0, R.U), np.zeros((0, 2), R.U), *(np.zeros(0, np.int64) for _ in range(4)), bounds
+        names = R.Hasher(_TABLE[data]).fixed(gram)
+        at = R.leftmost_minimum(names, min_bytes - gram + 1)[:n]
+        doc, first, count = R.runs_of(at, bounds, min_bytes)
+        q = at[first].astype(np.int64)
+        return names[q], R.digests(data.tobytes(), first, first + count - 1 + min_bytes), doc, first, q, count, bounds
 
     return of
 
 
-def suffix_order(data: np.ndarray, start: np.ndarray, doc: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Order of the suffixes at ``start``, cut to ``depth``, ties by document; and where each common prefix of two
-    neighbours is shorter than ``depth``."""
+def suffix_order(data: np.ndarray, start: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the suffixes at ``start``, cut to ``depth``; and the length of each one's common prefix with the one before."""
     padded = np.concatenate([data, np.zeros(depth + 8, np.uint8)]).astype(np.uint64)
     eight = np.zeros(len(data) + depth, np.uint64)
     for k in range(8):
         eight |= padded[k : k + len(eight)] << np.uint64(56 - 8 * k)
-    if depth >= 8:
-        words = [eight[start + o] for o in sorted({*range(0, depth - 7, 8), depth - 8})]
-    else:
-        words = [eight[start] >> np.uint64(64 - 8 * depth)]
-    order = np.lexsort((doc, *reversed(words)))
-    differs = np.ones(len(order), bool)
-    differs[1:] = False
-    for w in words:
+    offsets = sorted({*range(0, depth - 7, 8), depth - 8}) if depth >= 8 else [0]
+    words = [eight[start + o] for o in offsets]
+    if depth < 8:
+        words = [words[0] >> np.uint64(64 - 8 * depth) << np.uint64(64 - 8 * depth)]
+    order = np.lexsort(words[::-1])
+    common = np.full(len(order), depth)
+    common[:1] = 0
+    for o, w in zip(reversed(offsets), reversed(words), strict=True):
         w = w[order]
-        differs[1:] |= w[1:] != w[:-1]
-    return order, differs
+        changed = np.zeros(len(order), np.uint64)
+        changed[1:] = w[1:] ^ w[:-1]
+        at = np.flatnonzero(changed)
+        # The first byte that differs: 8 minus the bytes up to the highest one that is set.
+        same = sum((changed[at] < np.uint64(1) << np.uint64(56 - 8 * k)).astype(np.int64) for k in range(7))
+        common[at] = o + same
+    return order, common
 
 
-def has_previous_factor(data: np.ndarray, start: np.ndarray, doc: np.ndarray, depth: int) -> np.ndarray:
-    """Whether LPF >= depth, for the suffixes at ``start`` that belong to the documents ``doc``."""
-    order, differs = suffix_order(data, start, doc, depth)
-    head = np.maximum.accumulate(np.where(differs, np.arange(len(order)), 0))
-    found = np.zeros(len(order), bool)
-    found[order] = doc[order][head] < doc[order]
-    return found
+def nearest_smaller(rank: np.ndarray, common: np.ndarray, longest: int) -> np.ndarray:
+    """For each place, the least of ``common`` on the way up to the previous smaller ``rank``; 0 if there is none.
+
+    ``common[i]`` belongs to the step from ``i - 1`` to ``i``. Blocks of doubling size are skipped as long as no rank in
+    them is smaller; ways are followed for ``longest`` places.
+    """
+    n = len(rank)
+    rank = np.concatenate([[np.iinfo(np.int64).min], rank])  # stops all ways; the step to it has no common prefix
+    common = np.concatenate([[0, 0], common[1:]]) if n else common
+    lows, steps = [rank], [common]  # over the 2**k places that end at i
+    while 1 << (len(lows) - 1) < min(longest, n):
+        half = 1 << (len(lows) - 1)
+        low, step = lows[-1].copy(), steps[-1].copy()
+        low[half:] = np.minimum(lows[-1][half:], lows[-1][:-half])
+        step[half:] = np.minimum(steps[-1][half:], steps[-1][:-half])
+        lows.append(low), steps.append(step)
+    own = rank[1:]
+    at, least = np.arange(n), common[1:].copy()  # ``at``: the place above, after the step to it
+    for k in range(len(lows) - 1, -1, -1):
+        skip = lows[k][at] >= own
+        least = np.where(skip, np.minimum(least, steps[k][at]), least)
+        at = np.where(skip, np.maximum(at - (1 << k), 0), at)
+    return np.where(rank[at] < own, least, 0)
+
+
+def longest_previous_factors(data: np.ndarray, start: np.ndarray, doc: np.ndarray, depth: int) -> np.ndarray:
+    """LPF, cut to ``depth``, of the suffixes at ``start`` that belong to ``doc``; all have ``depth`` bytes.
+
+    Suffixes whose neighbours share less than ``depth`` bytes with them get the longer of these common prefixes, as a
+    bound: theirs is below ``depth`` anyhow.
+    """
+    order, common = suffix_order(data, start, depth)
+    below = np.append(common[1:], 0)[: len(common)]
+    lpf = np.zeros(len(order), np.int64)
+    lpf[order] = np.maximum(common, below)
+    deep = np.flatnonzero((common >= depth) | (below >= depth))
+    if len(deep):
+        rank, step = doc[order[deep]], common[deep]
+        groups = np.flatnonzero(step < depth)
+        longest = int(np.diff(np.append(groups, len(deep))).max())
+        up = nearest_smaller(rank, step, longest)
+        down = nearest_smaller(rank[::-1], np.append(0, step[:0:-1]), longest)[::-1]
+        lpf[order[deep]] = np.maximum(up, down)
+    return lpf
 
 
 def _contexts(min_bytes: int, buckets: int):
@@ -120,7 +172,7 @@ def _factors(min_bytes: int):
             for k in range(slices):
                 own = np.flatnonzero(lead == k) if slices > 1 else np.arange(len(run))
                 if len(own):
-                    found[own] = has_previous_factor(data, start[own], doc[run[own]], min_bytes)
+                    found[own] = longest_previous_factors(data, start[own], doc[run[own]], min_bytes) >= min_bytes
             R.release()
             new = found.copy()
             new[1:] &= ~(found[:-1] & (run[1:] == run[:-1]))
@@ -139,7 +191,7 @@ def find_repeated_bytes(docs: DataFrame, min_bytes: int = 50) -> DataFrame:
     """
     if min_bytes > 60 or min_bytes < 2:
         raise ValueError("min_bytes must be from 2 to 60")
-    docs = keyed(docs, "text")
+    docs, named = numbered(docs)
     buckets = R.bucket_count(docs)
     marks = written(R.settle(R.anchor_rows(docs, _chunk_runs(min_bytes), buckets, True), True), "suffix-runs")
     open_docs = R.listed(docs, marks.where("pk & 15 > 1"))
@@ -163,11 +215,9 @@ def find_repeated_bytes(docs: DataFrame, min_bytes: int = 50) -> DataFrame:
                 kept = [data[a:b].tobytes() if sums[a] == sums[b] else data[a:b][~gone[a:b]].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(ids[low:high]), pa.array(np.diff(bounds)), pa.array(np.diff(sums[bounds])), pa.array(np.diff(ups[bounds])), pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    return done.mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return named(done.mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"))
 
 
 def op10_suffix_dedup(spark, sf_dir: str) -> DataFrame:
-    from .common import documents
-
     found = find_repeated_bytes(documents(spark, sf_dir), 50)
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
