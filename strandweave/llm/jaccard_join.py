@@ -1,19 +1,28 @@
 """Similarity join on word shingles: a MinHash LSH forest finds candidates, shingle sets verify them exactly.
 
 1. Texts with equal shingle sets form one class; its least doc_id represents it from here on.
-2. Each tree of the forest sorts the representatives by a signature prefix. The prefix starts at ``max_depth`` values
-   and is shortened until the chance that two texts of similarity ``threshold`` share a prefix in some tree reaches
-   ``recall`` (see ``prefix_depth``; the default misses 3 in a million pairs at the threshold, fewer above it).
-3. Texts that share a prefix are grouped with *leaders* of their bucket when their signatures agree, which leaves a row a
-   text instead of all pairs. A text is a leader's member at an estimate of 0.8 and is tied to it from 0.35 on, and
-   leads on itself if it is tied only: texts of similarity 0.8 end in one group (triangle inequality of the Jaccard
-   distance, with four standard errors of room). All texts of a bucket over ``SPLIT`` are tied to its least doc_id.
-4. Components of these stars are verified exactly, each set is shipped once. Components over ``block`` texts go the
-   cheaper of two exact ways: cut into blocks, with a task for each pair of blocks; or dealt to groups that share one of
-   their rarest shingles (prefix filter: similar texts share one of the first ``size - ceil(threshold * size) + 1``
-   in any common order, here by rarity). A pair counts in the group of the least shingle that both prefixes hold.
-
-Null texts, and texts without words, are linked to nothing. Texts of fewer than ``n`` words are one shingle.
+2. Each tree of the forest is a prefix trie: a text's label in it is a sequence of ``DEEPEST`` minima, and texts that share
+   the first ``d`` of them are in one node of depth ``d``. Labels are numbers whose order is that of the trie, so a node is
+   a range of them and a shorter prefix a shift. If all trees are matched at depth ``d``, two texts of similarity
+   ``threshold`` miss each other in all of them with a chance of ``(1 - threshold**d) ** TREES``; ``floor_depth`` is the
+   longest prefix at which this meets the target recall, so no prefix has to be shorter.
+3. Prefixes are shortened to the floor only where its node holds at most ``SPLIT`` texts; elsewhere a text stops at the
+   shortest prefix whose node does. From the depths that its trees end at, each text gets its own bound of the recall;
+   texts short of the target in their crowded nodes are all tied together there, which loses nothing.
+4. The texts of a node are grouped with *leaders* when their signatures agree, which leaves a row a text instead of all
+   pairs. A text is a leader's member at an estimate of ``MEMBER`` and is tied to it from ``TIED`` on, and leads on itself
+   if it is tied only: texts of similarity 0.8 end in one group (triangle inequality of the Jaccard distance, with four
+   standard errors of room).
+5. Components of these stars are verified exactly. A component of up to ``block`` texts is one group. A larger one goes
+   the cheaper of two exact ways: cut into blocks, with a group for each pair of blocks (each set is then shipped as often
+   as there are blocks); or dealt to groups that share one of their rarest shingles (prefix filter: similar texts share
+   one of the first ``size - ceil(threshold * size) + 1`` in any common order, here by rarity). A pair counts in the
+   group of the least shingle that both prefixes hold.
+
+Shingles are 64-bit names of words and of their sequences (see ``repeats.Hasher``); sets are compared by all their names.
+
+Null texts, and texts without words, are linked to nothing. Texts of fewer than ``n`` words are one shingle. Each row is
+a document; rows with one doc_id, or without, are told apart (see ``numbered``).
 """
 
 from __future__ import annotations
@@ -29,20 +38,20 @@ from pyspark.sql import functions as F
 from strandweave.operators.graph import components
 
 from . import repeats as R
-from .common import documents, keyed, parallelism, written
+from .common import documents, numbered, parallelism, written
 from .substring_dedup import _TABLE, word_spans
 
-TREES, MAX_DEPTH, RECALL = 24, 5, 0.99999
-MEMBER, TIED = 0.8, 0.35
-#: Texts of a bucket, or of a component, that one task takes at once.
-SPLIT, BLOCK = 4096, 1024
+TREES, DEEPEST, RECALL = 24, 6, 0.99999
+MEMBER, TIED = 0.85, 0.35
+#: Texts of a node, or of a component, that one task takes at once.
+SPLIT, BLOCK = 1024, 1024
 #: Counters for the rarity of shingles; shingles that share one only make prefixes less rare.
 COUNTERS = 1 << 18
 
 
-def prefix_depth(threshold: float, recall: float = RECALL, trees: int = TREES, longest: int = MAX_DEPTH) -> int:
+def floor_depth(threshold: float, recall: float = RECALL, trees: int = TREES, deepest: int = DEEPEST) -> int:
     """The longest prefix at which ``trees`` tries find pairs of the threshold's similarity with the target recall."""
-    depth = longest
+    depth = deepest
     while depth > 1 and 1 - (1 - threshold**depth) ** trees < recall:
         depth -= 1
     return depth
@@ -64,10 +73,11 @@ def shingles(data: np.ndarray, bounds: np.ndarray, n: int) -> tuple[np.ndarray,
     return found[new], np.searchsorted(doc[new], np.arange(len(count) + 1))
 
 
-def _signatures(n: int, depth: int):
+def _signatures(n: int):
+    """Digest of the shingle set, one byte of each minimum (the signature), and the labels in the trees."""
     rng = np.random.default_rng(20240229)
-    scale = rng.integers(1, 2**63, TREES * depth, dtype=np.uint64) * R.U(2) + R.U(1)
-    shift = rng.integers(0, 2**63, TREES * depth, dtype=np.uint64)
+    scale = rng.integers(1, 2**63, TREES * DEEPEST, dtype=np.uint64) * R.U(2) + R.U(1)
+    shift = rng.integers(0, 2**63, TREES * DEEPEST, dtype=np.uint64)
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -75,18 +85,15 @@ def _signatures(n: int, depth: int):
             for low, high, data, bounds in R.text_chunks(batch):
                 found, edges = shingles(data, bounds, n)
                 some = np.flatnonzero(np.diff(edges))
-                least = np.zeros((TREES * depth, len(some)), np.uint64)
-                for k in range(TREES * depth if len(some) else 0):
-                    least[k] = np.minimum.reduceat((found * scale[k] + shift[k]) >> R.U(24), edges[some])
-                small = (R.mix(least) & R.U(255)).astype(np.uint8).T
-                keys = np.zeros((TREES, len(some)), np.uint64)
-                for tree in range(TREES):
-                    keys[tree] = R.U(tree + 1)
-                    for k in range(tree * depth, (tree + 1) * depth):
-                        keys[tree] = R.mix(keys[tree] * R.U(31) + least[k])
-                digest = [hashlib.blake2b(found[edges[i] : edges[i + 1]].tobytes(), digest_size=16).digest() for i in some]
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(some) * TREES + 1, TREES, dtype=np.int32)), pa.array(keys.T.reshape(-1).view(np.int64)))
-                yield pa.RecordBatch.from_arrays([pa.array(ids[low:high][some].astype(np.int64)), pa.array(digest, pa.binary()), pa.array([row.tobytes() for row in small], pa.binary()), lists], names=["doc_id", "digest", "sig", "keys"])
+                least = np.zeros((len(some), TREES * DEEPEST), np.uint8)
+                for k in range(TREES * DEEPEST if len(some) else 0):
+                    least[:, k] = R.mix(np.minimum.reduceat((found * scale[k] + shift[k]) >> R.U(24), edges[some])) & R.U(255)
+                labels = np.broadcast_to(np.arange(TREES, dtype=np.int64), (len(some), TREES)).copy()
+                for k in range(DEEPEST):
+                    labels = labels << 8 | least[:, k::DEEPEST]
+                digest = [hashlib.sha256(found[edges[i] : edges[i + 1]].tobytes()).digest()[:16] for i in some]
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(some) * TREES + 1, TREES, dtype=np.int32)), pa.array(labels.reshape(-1)))
+                yield pa.RecordBatch.from_arrays([pa.array(ids[low:high][some].astype(np.int64)), pa.array(digest, pa.binary()), pa.array([row.tobytes() for row in least], pa.binary()), lists], names=["doc_id", "digest", "sig", "labels"])
 
     return of
 
@@ -107,9 +114,9 @@ def _grouped(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[list
 
 
 def _leaders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Groups of each bucket (key, doc_id, sig): (u, v) with the least doc_id of u's group as v."""
+    """Groups of each node (depth, node, doc_id, sig): (u, v) with the least doc_id of u's group as v."""
     out: list[tuple] = []
-    for _, docs, sigs in _grouped(batches, 1):
+    for _, _, docs, sigs in _grouped(batches, 2):
         order = sorted(range(len(docs)), key=docs.__getitem__)
         sig = np.frombuffer(b"".join(sigs[i] for i in order), np.uint8).reshape(len(docs), -1)
         docs = np.array([docs[i] for i in order])
@@ -136,16 +143,53 @@ def _rows(out: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
 
-def _candidate_edges(reps: DataFrame) -> DataFrame:
-    parts = parallelism(reps.sparkSession)
-    keys = reps.select("doc_id", F.explode("keys").alias("key"))
-    shared = keys.groupBy("key").agg(F.count("*").alias("size"), F.min("doc_id").alias("least")).where("size > 1")
-    rows = keys.join(shared, "key")
-    small = rows.where(F.col("size") <= SPLIT).join(reps.select("doc_id", "sig"), "doc_id").select("key", "doc_id", "sig")
-    stars = small.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_leaders, "u long, v long")
-    if shared.where(F.col("size") > SPLIT).isEmpty():
-        return stars
-    return stars.unionAll(rows.where((F.col("size") > SPLIT) & (F.col("doc_id") != F.col("least"))).select(F.col("doc_id").alias("u"), F.col("least").alias("v")))
+def _node(depth: int):
+    return F.shiftright("label", 8 * (DEEPEST - depth))
+
+
+def _crowded(rows: DataFrame, threshold: float, floor: int) -> tuple[DataFrame, DataFrame]:
+    """For rows (doc_id, label) whose nodes at the floor are too large: longer prefixes, and ties where these miss the target.
+
+    Returns (depth, node, doc_id) with two texts or more in each node, and edges (u, v).
+    """
+    left, ends = written(rows, "crowded"), []
+    for depth in range(floor + 1, DEEPEST + 1):
+        sized = left.withColumn("node", _node(depth))
+        sized = sized.join(sized.groupBy("node").agg(F.count("*").alias("size")), "node")
+        fits = F.col("size") <= SPLIT
+        ends.append(sized.where(fits).select(F.lit(depth).alias("depth"), "node", "doc_id", "label", "size"))
+        left = written(sized.where(~fits).select("doc_id", "label"), "crowded")
+        if left.isEmpty():
+            break
+    # What is still crowded at the longest prefix isn't searched in this tree: it counts as a miss.
+    ends.append(left.select(F.lit(None).cast("int").alias("depth"), F.lit(None).cast("long").alias("node"), "doc_id", "label", F.lit(0).cast("long").alias("size")))
+    found = ends[0]
+    for more in ends[1:]:
+        found = found.unionAll(more)
+    found = written(found, "longer-prefixes")
+    log_miss = F.coalesce(F.log(1 - F.pow(F.lit(threshold), F.col("depth"))), F.lit(0.0))
+    usual = float(np.log1p(-(threshold**floor)))
+    short = found.groupBy("doc_id").agg(F.sum(log_miss - usual).alias("lost")).where(F.lit(TREES * usual) + F.col("lost") > float(np.log1p(-RECALL))).select("doc_id")
+    tied = rows.join(short, "doc_id", "left_semi").withColumn("node", _node(floor))
+    least = tied.groupBy("node").agg(F.min("doc_id").alias("v"))
+    edges = tied.join(least, "node").where("doc_id <> v").select(F.col("doc_id").alias("u"), "v")
+    return found.where("size > 1").select("depth", "node", "doc_id"), edges
+
+
+def _candidate_edges(reps: DataFrame, threshold: float) -> DataFrame:
+    """Stars (u, v) over texts (doc_id, sig, labels) whose components hold all pairs that the forest finds."""
+    parts, floor = parallelism(reps.sparkSession), floor_depth(threshold)
+    labels = reps.select("doc_id", F.explode("labels").alias("label")).withColumn("node", _node(floor))
+    shared = labels.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
+    rows = labels.join(shared, "node")
+    nodes = rows.where(F.col("size") <= SPLIT).select(F.lit(floor).alias("depth"), "node", "doc_id")
+    ties = None
+    if not shared.where(F.col("size") > SPLIT).isEmpty():
+        longer, ties = _crowded(rows.where(F.col("size") > SPLIT).select("doc_id", "label"), threshold, floor)
+        nodes = nodes.unionAll(longer)
+    nodes = nodes.join(reps.select("doc_id", "sig"), "doc_id").select("depth", "node", "doc_id", "sig")
+    stars = nodes.repartition(parts, "depth", "node").sortWithinPartitions("depth", "node").mapInArrow(_leaders, "u long, v long")
+    return stars if ties is None else stars.unionAll(ties)
 
 
 def _sets(n: int):
@@ -273,16 +317,20 @@ def jaccard_classes(docs: DataFrame, threshold: float = 0.8, n: int = 5, block:
 
     Two documents are linked if the Jaccard similarity of their sets of ``n``-word shingles is ``threshold`` or more.
     ``n_links`` counts the other documents that one is linked to; ``class_id`` is the least doc_id that it is linked to
-    directly or through others. Documents are told apart by doc_id (see ``keyed``); other columns are ignored.
+    directly or through others. Other columns are ignored and may have any name. In a table with missing or repeated
+    doc_ids each row is a document of its own, and a class of rows without doc_ids has none as its class_id.
     """
-    docs = keyed(docs, "text")
-    spark, parts = docs.sparkSession, parallelism(docs.sparkSession)
-    depth = prefix_depth(threshold)
-    signed = written(docs.mapInArrow(_signatures(n, depth), "doc_id long, digest binary, sig binary, keys array<long>"), "signatures")
+    rows, named = numbered(docs)
+    return named(_classes(rows, threshold, n, block), "doc_id", "class_id")
+
+
+def _classes(docs: DataFrame, threshold: float, n: int, block: int = BLOCK) -> DataFrame:
+    parts = parallelism(docs.sparkSession)
+    signed = written(docs.select("doc_id", "text").mapInArrow(_signatures(n), "doc_id long, digest binary, sig binary, labels array<long>"), "signatures")
     equal = signed.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("weight"))
     equal = written(equal, "equal-sets")
-    reps = signed.join(equal.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "sig", "keys")
-    near = components(_candidate_edges(reps), "candidates").withColumnsRenamed({"node": "doc_id"})
+    reps = signed.join(equal.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "sig", "labels")
+    near = components(_candidate_edges(reps, threshold), "candidates").withColumnsRenamed({"node": "doc_id"})
     sizes = near.groupBy("root").agg(F.count("*").alias("n"), F.ceil(F.count("*") / block).alias("blocks"))
     texts = docs.join(near.join(equal.select(F.col("rep").alias("doc_id"), "weight"), "doc_id"), "doc_id").select("doc_id", "text", "root", "weight")
     sets = texts.mapInArrow(_sets(n), "doc_id long, root long, weight long, grams binary").join(sizes.select("root", "blocks"), "root")
@@ -306,6 +354,10 @@ def op8_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame, threshold: float = 0.8, n: int = 5) -> DataFrame:
-    """The documents that represent their class; all columns of ``docs`` stay."""
-    heads = jaccard_classes(docs, threshold, n).where("doc_id = class_id").select(F.col("doc_id").alias("__head"))
-    return docs.join(heads, docs["doc_id"].cast("long") == heads["__head"], "left_semi")
+    """The rows of ``docs`` that represent their class, each class by its first; all columns stay.
+
+    Of repeated rows one stays; rows without a doc_id come last in their class.
+    """
+    rows, _ = numbered(docs, row=True)
+    heads = _classes(rows.select("doc_id", "text"), threshold, n).where("doc_id = class_id").select("doc_id")
+    return rows.join(heads, "doc_id", "left_semi").select("row.*")
