@@ -7,11 +7,14 @@ a weak part is reported only if a complementary part shares its scope: a key nee
 key or a secret, and an endpoint needs both.
 
 The join is a semi-join on bins of ``SCOPE`` code points with the scopes as condition, so that a page with
-thousands of parts makes no pairs. Null texts are empty. Rows that share a doc_id are told apart by ``keyed``.
+thousands of parts makes no pairs. Each row of the input gets one row with the spans of its own text, whether its doc_id
+is missing, repeated or neither. Null texts are empty; empty texts and empty tables have no spans. Other columns are
+ignored and may have any name.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 
@@ -19,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, keyed
+from .common import documents, written
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -66,22 +69,24 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids, texts = batch.column(0), batch.column(1)
         for low in range(0, len(ids), 500):
-            base_lists, weak_lists = [], []
-            for scalar in texts.slice(low, 500):
+            base_lists, weak_lists, names = [], [], []
+            for doc_id, scalar in zip(ids.slice(low, 500).to_pylist(), texts.slice(low, 500), strict=True):
                 text = scalar.as_py() or ""
                 base = base_spans(text)
                 base_lists.append([{"kind": k, "start": a, "end": b} for k, a, b in base])
-                weak_lists.append([{"kind": k, "start": a, "end": b} for k, a, b in weak_spans(text, base)])
+                weak = weak_spans(text, base)
+                weak_lists.append([{"kind": k, "start": a, "end": b} for k, a, b in weak])
+                names.append(hashlib.sha256(f"{doc_id}:{text}".encode()).digest() if weak else None)
             spans = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
-            yield pa.RecordBatch.from_arrays([ids.slice(low, 500), pa.array(base_lists, spans), pa.array(weak_lists, spans)], names=["doc_id", "base", "weak"])
+            yield pa.RecordBatch.from_arrays([ids.slice(low, 500), pa.array(names, pa.binary()), pa.array(base_lists, spans), pa.array(weak_lists, spans)], names=["doc_id", "text_id", "base", "weak"])
 
 
 def _near(parts: DataFrame, others: DataFrame) -> DataFrame:
     """Parts whose scope meets another part: equi-join on bins, intervals as condition."""
     first, last = (F.floor((F.col(c) + d) / SCOPE) for c, d in (("start", -SCOPE), ("end", SCOPE)))
     binned = parts.withColumn("bin", F.explode(F.sequence(first, last)))
-    beside = others.select(F.col("doc_id").alias("o_doc"), F.explode(F.sequence(F.floor(F.col("start") / SCOPE), F.floor((F.col("end") - 1) / SCOPE))).alias("o_bin"), F.col("start").alias("o_start"), F.col("end").alias("o_end"))
-    meets = (F.col("doc_id") == F.col("o_doc")) & (F.col("bin") == F.col("o_bin")) & (F.col("o_start") < F.col("end") + SCOPE) & (F.col("start") - SCOPE < F.col("o_end"))
+    beside = others.select(F.col("text_id").alias("o_text"), F.explode(F.sequence(F.floor(F.col("start") / SCOPE), F.floor((F.col("end") - 1) / SCOPE))).alias("o_bin"), F.col("start").alias("o_start"), F.col("end").alias("o_end"))
+    meets = (F.col("text_id") == F.col("o_text")) & (F.col("bin") == F.col("o_bin")) & (F.col("o_start") < F.col("end") + SCOPE) & (F.col("start") - SCOPE < F.col("o_end"))
     return binned.join(beside, meets, "left_semi").select(*parts.columns).distinct()
 
 
@@ -90,19 +95,20 @@ def _text(spans: Column) -> Column:
 
 
 def find_secrets(docs: DataFrame) -> DataFrame:
-    """One row a document: doc_id, base and linked (arrays of kind, start, end; code points, end exclusive)."""
-    scanned = keyed(docs, "text").mapInArrow(_scan, "doc_id long, base array<struct<kind string, start long, end long>>, weak array<struct<kind string, start long, end long>>")
-    from .common import written
-
+    """One row for each row of ``docs``: doc_id, base and linked (arrays of kind, start, end; code points, end exclusive)."""
+    spans = "array<struct<kind string, start long, end long>>"
+    scanned = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_scan, f"doc_id long, text_id binary, base {spans}, weak {spans}")
     scanned = written(scanned, "secret-parts")
-    parts = lambda column, *kinds: scanned.select("doc_id", F.explode(column).alias("s")).select("doc_id", "s.*").where(F.col("kind").isin(*kinds))
+    linkable = scanned.where("text_id is not null")
+    parts = lambda column, *kinds: linkable.select("text_id", F.explode(column).alias("s")).select("text_id", "s.*").where(F.col("kind").isin(*kinds))
     ids = parts("weak", "id").unionAll(parts("base", "access"))
     keys = parts("weak", "key").unionAll(parts("base", "assign", "hex"))
     endpoints = parts("weak", "endpoint")
     linked = _near(parts("weak", "key"), ids).unionAll(_near(parts("weak", "id"), keys)).unionAll(_near(_near(endpoints, ids), keys))
-    linked = linked.groupBy("doc_id").agg(F.collect_list(F.struct("kind", "start", "end")).alias("linked"))
-    none = F.lit([]).cast("array<struct<kind string, start long, end long>>")
-    return scanned.select("doc_id", "base").join(linked, "doc_id", "left").withColumn("linked", F.coalesce("linked", none))
+    linked = linked.distinct().groupBy("text_id").agg(F.collect_list(F.struct("kind", "start", "end")).alias("linked"))
+    none = F.lit([]).cast(spans)
+    plain = scanned.where("text_id is null").select("doc_id", "base", none.alias("linked"))
+    return plain.unionAll(linkable.select("doc_id", "text_id", "base").join(linked, "text_id", "left").select("doc_id", "base", F.coalesce("linked", none).alias("linked")))
 
 
 def op4_secret_scan(spark, sf_dir: str) -> DataFrame:
