@@ -10,23 +10,32 @@ slot that more other slots contradict are dropped, the rest stays, so a re-param
 fit of placeholders isn't. An item counts as leaked if ``CONTAINED`` of its windows, or of those with two literal tokens,
 are found, or if one alignment matches ``RUN`` windows.
 
+A template that most items share would pair most documents with most items. Pairs are therefore found by an item's
+rarest windows first: an item of ``n`` windows that has to be matched in ``m`` of them is matched in one of any
+``n - m + 1``, so its ``m - 1`` most common windows needn't find it, and are joined only with documents that it is found
+in.
+
 Null and empty texts and items match nothing. Case folding covers ASCII and Latin-1 letters. An item of fewer than
 ``WINDOW`` words is one literal window: a text leaks it if it holds these words in a row, however few they are. Repeated
-item_ids count as one item with all their windows.
+item_ids count as one item with all their windows; items without an item_id are left out. Leaks belong to texts, not to
+doc_ids: ``drop_leaky`` drops a row for its own text, whether its doc_id is missing, repeated or neither. Empty tables
+give empty results. Other columns are ignored, or kept by ``drop_leaky``, and may have any name.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import repeats as R
-from .common import documents, keyed
+from .common import documents, written
 from .substring_dedup import _TABLE, word_spans
 
 WINDOW, CONTAINED, RUN = 5, 0.5, 9
@@ -127,7 +136,7 @@ def token_counts(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(of, "words int")
 
 
-WINDOW_ROWS = "id long, at int, hash long, exact boolean, fit boolean, fill array<long>, place array<int>"
+WINDOW_ROWS = "id long, text_id binary, at int, hash long, exact boolean, fit boolean, fill array<long>, place array<int>"
 
 
 def window_rows(texts: DataFrame, window: int, wanted: np.ndarray | None = None, shorter: list[int] | None = None) -> DataFrame:
@@ -138,17 +147,20 @@ def window_rows(texts: DataFrame, window: int, wanted: np.ndarray | None = None,
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
             for low, high, data, bounds in R.text_chunks(batch):
+                text_ids: dict[int, bytes] = {}
                 for names, doc, at, fit, slot, literal in _windows(data, bounds, window, shorter):
                     hit = slice(None) if wanted is None else np.flatnonzero(_among(names, wanted))
                     names, doc, at, fit = names[hit], doc[hit], at[hit], fit[hit]
+                    for d in np.unique(doc).tolist():
+                        if d not in text_ids:
+                            text_ids[d] = hashlib.md5(data[bounds[d] : bounds[d + 1]].tobytes(), usedforsecurity=False).digest()
                     slot = np.zeros((len(names), 0), bool) if slot is None else slot[hit]
                     values = pa.array((np.zeros(0, np.uint64) if literal is None else literal[hit][slot]).view(np.int64))
                     edges = pa.array(np.concatenate([[0], np.cumsum(slot.sum(1))]).astype(np.int32))
                     places = pa.array((at[:, None] + np.arange(slot.shape[1]))[slot], pa.int32())
                     kind = pa.array(np.full(len(names), literal is None))
-                    yield pa.RecordBatch.from_arrays([pa.array(ids[low:high][doc].astype(np.int64)), pa.array(at, pa.int32()), pa.array(names.view(np.int64)), kind, pa.array(fit), pa.ListArray.from_arrays(edges, values), pa.ListArray.from_arrays(edges, places)], names=["id", "at", "hash", "exact", "fit", "fill", "place"])
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low).take(pa.array(doc)), pa.array([text_ids[d] for d in doc.tolist()], pa.binary()), pa.array(at, pa.int32()), pa.array(names.view(np.int64)), kind, pa.array(fit), pa.ListArray.from_arrays(edges, values), pa.ListArray.from_arrays(edges, places)], names=["id", "text_id", "at", "hash", "exact", "fit", "fill", "place"])
 
     return texts.mapInArrow(of, WINDOW_ROWS)
 
@@ -168,39 +180,58 @@ def undisputed(typed: list[int] | None, fills: list | None, window: int) -> list
     return [x for x in typed if x not in lost]
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, contained: float = CONTAINED, run: int = RUN) -> DataFrame:
-    """Rows (doc_id, item_id, n_windows, n_found): the benchmark items that a document holds.
-
-    Found windows are counted once each, over all alignments and both kinds.
-    """
+def _leaks(docs: DataFrame, benchmark: DataFrame, window: int, contained: float, run: int) -> DataFrame:
+    """(doc_id, text_id, item_id, n_windows, n_found): items by the documents' texts, which ``text_id`` is the MD5 of."""
     texts = benchmark.where("item_id is not null").select(F.col("item_id").cast("long").alias("id"), "text")
-    items = window_rows(texts, window)
+    items = written(window_rows(texts, window).drop("text_id"), "item-windows")
     size = items.select("hash").distinct().limit(MAX_BROADCAST_WINDOWS + 1)
     wanted = None
     if size.count() <= MAX_BROADCAST_WINDOWS:
         wanted = np.sort(np.array([r.hash for r in size.toLocalIterator()], np.int64).view(np.uint64))
     shorter = sorted(r.words for r in token_counts(texts).where(F.col("words") < window).distinct().collect())
-    rows = window_rows(keyed(docs, "text").select(F.col("doc_id").alias("id"), "text"), window, wanted, shorter)
+    rows = written(window_rows(docs.select(F.col("doc_id").cast("long").alias("id"), "text"), window, wanted, shorter), "document-windows")
+    rows = rows.select(F.col("id").alias("doc_id"), "text_id", "at", "hash", "fill")
+    totals = items.groupBy(F.col("id").alias("item_id")).agg(F.count_distinct("at").alias("n_windows"), F.count_distinct(F.when(F.col("fit"), F.col("at"))).alias("n_fit"))
     sides = items.select(F.col("id").alias("item_id"), F.col("at").alias("item_at"), "hash", "exact", "fit", F.col("fill").alias("item_fill"), F.col("place").alias("item_place"))
-    pairs = rows.select(F.col("id").alias("doc_id"), "at", "hash", "fill").join(sides, "hash")
+    # The fewest places that have to be found in an item, by any of the three rules.
+    half = lambda n: F.greatest(F.ceil(F.col(n) * contained), F.lit(1))
+    needed = F.least(half("n_windows"), F.when(F.col("n_fit") > 0, half("n_fit")), F.lit(run)).alias("needed")
+    # A place counts as common as the most common of its windows, literal or template.
+    common = sides.groupBy("hash").agg(F.count_distinct("item_id").alias("common"))
+    places = sides.join(common, "hash").groupBy("item_id", "item_at").agg(F.max("common").alias("common"))
+    order = W.partitionBy("item_id").orderBy("common", "item_at")
+    probes = places.withColumn("nth", F.row_number().over(order)).join(totals.select("item_id", "n_windows", needed), "item_id").where("nth <= n_windows - needed + 1").select("item_id", "item_at")
+    probes = sides.join(probes, ["item_id", "item_at"], "left_semi").select("item_id", "hash").distinct()
+    suspects = rows.select("doc_id", "text_id", "hash").distinct().join(probes, "hash").select("doc_id", "text_id", "item_id").distinct()
+    suspects = suspects.withColumnsRenamed({"doc_id": "s_doc", "text_id": "s_text"})
+    hits = rows.join(suspects, F.col("doc_id").eqNullSafe(F.col("s_doc")) & (F.col("text_id") == F.col("s_text"))).drop("s_doc", "s_text")
+    pairs = hits.join(sides, ["item_id", "hash"])
     fills = F.when(~F.col("exact"), F.arrays_zip(F.col("item_place").alias("p"), F.col("item_fill").alias("a"), F.col("fill").alias("b")))
     chosen = lambda condition, name: F.collect_set(F.when(condition, F.col("item_at"))).alias(name)
-    lines = pairs.groupBy("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).agg(chosen(F.expr("exact and fit"), "sure"), chosen(F.expr("exact and not fit"), "bare"), chosen(F.expr("not exact"), "typed"), F.array_distinct(F.flatten(F.collect_set(fills))).alias("fills"))
+    lines = pairs.groupBy("doc_id", "text_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).agg(chosen(F.expr("exact and fit"), "sure"), chosen(F.expr("exact and not fit"), "bare"), chosen(F.expr("not exact"), "typed"), F.array_distinct(F.flatten(F.collect_set(fills))).alias("fills"))
     distinct = lambda *names: F.size(F.array_distinct(F.arrays_zip(*(f"fills.{x}" for x in names))))
     clash = (distinct("a") != distinct("a", "b")) | (distinct("b") != distinct("a", "b"))
     voted = F.udf(lambda typed, fills: undisputed(typed, fills, window), "array<int>")(F.when(clash, F.col("typed")), F.when(clash, F.col("fills")))
     lines = lines.withColumn("fitting", F.array_union("sure", F.coalesce(voted, "typed"))).withColumn("found", F.array_union("fitting", "bare"))
-    places = lambda name: F.size(F.array_distinct(F.flatten(F.collect_list(name))))
-    found = lines.groupBy("doc_id", "item_id").agg(places("found").alias("n_found"), places("fitting").alias("n_fitting"), F.max(F.size("found")).alias("longest"))
-    totals = items.groupBy(F.col("id").alias("item_id")).agg(F.count_distinct("at").alias("n_windows"), F.count_distinct(F.when(F.col("fit"), F.col("at"))).alias("n_fit"))
+    spread = lambda name: F.size(F.array_distinct(F.flatten(F.collect_list(name))))
+    found = lines.groupBy("doc_id", "text_id", "item_id").agg(spread("found").alias("n_found"), spread("fitting").alias("n_fitting"), F.max(F.size("found")).alias("longest"))
     leaked = F.expr("n_found > 0") & ((F.col("n_found") >= contained * F.col("n_windows")) | F.expr("n_fit > 0") & (F.col("n_fitting") >= contained * F.col("n_fit")) | (F.col("longest") >= run))
-    return found.join(totals, "item_id").where(leaked).select("doc_id", "item_id", F.col("n_windows").cast("long").alias("n_windows"), F.col("n_found").cast("long").alias("n_found"))
+    return found.join(totals, "item_id").where(leaked).select("doc_id", "text_id", "item_id", F.col("n_windows").cast("long").alias("n_windows"), F.col("n_found").cast("long").alias("n_found"))
+
+
+def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, contained: float = CONTAINED, run: int = RUN) -> DataFrame:
+    """Rows (doc_id, item_id, n_windows, n_found): the benchmark items that a document holds.
+
+    Found windows are counted once each, over all alignments and both kinds. A doc_id that several texts have is listed
+    for each of them that holds an item; equal texts under one doc_id count once.
+    """
+    return _leaks(docs, benchmark, window, contained, run).drop("text_id")
 
 
 def drop_leaky(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark item, with all their columns."""
-    leaky = find_leaks(docs, benchmark).select(F.col("doc_id").alias("__leaky")).distinct()
-    return docs.join(leaky, docs["doc_id"].cast("long") == leaky["__leaky"], "left_anti")
+    """The rows of ``docs`` whose text holds no benchmark item, with all their columns."""
+    leaky = _leaks(docs, benchmark, WINDOW, CONTAINED, RUN).select(F.lower(F.hex("text_id")).alias("__leaky")).distinct()
+    return docs.join(leaky, F.md5(docs["text"].cast("binary")) == leaky["__leaky"], "left_anti")
 
 
 def op5_decontaminate(spark, sf_dir: str) -> DataFrame:
