@@ -9,94 +9,119 @@ A leaf's budget is met by full epochs and a prefix of one more: its documents in
 doc_id, as long as the running sum of tokens stays within the rest. Running sums are two-step (buckets of the hash, then
 documents inside a bucket), so that a leaf with a third of all documents isn't one task.
 
-Null languages and sources are the group 'unknown'; null texts have no tokens. Documents are told apart by doc_id.
+Null domains, languages and sources are the group 'unknown'; null texts have no tokens and are used as often as there are
+full epochs. Each row is a document of its own; rows with one doc_id follow each other in an epoch, by their tokens, and
+those with equally many are taken together or not at all, so that the budget holds. Rows without a doc_id are placed by
+their texts. An empty table gives an empty mix. Other columns are kept.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import WORD_PATTERN, documents, keyed
+from .common import WORD_PATTERN, documents
 
+#: The default tree, from the root down; a tree is any number of level columns.
 LEVELS = ("domain", "lang", "source")
 SEED = 17
 #: Share of all tokens that the mix holds, and how often a document may be used.
 BUDGET_PERCENT, MAX_EPOCHS = 80, 2
 
+#: Target weights of the default tree by level; a name that isn't listed weighs 1.
+WEIGHTS: dict[str, dict[str, int]] = {"domain": {"domain0": 2}, "lang": {"en": 4, "de": 2, "fr": 2}, "source": {}}
+
+
+def domain_of(source: Column | str = "source") -> Column:
+    """A stand-in for a table of domains: the number at the end of the source's name modulo 3."""
+    number = F.coalesce(F.regexp_extract(source, r"([0-9]+)$", 1).try_cast("long"), F.lit(0))
+    return F.concat(F.lit("domain"), (number % 3).cast("string"))
+
+
+def leaves_of(docs: DataFrame, domain: Column | None = None, row: bool = False) -> DataFrame:
+    """(doc_id, key, domain, lang, source, n_words) of each row; ``row`` adds the whole row as a struct of that name.
 
-def leaves_of(docs: DataFrame) -> DataFrame:
-    """(doc_id, domain, lang, source, n_words): the domain is the source's number modulo 3."""
-    known = lambda c: F.coalesce(c, F.lit("unknown"))
-    number = F.coalesce(F.regexp_extract("source", r"([0-9]+)$", 1).try_cast("long"), F.lit(0))
+    ``key`` gives a row its place in an epoch: the doc_id, or a hash of the text if there is none.
+    """
+    known = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("unknown"))
     n_words = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD_PATTERN)).cast("long")
-    return keyed(docs, "lang", "source", "text").select("doc_id", F.concat(F.lit("domain"), (number % 3).cast("string")).alias("domain"), known("lang").alias("lang"), known("source").alias("source"), n_words.alias("n_words"))
-
-
-def weight_of(level: str) -> Column:
-    """Target weights: the first domain counts twice, English four times and German and French twice."""
-    if level == "domain":
-        return F.when(F.col("domain") == "domain0", 2).otherwise(1).cast("long")
-    if level == "lang":
-        return F.when(F.col("lang") == "en", 4).when(F.col("lang").isin("de", "fr"), 2).otherwise(1).cast("long")
-    return F.lit(1).cast("long")
-
-
-def budgets(leaves: DataFrame, budget_percent: int = BUDGET_PERCENT, max_epochs: int = MAX_EPOCHS) -> DataFrame:
-    """(domain, lang, source, tokens, budget) for each leaf with tokens; ``leaves`` has a row for each document."""
-    levels = ("root", *LEVELS)
-    nodes = {len(LEVELS): leaves.groupBy(F.lit("all").alias("root"), *LEVELS).agg(F.sum("n_words").alias("tokens")).where("tokens > 0").withColumn("capacity", F.col("tokens") * max_epochs)}
-    for depth in range(len(LEVELS) - 1, -1, -1):
-        nodes[depth] = nodes[depth + 1].groupBy(*levels[: depth + 1]).agg(F.sum("tokens").alias("tokens"), F.sum("capacity").alias("capacity"))
-    given = nodes[0].select("root", F.least(F.expr(f"tokens * {budget_percent} div 100"), "capacity").alias("budget"))
-    for depth in range(1, len(LEVELS) + 1):
-        above = list(levels[:depth])
-        level = LEVELS[depth - 1]
-        children = nodes[depth].withColumn("w", weight_of(level)).join(given, above)
+    whole = [F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")] if row else []
+    domain = domain_of() if domain is None else domain
+    key = F.coalesce(F.col("doc_id").cast("long").cast("string"), F.md5(F.col("text").cast("binary")), F.lit("none"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), key.alias("key"), F.coalesce(domain, F.lit("unknown")).alias("domain"), known("lang").alias("lang"), known("source").alias("source"), n_words.alias("n_words"), *whole)
+
+
+def _weight(level: str, weights: Mapping[str, Mapping[str, int]]) -> Column:
+    found = None
+    for name, weight in weights.get(level, {}).items():
+        found = F.when(F.col(level) == name, weight) if found is None else found.when(F.col(level) == name, weight)
+    return (F.lit(1) if found is None else found.otherwise(1)).cast("long")
+
+
+def budgets(leaves: DataFrame, budget_percent: int = BUDGET_PERCENT, max_epochs: int = MAX_EPOCHS, levels: Sequence[str] = LEVELS, weights: Mapping[str, Mapping[str, int]] = WEIGHTS) -> DataFrame:
+    """(*levels, tokens, budget) for each leaf with tokens; ``leaves`` has the levels and ``n_words`` for each document.
+
+    ``weights``: whole numbers from 1 for the names of a level's nodes among their siblings.
+    """
+    levels = list(levels)
+    nodes = {len(levels): leaves.groupBy(*levels).agg(F.sum("n_words").alias("tokens")).where("tokens > 0").withColumn("capacity", F.col("tokens") * max_epochs)}
+    for depth in range(len(levels) - 1, 0, -1):
+        nodes[depth] = nodes[depth + 1].groupBy(*levels[:depth]).agg(F.sum("tokens").alias("tokens"), F.sum("capacity").alias("capacity"))
+    given = None
+    for depth in range(1, len(levels) + 1):
+        above, level = levels[: depth - 1], levels[depth - 1]
+        children = nodes[depth].withColumn("w", _weight(level, weights))
+        if given is None:  # the nodes below the root are few: one window over them
+            top = W.partitionBy(F.lit(0))
+            children = children.withColumn("all", F.sum("tokens").over(top)).withColumn("budget", F.least(F.expr(f"all * {int(budget_percent)} div 100"), F.sum("capacity").over(top)))
+        else:
+            children = children.join(given, above)
         # Siblings in the order in which they fill up; those that fill up below the common level get their capacity.
-        order = W.partitionBy(*above).orderBy(F.col("capacity") / F.col("w"), level)
+        siblings = W.partitionBy(*above) if above else W.partitionBy(F.lit(0))
+        order = siblings.orderBy(F.col("capacity") / F.col("w"), level)
         before = order.rowsBetween(W.unboundedPreceding, -1)
         onward = order.rowsBetween(0, W.unboundedFollowing)
         children = children.withColumn("rest", F.col("budget") - F.coalesce(F.sum("capacity").over(before), F.lit(0))).withColumn("weights", F.sum("w").over(onward))
         children = children.withColumn("full", F.col("capacity") * F.col("weights") <= F.col("rest") * F.col("w"))
-        siblings = W.partitionBy(*above)
-        first = F.min(F.when(~F.col("full"), F.struct(F.col("capacity") / F.col("w"), F.col(level), "rest", "weights"))).over(siblings)
-        share = F.expr("first.rest * w div first.weights")
-        children = children.withColumn("first", first).withColumn("given", F.when(F.col("full"), F.col("capacity")).otherwise(share))
-        given = children.select(*above, level, "tokens", F.col("given").alias("budget"))
-        if depth < len(LEVELS):
-            given = given.drop("tokens")
-    return given.drop("root")
-
-
-def mix(leaves: DataFrame, budget_percent: int = BUDGET_PERCENT, max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
-    """``leaves`` with ``copies``, how often the mix holds each document (0: not at all)."""
-    plan = budgets(leaves, budget_percent, max_epochs)
-    plan = plan.select(*LEVELS, F.expr("budget div tokens").alias("epochs"), F.expr("budget % tokens").alias("rest"))
-    rows = leaves.join(plan, list(LEVELS), "left")
-    rank = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce("epochs", F.lit(0)).cast("string"), F.lit(":"), F.col("doc_id").cast("string")).cast("binary"))
+        first = F.min(F.when(~F.col("full"), F.struct((F.col("capacity") / F.col("w")).alias("k"), F.col(level).alias("l"), "rest", "weights"))).over(siblings)
+        children = children.withColumn("first", first).withColumn("given", F.when(F.col("full"), F.col("capacity")).otherwise(F.expr("first.rest * w div first.weights")))
+        given = children.select(*above, level, *(["tokens"] if depth == len(levels) else []), F.col("given").alias("budget"))
+    return given
+
+
+def mix(leaves: DataFrame, budget_percent: int = BUDGET_PERCENT, max_epochs: int = MAX_EPOCHS, seed: int = SEED, levels: Sequence[str] = LEVELS, weights: Mapping[str, Mapping[str, int]] = WEIGHTS) -> DataFrame:
+    """``leaves`` with ``copies``, how often the mix holds each row (0: not at all).
+
+    Rows of a leaf that agree in ``key`` and ``n_words`` can't be told apart: they are taken together or not at all.
+    """
+    levels = list(levels)
+    plan = budgets(leaves, budget_percent, max_epochs, levels, weights)
+    plan = plan.select(*levels, F.expr("budget div tokens").alias("epochs"), F.expr("budget % tokens").alias("rest"))
+    rows = leaves.join(plan, levels, "left")
+    rank = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce("epochs", F.lit(0)).cast("string"), F.lit(":"), F.col("key")).cast("binary"))
     rows = rows.withColumn("rank", rank).withColumn("bucket", F.substring("rank", 1, 3))
-    sums = rows.groupBy(*LEVELS, "bucket").agg(F.sum("n_words").alias("in_bucket"))
-    ahead = F.coalesce(F.sum("in_bucket").over(W.partitionBy(*LEVELS).orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    ahead = sums.select(*LEVELS, "bucket", ahead.alias("ahead"))
-    inside = F.sum("n_words").over(W.partitionBy(*LEVELS, "bucket").orderBy("rank", "doc_id").rowsBetween(W.unboundedPreceding, 0))
-    rows = rows.join(ahead, [*LEVELS, "bucket"]).withColumn("upto", F.col("ahead") + inside)
+    sums = rows.groupBy(*levels, "bucket").agg(F.sum("n_words").alias("in_bucket"))
+    ahead = F.coalesce(F.sum("in_bucket").over(W.partitionBy(*levels).orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    ahead = sums.select(*levels, "bucket", ahead.alias("ahead"))
+    inside = F.sum("n_words").over(W.partitionBy(*levels, "bucket").orderBy("rank", "n_words").rangeBetween(W.unboundedPreceding, 0))
+    rows = rows.join(ahead, [*levels, "bucket"]).withColumn("upto", F.col("ahead") + inside)
     extra = F.when((F.col("rest") > 0) & (F.col("upto") <= F.col("rest")), 1).otherwise(0)
-    return rows.select("doc_id", *LEVELS, "n_words", F.coalesce(F.col("epochs") + extra, F.lit(0)).cast("long").alias("copies"))
+    return rows.select(*leaves.columns, F.coalesce(F.col("epochs") + extra, F.lit(0)).cast("long").alias("copies"))
 
 
 def mixed_documents(docs: DataFrame, budget_percent: int = BUDGET_PERCENT, max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
-    """The rows of ``docs`` that the mix holds, each as often as it does, with all their columns."""
-    chosen = mix(leaves_of(docs), budget_percent, max_epochs, seed).where("copies > 0").select(F.col("doc_id").alias("__id"), "copies")
-    rows = docs.join(chosen, docs["doc_id"].cast("long") == chosen["__id"])
+    """The rows of ``docs`` that the mix holds, each as often as it does, with all their columns, whatever their names."""
+    rows = mix(leaves_of(docs, row=True), budget_percent, max_epochs, seed).where("copies > 0")
     if max_epochs > 1:
-        rows = rows.withColumn("__epoch", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-    return rows.select(*(docs[c] for c in docs.columns))
+        rows = rows.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    return rows.select("row.*")
 
 
 def op9_mixing(spark, sf_dir: str) -> DataFrame:
-    return mix(leaves_of(documents(spark, sf_dir)))
+    return mix(leaves_of(documents(spark, sf_dir))).select("doc_id", *LEVELS, "n_words", "copies")
 
 
 def _level_sql(depth: int) -> str:
@@ -126,6 +151,6 @@ g0 AS (SELECT least(sum(tokens)::BIGINT * {BUDGET_PERCENT} // 100, sum(capacity)
 {"".join(_level_sql(d).replace("tokens, CASE", "CASE") if d < 3 else _level_sql(d) for d in (1, 2, 3)).strip().rstrip(",")},
 r AS (SELECT doc_id, domain, lang, source, n_words, budget // tokens AS epochs, budget % tokens AS rest FROM l LEFT JOIN g3 USING (domain, lang, source)),
 o AS (SELECT *, md5(concat('{SEED}:', CAST(coalesce(epochs, 0) AS VARCHAR), ':', CAST(doc_id AS VARCHAR))) AS rank FROM r),
-u AS (SELECT *, sum(n_words) OVER (PARTITION BY domain, lang, source ORDER BY rank, doc_id ROWS UNBOUNDED PRECEDING) AS upto FROM o)
+u AS (SELECT *, sum(n_words) OVER (PARTITION BY domain, lang, source ORDER BY rank, n_words RANGE UNBOUNDED PRECEDING) AS upto FROM o)
 SELECT doc_id, domain, lang, source, n_words, CAST(coalesce(epochs + CASE WHEN rest > 0 AND upto <= rest THEN 1 ELSE 0 END, 0) AS BIGINT) AS copies FROM u
 """
