@@ -1,8 +1,17 @@
-"""Folders that are committed by a rename, on any file system that Spark reads."""
+"""Versioned folders with atomic commits, on any file system that Spark reads.
+
+A version is a folder ``v00000001``, ``v00000002``, ...; it is staged elsewhere and renamed into place by Hadoop's
+``FileContext``, which fails if the name is taken. A writer passes the version that it started from and commits exactly
+the next one, so that of two writers who started from the same version one fails and nothing is lost.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+
+class Conflict(RuntimeError):
+    """Another writer committed the version first; start again from the newest one."""
 
 
 def _path(spark: SparkSession, path: str):
@@ -11,22 +20,45 @@ def _path(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def exists(spark: SparkSession, path: str) -> bool:
+def children(spark: SparkSession, path: str) -> list[str]:
+    fs, p = _path(spark, path)
+    return sorted(x.getPath().getName() for x in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
     fs, p = _path(spark, path)
-    return fs.exists(p)
+    fs.delete(p, True)
 
 
-def commit(spark: SparkSession, staged: str, final: str) -> bool:
-    """Rename a staged folder to its final name; False if the name is taken (then the staged folder is removed)."""
+def newest(spark: SparkSession, folder: str) -> int:
+    """The number of the newest version; 0 if there is none."""
+    return max((int(v[1:]) for v in children(spark, folder) if v[:1] == "v" and v[1:].isdigit()), default=0)
+
+
+def version_path(folder: str, version: int) -> str:
+    return f"{folder}/v{version:08d}"
+
+
+def commit(spark: SparkSession, staged: str, folder: str, base: int) -> int:
+    """Rename ``staged`` to the version after ``base``; raises ``Conflict`` (and removes the staged folder) if it is taken."""
+    jvm = spark.sparkContext._jvm
     fs, source = _path(spark, staged)
-    _, target = _path(spark, final)
-    fs.mkdirs(target.getParent())
-    if not fs.exists(target) and fs.rename(source, target):
-        return True
-    fs.delete(source, True)
-    return False
+    _, parent = _path(spark, folder)
+    fs.mkdirs(parent)
+    _, target = _path(spark, version_path(folder, base + 1))
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    none = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    try:
+        context.rename(fs.makeQualified(source), fs.makeQualified(target), none)
+    except Exception as error:
+        fs.delete(source, True)
+        if fs.exists(target):
+            raise Conflict(f"{target} was committed by another writer") from error
+        raise
+    return base + 1
 
 
-def children(spark: SparkSession, path: str) -> list[str]:
-    fs, p = _path(spark, path)
-    return sorted(x.getPath().getName() for x in fs.listStatus(p)) if fs.exists(p) else []
+def stage(rows: DataFrame, path: str) -> str:
+    """Write a small table as one file."""
+    rows.coalesce(1).write.parquet(path)
+    return path

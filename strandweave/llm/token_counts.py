@@ -1,12 +1,16 @@
 """Token counts as rollups that signed deltas maintain.
 
-A ledger is a folder of committed batches. Each batch holds additive totals (documents, tokens) by source, language and
-tokenizer version: inserts add, deletes subtract, revised counts do both. A batch is aggregated by Spark, staged and
-renamed into place under its id; committing the same id again, after a retry or a lost driver, changes nothing. Totals
-are sums over the committed batches, and groups whose documents are all gone drop out.
+A ledger holds additive totals (documents, tokens) by source, language and tokenizer version, as versions. A batch of
+signed deltas (inserts add, deletes subtract, revised counts do both) is aggregated by Spark and added to the newest
+totals; the sums and the batch's id are committed together as the next version. Committing an id again, after a retry or
+a lost driver, changes nothing, and reading the totals costs the same however many batches there were. Groups whose
+documents are all gone drop out.
 
-Null texts have no tokens. Null sources and languages are groups of their own. Rows are counted as they come: a batch
-that names a document twice counts it twice.
+Null texts have no tokens. Null sources and languages are groups of their own. Rows are counted as they come, with or
+without a doc_id: a batch that names a document twice counts it twice. An empty batch is committed like any other. Other
+columns are ignored and may have any name.
+
+Tokenizers other than ``WORDS`` need the package ``tiktoken`` and a file of ranks.
 """
 
 from __future__ import annotations
@@ -20,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents, scratch_dir, written
-from .store import children, commit, exists
+from .store import Conflict, commit, newest, remove, stage, version_path
 
 KEYS = ("source", "lang", "tokenizer")
 WORDS = "words-1"
@@ -79,23 +83,48 @@ def revised(before: DataFrame, after: DataFrame) -> DataFrame:
     return deleted(before).unionByName(inserted(after))
 
 
-def commit_batch(spark: SparkSession, ledger: str, batch_id: str, deltas: DataFrame) -> bool:
-    """Add signed ``deltas`` to the ledger once; False if the batch was committed before."""
-    final = f"{ledger}/batches/{batch_id}"
-    if exists(spark, final):
+STATE = "source string, lang string, tokenizer string, n_docs long, n_tokens long, batch_id string"
+
+
+def _state(spark: SparkSession, ledger: str) -> tuple[int, DataFrame]:
+    """The newest version and its rows: totals, and a row with a batch_id for each batch that they hold."""
+    version = newest(spark, f"{ledger}/versions")
+    if not version:
+        return 0, spark.createDataFrame([], STATE)
+    return version, spark.read.schema(STATE).parquet(version_path(f"{ledger}/versions", version))
+
+
+def commit_batch(spark: SparkSession, ledger: str, batch_id: str, deltas: DataFrame, attempts: int = 5) -> bool:
+    """Add signed ``deltas(source, lang, tokenizer, docs, tokens)`` to the totals once; False if they hold the batch already.
+
+    The new version has the old totals plus those of the batch, and the batch's id. If another writer commits in between,
+    the batch's totals, which are worked out once, are added to the version that it made.
+    """
+    if not _state(spark, ledger)[1].where(F.col("batch_id") == batch_id).isEmpty():
         return False
-    staged = f"{ledger}/staged/{batch_id}-{uuid.uuid4().hex}"
-    deltas.groupBy(*KEYS).agg(F.sum("docs").cast("long").alias("docs"), F.sum("tokens").cast("long").alias("tokens")).coalesce(1).write.parquet(staged)
-    return commit(spark, staged, final)
+    batch = written(deltas.groupBy(*KEYS).agg(F.sum("docs").cast("long").alias("n_docs"), F.sum("tokens").cast("long").alias("n_tokens")), "token-batch")
+    for attempt in range(attempts):
+        version, state = _state(spark, ledger)
+        if not state.where(F.col("batch_id") == batch_id).isEmpty():
+            return False
+        ids = state.where("batch_id is not null").select("batch_id").unionAll(spark.createDataFrame([(batch_id,)], "batch_id string"))
+        after = state.where("batch_id is null").drop("batch_id").unionByName(batch).groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")).where("n_docs <> 0 or n_tokens <> 0")
+        after = after.unionByName(ids, allowMissingColumns=True).select(*(c.split()[0] for c in STATE.split(", ")))
+        try:
+            commit(spark, stage(after, f"{ledger}/staged/{uuid.uuid4().hex}"), f"{ledger}/versions", version)
+        except Conflict:
+            if attempt + 1 == attempts:
+                raise
+            continue
+        if version > 1:  # readers of the version before may go on with it
+            remove(spark, version_path(f"{ledger}/versions", version - 1))
+        return True
+    return False
 
 
 def totals(spark: SparkSession, ledger: str) -> DataFrame:
-    """(source, lang, tokenizer, n_docs, n_tokens) over all committed batches."""
-    paths = [f"{ledger}/batches/{b}" for b in children(spark, f"{ledger}/batches")]
-    schema = "source string, lang string, tokenizer string, docs long, tokens long"
-    rows = spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
-    summed = rows.groupBy(*KEYS).agg(F.sum("docs").alias("n_docs"), F.sum("tokens").alias("n_tokens"))
-    return summed.where("n_docs <> 0 or n_tokens <> 0")
+    """(source, lang, tokenizer, n_docs, n_tokens) of the newest version."""
+    return _state(spark, ledger)[1].where("batch_id is null").drop("batch_id")
 
 
 #: Characters that the cleaned texts of the third batch lack.
@@ -111,11 +140,11 @@ def op7_token_counts(spark, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     vocabularies = {"byte-bpe-50k-1": public_vocabulary()}
     counts = written(count_tokens(docs, vocabularies), "token-counts")
-    cleaned = docs.where(F.col("text").rlike(SYMBOLS)).withColumn("text", F.regexp_replace("text", SYMBOLS, ""))
     toxic = labels.where("toxic = 1").select("doc_id").distinct()
     low = labels.where("quality = 0").select("doc_id").distinct().join(toxic, "doc_id", "left_anti")
-    after = written(count_tokens(cleaned, vocabularies).join(low, "doc_id", "left_semi"), "token-counts")
-    before = counts.join(after.select("doc_id", "tokenizer").distinct(), ["doc_id", "tokenizer"], "left_semi")
+    cleaned = docs.where(F.col("text").rlike(SYMBOLS)).join(low, "doc_id", "left_semi").select(*docs.columns)
+    after = written(count_tokens(cleaned.withColumn("text", F.regexp_replace("text", SYMBOLS, "")), vocabularies), "token-counts")
+    before = written(count_tokens(cleaned, vocabularies), "token-counts")
     ledger = scratch_dir(spark, "token-ledger")
     commit_batch(spark, ledger, "1-arrivals", inserted(counts))
     for _ in range(2):
