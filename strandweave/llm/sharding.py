@@ -1,93 +1,122 @@
 """Shards of a growing corpus, compacted by size tiers.
 
-Arrivals are small immutable shards: ``arrival_rows`` neighbouring doc_ids each. A store is a folder of data folders, which
-are never changed, and of manifests ``v00000001``, ``v00000002`` and so on; a manifest lists the shards of one version and
-the data folder of each, and is committed by a rename, so that readers see the old version or the new one.
-
-``plan_compaction`` works on the table of shard sizes alone. A shard's tier grows by one with each factor of ``fan_in`` in
-size. In each round, ``fan_in`` neighbouring runs of one tier are merged into one, as long as they are below the target
-size; rounds go on for as many tiers as there are below the target. Windows are bounded by sections of ``SECTION``
-arrivals. ``compact`` then rewrites the runs that merge, one file each, and leaves the others where they lie.
-
-Null texts have no bytes. Rows without a doc_id arrive together in shard -1. Repeated rows are kept. An empty table gives
-an empty store. Extra columns are kept as they are; one named like the store's own (``shard``) is replaced.
+A store is a folder of immutable data and of versions. Data lie in ``data/store_batch=b.../store_shard=n``, one file a
+shard, written by one append or one compaction. A version lists the live shards with their batch, rows and bytes; it is
+committed by an atomic rename as the next version of the one that its writer read, so that readers see one version or the
+other, and of two writers who started from the same version one fails (``Conflict``) and nothing is lost. Readers take
+one scan of the data folder, pruned by a join with the version's list, however many appends there were. ``vacuum``
+removes what the newest version doesn't list.
+
+Arrivals are small shards of ``ARRIVAL_ROWS`` neighbouring doc_ids each. A shard's tier grows by one with each factor of
+``fan_in`` in size from ``smallest`` on. Compaction is planned on the table of shard sizes alone: in each round, runs of
+one tier below the target, in the order of their first shard, are merged ``fan_in`` at a time (fewer in the upper tiers,
+so that no merged run passes twice the target), and rounds go on until none merges. ``compact`` rewrites the runs that
+merged, a file each, and leaves the others where they lie.
+
+Null texts have no bytes. Rows without a doc_id are dealt to the shards -1 to -4096 by their texts. Repeated rows are
+kept. An empty table gives an empty result (no version is committed). Extra columns are kept as they are; those named like
+the store's own (``store_batch``, ``store_shard``, ``shard``, ``shard_rows``, ``shard_bytes``, ``tier``) are replaced.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import documents, parallelism, scratch_dir, written
-from .store import children, commit
+from .common import documents, parallelism, scratch_dir, without_shuffle_files, written
+from .store import children, commit, newest, remove, stage, version_path
 
-ARRIVAL_ROWS, FAN_IN, SMALLEST, TARGET, SECTION = 1000, 4, 1 << 20, 32 << 20, 4096
-#: Rows of a table of shards (32 bytes each) up to which it is broadcast.
+ARRIVAL_ROWS, FAN_IN, SMALLEST, TARGET = 200, 4, 1 << 20, 32 << 20
+#: Rows of a table of shards (about 40 bytes each) up to which it is broadcast.
 MAX_BROADCAST_SHARDS = 200_000
+#: Neighbouring shards that are numbered in one task while compaction is planned.
+SECTION = 4096
+OWN = ("store_batch", "store_shard", "shard", "shard_rows", "shard_bytes", "tier")
+VERSION = "store_batch string, shard long, rows long, bytes long"
 
 
-def arrival_of(rows: int = ARRIVAL_ROWS):
+def arrival_of(rows: int = ARRIVAL_ROWS) -> Column:
     """The arrival that a document came with."""
-    return F.coalesce(F.floor(F.col("doc_id") / rows), F.lit(-1)).cast("long")
-
-
-def shard_sizes(rows: DataFrame) -> DataFrame:
-    """(shard, rows, bytes) of documents with their shard."""
-    return rows.groupBy("shard").agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).cast("long").alias("bytes"))
+    spread = F.conv(F.substring(F.md5(F.coalesce("text", F.lit("")).cast("binary")), 1, 3), 16, 10).cast("long")
+    return F.coalesce(F.floor(F.col("doc_id").cast("long") / rows), -1 - spread).cast("long")
 
 
-def _bounds(fan_in: int, smallest: int, target: int) -> list[int]:
+def tier_bounds(fan_in: int, smallest: int, target: int) -> list[int]:
+    """The least size of each tier but the lowest."""
     bounds = [smallest]
     while bounds[-1] * fan_in < target:
         bounds.append(bounds[-1] * fan_in)
     return bounds
 
 
-def plan_compaction(shards: DataFrame, fan_in: int = FAN_IN, smallest: int = SMALLEST, target: int = TARGET) -> DataFrame:
-    """(old, shard, shard_rows, shard_bytes, tier): the run that each shard ends in, named by its first shard."""
-    bounds = _bounds(fan_in, smallest, target)
-    tier = sum(((F.col("bytes") >= b).cast("int") for b in bounds), F.lit(0))
-    runs = shards.select(F.array("shard").alias("parts"), "shard", F.floor(F.col("shard") / SECTION).alias("section"), "rows", "bytes")
-    for _ in range(len(bounds) + 1):
-        ranked = runs.select("*", tier.alias("tier"), (F.col("bytes") < target).alias("small"))
-        ranked = ranked.withColumn("group", F.expr(f"(row_number() over (partition by section, small, tier order by shard) - 1) div {fan_in}"))
-        group = W.partitionBy("section", "small", "tier", "group")
-        name = F.when(F.col("small") & (F.count("*").over(group) == fan_in), F.min("shard").over(group)).otherwise(F.col("shard"))
-        runs = ranked.withColumn("name", name).groupBy("section", F.col("name").alias("shard")).agg(F.flatten(F.collect_list("parts")).alias("parts"), F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes"))
-    return runs.select(F.explode("parts").alias("old"), "shard", F.col("rows").alias("shard_rows"), F.col("bytes").alias("shard_bytes"), tier.alias("tier"))
-
-
-def _versions(spark: SparkSession, store: str) -> list[str]:
-    return [v for v in children(spark, f"{store}/manifests") if v.startswith("v")]
+def fan_ins(fan_in: int, smallest: int, target: int) -> list[int]:
+    """How many runs of each tier merge into one: ``fan_in`` at most and two at least, so that twice the target isn't passed."""
+    return [max(2, min(fan_in, 2 * target // min(high, target))) for high in [*tier_bounds(fan_in, smallest, target), target]]
 
 
-def manifest(spark: SparkSession, store: str) -> DataFrame:
-    """(shard, path) of the newest version."""
-    versions = _versions(spark, store)
-    schema = "shard long, path string"
-    return spark.read.schema(schema).parquet(f"{store}/manifests/{versions[-1]}") if versions else spark.createDataFrame([], schema)
+def _numbered(runs: DataFrame) -> DataFrame:
+    """``n``: the place of each run among those of its tier, from 0, by sections and then inside them."""
+    section = F.floor(F.col("shard") / SECTION)
+    runs = runs.withColumn("section", section)
+    ahead = runs.groupBy("tier", "section").agg(F.count("*").alias("many"))
+    ahead = ahead.withColumn("ahead", F.coalesce(F.sum("many").over(W.partitionBy("tier").orderBy("section").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
+    inside = F.row_number().over(W.partitionBy("tier", "section").orderBy("shard")) - 1
+    return runs.withColumn("inside", inside).join(ahead.select("tier", "section", "ahead"), ["tier", "section"]).withColumn("n", F.col("ahead") + F.col("inside"))
 
 
-def _commit_manifest(spark: SparkSession, store: str, rows: DataFrame) -> None:
-    """Write the next version, from the one that was read before; a writer that comes second fails and can start again."""
-    versions = _versions(spark, store)
-    following = f"v{int(versions[-1][1:]) + 1 if versions else 1:08d}"
-    staged = f"{store}/staged/{uuid.uuid4().hex}"
-    rows.select("shard", "path").coalesce(1).write.parquet(staged)
-    if not commit(spark, staged, f"{store}/manifests/{following}"):
-        raise RuntimeError(f"{following} was committed by another writer")
-
+def plan_compaction(shards: DataFrame, fan_in: int = FAN_IN, smallest: int = SMALLEST, target: int = TARGET) -> DataFrame:
+    """(old, shard, shard_rows, shard_bytes, tier) from ``shards(shard, rows, bytes)``: the run that each shard ends in.
 
-def append(docs: DataFrame, store: str, rows: int = ARRIVAL_ROWS) -> None:
-    """Write new documents as small immutable shards, where they lie (no shuffle), and commit a version that lists them."""
+    A run is named by its first shard. The table of runs shrinks with each round and is written in between.
+    """
+    bounds, fans = tier_bounds(fan_in, smallest, target), fan_ins(fan_in, smallest, target)
+    tier = sum(((F.col("bytes") >= b).cast("int") for b in bounds), F.lit(0))
+    fan = F.element_at(F.array(*map(F.lit, fans)), F.col("tier") + 1)
+    at = written(shards.select(F.col("shard").alias("old"), "shard"), "shards")
+    runs = written(shards.select("shard", "rows", "bytes"), "runs")
+    while True:
+        small = _numbered(runs.where(F.col("bytes") < target).withColumn("tier", tier)).withColumn("part", F.floor(F.col("n") / fan))
+        whole = small.groupBy("tier", "part").agg(F.min("shard").alias("name"), F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes"), F.count("*").alias("many")).where(F.col("many") == fan)
+        whole = written(whole, "merged-runs")
+        if whole.isEmpty():
+            break
+        moves = written(small.select("shard", "tier", "part").join(whole.select("tier", "part", "name"), ["tier", "part"]).select("shard", "name"), "moves")
+        at = written(at.join(moves, "shard", "left").select("old", F.coalesce("name", "shard").alias("shard")), "shards")
+        runs = written(runs.join(moves, "shard", "left_anti").unionAll(whole.select(F.col("name").alias("shard"), "rows", "bytes")), "runs")
+    return at.join(runs, "shard").select("old", "shard", F.col("rows").alias("shard_rows"), F.col("bytes").alias("shard_bytes"), tier.alias("tier"))
+
+
+def current(spark: SparkSession, store: str) -> tuple[int, DataFrame]:
+    """The newest version, 0 if there is none, and its live shards (store_batch, shard, rows, bytes)."""
+    version = newest(spark, f"{store}/versions")
+    return version, spark.read.schema(VERSION).parquet(version_path(f"{store}/versions", version)) if version else spark.createDataFrame([], VERSION)
+
+
+def _commit(spark: SparkSession, store: str, rows: DataFrame, base: int) -> int:
+    return commit(spark, stage(rows.select("store_batch", "shard", "rows", "bytes"), f"{store}/staged/{uuid.uuid4().hex}"), f"{store}/versions", base)
+
+
+def _write(rows: DataFrame, store: str, shard: Column) -> DataFrame:
+    """Write rows as one new batch, a file for each shard; returns its shards (store_batch, shard, rows, bytes)."""
+    spark, batch = rows.sparkSession, f"b{uuid.uuid4().hex}"
+    rows = rows.withColumn("store_shard", shard).repartition(parallelism(spark), "store_shard").sortWithinPartitions("store_shard")
+    with without_shuffle_files(spark):
+        rows.write.option("compression", "zstd").partitionBy("store_shard").parquet(f"{store}/data/store_batch={batch}")
+    found = spark.read.option("basePath", f"{store}/data").parquet(f"{store}/data/store_batch={batch}")
+    return written(found.groupBy(F.col("store_shard").cast("long").alias("shard")).agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).cast("long").alias("bytes")).select(F.lit(batch).alias("store_batch"), "shard", "rows", "bytes"), "new-shards")
+
+
+def append(docs: DataFrame, store: str, rows: int = ARRIVAL_ROWS) -> int:
+    """Write new documents as small immutable shards and commit a version that lists them too; returns the version.
+
+    An arrival that the store has already gets another shard of the same number; both are read.
+    """
     spark = docs.sparkSession
-    path = f"{store}/data/{uuid.uuid4().hex}"
-    docs.drop("shard").withColumn("shard", arrival_of(rows)).write.option("compression", "zstd").parquet(path)
-    new = spark.read.parquet(path).select("shard").distinct().select("shard", F.lit(path).alias("path"))
-    _commit_manifest(spark, store, manifest(spark, store).unionByName(new))
+    base, live = current(spark, store)
+    return _commit(spark, store, live.unionByName(_write(docs.drop(*OWN), store, arrival_of(rows))), base)
 
 
 def _small(table: DataFrame) -> DataFrame:
@@ -97,62 +126,84 @@ def _small(table: DataFrame) -> DataFrame:
 
 def read(spark: SparkSession, store: str) -> DataFrame:
     """The documents of the newest version, with their ``shard``."""
-    listed = manifest(spark, store)
-    parts = []
-    for (path,) in listed.select("path").distinct().collect():
-        rows = spark.read.parquet(path)
-        rows = rows.withColumn("shard", F.col("shard").cast("long"))
-        parts.append(rows.join(_small(listed.where(F.col("path") == path).select("shard").distinct()), "shard", "left_semi").select(*(c for c in rows.columns if c != "shard"), "shard"))
-    if not parts:
+    version, live = current(spark, store)
+    if not version:
         raise ValueError(f"{store} has no version")
-    found = parts[0]
-    for part in parts[1:]:
-        found = found.unionByName(part)
-    return found
-
-
-def compact(spark: SparkSession, store: str, plan: DataFrame) -> None:
-    """Rewrite the runs of ``plan(old, shard)`` that merge several shards, a file each, and commit a version with them."""
-    merging = plan.withColumn("parts", F.count("*").over(W.partitionBy("shard"))).where("parts > 1").select("old", F.col("shard").alias("__run"))
+    rows = spark.read.parquet(f"{store}/data").withColumn("store_shard", F.col("store_shard").cast("long"))
+    live = _small(live.select("store_batch", F.col("shard").alias("store_shard")))
+    columns = [F.col(f"`{c}`") for c in rows.columns if c not in ("store_batch", "store_shard")]
+    return rows.join(live, ["store_batch", "store_shard"], "left_semi").select(*columns, F.col("store_shard").alias("shard"))
+
+
+def compact(spark: SparkSession, store: str, plan: DataFrame, base: int) -> int:
+    """Rewrite the runs of ``plan(old, shard)`` that merge several shards and commit the version after ``base``."""
+    version, live = current(spark, store)
+    if version != base:
+        raise ValueError(f"the plan is for version {base}, the store is at {version}")
+    merging = plan.withColumn("parts", F.count("*").over(W.partitionBy("shard"))).where("parts > 1").select(F.col("old").alias("__old"), F.col("shard").alias("__run"))
     now = read(spark, store)
-    path = f"{store}/data/{uuid.uuid4().hex}"
-    moved = now.join(_small(merging), now["shard"] == merging["old"]).select(*(now[c] for c in now.columns if c != "shard"), F.col("__run").alias("shard"))
-    moved.repartition(parallelism(spark), "shard").write.option("compression", "zstd").partitionBy("shard").parquet(path)
-    stay = manifest(spark, store).join(merging.select(F.col("old").alias("shard")), "shard", "left_anti")
-    _commit_manifest(spark, store, stay.unionByName(merging.select(F.col("__run").alias("shard"), F.lit(path).alias("path")).distinct()))
+    moved = now.join(_small(merging), now["shard"] == merging["__old"]).drop("shard", "__old")
+    new = _write(moved, store, F.col("__run")) if not merging.isEmpty() else live.limit(0)
+    stay = live.join(merging.select(F.col("__old").alias("shard")), "shard", "left_anti")
+    return _commit(spark, store, stay.select("store_batch", "shard", "rows", "bytes").unionByName(new), base)
+
+
+def vacuum(spark: SparkSession, store: str) -> None:
+    """Remove data that the newest version doesn't list, and older versions. Not for a store that others write to now."""
+    version, live = current(spark, store)
+    kept: dict[str, int] = {r["store_batch"]: r["n"] for r in live.groupBy("store_batch").agg(F.count("*").alias("n")).collect()}
+    for folder in children(spark, f"{store}/data"):
+        path, batch = f"{store}/data/{folder}", folder.partition("=")[2]
+        if batch not in kept:
+            remove(spark, path)
+        elif kept[batch] < len([x for x in children(spark, path) if x.startswith("store_shard=")]):
+            mine = {f"store_shard={r['shard']}" for r in live.where(F.col("store_batch") == batch).select("shard").toLocalIterator()}
+            for dead in children(spark, path):
+                if dead.startswith("store_shard=") and dead not in mine:
+                    remove(spark, f"{path}/{dead}")
+    for old in children(spark, f"{store}/versions"):
+        if old != version_path("", version)[1:]:
+            remove(spark, f"{store}/versions/{old}")
 
 
 def sharded(docs: DataFrame, rows: int = ARRIVAL_ROWS, fan_in: int = FAN_IN, smallest: int = SMALLEST, target: int = TARGET) -> DataFrame:
     """``docs`` from a new store, with shard, shard_rows, shard_bytes and tier: appended, planned, compacted, read again."""
     spark = docs.sparkSession
     if docs.isEmpty():
-        return docs.drop("shard").select("*", *(F.lit(None).cast(t).alias(c) for c, t in (("shard", "long"), ("shard_rows", "long"), ("shard_bytes", "long"), ("tier", "int"))))
+        return docs.drop(*OWN).select("*", *(F.lit(None).cast(t).alias(c) for c, t in (("shard", "long"), ("shard_rows", "long"), ("shard_bytes", "long"), ("tier", "int"))))
     store = scratch_dir(spark, "store")
-    append(docs, store, rows)
-    plan = written(plan_compaction(shard_sizes(read(spark, store)), fan_in, smallest, target), "compaction")
-    compact(spark, store, plan)
+    version = append(docs, store, rows)
+    plan = written(plan_compaction(current(spark, store)[1], fan_in, smallest, target), "compaction")
+    compact(spark, store, plan, version)
+    vacuum(spark, store)
     of_shard = plan.select("shard", "shard_rows", "shard_bytes", "tier").distinct()
-    return read(spark, store).join(_small(of_shard), "shard").select(*(c for c in docs.columns if c != "shard"), "shard", "shard_rows", "shard_bytes", "tier")
+    found = read(spark, store)
+    return found.join(_small(of_shard), "shard").select(*(F.col(f"`{c}`") for c in found.columns if c != "shard"), "shard", "shard_rows", "shard_bytes", "tier")
 
 
 def op1_sharding(spark, sf_dir: str) -> DataFrame:
     return sharded(documents(spark, sf_dir)).select("doc_id", "shard", "shard_rows", "shard_bytes", "tier")
 
 
+_TIER = " + ".join(f"(bytes >= {b})::INT" for b in tier_bounds(FAN_IN, SMALLEST, TARGET))
+_FAN = f"list_extract([{', '.join(map(str, fan_ins(FAN_IN, SMALLEST, TARGET)))}], tier + 1)"
+#: Rounds of the SQL; more than the tables of the correctness check need (rounds without a merge change nothing).
+_SQL_ROUNDS = 8
+
+
 def _round_sql(k: int) -> str:
-    tier = " + ".join(f"(bytes >= {b})::INT" for b in _bounds(FAN_IN, SMALLEST, TARGET))
     return f"""
-t{k} AS (SELECT *, {tier} AS tier, bytes < {TARGET} AS small FROM r{k}),
-q{k} AS (SELECT *, (row_number() OVER (PARTITION BY section, small, tier ORDER BY shard) - 1) // {FAN_IN} AS grp FROM t{k}),
-m{k} AS (SELECT *, CASE WHEN small AND count(*) OVER (PARTITION BY section, small, tier, grp) = {FAN_IN} THEN min(shard) OVER (PARTITION BY section, small, tier, grp) ELSE shard END AS name FROM q{k}),
-r{k + 1} AS (SELECT section, name AS shard, flatten(list(arrivals)) AS arrivals, sum(rows)::BIGINT AS rows, sum(bytes)::BIGINT AS bytes FROM m{k} GROUP BY section, name)"""
+t{k} AS (SELECT *, {_TIER} AS tier, bytes < {TARGET} AS small FROM r{k}),
+q{k} AS (SELECT *, (row_number() OVER (PARTITION BY small, tier ORDER BY shard) - 1) // {_FAN} AS part FROM t{k}),
+m{k} AS (SELECT *, CASE WHEN small AND count(*) OVER (PARTITION BY small, tier, part) = {_FAN} THEN min(shard) OVER (PARTITION BY small, tier, part) ELSE shard END AS name FROM q{k}),
+r{k + 1} AS (SELECT name AS shard, flatten(list(arrivals)) AS arrivals, sum(rows)::BIGINT AS rows, sum(bytes)::BIGINT AS bytes FROM m{k} GROUP BY name)"""
 
 
-_ROUNDS = len(_bounds(FAN_IN, SMALLEST, TARGET)) + 1
+_ARRIVAL = f"coalesce(CAST(floor(doc_id / {ARRIVAL_ROWS}) AS BIGINT), -1 - CAST(concat('0x', substr(md5(coalesce(text, '')), 1, 3)) AS BIGINT))"
 SQL = f"""
-WITH s AS (SELECT coalesce(CAST(floor(doc_id / {ARRIVAL_ROWS}) AS BIGINT), -1) AS arrival, count(*) AS rows, coalesce(sum(octet_length(encode(text))), 0)::BIGINT AS bytes FROM documents GROUP BY 1),
-r0 AS (SELECT CAST(floor(arrival / {SECTION}) AS BIGINT) AS section, arrival AS shard, [arrival] AS arrivals, rows::BIGINT AS rows, bytes FROM s),
-{",".join(_round_sql(k) for k in range(_ROUNDS)).strip()},
-p AS (SELECT unnest(arrivals) AS arrival, shard, rows AS shard_rows, bytes AS shard_bytes, {" + ".join(f"(bytes >= {b})::INT" for b in _bounds(FAN_IN, SMALLEST, TARGET))} AS tier FROM r{_ROUNDS})
-SELECT doc_id, shard, shard_rows, shard_bytes, tier FROM documents JOIN p ON coalesce(CAST(floor(doc_id / {ARRIVAL_ROWS}) AS BIGINT), -1) = arrival
+WITH s AS (SELECT {_ARRIVAL} AS arrival, count(*) AS rows, coalesce(sum(octet_length(encode(text))), 0)::BIGINT AS bytes FROM documents GROUP BY 1),
+r0 AS (SELECT arrival AS shard, [arrival] AS arrivals, rows::BIGINT AS rows, bytes FROM s),
+{",".join(_round_sql(k) for k in range(_SQL_ROUNDS)).strip()},
+p AS (SELECT unnest(arrivals) AS arrival, shard, rows AS shard_rows, bytes AS shard_bytes, {_TIER} AS tier FROM r{_SQL_ROUNDS})
+SELECT doc_id, shard, shard_rows, shard_bytes, tier FROM documents JOIN p ON {_ARRIVAL} = arrival
 """
