@@ -8,7 +8,8 @@ their cosine; the votes of a label are weighted by the inverse of its frequency,
 
 The sample is the labelled documents with the least hash of the id, out of the rows the caller lets in: a bounded fit,
 while every document is scored in full. Null and empty texts get the vector of "no words" and a score like all others.
-Each row of the input gets one row of output.
+Each row of the input gets one row of output, whether its doc_id is missing, repeated or neither. An empty table gives an
+empty result. Other columns are ignored and may have any name.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import repeats as R
-from .common import documents, keyed
+from .common import documents
 from .substring_dedup import _TABLE, word_spans
 
 WORD_DIMS, SHAPE_DIMS, LATENT = 1024, 128, 48
@@ -109,7 +110,8 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> Model:
     """Fit on ``docs(doc_id, text)`` with at most ``limit`` of the ``labels(doc_id, label)``.
 
     Null labels are left out; of several labels of one document the larger counts. Only the chosen labels, ``limit``
-    rows, are sent to the documents.
+    rows, are sent to the documents. Without any label, every text will score 0.5. Of several texts with one labelled
+    doc_id that with the least hash is learnt from.
     """
     chosen = labels.where("label is not null and doc_id is not null").groupBy("doc_id").agg(F.max("label").alias("label"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
@@ -119,9 +121,11 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> Model:
             for low, high, data, bounds in R.text_chunks(batch):
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low), batch.column(2).slice(low, high - low), pa.array([v.tobytes() for v in vectors(data, bounds)], pa.binary())], names=["doc_id", "label", "vector"])
 
-    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", F.col("label").cast("int")).mapInArrow(of, "doc_id long, label int, vector binary").orderBy("doc_id", "label").collect()
+    taught = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(chosen), "doc_id")
+    taught = taught.groupBy("doc_id", "label").agg(F.min(F.struct(F.xxhash64("text"), "text"))["text"].alias("text"))
+    found = taught.select("doc_id", "text", F.col("label").cast("int")).mapInArrow(of, "doc_id long, label int, vector binary").orderBy("doc_id", "label").collect()
     if not found:
-        raise ValueError("no labelled rows to learn from")
+        return Model(np.zeros((1, WORD_DIMS + SHAPE_DIMS), np.float32), np.array([0.5]))
     return Model(np.frombuffer(b"".join(r.vector for r in found), np.float32).reshape(len(found), -1), np.array([r.label for r in found]))
 
 
@@ -142,6 +146,6 @@ def op6_quality_classifier(spark, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     fold = lambda c: F.crc32(c.cast("string").cast("binary")) % 4
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(fold(F.col("doc_id")) != 2).select("doc_id", F.col("quality").alias("label"))
-    model = fit(keyed(docs, "text"), labels)
+    model = fit(docs, labels)
     scored = score(docs, model)
     return scored.select("doc_id", (fold(F.col("doc_id")) == 2).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
