@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import importlib
 import random
 import re
 from collections import Counter
@@ -11,10 +12,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from strandweave.llm import decontaminate, jaccard_join, mixing, quality_classifier, quality_rules, secret_scan, sharding, substring_dedup, suffix_dedup, token_counts
-from strandweave.llm.common import keyed, scratch_dir
+from strandweave.llm import repeats as R
+from strandweave.llm import store
+from strandweave.llm.common import numbered, scratch_dir
 from strandweave.operators.graph import components
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, shard long, marks string, root long, size int, key string, label int"
+#: The columns of documents, and others named like columns that operators make.
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, shard long, marks string, root long, size int, key string, label int, copies int, row int, number int, tier int, budget string"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -37,10 +41,11 @@ def texts() -> dict[int, str | None]:
 
 
 TEXTS = texts()
+SMALL = "/root/testdata/sf0.001"
 
 
 def table(spark, rows):
-    return spark.createDataFrame([(d, x, None if d % 5 == 0 else "en", None if d % 7 == 0 else f"src{d % 3}", len(x or ""), d, "m", d, 1, "k", 0) for d, x in rows], SCHEMA)
+    return spark.createDataFrame([(d, x, None if (d or 0) % 5 == 0 else "en", None if (d or 0) % 7 == 0 else f"src{(d or 0) % 3}", len(x or ""), d, "m", d, 1, "k", 0, 1, 2, 3, 4, "b") for d, x in rows], SCHEMA)
 
 
 @pytest.fixture(scope="module")
@@ -53,9 +58,114 @@ def empty(spark):
     return spark.createDataFrame([], SCHEMA)
 
 
-def test_keyed_takes_one_row_a_document(spark):
+def test_rows_are_numbered_where_ids_are_missing_or_repeated(spark):
     rows = spark.createDataFrame([(1, "b"), (1, "a"), (None, "c"), (2, "d"), (2, "d")], "doc_id long, text string")
-    assert {tuple(r) for r in keyed(rows, "text").collect()} == {(1, "a"), (2, "d")}
+    found, named = numbered(rows, row=True)
+    got = found.collect()
+    assert [r.row.doc_id for r in sorted(got, key=lambda r: r.doc_id)] == [1, 1, 2, 2, None] and len({r.doc_id for r in got}) == 5
+    assert sorted(((r.doc_id, r.text) for r in named(found.select("doc_id", "text")).collect()), key=str) == sorted([(1, "b"), (1, "a"), (None, "c"), (2, "d"), (2, "d")], key=str)
+    clean = spark.createDataFrame([(5, "x"), (3, "y")], "doc_id long, text string")
+    assert {tuple(r) for r in numbered(clean)[0].collect()} == {(5, "x"), (3, "y")}
+
+
+def thue_morse(a: str, b: str, doublings: int) -> tuple[str, str]:
+    """Two texts of 2**doublings characters whose polynomial hashes modulo 2**64 are equal for every odd base."""
+    one, other = a, b
+    for _ in range(doublings):
+        one, other = one + other, other + one
+    return one, other
+
+
+@pytest.mark.parametrize("doublings", [10, 11])
+def test_unequal_texts_are_never_taken_as_equal(spark, doublings):
+    one, other = thue_morse("a", "b", doublings)
+    filler = [f"w{i}" for i in range(17)]
+    rows = [(1, f"{one}\n{other}\n{' '.join(f'v{i}' for i in range(30))}"), (2, " ".join([*filler, one, *filler])), (3, " ".join([*filler, other, *filler])), (4, one), (5, other)]
+    table_ = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.n_dup_lines for r in quality_rules.judge(table_).collect()} == {0}
+    assert [r.n_removed for r in substring_dedup.remove_repeated_passages(table_).collect()] == [0] * 5
+    assert all(r.n_links == 0 and r.class_id == r.doc_id for r in jaccard_join.jaccard_classes(table_).collect())
+    blank = [(6, " ".join([*filler, one, *filler]).replace(" ", "  ")), (7, one + "\n" + one)]
+    again = spark.createDataFrame([*rows, *blank], "doc_id long, text string")
+    assert {r.doc_id: r.n_removed for r in substring_dedup.remove_repeated_passages(again).collect()} == {1: 0, 2: 35, 3: 0, 4: 0, 5: 0, 6: 35, 7: 0}
+    assert {r.doc_id: r.n_dup_lines for r in quality_rules.judge(again).collect()}[7] == 1
+
+
+def test_names_that_collide_are_told_apart_by_content():
+    import numpy as np
+
+    texts_ = quality_rules.Texts.of(*_chunk(["aa bb\ncc dd\naa bb\nee ff"]))
+    doc, start, end = quality_rules.lines(texts_)
+    same = lambda a, b: quality_rules._same_stretches(texts_.data, start, end, a, b)
+    digest = lambda: R.digests(texts_.data.tobytes(), start, end)[:, 0]
+    later, several = quality_rules.repeats_in_doc(doc, np.zeros(4, np.uint64), same, digest)
+    assert later.tolist() == [False, False, True, False] and several.tolist() == [True, False, True, False]
+
+
+def _chunk(rows: list[str]):
+    import numpy as np
+
+    raw = [x.encode() for x in rows]
+    return np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in raw])])
+
+
+def test_names_are_residues_of_the_content(docs):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    values = rng.integers(0, 2**61 - 1, 500, dtype=np.uint64)
+    hasher = R.Hasher(values)
+    inverse, base = pow(R.BASE, -1, R.PRIME), R.BASE
+    for start, end in [(0, 500), (3, 4), (100, 355), (7, 7)]:
+        wanted = sum(int(values[i]) * pow(inverse, i, R.PRIME) for i in range(start, end)) * pow(base, start, R.PRIME) % R.PRIME
+        assert hasher(np.array([start]), np.array([end]))[0] == R.mix(np.array([wanted], np.uint64))[0]
+    assert (hasher.fixed(20) == hasher(np.arange(481), np.arange(20, 501))).all()
+
+
+@pytest.mark.parametrize("window", [35, 10, 3])
+def test_equal_windows_share_interior_symbols(window):
+    """Windows with equal words have one anchor symbol at one place, and each window is in one run."""
+    import numpy as np
+
+    rng = random.Random(window)
+    for kinds in (2, 5, 50):
+        words = [f"w{i}" for i in range(kinds)]
+        base = [rng.choice(words) for _ in range(60)]
+        rows = [" ".join([rng.choice(words) for _ in range(rng.randint(0, 40))] + base[rng.randint(0, 20) : rng.randint(40, 60)] + [rng.choice(words) for _ in range(rng.randint(0, 40))]) for _ in range(6)]
+        key, _, _, first, place, count, units = substring_dedup._chunk_runs(window)(*_chunk(rows))
+        covered = np.zeros(units[-1] + 1, int)
+        seen: dict[tuple, tuple] = {}
+        flat = " ".join(rows).split()
+        for k, f, c, q in zip(key, first, count, place, strict=True):
+            covered[f : f + c] += 1
+            for i in range(f, f + c):
+                anchor = (int(k), int(q - i))
+                assert seen.setdefault(tuple(flat[i : i + window]), anchor) == anchor
+        wanted = np.zeros(units[-1] + 1, int)
+        for low, high in zip(units[:-1], units[1:], strict=True):
+            wanted[low : max(low, high - window + 1)] = 1
+        assert (covered == wanted).all()
+
+
+def test_longest_previous_factors():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    for _ in range(60):
+        kinds, n, depth = int(rng.integers(1, 4)), int(rng.integers(1, 120)), int(rng.integers(2, 20))
+        data = rng.integers(97, 97 + kinds, n + depth).astype(np.uint8)
+        start = rng.permutation(n)[: rng.integers(1, n + 1)]
+        doc = rng.integers(0, 6, len(start))
+        cut = [data[a : a + depth].tobytes() for a in start]
+        prefix = lambda x, y: next((k for k in range(len(x)) if x[k] != y[k]), len(x))
+        wanted = [max([prefix(cut[i], cut[j]) for j in range(len(start)) if doc[j] < doc[i]], default=0) for i in range(len(start))]
+        got = suffix_dedup.longest_previous_factors(data, start, doc, depth)
+        assert [min(x, depth) for x in wanted if x >= depth] == [x for x, w in zip(got, wanted, strict=True) if w >= depth]
+        assert all((x >= depth) == (w >= depth) for x, w in zip(got, wanted, strict=True))
+        order, common = suffix_dedup.suffix_order(data, start, depth)
+        up = suffix_dedup.nearest_smaller(doc[order], common, len(start))
+        down = suffix_dedup.nearest_smaller(doc[order][::-1], np.append(0, common[:0:-1]), len(start))[::-1]
+        assert np.maximum(up, down).tolist() == [wanted[i] for i in order]
 
 
 def test_suffix_dedup(docs):
@@ -76,10 +186,34 @@ def test_suffix_dedup(docs):
         assert (got[d].n_bytes, got[d].n_removed, got[d].n_spans, bytes(got[d].kept)) == (len(b), sum(gone), spans, bytes(c for c, g in zip(b, gone, strict=True) if not g)), d
 
 
-def test_suffix_dedup_deals_hot_anchors_by_window(docs, monkeypatch):
-    usual = {r.doc_id: bytes(r.kept) for r in suffix_dedup.find_repeated_bytes(docs).collect()}
-    monkeypatch.setattr(suffix_dedup, "SLICE", 50)
-    assert {r.doc_id: bytes(r.kept) for r in suffix_dedup.find_repeated_bytes(docs).collect()} == usual
+def set_in_tasks(monkeypatch, docs, module, name, value):
+    """Set a module's constant here and in the tasks, whose workers import the module themselves."""
+    monkeypatch.setattr(module, name, value)
+    kind, target = type(docs), module.__name__
+    usual = kind.mapInArrow
+
+    def patched(frame, function, schema, *rest):
+        def of(batches):
+            held = importlib.import_module(target)
+            before = getattr(held, name)
+            setattr(held, name, value)
+            try:
+                yield from function(batches)
+            finally:
+                setattr(held, name, before)
+
+        return usual(frame, of, schema, *rest)
+
+    monkeypatch.setattr(kind, "mapInArrow", patched)
+
+
+@pytest.mark.parametrize(("module", "name", "value"), [(suffix_dedup, "SLICE", 50), (R, "HOT_CONTEXTS", 0), (R, "HOT_IN_FLUSH", 0), (R, "CHUNK_BYTES", 300), (R, "FLUSH", 20)])
+def test_dealing_doesnt_change_what_is_removed(docs, monkeypatch, module, name, value):
+    """Slices, hot keys dealt by context or by window, small chunks and flushes; some texts are longer than such a chunk."""
+    found = lambda: ({r.doc_id: (bytes(r.kept), r.n_spans) for r in suffix_dedup.find_repeated_bytes(docs).collect()}, {r.doc_id: r.kept for r in substring_dedup.remove_repeated_passages(docs).collect()})
+    usual = found()
+    set_in_tasks(monkeypatch, docs, module, name, value)
+    assert found() == usual
 
 
 @pytest.mark.parametrize("window", [35, 10])
@@ -108,60 +242,137 @@ def brute_classes(rows: dict[int, str | None]) -> dict[int, tuple[int, int]]:
 def test_jaccard_classes(docs, monkeypatch):
     wanted = brute_classes(TEXTS)
     assert {r.doc_id: (r.class_id, r.n_links) for r in jaccard_join.jaccard_classes(docs).collect()} == wanted
-    # Blocks of three and split buckets give the same.
+    # Blocks of three and crowded nodes give the same.
     assert {r.doc_id: (r.class_id, r.n_links) for r in jaccard_join.jaccard_classes(docs, block=3).collect()} == wanted
-    monkeypatch.setattr(jaccard_join, "SPLIT", 2)
-    assert {r.doc_id: (r.class_id, r.n_links) for r in jaccard_join.jaccard_classes(docs).collect()} == wanted
+    for split in (1, 2, 3):
+        monkeypatch.setattr(jaccard_join, "SPLIT", split)
+        assert {r.doc_id: (r.class_id, r.n_links) for r in jaccard_join.jaccard_classes(docs).collect()} == wanted
     kept = jaccard_join.drop_near_duplicates(docs)
     assert kept.columns == docs.columns
     assert {r.doc_id for r in kept.collect()} == {c for c, _ in wanted.values()}
 
 
-def test_prefix_is_shortened_until_the_recall_is_met():
-    depth = jaccard_join.prefix_depth(0.8)
+def test_shortest_prefix_meets_the_recall():
+    depth = jaccard_join.floor_depth(0.8)
     assert 1 - (1 - 0.8**depth) ** jaccard_join.TREES >= jaccard_join.RECALL
     assert 1 - (1 - 0.8 ** (depth + 1)) ** jaccard_join.TREES < jaccard_join.RECALL
 
 
+def test_crowded_prefixes_end_deeper_and_short_texts_are_tied(spark, monkeypatch):
+    """Four texts share a prefix at the floor; two pairs share a longer one. Few such trees keep the recall, many don't."""
+    monkeypatch.setattr(jaccard_join, "SPLIT", 2)
+    floor = jaccard_join.floor_depth(0.8)
+    label = lambda tree, *values: int.from_bytes(bytes([tree, *values]), "big")
+    rows = lambda trees: spark.createDataFrame([(d, label(t, 1, 1, 1, 1, d // 3, 7)) for t in range(trees) for d in (1, 2, 3, 4)], "doc_id long, label long")
+    for trees, tied in ((8, set()), (9, {(2, 1), (3, 1), (4, 1)})):
+        nodes, edges = jaccard_join._crowded(rows(trees), 0.8, floor)
+        assert Counter(r["depth"] for r in nodes.collect()) == {floor + 1: 4 * trees}
+        assert len({(r.depth, r.node) for r in nodes.collect()}) == 2 * trees
+        assert {(r.u, r.v) for r in edges.collect()} == tied
+
+
 def test_components_of_a_chain_and_of_nothing(spark):
     chain = spark.createDataFrame([(i, i + 1) for i in range(30)] + [(50, 50), (60, 61)], "u long, v long")
     assert {r.node: r.root for r in components(chain).collect()} == {**dict.fromkeys(range(31), 0), 60: 60, 61: 60}
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def brute_quality(x: str | None) -> tuple:
+    """The base statistics, base_failed and kept of a text."""
+    x = x or ""
+    w = WORD.findall(x)
+    count = Counter(tuple(w[i : i + 8]) for i in range(len(w) - 7))
+    repeated = {k for i in range(len(w) - 7) if count[tuple(w[i : i + 8])] > 1 for k in range(i, i + 8)}
+    lines_ = [line for line in x.split("\n") if WORD.search(line)]
+    dup, chars, symbols = len(lines_) - len(set(lines_)), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", x))
+    failed = len(w) < 20 or 100 * len(repeated) > 30 * len(w)
+    stutter = sum(a == b for a, b in zip(w, w[1:], strict=False))
+    shouted = sum(len(re.findall("[A-Z]", v)) > 1 and not re.search("[a-z]", v) for v in w)
+    good = 2 * len(w) <= chars <= 20 * len(w) and 10 * symbols <= len(w) and 2 * dup <= len(lines_) and 10 * stutter <= 2 * len(w) and 10 * shouted <= 5 * len(w)
+    return len(w), chars, symbols, dup, len(repeated), failed, good and not failed
+
+
+def judged(r) -> tuple:
+    return r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed, r.kept
+
+
 def test_quality_rules(docs):
-    got = {r.doc_id: r for r in quality_rules.judge(docs).collect()}
-    assert got.keys() == TEXTS.keys()
-    for d, x in TEXTS.items():
-        x = x or ""
-        w = WORD.findall(x)
-        count = Counter(tuple(w[i : i + 8]) for i in range(len(w) - 7))
-        repeated = {k for i in range(len(w) - 7) if count[tuple(w[i : i + 8])] > 1 for k in range(i, i + 8)}
-        seen, dup = set(), 0
-        for line in x.split("\n"):
-            dup += bool(WORD.search(line)) and line in seen
-            seen.add(line)
-        failed = len(w) < 20 or 100 * len(repeated) > 30 * len(w)
-        r = got[d]
-        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", x)), dup, len(repeated), failed), d
-        assert not (failed and r.kept)
-    assert got[10].kept and not got[6].kept
+    got = {r.doc_id: judged(r) for r in quality_rules.judge(docs).collect()}
+    assert got == {d: brute_quality(x) for d, x in TEXTS.items()}
+    assert got[10][-1] and not got[6][-1]
     # The order of the rules doesn't change a verdict.
     turned = {r.doc_id: r.kept for r in quality_rules.judge(docs, tuple(reversed(quality_rules.RULES))).collect()}
-    assert turned == {d: r.kept for d, r in got.items()}
+    assert turned == {d: r[-1] for d, r in got.items()}
     kept = quality_rules.keep_good(docs)
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {d for d, k in turned.items() if k}
 
 
+def test_quality_rules_over_the_whole_table(spark):
+    texts_ = {r.doc_id: r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()}
+    assert {r.doc_id: judged(r) for r in quality_rules.op3_quality_rules(spark, SMALL).collect()} == {d: brute_quality(x) for d, x in texts_.items()}
+
+
+def test_cascade_shows_a_rule_only_what_is_left():
+    seen = []
+
+    def rule(name, rejects):
+        def of(t):
+            seen.append((name, len(t.n_words)))
+            return rejects(t)
+
+        return quality_rules.Rule(name, of)
+
+    rules = (rule("short", lambda t: t.n_words < 3), rule("symbols", lambda t: t.stat("n_symbols") > 0), rule("any", lambda t: t.n_words < 0))
+    t = quality_rules.Texts.of(*_chunk(["a b c d", "a", "a b # c", "", "e f g h"]))
+    import numpy as np
+
+    assert quality_rules.cascade(t, np.arange(5), rules).tolist() == [0, 4]
+    assert seen == [("short", 5), ("symbols", 3), ("any", 2)]
+
+
+def brute_secrets(x: str | None) -> tuple[list, list]:
+    """Base spans and linked weak parts of a text, by the rules of the docstring, all pairs compared."""
+    x = x or ""
+    word = r"(password|passwd|secret|token|api_?key)"
+    base = [("assign", *m.span()) for m in re.finditer(word + r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", x, re.I | re.A) if len(m[2]) >= 6]
+    base += [("access", *m.span()) for m in re.finditer("AKIA[A-Z0-9]+", x) if len(m[0]) >= 20]
+    base += [("hex", *m.span()) for m in re.finditer("[0-9a-f]+", x) if len(m[0]) >= 24]
+    base.sort(key=lambda s: (s[1], ("assign", "access", "hex").index(s[0])))
+    weak = [(kind, *m.span()) for kind, _, pattern in secret_scan.WEAK for m in pattern.finditer(x) if not any(a < m.end() and m.start() < b for _, a, b in base)]
+    ids = [s for s in weak if s[0] == "id"] + [s for s in base if s[0] == "access"]
+    keys = [s for s in weak if s[0] == "key"] + [s for s in base if s[0] in ("assign", "hex")]
+    near = lambda s, others: any(o[1] < s[2] + 200 and s[1] - 200 < o[2] for o in others)
+    linked = [s for s in weak if {"id": near(s, keys), "key": near(s, ids), "endpoint": near(s, ids) and near(s, keys)}[s[0]]]
+    return base, linked
+
+
+def test_secret_scan_over_the_whole_table(spark):
+    got = {r.doc_id: r for r in secret_scan.op4_secret_scan(spark, SMALL).collect()}
+    rows = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()
+    assert len(rows) == len(got)
+    text = lambda spans: ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
+    linked_some = 0
+    for d, x in rows:
+        base, linked = brute_secrets(x)
+        linked_some += bool(linked)
+        count = Counter(k for k, _, _ in base)
+        every = sorted(base + linked, key=lambda s: (s[1], secret_scan.KINDS[s[0]], s[2]))
+        assert (got[d].n_assign, got[d].n_access, got[d].n_hex, got[d].base_sha256, got[d].spans) == (count["assign"], count["access"], count["hex"], hashlib.sha256(text(base).encode()).hexdigest(), text(every)), d
+
+
 def test_secret_scan(spark, docs):
     got = {r.doc_id: r for r in secret_scan.find_secrets(docs).collect()}
+    for d, x in TEXTS.items():
+        base, linked = brute_secrets(x)
+        assert [tuple(s) for s in got[d].base] == base and sorted(tuple(s) for s in got[d].linked) == sorted(linked), d
     assert got.keys() == TEXTS.keys()
     assert [s.kind for s in got[41].base] == ["assign", "access", "hex"]
     pair = "user: alice42 then Zk3Zk3Zk3Zk3Zk3Zk3Zk3Zk3 at postgres://db.example/x"
     far = "user: alice42 " + "x " * 400 + "Zk3Zk3Zk3Zk3Zk3Zk3Zk3Zk3"
-    rows = spark.createDataFrame([(1, pair), (2, far), (3, "Zk3Zk3Zk3Zk3Zk3Zk3Zk3Zk3"), (4, None)], "doc_id long, text string")
-    linked = {r.doc_id: sorted(s.kind for s in r.linked) for r in secret_scan.find_secrets(rows).collect()}
-    assert linked == {1: ["endpoint", "id", "key"], 2: [], 3: [], 4: []}
+    rows = spark.createDataFrame([(1, pair), (2, far), (3, "Zk3Zk3Zk3Zk3Zk3Zk3Zk3Zk3"), (4, None), (1, "nothing"), (None, pair), (1, pair)], "doc_id long, text string")
+    linked = sorted(((r.doc_id or 0, sorted(s.kind for s in r.linked)) for r in secret_scan.find_secrets(rows).collect()), key=str)
+    whole = ["endpoint", "id", "key"]
+    assert linked == sorted([(1, whole), (1, whole), (0, whole), (1, []), (2, []), (3, []), (4, [])], key=str)
 
 
 def test_secret_spans_of_overlapping_assignments():
@@ -213,7 +424,7 @@ def test_decontamination_drops_clashing_windows_only(spark):
     rows = spark.createDataFrame([*copies.items()], "doc_id long, text string")
     found = {(r.doc_id, r.item_id): (r.n_windows, r.n_found) for r in decontaminate.find_leaks(rows, bench).collect()}
     assert found.keys() >= {(11, 1), (12, 2), (13, 3), (14, 4), (15, 5)} and all(d == i + 10 for d, i in found)
-    assert found[12, 2] == (11, 11) and found[15, 5] == (12, 7)
+    assert found[12, 2] == (11, 11) and found[15, 5] == (13, 8)
 
 
 def test_outvoted_slots():
@@ -270,6 +481,80 @@ def test_classifier(spark, docs):
     scores = {r.doc_id: r.score for r in quality_classifier.score(rows, model).collect()}
     assert all((scores[i] >= 0.7) == bool(y) for i, _, y in good + bad)
     assert all(0 <= r.score <= 1 for r in quality_classifier.score(docs, model).collect())
+    # Null labels are left out, of tied and repeated labels the larger counts, repeated texts don't multiply.
+    labels = rows.select("doc_id", "label").unionAll(spark.createDataFrame([(100, None), (200, 0), (200, 1), (None, 1)], "doc_id long, label int"))
+    tied = quality_classifier.fit(rows.unionAll(rows), labels)
+    assert len(tied.labels) == 90 and tied.labels.sum() == 61
+
+
+def test_classifier_votes_are_those_of_all_neighbours(spark):
+    """Scores against a plain version of the vote over every labelled vector."""
+    import numpy as np
+
+    rng = random.Random(4)
+    words = [f"t{i}" for i in range(40)]
+    rows = [(i, " ".join(rng.choice(words[: 20 + i % 20]) for _ in range(30)), i % 2) for i in range(60)]
+    table_ = spark.createDataFrame(rows, "doc_id long, text string, label int")
+    model = quality_classifier.fit(table_, table_.select("doc_id", "label"))
+    got = {r.doc_id: r.score for r in quality_classifier.score(table_, model).collect()}
+    counts = quality_classifier.vectors(*_chunk([x for _, x, _ in rows]))
+    points = (model._weighted(counts) - model.mean) @ model.axes
+    points /= np.maximum(np.linalg.norm(points, axis=1, keepdims=True), 1e-9)
+    share = sum(y for _, _, y in rows) / len(rows)
+    for i, p in enumerate(points):
+        cosines = sorted(((float(p @ q), y) for q, y in zip(points, model.labels, strict=True)), reverse=True)[: quality_classifier.NEIGHBOURS]
+        votes = [(max(c, 0) ** quality_classifier.SHARPNESS * (0.5 / share if y > 0 else 0.5 / (1 - share)) + 1e-9, y) for c, y in cosines]
+        assert abs(got[i] - sum(v * y for v, y in votes) / sum(v for v, _ in votes)) < 1e-3
+
+
+def test_classifier_holds_out_well(spark):
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SMALL}/labels.parquet").where("quality is not null").collect()}
+    held = [r for r in quality_classifier.op6_quality_classifier(spark, SMALL).collect() if r.held_out and r.doc_id in labels]
+    assert held and sum(r.predicted == labels[r.doc_id] for r in held) >= 0.9 * len(held)
+
+
+def test_no_labels_score_in_the_middle(spark, docs):
+    model = quality_classifier.fit(docs, spark.createDataFrame([], "doc_id long, label int"))
+    assert {r.score for r in quality_classifier.score(docs, model).collect()} == {0.5}
+
+
+def test_token_counts_query(spark):
+    """The query's totals of words and of a vocabulary, document by document."""
+    pytest.importorskip("tiktoken")
+    pytest.importorskip("public_tokenizers")
+    encoding = token_counts._encoding(token_counts.public_vocabulary())
+    docs_ = spark.read.parquet(f"{SMALL}/documents.parquet").collect()
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet").collect()
+    toxic, low = {r.doc_id for r in labels if r.toxic == 1}, {r.doc_id for r in labels if r.quality == 0}
+    wanted: Counter = Counter()
+    for r in docs_:
+        if r.doc_id in toxic:
+            continue
+        x = re.sub(token_counts.SYMBOLS, "", r.text or "") if r.doc_id in low else r.text or ""
+        for version, n in ((token_counts.WORDS, len(WORD.findall(x))), ("byte-bpe-50k-1", len(encoding.encode_ordinary(x)))):
+            wanted[r.source, r.lang, version, "docs"] += 1
+            wanted[r.source, r.lang, version, "tokens"] += n
+    got: Counter = Counter()
+    for r in token_counts.op7_token_counts(spark, SMALL).collect():
+        got[r.source, r.lang, r.tokenizer, "docs"], got[r.source, r.lang, r.tokenizer, "tokens"] = r.n_docs, r.n_tokens
+    assert +got == +wanted
+
+
+def test_token_ledger_keeps_batches_that_were_committed_in_between(spark, docs, monkeypatch):
+    counts = token_counts.count_tokens(docs, {}).cache()
+    ledger = scratch_dir(spark, "ledger")
+    usual, other = token_counts.commit, []
+
+    def interrupted(spark_, staged, folder, base):
+        if not other:
+            other.append(1)
+            assert token_counts.commit_batch(spark_, ledger, "other", token_counts.inserted(counts))
+        return usual(spark_, staged, folder, base)
+
+    monkeypatch.setattr(token_counts, "commit", interrupted)
+    assert token_counts.commit_batch(spark, ledger, "own", token_counts.inserted(counts))
+    assert token_counts.totals(spark, ledger).agg(F.sum("n_docs")).first()[0] == 2 * len(TEXTS)
+    assert store.newest(spark, f"{ledger}/versions") == 2
 
 
 def test_token_ledger_is_idempotent_and_signed(spark, docs):
@@ -323,8 +608,26 @@ def test_shortage_goes_to_siblings_first(spark):
     assert plan == {"a": 10, "b": 191, "c": 201}
 
 
+def test_own_tree_and_weights(spark):
+    rows = spark.createDataFrame([(1, "x", "p", 1000), (2, "x", "q", 1000), (3, "y", "r", 1000)], "doc_id long, topic string, site string, n_words long")
+    plan = {r.site: r.budget for r in mixing.budgets(rows, 10, 1, ("topic", "site"), {"topic": {"y": 2}, "site": {"q": 3}}).collect()}
+    assert plan == {"p": 25, "q": 75, "r": 200}
+
+
+def test_mixing_repeated_rows_keeps_the_budget(spark):
+    rows = table(spark, [(7, "a b c d e f g h i j")] * 5 + [(None, f"n{i} o p q r") for i in range(6)] + [(8, "one two three four five six")] * 3)
+    words_ = 5 * 10 + 6 * 5 + 3 * 6
+    for percent in (10, 50, 100):
+        taken = mixing.mixed_documents(rows, percent, 1).collect()
+        assert sum(len(r.text.split()) for r in taken) <= words_ * percent // 100
+    assert len(taken) == 14 and taken[0].copies == 1
+    assert len(mixing.mixed_documents(rows, 200, 2).collect()) == 28
+
+
 def test_sharding_round_trip(spark, docs):
-    out = sharding.sharded(docs, rows=4, fan_in=2, smallest=100, target=2000).collect()
+    out = sharding.sharded(docs, rows=4, fan_in=2, smallest=100, target=2000)
+    assert out.columns == [*(c for c in docs.columns if c not in sharding.OWN), "shard", "shard_rows", "shard_bytes", "tier"]
+    out = out.collect()
     assert sorted((r.doc_id, r.text) for r in out if r.text) == sorted((d, x) for d, x in TEXTS.items() if x)
     assert len(out) == len(TEXTS)
     sizes = Counter()
@@ -334,16 +637,76 @@ def test_sharding_round_trip(spark, docs):
     assert len(sizes) < len({d // 4 for d in TEXTS})
 
 
-def test_store_appends_and_compacts_by_version(spark, docs):
-    store = scratch_dir(spark, "store")
-    sharding.append(docs.where("doc_id < 20"), store, 4)
-    sharding.append(docs.where("doc_id >= 20"), store, 4)
-    before = sharding.read(spark, store)
-    sharding.compact(spark, store, sharding.plan_compaction(sharding.shard_sizes(before), 2, 100, 2000).cache())
-    after = sharding.read(spark, store)
-    assert sorted(r.doc_id for r in before.collect()) == sorted(r.doc_id for r in after.collect()) == sorted(TEXTS)
-    assert after.select("shard").distinct().count() < before.select("shard").distinct().count()
-    assert [v for v in sharding._versions(spark, store)] == ["v00000001", "v00000002", "v00000003"]
+def brute_compaction(sizes: dict[int, int], fan_in: int, smallest: int, target: int) -> dict[int, int]:
+    bounds, fans = sharding.tier_bounds(fan_in, smallest, target), sharding.fan_ins(fan_in, smallest, target)
+    runs, where = dict(sizes), {k: k for k in sizes}
+    while True:
+        merged = {}
+        for tier in range(len(fans)):
+            own = sorted(k for k, b in runs.items() if b < target and sum(b >= x for x in bounds) == tier)
+            for i in range(0, len(own) - fans[tier] + 1, fans[tier]):
+                merged |= dict.fromkeys(own[i : i + fans[tier]], own[i])
+        if not merged:
+            return where
+        where = {k: merged.get(v, v) for k, v in where.items()}
+        after: dict[int, int] = {}
+        for k, b in runs.items():
+            after[merged.get(k, k)] = after.get(merged.get(k, k), 0) + b
+        runs = after
+
+
+def test_compaction_plan(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "SECTION", 7)
+    rng = random.Random(6)
+    for fan_in, smallest, target in ((4, 100, 3200), (2, 50, 1000), (3, 100, 100)):
+        sizes = {i: rng.choice([0, 30, 90, 120, 500, 2500, 4000]) for i in range(-3, 60)}
+        shards = spark.createDataFrame([(k, 1, b) for k, b in sizes.items()], "shard long, rows long, bytes long")
+        plan = sharding.plan_compaction(shards, fan_in, smallest, target).collect()
+        assert {r.old: r.shard for r in plan} == brute_compaction(sizes, fan_in, smallest, target)
+        assert all(r.shard_bytes < 2 * target for r in plan if sizes[r.old] < target)
+
+
+def test_store_appends_compacts_and_vacuums_by_version(spark, docs):
+    folder = scratch_dir(spark, "store")
+    sharding.append(docs.where("doc_id < 20"), folder, 4)
+    version = sharding.append(docs.where("doc_id >= 20"), folder, 4)
+    before = {r.shard for r in sharding.read(spark, folder).collect()}
+    ids = lambda: sorted(r.doc_id for r in sharding.read(spark, folder).collect())
+    assert ids() == sorted(TEXTS)
+    files = {f"{b}/{x}" for b in store.children(spark, f"{folder}/data") for x in store.children(spark, f"{folder}/data/{b}") if "=" in x}
+    assert len(files) == len(before)  # an arrival is a shard, and a shard a folder of its own
+    plan = sharding.plan_compaction(sharding.current(spark, folder)[1], 2, 100, 2000).cache()
+    with pytest.raises(ValueError, match="the plan is for version 1"):
+        sharding.compact(spark, folder, plan, 1)
+    sharding.compact(spark, folder, plan, version)
+    assert ids() == sorted(TEXTS)
+    after = {r.shard for r in sharding.read(spark, folder).collect()}
+    assert len(after) < len(before)
+    assert store.children(spark, f"{folder}/versions") == ["v00000001", "v00000002", "v00000003"]
+    sharding.vacuum(spark, folder)
+    assert ids() == sorted(TEXTS) and store.children(spark, f"{folder}/versions") == ["v00000003"]
+    live = [x for b in store.children(spark, f"{folder}/data") for x in store.children(spark, f"{folder}/data/{b}") if "=" in x]
+    assert len(live) == sharding.current(spark, folder)[1].count() == len(after)
+
+
+def test_of_two_writers_one_fails_and_no_row_is_lost(spark, docs, monkeypatch):
+    folder = scratch_dir(spark, "store")
+    sharding.append(docs.where("doc_id < 10"), folder, 4)
+    usual, other = sharding._write, []
+
+    def interrupted(*args):
+        found = usual(*args)
+        if not other:
+            other.append(1)
+            sharding.append(docs.where("doc_id between 10 and 19"), folder, 4)
+        return found
+
+    monkeypatch.setattr(sharding, "_write", interrupted)
+    with pytest.raises(store.Conflict):
+        sharding.append(docs.where("doc_id >= 20"), folder, 4)
+    assert sorted(r.doc_id for r in sharding.read(spark, folder).collect()) == [d for d in sorted(TEXTS) if d < 20]
+    sharding.append(docs.where("doc_id >= 20"), folder, 4)
+    assert sorted(r.doc_id for r in sharding.read(spark, folder).collect()) == sorted(TEXTS)
 
 
 def test_empty_tables(spark, empty):
@@ -357,15 +720,116 @@ def test_empty_tables(spark, empty):
     assert mixing.mix(mixing.leaves_of(empty)).count() == 0
     assert sharding.sharded(empty).count() == 0
     assert token_counts.count_tokens(empty, {}).count() == 0
-    with pytest.raises(ValueError, match="no labelled rows"):
-        quality_classifier.fit(empty, spark.createDataFrame([], "doc_id long, label int"))
+    model = quality_classifier.fit(empty, spark.createDataFrame([], "doc_id long, label int"))
+    assert quality_classifier.score(empty, model).count() == 0
+
+
+def test_repeated_rows_and_rows_without_ids(spark):
+    """Each row of the input counts by itself: [*TEXTS, a repeated row, other texts under the same id, rows without one]."""
+    other = [(10, TEXTS[10]), (10, "other text"), (None, TEXTS[40]), (None, None), (None, TEXTS[40])]
+    rows = table(spark, [*TEXTS.items(), *other])
+    wanted = sorted([*map(str, TEXTS), *(str(d) for d, _ in other)])
+    for got in (suffix_dedup.find_repeated_bytes(rows), substring_dedup.remove_repeated_passages(rows), jaccard_join.jaccard_classes(rows), secret_scan.find_secrets(rows), quality_rules.judge(rows)):
+        assert sorted(str(r.doc_id) for r in got.select("doc_id").collect()) == wanted
+    kept = [(r.doc_id, r.kept) for r in substring_dedup.remove_repeated_passages(rows).collect()]
+    assert {k for d, k in kept if d is None or d == 40} == {""} and ("other text" in {k for d, k in kept if d == 10})
+    # Of the long text one row stays whole, that with a doc_id; of two equal rows one.
+    bytes_ = [(r.doc_id, r.n_bytes, r.n_removed) for r in suffix_dedup.find_repeated_bytes(rows).collect()]
+    size = len((TEXTS[40] or "").encode())
+    assert sorted(n for d, b, n in bytes_ if b == size) == [0, size, size] and (40, size, 0) in bytes_
+    assert [n for d, b, n in bytes_ if d == 10 and b > 10].count(len((TEXTS[10] or "").encode())) == 1
+    classes = {(r.doc_id, r.class_id, r.n_links) for r in jaccard_join.jaccard_classes(rows).collect()}
+    assert {c for c in classes if c[1] == 40} == {(40, 40, 2), (None, 40, 2)} and (None, None, 0) in classes
+    heads = jaccard_join.drop_near_duplicates(rows)
+    usual = jaccard_join.drop_near_duplicates(table(spark, TEXTS.items())).count()
+    assert heads.columns == rows.columns and heads.count() == usual + 2
+
+
+def test_decontamination_goes_by_text(spark):
+    item = "A train leaves the old station at 9 and travels 120 km with Anna on board before noon comes"
+    clean = "nothing in common with any of these items at all here"
+    bench = spark.createDataFrame([(1, item), (1, item), (None, clean)], "item_id long, text string")
+    rows = table(spark, [(None, item), (2, clean), (2, item), (3, "see: " + item), (3, "see: " + item), (None, clean)])
+    kept = decontaminate.drop_leaky(rows, bench)
+    assert kept.columns == rows.columns
+    assert sorted((str(r.doc_id), r.text) for r in kept.collect()) == [("2", clean), ("None", clean)]
+    assert sorted(str(r.doc_id) for r in decontaminate.find_leaks(rows, bench).collect()) == ["2", "3", "None"]
+
+
+def tokens_of(x: str) -> list[tuple[str, str, bool]]:
+    """(template token, literal, placeholder) of each token, word by word."""
+    found, fresh = [], True
+    for w in WORD.findall(x):
+        core = re.sub(r"^[^0-9A-Za-z\x80-\U0010FFFF]+|[^0-9A-Za-z\x80-\U0010FFFF]+$", "", w)
+        if core:
+            low = "".join(c.lower() if c < "\x7f" or "\xc0" <= c <= "\xde" and c != "\xd7" else c for c in core)
+            number = bool(re.search("[0-9]", core)) and not re.search("[A-Za-z\x80-\U0010FFFF]", core)
+            unit = bool(found) and found[-1][0] == "<number>" and low in decontaminate.UNITS
+            name = "A" <= core[0] <= "Z" and not fresh and not unit
+            found.append(("<number>" if number else "<unit>" if unit else "<name>" if name else low, low, number or unit or name))
+        fresh = w[-1] in ".!?:"
+    return found
 
 
-def test_repeated_rows(spark):
-    rows = table(spark, [*TEXTS.items(), (10, TEXTS[10]), (10, "other text")])
-    for got in (suffix_dedup.find_repeated_bytes(rows), substring_dedup.remove_repeated_passages(rows), jaccard_join.jaccard_classes(rows), secret_scan.find_secrets(rows)):
-        assert sorted(r.doc_id for r in got.select("doc_id").collect()) == sorted(TEXTS)
-    assert quality_rules.judge(rows).count() == len(TEXTS) + 2
+def brute_leaks(texts_: dict[int, str], items: dict[int, str]) -> dict[tuple[int, int], tuple[int, int]]:
+    """All documents against all items and all shifts."""
+    width, out = decontaminate.WINDOW, {}
+    parsed = {i: tokens_of(x) for i, x in items.items()}
+    at_item: dict[tuple, set] = {}
+    for i, t in parsed.items():
+        size = min(width, len(t))
+        for kind in (0, 1):
+            for k in range(len(t) - size + 1 if size else 0):
+                at_item.setdefault((kind, tuple(x[1 - kind] for x in t[k : k + size])), set()).add((i, k))
+    for d, x in texts_.items():
+        doc, shifts = tokens_of(x), {}
+        for size in range(1, width + 1):
+            for p in range(len(doc) - size + 1):
+                w = doc[p : p + size]
+                for kind in (0, 1):
+                    slots = sum(s for _, _, s in w)
+                    if kind and (size < width or not 0 < slots <= width - 2):
+                        continue
+                    for i, k in at_item.get((kind, tuple(x[1 - kind] for x in w)), ()):
+                        if min(width, len(parsed[i])) == size:
+                            shifts.setdefault((i, p - k), []).append((kind, k, p))
+        per_item: dict[int, list] = {}
+        for (i, shift), hits in shifts.items():
+            item, size = parsed[i], min(width, len(parsed[i]))
+            fit = lambda k: size == width and sum(s for _, _, s in item[k : k + width]) <= width - 2  # noqa: B023, E731
+            sure, bare = {k for kind, k, _ in hits if not kind and fit(k)}, {k for kind, k, _ in hits if not kind and not fit(k)}
+            typed = sorted({k for kind, k, _ in hits if kind})
+            fills = {(j, item[j][1], doc[shift + j][1]) for k in typed for j in range(k, k + width) if item[j][2]}
+            votes = Counter((a, b) for _, a, b in fills)
+            best = lambda side, v: max(n for pair, n in votes.items() if pair[side] == v)  # noqa: B023, E731
+            lost = {j for j, a, b in fills if votes[a, b] < max(best(0, a), best(1, b))}
+            typed = {k for k in typed if not lost & set(range(k, k + width))}
+            per_item.setdefault(i, []).append((sure | typed, bare))
+        for i, lines_ in per_item.items():
+            item, size = parsed[i], min(width, len(parsed[i]))
+            n = len(item) - size + 1
+            n_fit = sum(sum(s for _, _, s in item[k : k + width]) <= width - 2 for k in range(n)) if size == width else 0
+            fitting, found = set().union(*(f for f, _ in lines_)), set().union(*(f | b for f, b in lines_))
+            longest = max(len(f | b) for f, b in lines_)
+            if found and (2 * len(found) >= n or n_fit and 2 * len(fitting) >= n_fit or longest >= decontaminate.RUN):
+                out[d, i] = (n, len(found))
+    return out
+
+
+def test_decontamination_over_the_whole_table(spark):
+    texts_ = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()}
+    items = {r.item_id: r.text or "" for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()}
+    got = {(r.doc_id, r.item_id): (r.n_windows, r.n_found) for r in decontaminate.op5_decontaminate(spark, SMALL).collect()}
+    assert got == brute_leaks(texts_, items)
+
+
+def test_common_template_windows_are_joined_with_suspects_only(spark):
+    """All items share a template, so its windows find none; each item is found by its own words."""
+    items = [(i, f"what is the price of 5 kg of plums if own{i}a own{i}b own{i}c own{i}d own{i}e own{i}f") for i in range(30)]
+    texts_ = [(100 + i, x.replace("5 kg", "7 kg")) for i, x in items[:5]] + [(200 + i, f"what is the price of {i} kg of plums if only we knew") for i in range(50)]
+    bench, rows = spark.createDataFrame(items, "item_id long, text string"), spark.createDataFrame(texts_, "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.n_windows, r.n_found) for r in decontaminate.find_leaks(rows, bench).collect()}
+    assert got == brute_leaks(dict(texts_), dict(items)) and {(100 + i, i) for i in range(5)} <= got.keys()
 
 
 def test_digests(spark, tmp_path):
