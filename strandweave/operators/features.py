@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from strandweave.functions import text as T
 from strandweave.functions.lookups import SUBFEATURE_RANK, looked_up
 
+from .intervals import merge_intervals
+
 
 def exon_subtype(exons: DataFrame, transcript: Sequence[str], order: Sequence[str]) -> DataFrame:
     """``exons`` with ``subtype``: Single, or Initial, Internal and Terminal in the direction of the strand."""
@@ -21,6 +23,39 @@ def exon_subtype(exons: DataFrame, transcript: Sequence[str], order: Sequence[st
     return exons.withColumn("subtype", F.when(first & last, "Single").when(initial, "Initial").when(terminal, "Terminal").otherwise("Internal"))
 
 
+def utr_subtype(features: DataFrame, gene: Sequence[str]) -> DataFrame:
+    """``features`` with ``subtype`` of exon, CDS and polypeptide rows (else null) against the gene's mRNA and UTRs.
+
+    Without UTRs: Single, Initial, Internal and Terminal by the mRNA's ends. With UTRs an exon that lies inside one is
+    External, and exons and coding parts at the inner border of a UTR are its first or last ones. Initial and Terminal
+    follow the strand. A gene may have several UTR pieces; their outer bounds count.
+    """
+    bound = lambda agg, c, kind: agg(F.when(kind, F.col(c)))
+    kind, plus = F.col("type"), F.col("strand") != -1
+    left = (plus & (kind == "five_prime_UTR")) | (~plus & (kind == "three_prime_UTR"))
+    right = (~plus & (kind == "five_prime_UTR")) | (plus & (kind == "three_prime_UTR"))
+    bounds = features.groupBy(*gene).agg(
+        bound(F.min, "start_pos", kind == "mRNA").alias("__s"), bound(F.max, "end_pos", kind == "mRNA").alias("__e"),
+        bound(F.max, "end_pos", left).alias("__l"), bound(F.min, "start_pos", right).alias("__r"),
+    )
+    rows = features.join(bounds, list(gene))
+    yes = lambda c: F.coalesce(c, F.lit(False))
+    start, end = F.col("start_pos"), F.col("end_pos")
+    at_s, at_e = yes(start == F.col("__s")), yes(end == F.col("__e"))
+    by_side = lambda first, last: F.when(first, F.when(plus, "Initial").otherwise("Terminal")).when(last, F.when(plus, "Terminal").otherwise("Initial")).otherwise("Internal")
+    plain = F.when(at_s & at_e, "Single").otherwise(by_side(at_s, at_e))
+    exon = (
+        F.when((at_s | yes(start == F.col("__l"))) & (at_e | yes(end == F.col("__r"))), "Single")
+        .when(yes(end <= F.col("__l")) | yes(start >= F.col("__r")), "External")
+        .otherwise(by_side(at_s | yes((start <= F.col("__l")) & (end > F.col("__l"))), at_e | yes((start < F.col("__r")) & (end >= F.col("__r")))))
+    )
+    first, last = at_s | yes(start == F.col("__l") + 1), at_e | yes(end == F.col("__r") - 1)
+    coding = F.when(first & last, "Single").otherwise(by_side(first, last))
+    none = F.col("__l").isNull() & F.col("__r").isNull()
+    subtype = F.when(none & kind.isin("exon", "CDS", "polypeptide"), plain).when(kind == "exon", exon).when(kind.isin("CDS", "polypeptide"), coding)
+    return rows.withColumn("subtype", subtype).drop("__s", "__e", "__l", "__r")
+
+
 def kinship_groups(rows: DataFrame, files: Sequence[str], order: Sequence[str], parent: str, feature: str) -> DataFrame:
     """``rows`` with ``master``: in the order of a file, a row without a parent opens a group that the rows behind it join.
 
@@ -66,14 +101,34 @@ def segments(features: DataFrame, transcript: Sequence[str], classes: dict) -> D
     return rows.withColumn("segments", F.when(F.col("strand") == -1, F.reverse("segments")).otherwise(F.col("segments")))
 
 
-def expand_gene_features(exons: DataFrame, source: str) -> DataFrame:
-    """gene, mRNA and numbered exon rows of each transcript of merged ``exons(seq_id, parent_id, strand, start_pos, end_pos)``."""
-    bounds = exons.groupBy("seq_id", "parent_id", "strand").agg(F.min("start_pos").alias("start_pos"), F.max("end_pos").alias("end_pos"))
-    gene = bounds.select("seq_id", "strand", "start_pos", "end_pos", F.lit("gene").alias("type"), F.concat("parent_id", F.lit("_gene")).alias("id"), F.lit(None).cast("string").alias("parent"))
-    mrna = bounds.select("seq_id", "strand", "start_pos", "end_pos", F.lit("mRNA").alias("type"), F.col("parent_id").alias("id"), F.concat("parent_id", F.lit("_gene")).alias("parent"))
-    number = F.row_number().over(W.partitionBy("seq_id", "parent_id").orderBy("start_pos", "end_pos"))
-    parts = exons.select("seq_id", "strand", "start_pos", "end_pos", F.lit("exon").alias("type"), F.concat_ws("_", "parent_id", F.lit("exon"), T.four_digits(number)).alias("id"), F.col("parent_id").alias("parent"))
-    return gene.unionByName(mrna).unionByName(parts).withColumn("source", F.lit(source))
+def expand_gene_features(parts: DataFrame, source: str) -> DataFrame:
+    """gene, mRNA, exon and typed rows of transcripts: (seq_id, strand, start_pos, end_pos, type, name, id, parent, derives_from, source).
+
+    ``parts(seq_id, parent_id, strand, type, start_pos, end_pos)`` are UTR and polypeptide pieces (or plain ``exon``
+    rows); pieces that touch make one exon. Genes are numbered along each sequence, exons and parts of each type along
+    their transcript. Polypeptides derive from the mRNA, other parts have it as parent.
+    """
+    by = ["seq_id", "parent_id", "strand"]
+    bounds = parts.groupBy(*by).agg(F.min("start_pos").alias("start_pos"), F.max("end_pos").alias("end_pos"))
+    number = T.four_digits(F.row_number().over(W.partitionBy("seq_id").orderBy("start_pos", "end_pos", "parent_id")))
+    bounds = bounds.withColumn("number", number)
+    none = F.lit(None).cast("string")
+    at = [F.col("start_pos").cast("string"), F.col("end_pos").cast("string")]
+    gene = bounds.withColumn("gene", F.concat_ws("_", F.lit(source), *at, F.lit("gene"), "number"))
+    mrna_of = F.concat("seq_id", F.lit("_"), "gene", F.lit("_mRNA_0001"))
+    columns = ["seq_id", "strand", "start_pos", "end_pos"]
+    row = lambda df, kind, name, parent, derived=none: df.select(*columns, kind.alias("type"), name.alias("name"), F.concat_ws("_", "seq_id", name).alias("id"), parent.alias("parent"), derived.alias("derives_from"))
+    rows = row(gene, F.lit("gene"), F.col("gene"), none).unionByName(row(gene, F.lit("mRNA"), F.concat("gene", F.lit("_mRNA_0001")), F.concat_ws("_", "seq_id", "gene")))
+    of_gene = gene.select(*by, mrna_of.alias("mrna"), "number")
+    exons = merge_intervals(parts, by).drop("n").withColumn("type", F.lit("exon"))
+    pieces = parts.where("type <> 'exon'").select(*by, "start_pos", "end_pos", "type")
+    typed = exons.select(*by, "start_pos", "end_pos", "type").unionByName(pieces).join(of_gene, by)
+    k = T.four_digits(F.row_number().over(W.partitionBy(*by, "type").orderBy("start_pos", "end_pos")))
+    name = F.concat_ws("_", F.lit(source), *at, F.lit("gene"), "number", F.lit("mRNA_0001"), "type", k)
+    poly = F.col("type") == "polypeptide"
+    typed = typed.withColumn("name", name)
+    rows = rows.unionByName(row(typed, F.col("type"), F.col("name"), F.when(~poly, F.col("mrna")), F.when(poly, F.col("mrna"))))
+    return rows.withColumn("source", F.lit(source))
 
 
 def attach_annotations(features: DataFrame, annotations: DataFrame, key: str) -> DataFrame:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from strandweave.functions.sequence import gap_blocks
 from strandweave.functions.text import feature_name, hsp_pct
 
 from .intervals import merge_intervals, numbered
@@ -68,18 +71,22 @@ def best_hsp(hsps: DataFrame) -> DataFrame:
     return hsps.withColumn("__k", F.row_number().over(order)).where("__k = 1").drop("__k")
 
 
-def best_hits(hsps: DataFrame, coverage: float = 0.8, identity: float = 0.8, at_start: bool = False) -> DataFrame:
-    """Best alignments that cover enough of the hit and are similar enough, on demand only those from position 1."""
-    found = best_hsp(hsps).withColumns({"coverage": F.col("align_len") / F.col("hit_len"), "similar": F.col("n_identical") / F.col("align_len")})
-    found = found.where((F.col("coverage") >= coverage) & (F.col("similar") >= identity))
+def best_hits(hsps: DataFrame, coverage: float = 0.8, positive: float = 0.8, at_start: bool = True) -> DataFrame:
+    """Best alignments that span enough of the hit with enough positives, and begin at position 1 of both sequences.
+
+    ``coverage`` is the span on the hit by its length, ``positive`` the share of positives in the whole alignment.
+    ``at_start=False`` lets alignments begin anywhere.
+    """
+    found = best_hsp(hsps).withColumns({"coverage": (F.col("h_end") - F.col("h_start") + 1) / F.col("hit_len"), "positive": F.col("n_positive") / F.col("align_len"), "similar": F.col("n_identical") / F.col("align_len")})
+    found = found.where((F.col("coverage") >= coverage) & (F.col("positive") >= positive))
     return found.where("h_start = 1 and q_start = 1") if at_start else found
 
 
 def top_hits(hsps: DataFrame, n: int = 10) -> DataFrame:
-    """``hsps`` of the first ``n`` hits of each query by their best score, with ``hit_rank``."""
-    best = hsps.groupBy(*HIT).agg(F.max("bit_score").alias("__best"))
-    ranked = best.withColumn("hit_rank", F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("__best"), "hit_id"))).where(F.col("hit_rank") <= n)
-    return hsps.join(ranked.drop("__best"), list(HIT))
+    """``hsps`` of the first ``n`` hits of each query in the order of the report (column ``ordinal``), with ``hit_rank``."""
+    first = hsps.groupBy(*HIT).agg(F.min("ordinal").alias("__first"))
+    ranked = first.withColumn("hit_rank", F.row_number().over(W.partitionBy("query_id").orderBy("__first", "hit_id"))).where(F.col("hit_rank") <= n)
+    return hsps.join(ranked.drop("__first"), list(HIT))
 
 
 def model_hit_stats(hsps: DataFrame, n: int = 10) -> DataFrame:
@@ -89,6 +96,19 @@ def model_hit_stats(hsps: DataFrame, n: int = 10) -> DataFrame:
     return found.select(*HIT, "hit_rank", F.round("identity", 4).alias("identity"), F.round(F.col("len") * 100 / F.col("hit_len"), 4).alias("hit_cov"), F.round(F.col("len") * 100 / F.col("query_len"), 4).alias("query_cov"))
 
 
+def scored_figures(stats: DataFrame, hit_policy: str = "last_of_top10") -> DataFrame:
+    """(query_id, best_hit, identity, hit_cov, query_cov): the figures that a model's score is made of, and its first hit.
+
+    ``hit_policy``: figures of the last of the ranked hits, or of the ``first``.
+    """
+    if hit_policy not in ("last_of_top10", "first"):
+        raise ValueError("hit_policy is last_of_top10 or first")
+    figures = F.struct("identity", "hit_cov", "query_cov")
+    chosen = F.max_by(figures, "hit_rank") if hit_policy == "last_of_top10" else F.min_by(figures, "hit_rank")
+    rows = stats.groupBy("query_id").agg(F.min_by("hit_id", "hit_rank").alias("best_hit"), chosen.alias("f"))
+    return rows.select("query_id", "best_hit", "f.identity", "f.hit_cov", "f.query_cov")
+
+
 def hit_class(stats: DataFrame) -> DataFrame:
     """What the hits say of each query: over_identity (any hit has 35 %), over_cov (hit 70 % and query 60 %); without the
     latter ``pseudo`` (a hit covered by 50 to 70 %) or ``fragment`` (below 50 %)."""
@@ -108,10 +128,7 @@ def chain_figures(hsps: DataFrame) -> DataFrame:
 
 def mapped_figures(hsps: DataFrame) -> DataFrame:
     """Identity and query coverage of a mapped transcript: parts that overlap their neighbour count once; four digits."""
-    order = W.partitionBy(*HIT, "strand").orderBy("q_start", "q_end")
-    shared = F.greatest(F.lit(0), F.col("q_end") - F.lead("q_start").over(order) + 1)
-    rows = hsps.withColumn("shared", F.coalesce(shared, F.lit(0)))
-    sums = rows.groupBy(*HIT, "strand").agg(F.sum("n_identical").alias("same"), F.sum("align_len").alias("len"), F.sum(F.col("q_end") - F.col("q_start") + 1 - F.col("shared")).alias("covered"), F.first("query_len").alias("query_len"))
+    sums = adjacent_overlap(hsps).groupBy(*HIT, "strand").agg(F.sum("n_identical").alias("same"), F.sum("align_len").alias("len"), F.sum(F.col("q_end") - F.col("q_start") + 1 - F.col("shared")).alias("covered"), F.first("query_len").alias("query_len"))
     return sums.select(*HIT, "strand", ratio(F.col("same"), F.col("len")).alias("identity"), ratio(F.col("covered"), F.col("query_len")).alias("coverage"))
 
 
@@ -121,8 +138,31 @@ def drop_matching(models: DataFrame, hits: DataFrame, pattern: str, key: str) ->
     return models.join(bad, key, "left_anti"), models.join(bad, key, "left_semi")
 
 
-def alignment_report(best: DataFrame, gaps: str = "gaps") -> DataFrame:
-    """A header line a best alignment: coverage, identity and a warning where it has long gaps."""
-    pct = lambda c: F.format_string("%.2f", F.round(c * 100, 2))
-    line = F.concat_ws(" ", F.lit("query="), "query_id", F.lit("hit="), "hit_id", F.lit("coverage="), pct(F.col("coverage")), F.lit("identity="), pct(F.col("similar")), F.when(F.col(gaps) > 0, F.concat(F.lit("WARNING: "), F.col(gaps).cast("string"), F.lit(" gaps"))))
-    return best.select("query_id", "hit_id", line.alias("line"))
+def alignment_report(best: DataFrame, max_gap: int = 9) -> DataFrame:
+    """(query_id, hit_id, report): header, query, middle and subject line of best alignments, as one text.
+
+    ``best`` comes from ``best_hits`` and has the aligned strings ``q_aln``, ``midline`` and ``h_aln``. The header counts
+    the gaps of ``max_gap`` letters or more on either side, if there are any.
+    """
+    percent = lambda name, c: F.concat(F.lit(f" | {name}: "), F.format_string("%.2f", F.round(F.col(c) * 100, 2)), F.lit("%"))
+    gaps = lambda name, c: F.when(gap_blocks(c, max_gap) > 0, F.concat(F.lit(f" | {name} gap(s) over threshold (> {max_gap}aa): "), gap_blocks(c, max_gap).cast("string"))).otherwise("")
+    head = F.concat(F.lit(">"), "query_id", F.lit(" | "), "hit_id", percent("Coverage", "coverage"), percent("Identity", "similar"), percent("Positive", "positive"), gaps("Query", "q_aln"), gaps("Subject", "h_aln"))
+    lines = F.concat(head, F.lit("\nQuery: "), "q_aln", F.lit("\nAlign: "), "midline", F.lit("\nSbjct: "), "h_aln", F.lit("\n\n"))
+    return best.select("query_id", "hit_id", lines.alias("report"))
+
+
+def superseded(raw: DataFrame, refined: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``raw`` whose keys no row of ``refined`` has."""
+    return raw.join(refined.select(*keys).distinct(), list(keys), "left_anti")
+
+
+def distinct_alignments(hsps: DataFrame) -> DataFrame:
+    """Alignments of a query, hit and strand with the same coordinates once; the one with the least identity stays."""
+    keys = [*HIT, "strand", "q_start", "q_end", "h_start", "h_end"]
+    return hsps.groupBy(*keys, "query_len").agg(F.min("n_identical").alias("n_identical"), F.min("align_len").alias("align_len"))
+
+
+def adjacent_overlap(hsps: DataFrame) -> DataFrame:
+    """``hsps`` with ``shared``: the query bases that an alignment has in common with the next one of its hit and strand."""
+    order = W.partitionBy(*HIT, "strand").orderBy("q_start", "q_end")
+    return hsps.withColumn("shared", F.coalesce(F.greatest(F.lit(0), F.col("q_end") - F.lead("q_start").over(order) + 1), F.lit(0)))

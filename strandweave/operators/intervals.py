@@ -126,6 +126,19 @@ def numbered(df: DataFrame, groups: Sequence[str], order: Sequence[str | Column]
     return df.withColumn(name, F.row_number().over(W.partitionBy(*groups).orderBy(*order)))
 
 
+def following(df: DataFrame, keys: Sequence[str], value: Column, place: Column, name: str = "next", width: int = TILE) -> DataFrame:
+    """``df`` with the next larger ``value`` among the rows of its keys (null for the last), in the order of ``place``.
+
+    Places are cut into stretches of ``width``; the last row of a stretch gets the first value of the next one that has
+    any, from a small table of first values, so that no sequence is one task.
+    """
+    t = df.withColumn("__v", value).withColumn("__stretch", F.floor(place / width))
+    by = [*keys, "__stretch"]
+    beyond = t.groupBy(*by).agg(F.min("__v").alias("__first")).select(*by, F.lead("__first").over(W.partitionBy(*keys).orderBy("__stretch")).alias("__beyond"))
+    inside = F.lead("__v").over(W.partitionBy(*by).orderBy("__v"))
+    return t.withColumn("__inside", inside).join(beyond, by).withColumn(name, F.coalesce("__inside", "__beyond")).drop("__v", "__stretch", "__inside", "__beyond")
+
+
 def folded(df: DataFrame, keys: Sequence[str], fold: Callable[[pd.DataFrame], pd.DataFrame], schema: str, alone: bool = False, per_partition: int = 8) -> DataFrame:
     """``fold`` over each group of ``keys``, for choices that depend on an order.
 

@@ -23,15 +23,22 @@ def to_tiles(seqs: DataFrame, width: int = TILE, overlap: int = 0) -> DataFrame:
 
 
 def extract_subseq(features: DataFrame, tiles: DataFrame, key: Sequence[str], width: int = TILE) -> DataFrame:
-    """(key, part): bases start_pos to end_pos of each feature, read across tiles; features on unknown sequences drop out."""
+    """(key, part): bases start_pos to end_pos of each feature, once each; features on unknown sequences drop out.
+
+    A feature inside one tile is cut from it by a plain join; only those that cross tiles are put together by a group.
+    """
     first, last = F.floor((F.col("start_pos") - 1) / width), F.floor((F.col("end_pos") - 1) / width)
-    wanted = features.select(*key, "seq_id", "start_pos", "end_pos", F.explode(F.sequence(first, last)).alias("tile_no"))
-    rows = wanted.join(tiles.select("seq_id", F.col("tile_no").cast("long").alias("tile_no"), "tile_start", "residues"), ["seq_id", "tile_no"])
+    named = list(dict.fromkeys([*key, "seq_id", "start_pos", "end_pos"]))
+    wanted = features.select(*named, first.alias("__first"), last.alias("__last")).distinct()
+    source = tiles.select("seq_id", F.col("tile_no").cast("long").alias("tile_no"), "tile_start", "residues")
     begin = F.greatest("start_pos", "tile_start")
     size = F.least(F.col("end_pos"), F.col("tile_start") + width - 1) - begin + 1
     piece = F.substring("residues", (begin - F.col("tile_start") + 1).cast("int"), size.cast("int"))
-    pieces = rows.groupBy(*key, "start_pos", "end_pos").agg(F.sort_array(F.collect_set(F.struct("tile_no", piece.alias("piece")))).alias("pieces"))
-    return pieces.select(*key, "start_pos", "end_pos", F.array_join(F.transform("pieces", lambda p: p["piece"]), "").alias("part"))
+    inside = wanted.where("__first = __last").withColumn("tile_no", F.col("__first")).join(source, ["seq_id", "tile_no"])
+    inside = inside.select(*key, "start_pos", "end_pos", piece.alias("part"))
+    across = wanted.where("__first < __last").withColumn("tile_no", F.explode(F.sequence("__first", "__last"))).join(source, ["seq_id", "tile_no"])
+    pieces = across.groupBy(*named).agg(F.sort_array(F.collect_list(F.struct("tile_no", piece.alias("piece")))).alias("pieces"))
+    return inside.unionAll(pieces.select(*key, "start_pos", "end_pos", F.array_join(F.transform("pieces", lambda p: p["piece"]), "").alias("part")))
 
 
 def coding_sequences(parts: DataFrame, tiles: DataFrame, model: str = "parent_id", width: int = TILE) -> DataFrame:
@@ -71,24 +78,49 @@ def usable(stats: DataFrame, least_run: int = 500) -> DataFrame:
     return stats.where((F.col("percent") < 100) & (F.col("longest_clean") > least_run))
 
 
-def kmer_counts(tiles: DataFrame, k: int = 17) -> DataFrame:
-    """(seq_id, pos, mer, n): each k-mer of the tiles (0-based place) and how often it occurs in all of them.
+def narrow_tiles(tiles: DataFrame, overlap: int, width: int = 256) -> DataFrame:
+    """``tiles`` that share ``overlap`` bases with the next one, cut into tiles of ``width`` that do so too.
+
+    Reading one place of a text costs as much as the place is far, so that work on every base wants short texts.
+    """
+    pieces = F.ceil((F.length("residues") - overlap) / width).cast("int")
+    rows = tiles.where(F.length("residues") > overlap).select("seq_id", "tile_start", "residues", F.explode(F.sequence(F.lit(0), pieces - 1)).alias("__k"))
+    begin = F.col("__k") * width
+    return rows.select("seq_id", (F.col("tile_start") + begin).alias("tile_start"), F.substring(F.col("residues"), begin + 1, F.lit(width + overlap)).alias("residues"))
+
+
+def _mers(tiles: DataFrame, k: int) -> DataFrame:
+    """(seq_id, pos, mer): the k-mer at each place, from 0."""
+    at = narrow_tiles(tiles, k - 1).select("seq_id", "tile_start", "residues", F.explode(F.sequence(F.lit(1), F.length("residues") - k + 1)).alias("at"))
+    return at.select("seq_id", (F.col("tile_start") - 2 + F.col("at")).alias("pos"), F.substring(F.col("residues"), F.col("at"), F.lit(k)).alias("mer"))
+
+
+def kmer_counts(tiles: DataFrame, k: int = 17, strand: str = "f") -> DataFrame:
+    """(seq_id, pos, strand, mer, n): each place of the tiles (from 0), its k-mer and how often that occurs in all of them.
 
-    Tiles have to share ``k - 1`` bases with the next one, so that no k-mer is missed or counted twice.
+    ``strand``: ``f`` looks up the k-mers as they are (+), ``p`` their reverse complements (-, left out where it doesn't
+    occur), ``fp`` both; counts are those of the forward k-mers. Tiles have to share ``k - 1`` bases with the next one,
+    so that no k-mer is missed or counted twice.
     """
-    places = F.when(F.length("residues") >= k, F.sequence(F.lit(1), F.length("residues") - k + 1)).otherwise(F.lit([]).cast("array<int>"))
-    mers = tiles.select("seq_id", "tile_start", F.posexplode(F.transform(places, lambda i: F.substring("residues", i, F.lit(k)))).alias("at", "mer"))
-    mers = mers.select("seq_id", (F.col("tile_start") - 1 + F.col("at")).alias("pos"), "mer")
-    return mers.join(mers.groupBy("mer").agg(F.count("*").alias("n")), "mer").select("seq_id", "pos", "mer", "n")
+    if strand not in ("f", "p", "fp"):
+        raise ValueError("strand is f, p or fp")
+    mers = _mers(tiles, k)
+    counts = mers.groupBy("mer").agg(F.count("*").alias("n"))
+    side = lambda rows, sign: rows.join(counts, "mer").select("seq_id", "pos", F.lit(sign).alias("strand"), "mer", "n")
+    parts = [side(mers, "+")] if "f" in strand else []
+    parts += [side(mers.withColumn("mer", revcomp("mer")), "-")] if "p" in strand else []
+    return parts[0] if len(parts) == 1 else parts[0].unionAll(parts[1])
 
 
 def kmer_regions(kmers: DataFrame, threshold: int = 6, k: int = 17) -> DataFrame:
     """Merged regions of the plus-strand k-mers that occur ``threshold`` times or more; place 0 doesn't count."""
-    often = kmers.where((F.col("n") >= threshold) & (F.col("pos") > 0))
+    often = kmers.where((F.col("strand") == "+") & (F.col("n") >= threshold) & (F.col("pos") > 0))
     return merge_intervals(often.select("seq_id", (F.col("pos") + 1).alias("start_pos"), (F.col("pos") + k).alias("end_pos")), ["seq_id"])
 
 
-def kmer_track(kmers: DataFrame, lengths: DataFrame, k: int = 17, default: float = -0.1) -> DataFrame:
-    """(seq_id, pos, value): log10 of the count at each place from 0 to length - k, ``default`` where there is none."""
+def kmer_track(kmers: DataFrame, lengths: DataFrame, k: int = 17, default: float = -0.1, strands: Sequence[str] = ("+", "-")) -> DataFrame:
+    """(seq_id, strand, pos, value): log10 of the count at each place from 0 to length - k, ``default`` where there is none."""
     places = lengths.where(F.col("length") >= k).select("seq_id", F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - k)).alias("pos"))
-    return places.join(kmers.select("seq_id", "pos", "n"), ["seq_id", "pos"], "left").select("seq_id", "pos", F.coalesce(F.round(F.log10("n"), 5), F.lit(default)).alias("value"))
+    places = places.select("seq_id", "pos", F.explode(F.array(*map(F.lit, strands))).alias("strand"))
+    found = places.join(kmers.select("seq_id", "strand", "pos", "n"), ["seq_id", "strand", "pos"], "left")
+    return found.select("seq_id", "strand", "pos", F.coalesce(F.round(F.log10("n"), 5), F.lit(default)).alias("value"))

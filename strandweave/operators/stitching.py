@@ -8,14 +8,17 @@ from pyspark.sql import functions as F
 from strandweave.functions.text import lift
 
 from .intervals import tiles_of
+from .masking import TILE, extract_subseq
 
 
-def split_sequences(seqs: DataFrame, longest: int, overlap: int, shortest: int = 0) -> DataFrame:
-    """Chunks with their residues of ``seqs(seq_id, residues)`` that have ``shortest`` bases or more."""
-    rows = seqs.withColumn("length", F.length("residues").cast("long")).where(F.col("length") >= shortest)
-    tiles = tiles_of(rows, longest, overlap)
-    piece = F.substring("residues", F.col("chunk_start").cast("int"), (F.col("chunk_end") - F.col("chunk_start") + 1).cast("int"))
-    return tiles.select("seq_id", "chunk_no", "chunk_start", "chunk_end", piece.alias("residues"))
+def split_sequences(tiles: DataFrame, lengths: DataFrame, longest: int, overlap: int, shortest: int = 0, width: int = TILE) -> DataFrame:
+    """Chunks with their residues, of sequences of ``lengths(seq_id, length)`` that have ``shortest`` bases or more.
+
+    Residues are read from the ``tiles`` of ``width`` bases that a chunk meets; no row ever holds a whole sequence.
+    """
+    chunks = tiles_of(lengths.where(F.col("length") >= shortest), longest, overlap).select("seq_id", "chunk_no", F.col("chunk_start").alias("start_pos"), F.col("chunk_end").alias("end_pos"))
+    found = extract_subseq(chunks, tiles, ["seq_id", "chunk_no"], width)
+    return found.select("seq_id", "chunk_no", F.col("start_pos").alias("chunk_start"), F.col("end_pos").alias("chunk_end"), F.col("part").alias("residues"))
 
 
 def to_global(features: DataFrame, chunks: DataFrame) -> DataFrame:

@@ -11,11 +11,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from strandweave.functions.lookups import CATEGORY_RANK, looked_up
-from strandweave.functions.sequence import codons, revcomp, translate_codons
+from strandweave.functions.sequence import aa_length, is_premature, revcomp, translate_codons
 
 from .graph import components
 from .hits import mapped_figures
-from .intervals import cluster_intervals, cumulative_offset, folded, overlap_join
+from .intervals import cluster_intervals, cumulative_offset, folded, following, merge_intervals, overlap_join
+from .masking import TILE, coding_sequences, extract_subseq, narrow_tiles
 
 STOPS = ("TAA", "TAG", "TGA")
 
@@ -61,11 +62,14 @@ def split_utr_cds(exons: DataFrame, orfs: DataFrame, transcript: str = "parent_i
 def cluster_transcripts(exons: DataFrame, transcript: str = "parent_id") -> DataFrame:
     """(transcript, cluster): transcripts whose exons share bases on one strand, directly or through others.
 
-    A transcript alone is its own cluster; clusters are named after their least transcript.
+    Exons form islands; transcripts with an exon in one island belong together, so that each exon makes one edge, from its
+    transcript to the island's least one, and no pair of overlapping exons is made. A transcript alone is its own
+    cluster; clusters are named after their least transcript.
     """
-    pairs = overlap_join(exons, exons, ["seq_id", "strand"], strict=False)
-    pairs = pairs.where(F.col(transcript) < F.col(f"r_{transcript}")).select(F.col(transcript).alias("u"), F.col(f"r_{transcript}").alias("v"))
-    roots = components(pairs, "transcript-clusters").withColumnRenamed("node", transcript)
+    rows = cluster_intervals(exons, ["seq_id", "strand"]).select(transcript, "seq_id", "strand", "cluster_start").distinct()
+    least = rows.groupBy("seq_id", "strand", "cluster_start").agg(F.min(transcript).alias("v"))
+    edges = rows.join(least, ["seq_id", "strand", "cluster_start"]).select(F.col(transcript).alias("u"), "v")
+    roots = components(edges, "transcript-clusters").withColumnRenamed("node", transcript)
     return exons.select(transcript).distinct().join(roots, transcript, "left").select(transcript, F.coalesce("root", transcript).alias("cluster"))
 
 
@@ -81,50 +85,86 @@ def representatives(clusters: DataFrame, figures: DataFrame, priority: Sequence[
     return rows.withColumn("__k", F.row_number().over(W.partitionBy("cluster").orderBy(*order, transcript))).where("__k = 1").drop("__k")
 
 
-def _both_strands(seqs: DataFrame) -> DataFrame:
-    """(seq_id, n, strand, s): each sequence and its reverse complement."""
-    sides = F.array(F.struct(F.lit(1).alias("strand"), F.upper("residues").alias("s")), F.struct(F.lit(-1).alias("strand"), F.upper(revcomp("residues")).alias("s")))
-    return seqs.select("seq_id", F.length("residues").alias("n"), F.explode(sides).alias("x")).select("seq_id", "n", "x.strand", "x.s")
+def _codon_places(tiles: DataFrame, lengths: DataFrame, wanted: Sequence[str]) -> DataFrame:
+    """(seq_id, strand, frame, a, codon): where the codons stand, on the axis of either strand (from 1).
+
+    ``tiles`` share two bases with the next one. The minus strand's codons are found by their reverse complements.
+    """
+    reverse = {c.translate(str.maketrans("ACGT", "TGCA"))[::-1]: c for c in wanted}
+    at = narrow_tiles(tiles, 2).select("seq_id", "tile_start", F.upper("residues").alias("s"), F.explode(F.sequence(F.lit(1), F.length("residues") - 2)).alias("at"))
+    codon = at.select("seq_id", (F.col("tile_start") + F.col("at") - 1).alias("p"), F.substring(F.col("s"), F.col("at"), F.lit(3)).alias("c")).where(F.col("c").isin(*wanted, *reverse))
+    codon = codon.join(lengths.select("seq_id", "length"), "seq_id")
+    plus = codon.where(F.col("c").isin(*wanted)).select("seq_id", F.lit(1).alias("strand"), F.col("p").alias("a"), F.col("c").alias("codon"))
+    minus = codon.where(F.col("c").isin(*reverse)).select("seq_id", F.lit(-1).alias("strand"), (F.col("length") - F.col("p") - 1).alias("a"), looked_up(reverse, F.col("c")).alias("codon"))
+    return plus.unionAll(minus).withColumn("frame", ((F.col("a") - 1) % 3).cast("int"))
 
 
-def scan_orfs(seqs: DataFrame, shortest: int = 30, longest: int = 1_000_000) -> DataFrame:
-    """Reading frames between stops in all six frames of ``seqs(seq_id, residues)``: (seq_id, strand, frame, start_pos,
-    end_pos) on the plus strand's axis, for those of ``shortest`` to ``longest`` bases; sequence ends count as stops.
+def open_spans(tiles: DataFrame, lengths: DataFrame) -> DataFrame:
+    """(seq_id, length, strand, frame, before, next, stops, atg): what lies between two stops of a frame, on its strand's axis.
 
-    Stops become rows, and a frame is what lies between two of them, so that long sequences aren't one row's work.
+    ``before`` and ``next`` are the first bases of the stops around; the ends of the sequence count as stops, and
+    ``stops`` tells whether ``next`` is a real one. ``atg`` is the first ATG behind ``before``, if one comes before
+    ``next``. Stops and starts are rows, so that a long sequence isn't one row's or one task's work.
     """
-    rows = _both_strands(seqs).select("seq_id", "n", "strand", "s", F.explode(F.lit([0, 1, 2])).alias("frame"))
-    codon = rows.select("seq_id", "strand", "frame", F.posexplode(codons(F.substring(F.col("s"), F.col("frame") + 1, F.length("s")))).alias("i", "codon"))
-    stops = codon.where(F.col("codon").isin(*STOPS)).select("seq_id", "strand", "frame", "i")
-    size = F.floor((F.col("n") - F.col("frame")) / 3).cast("int")
-    fences = rows.select("seq_id", "strand", "frame", F.explode(F.array(F.lit(-1), size)).alias("i"))
-    order = W.partitionBy("seq_id", "strand", "frame").orderBy("i")
-    spans = stops.unionByName(fences).withColumn("next", F.lead("i").over(order)).where("next is not null")
-    spans = spans.join(seqs.select("seq_id", F.length("residues").alias("n")), "seq_id")
-    spans = spans.select("seq_id", "n", "strand", "frame", (F.col("frame") + (F.col("i") + 1) * 3 + 1).alias("a"), (F.col("frame") + F.col("next") * 3).alias("b"))
-    spans = spans.where((F.col("b") - F.col("a") + 1).between(shortest, longest))
+    found = _codon_places(tiles, lengths, [*STOPS, "ATG"]).select("seq_id", "strand", "frame", "a", F.when(F.col("codon") == "ATG", 1).otherwise(0).alias("kind"))
+    sides = F.array(*(F.struct(F.lit(s).alias("strand"), F.lit(f).alias("frame")) for s in (1, -1) for f in (0, 1, 2)))
+    ends = lengths.select("seq_id", "length", F.explode(sides).alias("x")).select("seq_id", "length", "x.strand", "x.frame")
+    last = F.col("frame") + F.greatest(F.floor((F.col("length") - F.col("frame")) / 3), F.lit(0)) * 3 + 1
+    fence = ends.select("seq_id", "strand", "frame", F.explode(F.array(F.struct((F.col("frame") - 2).cast("long").alias("a"), F.lit(0).alias("kind")), F.struct(last.cast("long").alias("a"), F.lit(2).alias("kind")))).alias("f")).select("seq_id", "strand", "frame", "f.a", "f.kind")
+    key = ["seq_id", "strand", "frame"]
+    events = following(found.unionAll(fence), key, F.struct("a", "kind"), F.col("a"), "event")
+    spans = following(events.where("kind <> 1"), key, F.struct("a", "kind"), F.col("a")).where("next is not null")
+    atg = F.when(F.col("event.kind") == 1, F.col("event.a"))
+    return spans.select(*key, F.col("a").alias("before"), F.col("next.a").alias("next"), (F.col("next.kind") == 0).alias("stops"), atg.alias("atg")).join(lengths.select("seq_id", "length"), "seq_id")
+
+
+def _on_plus_axis(rows: DataFrame, a: str, b: str) -> DataFrame:
+    """``start_pos`` and ``end_pos`` of a stretch ``a`` to ``b`` of its strand's axis."""
     plus = F.col("strand") == 1
-    return spans.select("seq_id", "strand", "frame", F.when(plus, F.col("a")).otherwise(F.col("n") - F.col("b") + 1).alias("start_pos"), F.when(plus, F.col("b")).otherwise(F.col("n") - F.col("a") + 1).alias("end_pos"))
+    return rows.withColumns({"start_pos": F.when(plus, F.col(a)).otherwise(F.col("length") - F.col(b) + 1), "end_pos": F.when(plus, F.col(b)).otherwise(F.col("length") - F.col(a) + 1)})
 
 
-def orfs_from_hits(seqs: DataFrame, hits: DataFrame) -> DataFrame:
+def scan_orfs(tiles: DataFrame, lengths: DataFrame, shortest: int = 30, longest: int = 1_000_000, mode: int = 2, reverse: bool = True, width: int = TILE) -> DataFrame:
+    """Reading frames in all six frames: (seq_id, strand, frame, start_pos, end_pos, orf) on the plus strand's axis.
+
+    ``mode``: 0 and 2 take what lies between two stops, 1 and 3 from the first ATG behind a stop to the next stop;
+    ``orf`` is the protein for 0 and 1, the bases for 2 and 3. Sequence ends count as stops. Kept are frames of
+    ``shortest`` to ``longest`` bases. ``tiles`` of ``width`` bases share two more with the next one; ``reverse=False``
+    leaves the minus strand out.
+    """
+    if mode not in (0, 1, 2, 3):
+        raise ValueError("mode is 0, 1, 2 or 3")
+    spans = open_spans(tiles, lengths)
+    spans = spans if reverse else spans.where("strand = 1")
+    spans = spans.withColumns({"first": F.col("atg") if mode % 2 else F.col("before") + 3, "last": F.col("next") - 1}).where("first is not null")
+    spans = _on_plus_axis(spans.where((F.col("last") - F.col("first") + 1).between(shortest, longest)), "first", "last")
+    found = extract_subseq(spans, tiles, ["seq_id", "strand", "frame"], width)
+    bases = F.upper(F.when(F.col("strand") == -1, revcomp("part")).otherwise(F.col("part")))
+    return found.select("seq_id", "strand", "frame", "start_pos", "end_pos", (translate_codons(bases) if mode < 2 else bases).alias("orf"))
+
+
+def orfs_from_hits(tiles: DataFrame, lengths: DataFrame, hits: DataFrame, width: int = TILE) -> DataFrame:
     """Frames around hits: (seq_id, strand, h_start, start_pos, end_pos, protein) on the hit's strand axis.
 
     From the hit's first codon up to the furthest M behind the last stop before it (or the codon after that stop, or the
     sequence's start), and down to the first stop. ``hits(seq_id, strand, h_start)`` give a base of the hit's frame.
-    Frames without any codon drop out. Each frame of a sequence is translated once, not once a hit.
+    Frames without any codon drop out. A hit meets the one span between stops that it lies in, in the range join's bins.
     """
-    frames = _both_strands(seqs).select("seq_id", "strand", "s", F.explode(F.lit([0, 1, 2])).alias("frame"))
-    frames = frames.select("seq_id", "strand", "frame", translate_codons(F.substring(F.col("s"), F.col("frame") + 1, F.length("s"))).alias("p"))
-    rows = hits.withColumn("frame", ((F.col("h_start") - 1) % 3).cast("int")).join(frames.repartition("seq_id", "strand", "frame"), ["seq_id", "strand", "frame"])
-    rows = rows.withColumn("at", F.floor((F.col("h_start") - 1) / 3).cast("int"))
-    before, behind = F.substring("p", F.lit(1), F.col("at")), F.substring("p", F.col("at") + 1, F.length("p"))
-    open_from = F.when(F.contains(before, F.lit("*")), F.length(before) - F.instr(F.reverse(before), "*") + 1).otherwise(0)
-    up = F.substring(before, open_from + 1, F.length(before))
-    start = open_from + F.when(F.contains(up, F.lit("M")), F.instr(up, "M") - 1).otherwise(0)
-    down = F.instr(behind, "*")
-    rows = rows.withColumns({"first": start, "stop": F.when(down > 0, F.col("at") + down).otherwise(F.length("p"))}).where("stop > first")
-    return rows.select("seq_id", "strand", "h_start", (F.col("frame") + F.col("first") * 3 + 1).alias("start_pos"), (F.col("frame") + F.col("stop") * 3).alias("end_pos"), F.substring("p", F.col("first") + 1, F.col("stop") - F.col("first")).alias("protein"))
+    spans = open_spans(tiles, lengths).withColumns({"start_pos": F.col("before") + 3, "end_pos": F.col("next")})
+    places = hits.select("seq_id", F.col("strand").cast("int").alias("strand"), "h_start", ((F.col("h_start") - 1) % 3).cast("int").alias("frame"), F.col("h_start").alias("start_pos"), F.col("h_start").alias("end_pos")).distinct()
+    rows = overlap_join(places, spans, ["seq_id", "strand", "frame"], strict=False)
+    first = F.when(F.col("r_atg") < F.col("h_start"), F.col("r_atg")).otherwise(F.col("r_before") + 3)
+    last = F.when(F.col("r_stops"), F.col("r_next") + 2).otherwise(F.col("r_next") - 1)
+    rows = rows.select("seq_id", "strand", "h_start", F.col("r_length").alias("length"), first.alias("first"), last.alias("last")).where("last > first")
+    key = ["seq_id", "strand", "h_start", "first", "last"]
+    found = extract_subseq(_on_plus_axis(rows, "first", "last"), tiles, key, width)
+    bases = F.upper(F.when(F.col("strand") == -1, revcomp("part")).otherwise(F.col("part")))
+    return found.select("seq_id", "strand", "h_start", F.col("first").alias("start_pos"), F.col("last").alias("end_pos"), translate_codons(bases).alias("protein"))
+
+
+def keep_orfs(frames: DataFrame, identity: float = 0.8, shortest: int = 50) -> DataFrame:
+    """Frames of ``orfs_from_hits`` with the ``identity`` of their best alignment: similar, long enough and without a stop inside."""
+    return frames.where((F.col("start_pos") < F.col("end_pos")) & (F.col("identity") >= identity) & (aa_length("protein") >= shortest) & ~is_premature("protein"))
 
 
 def junction_chains(exons: DataFrame, transcript: Sequence[str]) -> DataFrame:
@@ -136,26 +176,104 @@ def junction_chains(exons: DataFrame, transcript: Sequence[str]) -> DataFrame:
     return rows.withColumn("links", F.transform("links", lambda x: x["text"])).withColumn("chain", F.concat(F.lit("_"), F.array_join("links", "_"), F.lit("_")))
 
 
-def rescue_by_junctions(chains: DataFrame, abinitio: DataFrame) -> DataFrame:
-    """(parent_id, model_id): the first ab-initio model whose whole junction chain is a stretch of the transcript's.
+def contained_chains(chains: DataFrame, abinitio: DataFrame) -> DataFrame:
+    """(parent_id, model_id, file_order): ab-initio models whose whole junction chain is a stretch of the transcript's.
 
     Candidates share the ab-initio chain's first junction on one sequence, so no transcript meets every model.
     ``chains`` and ``abinitio`` come from ``junction_chains``; the latter has ``model_id`` and ``file_order``.
     """
     first = abinitio.select("seq_id", "model_id", "file_order", F.col("chain").alias("wanted"), F.col("links")[0].alias("junction"))
-    rows = chains.select("seq_id", "parent_id", "chain", F.explode("links").alias("junction")).join(first, ["seq_id", "junction"])
-    found = rows.where(F.contains("chain", "wanted"))
+    rows = chains.select("seq_id", "parent_id", "chain", F.explode(F.array_distinct("links")).alias("junction")).join(first, ["seq_id", "junction"])
+    return rows.where(F.contains("chain", "wanted")).select("parent_id", "model_id", "file_order")
+
+
+def rescue_by_junctions(chains: DataFrame, abinitio: DataFrame) -> DataFrame:
+    """(parent_id, model_id): the first ab-initio model, in file order, whose chain is contained in the transcript's."""
+    found = contained_chains(chains, abinitio)
     return found.groupBy("parent_id").agg(F.min(F.struct("file_order", "model_id")).alias("m")).select("parent_id", F.col("m.model_id").alias("model_id"))
 
 
-def prediction_hints(parts: DataFrame, kind: str, transcript: Sequence[str]) -> DataFrame:
-    """Hints for gene prediction: parts with how often each occurs, and introns between the parts of a transcript."""
-    name, src = ("CDSpart", "P") if kind == "protein" else ("ep", "W")
-    exon = parts.groupBy("seq_id", "strand", "start_pos", "end_pos").agg(F.count("*").alias("score"))
-    exon = exon.select("seq_id", F.lit(name).alias("type"), "start_pos", "end_pos", "strand", "score", F.lit(f"src={src}").alias("note"))
+def multiplicity(parts: DataFrame) -> DataFrame:
+    """(seq_id, strand, start_pos, end_pos, n): how often each part occurs."""
+    return parts.groupBy("seq_id", "strand", "start_pos", "end_pos").agg(F.count("*").alias("n"))
+
+
+#: Hint type and source of the kinds of evidence.
+HINTS = {"protein": ("CDSpart", "P"), "RNAseq": ("ep", "W")}
+
+
+def prediction_hints(parts: DataFrame, kind: str, transcript: Sequence[str], target: str) -> DataFrame:
+    """Hints for gene prediction from aligned parts of proteins (``protein``) or transcripts (``RNAseq``).
+
+    Each distinct part with how often it occurs, as score and in the note; and an intron between neighbouring parts of
+    each transcript, named after its ``target``.
+    """
+    name, src = HINTS[kind]
+    many = multiplicity(parts)
+    exon = many.select("seq_id", F.lit(name).alias("type"), "start_pos", "end_pos", "strand", F.col("n").alias("score"), F.concat(F.lit(f"src={src};mult="), F.col("n").cast("string"), F.lit(";")).alias("note"))
     following = F.lead("start_pos").over(W.partitionBy(*transcript).orderBy("start_pos", "end_pos"))
-    gaps = parts.withColumn("next", following).where("next is not null").groupBy("seq_id", "strand", F.col("end_pos").alias("start_pos"), F.col("next").alias("end_pos")).agg(F.count("*").alias("score"))
-    return exon.unionByName(gaps.select("seq_id", F.lit("intron").alias("type"), "start_pos", "end_pos", "strand", "score", F.lit(f"src={src};pri=4").alias("note")))
+    gaps = parts.withColumn("next", following).where("next is not null")
+    note = F.concat(F.lit("grp="), target, F.lit(f";pri=4;src={src};"))
+    return exon.unionByName(gaps.select("seq_id", F.lit("intron").alias("type"), F.col("end_pos").alias("start_pos"), F.col("next").alias("end_pos"), "strand", F.lit(0).cast("long").alias("score"), note.alias("note")))
+
+
+def extend_cds(parts: DataFrame, tiles: DataFrame, lengths: DataFrame, limit: int = 600, atg_mode: int = 2, transcript: str = "parent_id", width: int = TILE) -> DataFrame:
+    """Coding regions extended to a start and a stop: (seq_id, transcript, strand, type, start_pos, end_pos).
+
+    ``parts(seq_id, transcript, strand, type, start_pos, end_pos)`` are five_prime_UTR, polypeptide and three_prime_UTR
+    pieces (``split_utr_cds``). The search walks codon by codon over the spliced exons and then up to ``limit`` bases of
+    the genome beside them.
+
+    Downstream from the last whole codon, the first stop ends the region; a codon with another letter than A, C, G and T
+    in the last exon or behind it ends it too, and so does the limit. Upstream, ``atg_mode`` 2 keeps a start behind more
+    than two bases of UTR, 1 keeps one that is ATG; else the walk ends before a stop, a codon with another letter near or
+    before the first exon's start, or at the limit, and takes the furthest ATG on its way, or its last codon if there is
+    none. Exons are then cut anew, and the outer ones stretched to the new ends. Transcripts without a whole codon of
+    polypeptide drop out.
+    """
+    by = ["seq_id", transcript, "strand"]
+    size = F.col("end_pos") - F.col("start_pos") + 1
+    of = lambda kind: F.coalesce(F.sum(F.when(F.col("type") == kind, size)), F.lit(0))
+    figures = parts.groupBy(*by).agg(of("five_prime_UTR").alias("utr"), of("polypeptide").alias("coding_len"), F.min("start_pos").alias("low"), F.max("end_pos").alias("high")).where("coding_len >= 3").join(lengths.select("seq_id", "length"), "seq_id")
+    exons = cumulative_offset(merge_intervals(parts, by).drop("n"), by)
+    rows = coding_sequences(exons, tiles, transcript, width).withColumnRenamed("coding", "spliced").join(figures, by)
+    plus = F.col("strand") != -1
+    before = rows.select(*by, F.greatest(F.lit(1), F.col("low") - limit).alias("start_pos"), (F.col("low") - 1).alias("end_pos")).where("start_pos <= end_pos")
+    behind = rows.select(*by, (F.col("high") + 1).alias("start_pos"), F.least("length", F.col("high") + limit).alias("end_pos")).where("start_pos <= end_pos")
+    flank = lambda df, name: extract_subseq(df, tiles, by, width).select(*by, F.col("part").alias(name))
+    rows = rows.join(flank(before, "left"), by, "left").join(flank(behind, "right"), by, "left")
+    left, right = F.coalesce("left", F.lit("")), F.coalesce("right", F.lit(""))
+    head = F.when(plus, left).otherwise(revcomp(right))
+    tail = F.when(plus, right).otherwise(revcomp(left))
+    last_exon = exons.groupBy(*by).agg(F.max("offset").alias("last_offset"))
+    rows = rows.join(last_exon, by).select(*by, "utr", "coding_len", "last_offset", F.length(head).alias("f"), F.upper(F.concat(head, "spliced", tail)).alias("text"))
+    rows = rows.withColumn("p", (F.col("f") + F.col("utr")).cast("int"))
+    codon = lambda at: F.substring(F.col("text"), at + 1, F.lit(3))
+    ups = F.transform(F.sequence(F.lit(0), F.floor(F.col("p") / 3).cast("int")), lambda k: F.struct((F.col("p") - 3 * k).alias("at"), codon(F.col("p") - 3 * k).alias("c")))
+    d = (F.col("p") + F.floor(F.col("coding_len") / 3) * 3 - 3).cast("int")
+    downs = F.transform(F.sequence(F.lit(0), F.floor((F.length("text") - d - 3) / 3).cast("int")), lambda k: F.struct((d + 3 * k).alias("at"), codon(d + 3 * k).alias("c")))
+    odd = lambda c: ~c.rlike("^[ACGT]{3}$")
+    rows = rows.withColumns({"ups": ups, "downs": downs})
+    up_bar = F.filter("ups", lambda x: x["c"].isin(*STOPS) | (odd(x["c"]) & (x["at"] <= F.col("f") + 2)))
+    rows = rows.withColumn("bar", F.when(F.size(up_bar) > 0, up_bar[0]["at"]))
+    open_ = F.filter("ups", lambda x: F.col("bar").isNull() | (x["at"] > F.col("bar")))
+    starts = F.filter(open_, lambda x: x["c"] == "ATG")
+    walked = F.when(F.size(starts) > 0, F.element_at(starts, -1)["at"]).when(F.col("bar").isNotNull(), F.col("bar") + 3).otherwise(F.element_at("ups", -1)["at"])
+    own = F.element_at("ups", 1)["c"]
+    keeps = ((F.lit(atg_mode) == 2) & (F.col("utr") > 2)) | ((F.lit(atg_mode) == 1) & (own == "ATG"))
+    down_bar = F.filter("downs", lambda x: x["c"].isin(*STOPS) | (odd(x["c"]) & (x["at"] >= F.col("f") + F.col("last_offset"))))
+    end = F.when(F.size(down_bar) > 0, down_bar[0]["at"]).otherwise(F.element_at("downs", -1)["at"]) + 3
+    found = rows.select(*by, "f", F.when(keeps, F.col("p")).otherwise(walked).alias("s"), end.alias("e"))
+    # On the axis of the text: each exon, the first and the last one stretched, in three pieces.
+    cut = exons.join(found, by).join(last_exon, by)
+    a, b = F.col("f") + F.col("offset"), F.col("f") + F.col("offset") + size
+    cut = cut.withColumns({"a0": a, "a": F.when(F.col("offset") == 0, F.least(a, F.col("s"))).otherwise(a), "b": F.when(F.col("offset") == F.col("last_offset"), F.greatest(b, F.col("e"))).otherwise(b)})
+    piece = lambda kind, x, y: F.struct(F.lit(kind).alias("type"), x.cast("long").alias("x"), y.cast("long").alias("y"))
+    pieces = F.array(piece("five_prime_UTR", F.col("a"), F.least("b", "s")), piece("polypeptide", F.greatest("a", "s"), F.least("b", "e")), piece("three_prime_UTR", F.greatest("a", "e"), F.col("b")))
+    cut = cut.select(*by, "start_pos", "end_pos", "a0", F.explode(F.filter(pieces, lambda q: q["x"] < q["y"])).alias("q"))
+    first = F.when(plus, F.col("start_pos") + F.col("q.x") - F.col("a0")).otherwise(F.col("end_pos") - (F.col("q.y") - F.col("a0")) + 1)
+    last = F.when(plus, F.col("start_pos") + F.col("q.y") - F.col("a0") - 1).otherwise(F.col("end_pos") - (F.col("q.x") - F.col("a0")))
+    return cut.select(*by, F.col("q.type").alias("type"), first.alias("start_pos"), last.alias("end_pos"))
 
 
 def clip_windows(chains: DataFrame, margin: int = 10_000, short_margin: int = 1_000, missing: int = 10) -> DataFrame:
@@ -169,19 +287,37 @@ def clip_windows(chains: DataFrame, margin: int = 10_000, short_margin: int = 1_
 
 
 def dedupe_windows(windows: DataFrame, share: float = 0.9) -> DataFrame:
-    """Windows (seq_id, window_id, start_pos, end_pos) that no longer one of their cluster covers by ``share`` or more.
+    """Windows (seq_id, window_id, start_pos, end_pos) without those that another covers, trimmed to their neighbours.
 
-    Longer ones first, then by start and id; the choice is a fold over one cluster of overlapping windows at a time.
+    ``windows`` also have ``g_start`` and ``g_end``, the alignment inside the window. Inside a cluster of overlapping
+    windows, by the start of their alignments, each one that hasn't been dropped meets the others: one whose alignment
+    ends before its own moves its start behind that, the first whose alignment begins after its own moves its end
+    before that and ends the search; another one on the way is dropped, unless it was kept before, if the common bases are ``share`` of it. The order decides, so it is a fold over one cluster at a time.
     """
     def keep(group: pd.DataFrame) -> pd.DataFrame:
-        start, end, names, kept = group["start_pos"].to_numpy(), group["end_pos"].to_numpy(), group["window_id"].to_list(), []
-        for i in sorted(range(len(group)), key=lambda i: (start[i] - end[i], start[i], names[i])):
-            common = np.minimum(end[kept], end[i]) - np.maximum(start[kept], start[i]) + 1 if kept else np.zeros(0)
-            if not (common >= share * (end[i] - start[i] + 1)).any():
-                kept.append(i)
-        return group[["seq_id", "window_id", "start_pos", "end_pos"]].iloc[kept]
-
-    rows = cluster_intervals(windows, ["seq_id"]).select("seq_id", "cluster_start", "window_id", "start_pos", "end_pos")
+        group = group.sort_values(["g_start", "g_end", "window_id"], ignore_index=True)
+        start, end, inner, outer = (group[c].to_numpy().copy() for c in ("start_pos", "end_pos", "g_start", "g_end"))
+        whole_start, whole_end = start.copy(), end.copy()
+        gone, kept = np.zeros(len(group), bool), []
+        for i in range(len(group)):
+            if gone[i]:
+                continue
+            kept.append(i)
+            # Sorted by their alignments' starts: the first one behind this window's alignment ends the search.
+            reach = int(np.searchsorted(inner, outer[i], "right"))
+            seen = np.delete(np.arange(reach), i)
+            before = seen[outer[seen] < inner[i]]
+            if len(before):
+                start[i] = outer[before[-1]] + 1
+            if reach < len(group):
+                end[i] = inner[reach] - 1
+            beside = seen[outer[seen] >= inner[i]]
+            apart = np.abs(whole_start[i] - whole_start[beside]) + np.abs(whole_end[i] - whole_end[beside])
+            size = whole_end[beside] - whole_start[beside] + 1
+            gone[beside] |= (whole_end[i] - whole_start[i] + 1 + size - apart) / 2 >= share * size
+        return group.assign(start_pos=start, end_pos=end)[["seq_id", "window_id", "start_pos", "end_pos"]].iloc[kept]
+
+    rows = cluster_intervals(windows, ["seq_id"]).select("seq_id", "cluster_start", "window_id", "start_pos", "end_pos", "g_start", "g_end")
     return folded(rows, ["seq_id", "cluster_start"], keep, "seq_id string, window_id string, start_pos long, end_pos long", alone=True)
 
 
@@ -189,9 +325,11 @@ def chain_hsps(hsps: DataFrame, t_gap: int = 10, g_gap: int = 10_000, coverage:
     """Chains of alignments of one query, subject and strand: (query_id, hit_id, strand, chain, q_start, q_end, h_start,
     h_end, n_hsps, coverage, identity).
 
-    Seeds by score; the nearest alignment on either side of a chain joins it if the query gap is above ``-t_gap`` and the
-    subject gap between 0 and ``g_gap``, until none fits. Of a query's chains those stay that reach the coverage and come
-    within 0.05 of the best identity; if none does, the coverage is lowered by 0.05 at a time.
+    Seeds by score. An alignment before or behind a chain on the query may join it if the distance of their facing ends
+    on the query is above ``-t_gap`` and that on the subject between 0 and ``g_gap``, where the subject is read backwards
+    on the minus strand. The least distance on the query counts, either way, then the one on the subject; one on each
+    side joins at a time, until none fits. Of a query's chains those stay that reach the coverage and come within 0.05
+    of the best identity; if none does, the coverage is lowered by 0.05 at a time.
     """
     def fold(g: pd.DataFrame) -> pd.DataFrame:
         columns = ("bit_score", "q_start", "q_end", "h_start", "h_end", "align_len", "n_identical")
@@ -199,26 +337,31 @@ def chain_hsps(hsps: DataFrame, t_gap: int = 10, g_gap: int = 10_000, coverage:
         order = np.lexsort((he, hs, qe, qs, -score))
         qs, qe, hs, he, size, same = (x[order] for x in (qs, qe, hs, he, size, same))
         names, query_len = tuple(g[["query_id", "hit_id", "strand"]].iloc[0]), int(g["query_len"].iloc[0])
+        # On the mirrored axis a minus-strand subject runs along with the query.
+        a, b = (hs, he) if names[2] != -1 else (-he, -hs)
         free, out = np.ones(len(g), bool), []
+
+        def nearest(fits: np.ndarray, on_query: np.ndarray, on_subject: np.ndarray) -> int | None:
+            fits = np.flatnonzero(fits & (on_query > -t_gap) & (on_subject > 0) & (on_subject < g_gap))
+            return min(fits, key=lambda i: (abs(on_query[i]), on_subject[i], i), default=None)
+
         for seed in range(len(g)):
             if not free[seed]:
                 continue
             free[seed], members = False, [seed]
-            q0, q1, h0, h1 = qs[seed], qe[seed], hs[seed], he[seed]
+            q0, q1, a0, a1 = qs[seed], qe[seed], a[seed], b[seed]
             while True:
-                up = free & (qs - q1 - 1 > -t_gap) & (hs - h1 - 1 > 0) & (hs - h1 - 1 < g_gap)
-                down = free & (q0 - qe - 1 > -t_gap) & (h0 - he - 1 > 0) & (h0 - he - 1 < g_gap)
-                if not up.any() and not down.any():
+                before = nearest(free & (qs < q0) & (qe < q1), q0 - qe, a0 - b)
+                behind = nearest(free & (qe > q1) & (qs > q0), qs - q1, a - a1)
+                if before is None and behind is None:
                     break
-                if up.any():
-                    i = min(np.flatnonzero(up), key=lambda i: (qs[i], hs[i], i))
-                    free[i], q1, h1 = False, qe[i], he[i]
-                    members.append(i)
-                    down &= free
-                if down.any():
-                    i = min(np.flatnonzero(down), key=lambda i: (-qe[i], -he[i], i))
-                    free[i], q0, h0 = False, qs[i], hs[i]
-                    members.append(i)
+                if before is not None:
+                    free[before], q0, a0 = False, qs[before], a[before]
+                    members.append(before)
+                if behind is not None:
+                    free[behind], q1, a1 = False, qe[behind], b[behind]
+                    members.append(behind)
+            h0, h1 = (a0, a1) if names[2] != -1 else (-a1, -a0)
             out.append((*names, len(out), q0, q1, h0, h1, len(members), min(1.0, size[members].sum() / query_len), same[members].sum() / size[members].sum()))
         return pd.DataFrame(out, columns=["query_id", "hit_id", "strand", "chain", "q_start", "q_end", "h_start", "h_end", "n_hsps", "coverage", "identity"])
 

@@ -36,9 +36,10 @@ SELECT concat('q', CAST(l_orderkey % 500 AS STRING)) AS query_id, CAST(800 AS BI
        concat('h', CAST(l_partkey % 40 AS STRING)) AS hit_id, CAST(900 AS BIGINT) AS hit_len,
        CASE WHEN l_returnflag = 'A' THEN -1 ELSE 1 END AS strand,
        l_partkey % 600 + 1 AS q_start, l_partkey % 600 + 30 + 3 * q AS q_end,
-       (l_suppkey * 7) % 600 + 1 AS h_start, (l_suppkey * 7) % 600 + 30 + 3 * q AS h_end,
-       30 + 3 * q AS align_len,
+       (l_suppkey * 7) % 600 + 1 AS h_start, (l_suppkey * 7) % 600 + 30 + 3 * q - l_suppkey % 4 AS h_end,
+       30 + 3 * q AS align_len, l_suppkey % 4 AS gaps, l_orderkey * 10 + l_linenumber AS ordinal,
        CAST(FLOOR((30 + 3 * q) * (60 + l_orderkey % 41) / 100) AS BIGINT) AS n_identical,
+       LEAST(30 + 3 * q, CAST(FLOOR((30 + 3 * q) * (60 + l_orderkey % 41) / 100) AS BIGINT) + l_partkey % 9) AS n_positive,
        CAST(ROUND(l_extendedprice) AS BIGINT) AS bit_score,
        p_name AS hit_description
 FROM (SELECT l.*, CAST(l_quantity AS BIGINT) AS q, p_name FROM lineitem l JOIN part ON p_partkey = l_partkey) a"""

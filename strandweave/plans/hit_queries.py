@@ -37,9 +37,24 @@ def g10(t):
     return H.best_hsp(t.fx_hsps).select("query_id", "hit_id", "bit_score", "q_start", "h_start")
 
 
-@query("d4_best_hsp_rule", f"WITH {BEST} SELECT query_id, hit_id, bit_score FROM b WHERE align_len / hit_len >= 0.15 AND n_identical / align_len >= 0.8")
+#: Alignments moved to the start of both sequences, but for some, so that the rule on starts has something to decide.
+_MOVED = """mv AS (SELECT * REPLACE (CASE WHEN bit_score % 4 < 3 THEN 1 ELSE q_start END AS q_start, CASE WHEN bit_score % 5 < 4 THEN 1 ELSE h_start END AS h_start,
+CASE WHEN bit_score % 5 < 4 THEN h_end - h_start + 1 ELSE h_end END AS h_end) FROM fx_hsps)"""
+
+
+def moved(t):
+    away = F.col("bit_score") % 5 >= 4
+    return t.fx_hsps.withColumns({
+        "q_start": F.when(F.col("bit_score") % 4 < 3, 1).otherwise(F.col("q_start")), "h_end": F.when(away, F.col("h_end")).otherwise(F.col("h_end") - F.col("h_start") + 1), "h_start": F.when(away, F.col("h_start")).otherwise(1),
+    })
+
+
+_RULE = "(h_end - h_start + 1) / hit_len >= {0} AND n_positive / align_len >= {1} AND h_start = 1 AND q_start = 1"
+
+
+@query("d4_best_hsp_rule", f"WITH {_MOVED}, {BEST.replace('fx_hsps', 'mv')} SELECT query_id, hit_id, bit_score FROM b WHERE {_RULE.format(0.15, 0.8)}")
 def d4(t):
-    return H.best_hits(t.fx_hsps, 0.15, 0.8).select("query_id", "hit_id", "bit_score")
+    return H.best_hits(moved(t), 0.15, 0.8).select("query_id", "hit_id", "bit_score")
 
 
 @query("d5_match_coverage", "SELECT query_id, hit_id, q_start, q_end FROM fx_hsps WHERE nullif(query_len - 800 * (bit_score % 2), 0) IS NULL OR align_len / query_len >= 0.2")
@@ -50,7 +65,7 @@ def d5(t):
     return t.fx_hsps.where(covers_enough(F.col("align_len"), length, 0.2)).select("query_id", "hit_id", "q_start", "q_end")
 
 
-TOP = """r AS (SELECT query_id, hit_id, row_number() OVER (PARTITION BY query_id ORDER BY max(bit_score) DESC, hit_id) AS hit_rank FROM fx_hsps GROUP BY query_id, hit_id),
+TOP = """r AS (SELECT query_id, hit_id, row_number() OVER (PARTITION BY query_id ORDER BY min(ordinal), hit_id) AS hit_rank FROM fx_hsps GROUP BY query_id, hit_id),
 t10 AS (SELECT h.*, hit_rank FROM fx_hsps h JOIN r USING (query_id, hit_id) WHERE hit_rank <= 10)"""
 MODEL_STATS = f"""{TOP}, ms AS (SELECT query_id, hit_id, hit_rank::INT AS hit_rank, round(avg(n_identical * 100 / align_len), 4) AS identity,
 round(sum(align_len) * 100 / min(hit_len), 4) AS hit_cov, round(sum(align_len) * 100 / min(query_len), 4) AS query_cov FROM t10 GROUP BY query_id, hit_id, hit_rank)"""
@@ -66,6 +81,17 @@ def f3(t):
     return H.model_hit_stats(t.fx_hsps)
 
 
+@query(
+    "f3_hit_policy",
+    f"""WITH {MODEL_STATS}, l AS (SELECT query_id, arg_max(identity, hit_rank) AS identity, arg_max(hit_cov, hit_rank) AS hit_cov, arg_max(query_cov, hit_rank) AS query_cov, arg_min(hit_id, hit_rank) AS best_hit FROM ms GROUP BY query_id)
+    SELECT 'last_of_top10' AS policy, query_id, best_hit, identity, hit_cov, query_cov FROM l UNION ALL SELECT 'first', query_id, hit_id, identity, hit_cov, query_cov FROM ms WHERE hit_rank = 1""",
+)
+def f3_policy(t):
+    stats = H.model_hit_stats(t.fx_hsps)
+    of = lambda policy: H.scored_figures(stats, policy).select(F.lit(policy).alias("policy"), "*")
+    return of("last_of_top10").unionByName(of("first"))
+
+
 @query(
     "f4_hit_class",
     f"""WITH {MODEL_STATS} SELECT query_id, bool_or(identity >= 35) AS over_identity, bool_or(hit_cov >= 70 AND query_cov >= 60) AS over_cov,
@@ -122,18 +148,32 @@ def b4(t):
     return H.hit_list(t.fx_hsps, 0.5, 0.75)
 
 
-@query("n16_best_hits", f"WITH {BEST} SELECT query_id, hit_id, bit_score, round(align_len / hit_len, 6) AS coverage, round(n_identical / align_len, 6) AS similar FROM b WHERE align_len / hit_len >= 0.1 AND n_identical / align_len >= 0.7")
+@query("n16_best_hits", f"WITH {_MOVED}, {BEST.replace('fx_hsps', 'mv')} SELECT query_id, hit_id, bit_score, round((h_end - h_start + 1) / hit_len, 6) AS coverage, round(n_positive / align_len, 6) AS positive, round(n_identical / align_len, 6) AS similar FROM b WHERE {_RULE.format(0.1, 0.7)}")
 def n16(t):
-    return H.best_hits(t.fx_hsps, 0.1, 0.7).select("query_id", "hit_id", "bit_score", F.round("coverage", 6).alias("coverage"), F.round("similar", 6).alias("similar"))
+    rounded = (F.round(c, 6).alias(c) for c in ("coverage", "positive", "similar"))
+    return H.best_hits(moved(t), 0.1, 0.7).select("query_id", "hit_id", "bit_score", *rounded)
+
+
+#: Aligned strings of a few letters that stand for those of a report, with gaps of different lengths.
+_ALIGNED = """al AS (SELECT *, concat(left(hit_description, 6), repeat('-', CAST(bit_score % 12 AS INT)), right(hit_description, 5)) AS q_aln, concat(repeat('|', 6), repeat(' ', CAST(bit_score % 12 AS INT)), repeat('+', 5)) AS midline,
+concat(query_id, repeat('-', CAST(align_len % 11 AS INT)), hit_id) AS h_aln FROM b)"""
 
 
 @query(
     "b7_alignment_report",
-    f"""WITH {BEST} SELECT query_id, hit_id, concat_ws(' ', 'query=', query_id, 'hit=', hit_id, 'coverage=', printf('%.2f', round(align_len / hit_len * 100, 2)), 'identity=', printf('%.2f', round(n_identical / align_len * 100, 2)),
-    CASE WHEN bit_score % 3 > 0 THEN concat('WARNING: ', (bit_score % 3)::VARCHAR, ' gaps') END) AS line FROM b WHERE align_len / hit_len >= 0.1 AND n_identical / align_len >= 0.7""",
+    f"""WITH {_MOVED}, {BEST.replace('fx_hsps', 'mv')}, {_ALIGNED} SELECT query_id, hit_id, concat('>', query_id, ' | ', hit_id, ' | Coverage: ', printf('%.2f', round((h_end - h_start + 1) / hit_len * 100, 2)), '% | Identity: ', printf('%.2f', round(n_identical / align_len * 100, 2)), '% | Positive: ', printf('%.2f', round(n_positive / align_len * 100, 2)), '%',
+    CASE WHEN len(regexp_extract_all(q_aln, '[^A-Za-z0-9_]{{9,}}')) > 0 THEN concat(' | Query gap(s) over threshold (> 9aa): ', len(regexp_extract_all(q_aln, '[^A-Za-z0-9_]{{9,}}'))::VARCHAR) ELSE '' END,
+    CASE WHEN len(regexp_extract_all(h_aln, '[^A-Za-z0-9_]{{9,}}')) > 0 THEN concat(' | Subject gap(s) over threshold (> 9aa): ', len(regexp_extract_all(h_aln, '[^A-Za-z0-9_]{{9,}}'))::VARCHAR) ELSE '' END,
+    chr(10), 'Query: ', q_aln, chr(10), 'Align: ', midline, chr(10), 'Sbjct: ', h_aln, chr(10), chr(10)) AS report FROM al WHERE {_RULE.format(0.1, 0.7)}""",
 )
 def b7(t):
-    return H.alignment_report(H.best_hits(t.fx_hsps, 0.1, 0.7).withColumn("gaps", F.col("bit_score") % 3))
+    best = H.best_hits(moved(t), 0.1, 0.7)
+    gap = lambda c, m, letter: F.repeat(F.lit(letter), (F.col(c) % m).cast("int"))
+    best = best.withColumns({
+        "q_aln": F.concat(F.substring("hit_description", 1, 6), gap("bit_score", 12, "-"), F.right("hit_description", F.lit(5))),
+        "midline": F.concat(F.lit("||||||"), gap("bit_score", 12, " "), F.lit("+++++")), "h_aln": F.concat("query_id", gap("align_len", 11, "-"), "hit_id"),
+    })
+    return H.alignment_report(best)
 
 
 _TRANSPOSON = "(?i)green|misty"
@@ -173,6 +213,7 @@ def step_hits(t):
     f"""WITH {_STEP_HITS}, h AS (SELECT *, regexp_matches(regexp_replace(d, '^[^-]*-', ''), '(?i){"|".join(L.HYPOTHETICAL)}') AS hypo, regexp_matches(d, '(?i){"|".join(L.TE_LIKE)}') AS te FROM best),
     c AS (SELECT query_id, 1 AS step, 'known_function' AS class, d FROM h WHERE s = 0 AND cov > 50 AND ident > 80 AND NOT hypo
     UNION ALL SELECT query_id, 2, 'putative_function', d FROM h WHERE s = 1 AND cov > 45 AND ident > 50 AND NOT hypo
+    UNION ALL SELECT query_id, 3, 'domain_containing_protein', string_agg(DISTINCT hit_id, ',' ORDER BY hit_id) FROM fx_hsps WHERE bit_score % 9 = 0 GROUP BY query_id
     UNION ALL SELECT query_id, 4, 'expressed_sequence', d FROM h WHERE s = 2 AND cov > 45 AND ident > 70
     UNION ALL SELECT query_id, 5, 'conserved_unknown_function', d FROM h WHERE s = 1 AND cov > 45 AND ident > 50
     UNION ALL SELECT query_id, 6, 'putative_transposable_element', d FROM h WHERE s = 0 AND cov > 35 AND ident > 40 AND te),
@@ -182,10 +223,12 @@ def step_hits(t):
 def n17(t):
     hits = step_hits(t)
     of = lambda s: hits.where(F.col("s") == s).drop("s").withColumnRenamed("query_id", "protein_id")
+    found = t.fx_hsps.where("bit_score % 9 = 0").select(F.col("query_id").alias("protein_id"), F.col("hit_id").alias("name"), F.col("hit_id").alias("place")).distinct()
+    domains = A.joined_domains(found, "protein_id").select("protein_id", F.col("domains").alias("description"), F.lit(100.0).alias("coverage"), F.lit(100.0).alias("identity"))
     steps = [
         A.Step("known_function", of(0), 50, 80, hypothetical=False),
         A.Step("putative_function", of(1), 45, 50, hypothetical=False),
-        A.Step("domain_containing_protein", of(0).limit(0), 0, 0),
+        A.Step("domain_containing_protein", domains, 0, 0),
         A.Step("expressed_sequence", of(2), 45, 70),
         A.Step("conserved_unknown_function", of(1), 45, 50),
         A.Step("putative_transposable_element", of(0), 35, 40, te_only=True),

@@ -100,13 +100,22 @@ KMERS = """km AS (SELECT seq_id, i - 1 AS pos, substring(residues, CAST(i AS INT
 kn AS (SELECT seq_id, pos, mer, n FROM km JOIN (SELECT mer, count(*) AS n FROM km GROUP BY mer) USING (mer))"""
 
 
-def kmers(t):
-    return M.kmer_counts(M.to_tiles(t.fx_sequences, W, 5), 6)
+def kmers(t, strand="f"):
+    return M.kmer_counts(M.to_tiles(t.fx_sequences, W, 5), 6, strand)
+
+
+_BOTH_STRANDS = f"""{KMERS}, rc AS (SELECT seq_id, pos, {sql_revcomp("mer")} AS mer FROM km), kb AS (SELECT seq_id, pos, '+' AS strand, mer, n FROM kn
+UNION ALL SELECT seq_id, pos, '-', mer, n FROM rc JOIN (SELECT mer, count(*) AS n FROM km GROUP BY mer) USING (mer))"""
 
 
 @query("f8_kmer_counts", f"WITH {KMERS} SELECT seq_id, pos, mer, n FROM kn")
 def f8(t):
-    return kmers(t)
+    return kmers(t).select("seq_id", "pos", "mer", "n")
+
+
+@query("f8_kmer_counts_of_both_strands", f"WITH {_BOTH_STRANDS} SELECT seq_id, strand, count(*) AS places, sum(n)::BIGINT AS total, max(n) AS most FROM kb GROUP BY seq_id, strand")
+def f8_both(t):
+    return kmers(t, "fp").groupBy("seq_id", "strand").agg(F.count("*").alias("places"), F.sum("n").alias("total"), F.max("n").alias("most"))
 
 
 @query("d11_frequent_kmers", f"WITH {KMERS} SELECT seq_id, pos, n FROM kn WHERE n >= 280 AND pos > 0")
@@ -123,10 +132,10 @@ def n13(t):
     return M.kmer_regions(kmers(t), 280, 6)
 
 
-@query("b6_kmer_track", f"WITH {KMERS} SELECT seq_id, pos, CASE WHEN n >= 280 THEN round(log10(n), 5) ELSE -0.1::DOUBLE END AS value FROM kn")
+@query("b6_kmer_track", f"WITH {_BOTH_STRANDS}, al AS (SELECT seq_id, pos, unnest(['+', '-']) AS strand FROM km) SELECT al.seq_id, al.strand, al.pos, CASE WHEN n >= 280 THEN round(log10(n), 5) ELSE -0.1::DOUBLE END AS value FROM al LEFT JOIN kb ON kb.seq_id = al.seq_id AND kb.pos = al.pos AND kb.strand = al.strand")
 def b6(t):
     lengths = t.fx_sequences.select("seq_id", F.length("residues").cast("long").alias("length"))
-    return M.kmer_track(kmers(t).where("n >= 280"), lengths, 6)
+    return M.kmer_track(kmers(t, "fp").where("n >= 280"), lengths, 6)
 
 
 PAIRS = """pairs AS (SELECT DISTINCT x.parent_id, v.evidence_id, v.category, v.db FROM fx_exons x JOIN fx_evidence v

@@ -163,7 +163,7 @@ def b1(t):
     SELECT seq_id, key, type, CASE WHEN strand = -1 THEN concat('complement(', CASE WHEN n > 1 THEN concat('join(', i, ')') ELSE i END, ')') ELSE CASE WHEN n > 1 THEN concat('join(', i, ')') ELSE i END END AS location, color FROM s""",
 )
 def n9(t):
-    profile = t.region.limit(1).select(F.explode(F.array(*(F.struct(F.lit(a).alias("type"), F.lit(b).alias("embl_type"), F.lit(c).alias("joined")) for a, b, c in (("exon", "misc_feature", False), ("polypeptide", "CDS", True))))).alias("p")).select("p.*")
+    profile = t.fx_exons.sparkSession.createDataFrame([("exon", "misc_feature", False), ("polypeptide", "CDS", True)], "type string, embl_type string, joined boolean")
     kind = F.when(F.col("file_level") == 0, "other").when(F.col("file_level") == 1, "exon").otherwise("polypeptide")
     color = T.embl_color([F.concat("type", F.col("file_level").cast("string")), F.col("type")], {"polypeptide2": "3"})
     return B.embl_table(t.fx_exons.withColumn("type", kind), profile, color)
@@ -174,6 +174,18 @@ def b3(t):
     return n9(t).groupBy("type").agg(F.count("*").alias("n"))
 
 
+@query(
+    "b3_embl_qualifiers",
+    """SELECT feature_id, CASE WHEN file_level = 3 THEN concat('id=', feature_id) ELSE concat('id=', feature_id, ' / ', CASE WHEN file_level = 2 THEN 'function=' ELSE 'note=Similar_to: ' END, parent_id, ' / note=Other_annotation: x',
+    ' / note=Ontology_term: SO:0000147 / note=Pathways_annotations: a,b / ', CASE WHEN start_pos % 2 = 0 THEN 'pseudogene=unknown' ELSE 'note=Checked' END, ' / note=Structure_warnings: start end') END AS qualifiers FROM fx_exons""",
+)
+def b3_qualifiers(t):
+    pairs = (("ID", ["feature_id"]), ("Name", ["feature_id"]), ("Note", ["parent_id", F.lit("x")]), ("Ontology_term", [F.lit("SO:0000147")]), ("Parent", ["parent_id"]), ("pathways_annotations", [F.lit("a"), F.lit("b")]), ("status", [F.when(F.col("start_pos") % 2 == 0, "pseudo").otherwise("checked")]), ("structure_warnings", [F.lit("start"), F.lit("end")]))
+    attributes = F.create_map(*(x for k, v in pairs for x in (F.lit(k), F.array(*v))))
+    found = B.embl_qualifiers(attributes, F.when(F.col("file_level") == 2, "tRNA").otherwise("mRNA"), F.col("file_level") == 3)
+    return t.fx_exons.select("feature_id", F.array_join(F.transform(found, lambda q: F.concat(q["name"], F.lit("="), q["value"])), " / ").alias("qualifiers"))
+
+
 @query("i2_union_repeats", "SELECT 'a' AS origin, seq_id, start_pos, end_pos FROM fx_exons WHERE file_level = 0 UNION ALL SELECT 'b', seq_id, start_pos, end_pos FROM fx_evidence")
 def i2(t):
     a = t.fx_exons.where("file_level = 0").select(F.lit("a").alias("origin"), "seq_id", "start_pos", "end_pos")
@@ -292,3 +304,31 @@ def a21(t):
 def a22(t):
     rows = t.fx_exons.select(F.col("feature_id").alias("transcript_id"), F.lit(1).cast("long").alias("q_start"), F.col("start_pos").alias("t_start"), F.lit("ACGT....AC-T").alias("query"), F.lit("ACCT....ACGT").alias("subject"), F.array(F.col("end_pos") % 90 + 40).alias("introns"))
     return P.parse_spliced_alignments(rows).select("transcript_id", "exon", "q_start", "q_end", "g_start", "g_end", "match_len")
+
+
+@query(
+    "a20_named_set",
+    """SELECT CASE WHEN file_level = 0 THEN 1 ELSE 12 END AS step, CASE WHEN file_level = 0 THEN 'TOOLA' ELSE 'TOOLB' END AS tool, CASE WHEN file_level = 0 THEN 'some_db' ELSE 'other.db' END AS db, feature_id, start_pos FROM fx_exons WHERE file_level < 2""",
+)
+def a20(t):
+    import uuid
+
+    from strandweave.operators.graph import shared_folder
+
+    folder = f"{shared_folder(t.fx_exons.sparkSession)}/named-{uuid.uuid4().hex}"
+    line = F.concat_ws("\t", "seq_id", F.lit("T"), F.lit("exon"), F.col("start_pos").cast("string"), F.col("end_pos").cast("string"), F.lit("."), F.when(F.col("strand") == -1, "-").otherwise("+"), F.lit("."), F.concat(F.lit("ID="), "feature_id"))
+    for level, name in ((0, "1_TOOLA_some_db.gff"), (1, "12_TOOLB_other.db.gff")):
+        one_file(t.fx_exons.where(F.col("file_level") == level).select(line.alias("value")), folder, name)
+    return P.read_named_set(t.fx_exons.sparkSession, f"{folder}/*.gff").select("step", "tool", "db", F.col("attributes")["ID"][0].alias("feature_id"), "start_pos")
+
+
+def one_file(lines, folder: str, name: str) -> None:
+    """Lines as one text file of a given name, as a tool would have written it."""
+    spark = lines.sparkSession
+    written = f"{folder}/parts-{name}"
+    lines.coalesce(1).write.text(written)
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(written)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    (part,) = (x.getPath() for x in fs.listStatus(path) if x.getPath().getName().startswith("part-"))
+    fs.rename(part, jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}"))

@@ -12,13 +12,17 @@ from strandweave.operators import intervals as I
 from strandweave.operators import runs as R
 from strandweave.operators import stitching as C
 from strandweave.operators import transcripts as S
+from strandweave.operators.masking import to_tiles
 
 from .expression_queries import _sql_so, sql_protein, sql_revcomp
 from .interval_queries import GENES, genes
 from .registry import query
 
-FIGURES = """u AS (SELECT DISTINCT query_id, hit_id, strand, q_start, q_end, h_start, h_end, first_value(n_identical) OVER w AS n_identical, first_value(align_len) OVER w AS align_len, query_len FROM fx_hsps
-WINDOW w AS (PARTITION BY query_id, hit_id, strand, q_start, q_end, h_start, h_end ORDER BY n_identical)),
+#: Tiles are narrow, so that features of the short test sequences cross them.
+WIDTH = 100
+
+FIGURES = """u AS (SELECT DISTINCT query_id, hit_id, strand, q_start, q_end, h_start, h_end, first_value(n_identical) OVER w AS n_identical, first_value(align_len) OVER v AS align_len, query_len FROM fx_hsps
+WINDOW w AS (PARTITION BY query_id, hit_id, strand, q_start, q_end, h_start, h_end ORDER BY n_identical), v AS (PARTITION BY query_id, hit_id, strand, q_start, q_end, h_start, h_end ORDER BY align_len)),
 s AS (SELECT *, coalesce(greatest(0, q_end - lead(q_start) OVER (PARTITION BY query_id, hit_id, strand ORDER BY q_start, q_end) + 1), 0) AS shared FROM u),
 f AS (SELECT query_id, hit_id, strand, floor((sum(n_identical) * 20000 + sum(align_len)) / (sum(align_len) * 2)) / 10000 AS identity, floor((sum(q_end - q_start + 1 - shared) * 20000 + min(query_len)) / (min(query_len) * 2)) / 10000 AS coverage FROM s GROUP BY ALL),
 good AS (SELECT * FROM f WHERE identity >= 0.75 AND coverage >= 0.25)"""
@@ -26,8 +30,9 @@ good AS (SELECT * FROM f WHERE identity >= 0.75 AND coverage >= 0.25)"""
 
 def single_hsps(t):
     """One alignment for each set of coordinates."""
-    keys = ["query_id", "hit_id", "strand", "q_start", "q_end", "h_start", "h_end"]
-    return t.fx_hsps.groupBy(*keys, "query_len").agg(F.min("n_identical").alias("n_identical"), F.first("align_len").alias("align_len"))
+    from strandweave.operators.hits import distinct_alignments
+
+    return distinct_alignments(t.fx_hsps)
 
 
 @query(
@@ -73,13 +78,17 @@ def e17(t):
     return t.fx_exons.join(orfs(t), "parent_id").select("parent_id", "feature_id")
 
 
-PAIRS4 = """pairs AS (SELECT DISTINCT a.parent_id AS u, b.parent_id AS v FROM fx_exons a JOIN fx_exons b ON a.seq_id = b.seq_id AND a.strand = b.strand
-AND a.start_pos <= b.end_pos AND a.end_pos >= b.start_pos AND a.parent_id < b.parent_id)"""
-#: Only genes of two sequences: the closure's SQL follows each path.
-SMALL = "small AS (SELECT * FROM fx_exons WHERE seq_id IN ('chr3', 'chr4') AND start_pos % 4 = 0)"
+#: Islands of exons; then the least transcript that one is linked to by way of islands, as far as the closure goes.
+_LINKS = """il AS (SELECT DISTINCT parent_id, concat_ws(':', seq_id, strand::VARCHAR, island::VARCHAR) AS isle FROM (SELECT *, sum(CASE WHEN before IS NULL OR start_pos > before THEN 1 ELSE 0 END) OVER (PARTITION BY seq_id, strand ORDER BY start_pos, end_pos ROWS UNBOUNDED PRECEDING) AS island
+FROM (SELECT *, max(end_pos) OVER (PARTITION BY seq_id, strand ORDER BY start_pos, end_pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM fx_exons))),
+n0 AS (SELECT DISTINCT parent_id, parent_id AS label FROM fx_exons)"""
+_CLOSURE = ", ".join(
+    f"i{k} AS (SELECT isle, min(label) AS label FROM il JOIN n{k} USING (parent_id) GROUP BY isle), n{k + 1} AS (SELECT parent_id, min(i{k}.label) AS label FROM il JOIN i{k} USING (isle) GROUP BY parent_id)" for k in range(40)
+)
 
 
-@query("n28_cluster_transcripts")
+#: The SQL spreads labels 40 times, which is enough for the tables of the check; a fixed point is reached long before.
+@query("n28_cluster_transcripts", f"WITH {_LINKS}, {_CLOSURE} SELECT parent_id, label AS cluster FROM n40")
 def n28(t):
     return S.cluster_transcripts(t.fx_exons)
 
@@ -147,24 +156,41 @@ def n23(t):
     return S.rescue_by_junctions(S.junction_chains(t.fx_exons, ["seq_id", "parent_id"]), shifted_chains(t))
 
 
-@query("e8_chain_containment", f"WITH {CHAINS} SELECT parent_id, chain FROM ch")
+@query(
+    "e8_chain_containment",
+    """WITH n AS (SELECT *, row_number() OVER (PARTITION BY seq_id, parent_id ORDER BY start_pos, end_pos) AS k, lead(start_pos) OVER (PARTITION BY seq_id, parent_id ORDER BY start_pos, end_pos) AS nx FROM fx_exons),
+    ch AS (SELECT seq_id, parent_id, concat('_', string_agg(concat(end_pos::VARCHAR, '_', nx::VARCHAR), '_' ORDER BY start_pos, concat(end_pos::VARCHAR, '_', nx::VARCHAR)), '_') AS chain FROM n WHERE nx IS NOT NULL GROUP BY seq_id, parent_id),
+    ab AS (SELECT seq_id, concat('a', parent_id) AS model_id, concat('_', string_agg(concat(end_pos::VARCHAR, '_', nx::VARCHAR), '_' ORDER BY start_pos, concat(end_pos::VARCHAR, '_', nx::VARCHAR)), '_') AS wanted FROM n WHERE nx IS NOT NULL AND k > 1 GROUP BY seq_id, parent_id)
+    SELECT parent_id, model_id FROM ch JOIN ab ON ch.seq_id = ab.seq_id AND contains(chain, wanted)""",
+)
 def e8(t):
-    return S.junction_chains(t.fx_exons, ["seq_id", "parent_id"]).select("parent_id", "chain")
+    return S.contained_chains(S.junction_chains(t.fx_exons, ["seq_id", "parent_id"]), shifted_chains(t)).select("parent_id", "model_id")
+
+
+def codon_tiles(t):
+    """Tiles that share two bases with the next one, and the sequences' lengths."""
+    return to_tiles(t.fx_sequences, WIDTH, 2), t.fx_sequences.select("seq_id", F.length("residues").cast("long").alias("length"))
 
 
 _BOTH = f"SELECT seq_id, length(residues) AS n, 1 AS strand, upper(residues) AS s FROM fx_sequences UNION ALL SELECT seq_id, length(residues), -1, upper({sql_revcomp('residues')}) FROM fx_sequences"
 
 
-@query(
-    "n20_scan_orfs",
-    f"""WITH bo AS ({_BOTH}), fr AS (SELECT *, unnest([0, 1, 2]) AS frame FROM bo), co AS (SELECT seq_id, n, strand, frame, (n - frame) // 3 AS m, i, substring(s, CAST(frame + i * 3 + 1 AS INT), 3) AS c FROM (SELECT *, unnest(range(0, (n - frame) // 3)) AS i FROM fr)),
-    fe AS (SELECT seq_id, n, strand, frame, i FROM co WHERE c IN ('TAA', 'TAG', 'TGA') UNION ALL SELECT DISTINCT seq_id, n, strand, frame, -1 FROM co UNION ALL SELECT DISTINCT seq_id, n, strand, frame, m FROM co),
-    sp AS (SELECT *, lead(i) OVER (PARTITION BY seq_id, strand, frame ORDER BY i) AS nx FROM fe),
-    ab AS (SELECT *, frame + (i + 1) * 3 + 1 AS a, frame + nx * 3 AS b FROM sp WHERE nx IS NOT NULL)
-    SELECT seq_id, strand, frame, (CASE WHEN strand = 1 THEN a ELSE n - b + 1 END)::INT AS start_pos, (CASE WHEN strand = 1 THEN b ELSE n - a + 1 END)::INT AS end_pos FROM ab WHERE b - a + 1 BETWEEN 90 AND 1000000""",
-)
+SPANS20 = f"""bo AS ({_BOTH}), fr AS (SELECT *, unnest([0, 1, 2]) AS frame FROM bo), co AS (SELECT seq_id, n, strand, frame, s, (n - frame) // 3 AS m, i, substring(s, CAST(frame + i * 3 + 1 AS INT), 3) AS c FROM (SELECT *, unnest(range(0, (n - frame) // 3)) AS i FROM fr)),
+fe AS (SELECT seq_id, n, s, strand, frame, i FROM co WHERE c IN ('TAA', 'TAG', 'TGA') UNION ALL SELECT DISTINCT seq_id, n, s, strand, frame, -1 FROM co UNION ALL SELECT DISTINCT seq_id, n, s, strand, frame, m FROM co),
+sp AS (SELECT *, lead(i) OVER (PARTITION BY seq_id, strand, frame ORDER BY i) AS nx FROM fe), gg AS (SELECT seq_id, strand, frame, i FROM co WHERE c = 'ATG'),
+ab AS (SELECT *, frame + (i + 1) * 3 + 1 AS a, frame + nx * 3 AS b FROM sp WHERE nx IS NOT NULL),
+st AS (SELECT sp.seq_id, sp.n, sp.s, sp.strand, sp.frame, frame_start AS a, sp.frame + nx * 3 AS b FROM (SELECT sp.*, (SELECT min(i) FROM gg WHERE gg.seq_id = sp.seq_id AND gg.strand = sp.strand AND gg.frame = sp.frame AND gg.i > sp.i AND gg.i < sp.nx) * 3 + sp.frame + 1 AS frame_start FROM sp WHERE nx IS NOT NULL) sp WHERE frame_start IS NOT NULL)"""
+_PLUS20 = "seq_id, strand, frame, (CASE WHEN strand = 1 THEN a ELSE n - b + 1 END)::BIGINT AS start_pos, (CASE WHEN strand = 1 THEN b ELSE n - a + 1 END)::BIGINT AS end_pos"
+
+
+@query("n20_scan_orfs", f"WITH {SPANS20} SELECT {_PLUS20}, substring(s, CAST(a AS INT), CAST(b - a + 1 AS INT)) AS orf FROM ab WHERE b - a + 1 BETWEEN 90 AND 1000000")
 def n20(t):
-    return S.scan_orfs(t.fx_sequences, 90)
+    return S.scan_orfs(*codon_tiles(t), 90, width=WIDTH)
+
+
+@query("n20_orfs_from_start_codons", f"WITH {SPANS20}, x AS (SELECT {_PLUS20}, substring(s, CAST(a AS INT), CAST(b - a + 1 AS INT)) AS s FROM st WHERE strand = 1 AND b - a + 1 BETWEEN 60 AND 600) SELECT seq_id, strand, frame, start_pos, end_pos, {sql_protein('s')} AS orf FROM x")
+def n20_starts(t):
+    return S.scan_orfs(*codon_tiles(t), 60, 600, mode=1, reverse=False, width=WIDTH)
 
 
 HITS19 = "h AS (SELECT DISTINCT seq_id, strand, start_pos AS h_start FROM fx_cds)"
@@ -178,19 +204,18 @@ found AS (SELECT seq_id, strand, h_start, frame + first * 3 + 1 AS start_pos, fr
 
 def hit_frames(t):
     hits = t.fx_cds.select("seq_id", "strand", F.col("start_pos").alias("h_start")).distinct()
-    return S.orfs_from_hits(t.fx_sequences.select("seq_id", "residues"), hits)
+    return S.orfs_from_hits(*codon_tiles(t), hits, WIDTH)
 
 
 @query("n19_orfs_from_hits", f"WITH {FOUND19} SELECT seq_id, strand, h_start, start_pos::BIGINT AS start_pos, end_pos::BIGINT AS end_pos, protein FROM found")
 def n19(t):
-    return hit_frames(t).select("seq_id", "strand", "h_start", F.col("start_pos").cast("long").alias("start_pos"), F.col("end_pos").cast("long").alias("end_pos"), "protein")
+    return hit_frames(t)
 
 
-@query("d13_orf_keep", f"WITH {FOUND19} SELECT seq_id, strand, h_start FROM found WHERE start_pos < end_pos AND length(protein) - (protein LIKE '%*')::INT >= 20 AND NOT contains(substring(protein, 1, length(protein) - 1), '*')")
+@query("d13_orf_keep", f"WITH {FOUND19} SELECT seq_id, strand, h_start FROM found WHERE start_pos < end_pos AND 60 + h_start % 41 >= 80 AND length(protein) - (protein LIKE '%*')::INT >= 20 AND NOT contains(substring(protein, 1, length(protein) - 1), '*')")
 def d13(t):
-    from strandweave.functions.sequence import aa_length, is_premature
-
-    return hit_frames(t).where((F.col("start_pos") < F.col("end_pos")) & (aa_length("protein") >= 20) & ~is_premature("protein")).select("seq_id", "strand", "h_start")
+    frames = hit_frames(t).withColumn("identity", (F.col("h_start") % 41 + 60) / 100)
+    return S.keep_orfs(frames, 0.8, 20).select("seq_id", "strand", "h_start")
 
 
 @query(
@@ -206,15 +231,61 @@ def a13(t):
     return parse_orf_headers(rows.select("seq_id", "h_start", header.alias("header"))).select("seq_id", "h_start", "start_pos", "end_pos", "strand")
 
 
+#: UTR and polypeptide pieces of the genes, as by ``split_utr_cds``.
+PIECES = f"""{OFFSETS}, pz AS (SELECT o.*, orf_start - 1 - off AS a, orf_end - off AS b FROM o JOIN orf USING (parent_id)),
+xz AS (SELECT parent_id, seq_id, strand, start_pos, end_pos, 'five_prime_UTR' AS type, 0 AS f, least(a, size) AS u FROM pz UNION ALL SELECT parent_id, seq_id, strand, start_pos, end_pos, 'polypeptide', greatest(a, 0), least(b, size) FROM pz
+UNION ALL SELECT parent_id, seq_id, strand, start_pos, end_pos, 'three_prime_UTR', greatest(b, 0), size FROM pz),
+pieces AS (SELECT seq_id, parent_id, strand, type, CASE WHEN strand <> -1 THEN start_pos + f ELSE end_pos - u + 1 END AS start_pos, CASE WHEN strand <> -1 THEN start_pos + u - 1 ELSE end_pos - f END AS end_pos FROM xz WHERE f < u)"""
+
+
 @query(
     "n30_expand_gene_features",
-    f"""WITH {GENES}, x AS (SELECT *, row_number() OVER (PARTITION BY seq_id, parent_id ORDER BY start_pos, end_pos) AS k FROM fx_exons)
-    SELECT seq_id, strand, start_pos, end_pos, 'gene' AS type, concat(parent_id, '_gene') AS id, NULL::VARCHAR AS parent, 'TOOL' AS source FROM g
-    UNION ALL SELECT seq_id, strand, start_pos, end_pos, 'mRNA', parent_id, concat(parent_id, '_gene'), 'TOOL' FROM g
-    UNION ALL SELECT seq_id, strand, start_pos, end_pos, 'exon', concat_ws('_', parent_id, 'exon', lpad(k::VARCHAR, 4, '0')), parent_id, 'TOOL' FROM x""",
+    f"""WITH {PIECES}, g AS (SELECT seq_id, parent_id, strand, min(start_pos) AS start_pos, max(end_pos) AS end_pos FROM pieces GROUP BY ALL),
+    gn AS (SELECT *, lpad((row_number() OVER (PARTITION BY seq_id ORDER BY start_pos, end_pos, parent_id))::VARCHAR, 4, '0') AS num FROM g), ge AS (SELECT *, concat_ws('_', 'TOOL', start_pos, end_pos, 'gene', num) AS gene FROM gn),
+    w AS (SELECT *, max(end_pos) OVER (PARTITION BY parent_id ORDER BY start_pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM pieces),
+    isl AS (SELECT *, sum(CASE WHEN before IS NULL OR start_pos > before + 1 THEN 1 ELSE 0 END) OVER (PARTITION BY parent_id ORDER BY start_pos ROWS UNBOUNDED PRECEDING) AS island FROM w),
+    ty AS (SELECT seq_id, parent_id, strand, 'exon' AS type, min(start_pos) AS start_pos, max(end_pos) AS end_pos FROM isl GROUP BY seq_id, parent_id, strand, island UNION ALL SELECT seq_id, parent_id, strand, type, start_pos, end_pos FROM pieces),
+    nu AS (SELECT ty.*, num, concat(ty.seq_id, '_', gene, '_mRNA_0001') AS mrna, lpad((row_number() OVER (PARTITION BY ty.parent_id, type ORDER BY ty.start_pos, ty.end_pos))::VARCHAR, 4, '0') AS k FROM ty JOIN ge USING (parent_id)),
+    al AS (SELECT seq_id, strand, start_pos, end_pos, 'gene' AS type, gene AS name, NULL::VARCHAR AS parent, NULL::VARCHAR AS derives_from FROM ge UNION ALL SELECT seq_id, strand, start_pos, end_pos, 'mRNA', concat(gene, '_mRNA_0001'), concat(seq_id, '_', gene), NULL FROM ge
+    UNION ALL SELECT seq_id, strand, start_pos, end_pos, type, concat_ws('_', 'TOOL', start_pos, end_pos, 'gene', num, 'mRNA_0001', type, k), CASE WHEN type <> 'polypeptide' THEN mrna END, CASE WHEN type = 'polypeptide' THEN mrna END FROM nu)
+    SELECT seq_id, strand, start_pos, end_pos, type, name, concat(seq_id, '_', name) AS id, parent, derives_from, 'TOOL' AS source FROM al""",
 )
 def n30(t):
-    return X.expand_gene_features(t.fx_exons.select("seq_id", "parent_id", "strand", "start_pos", "end_pos"), "TOOL")
+    return X.expand_gene_features(S.split_utr_cds(t.fx_exons, orfs(t)), "TOOL")
+
+
+@query(
+    "g3_utr_aware_subtypes",
+    f"""WITH {PIECES}, f AS (SELECT parent_id, strand, type, start_pos, end_pos FROM pieces WHERE type = 'polypeptide' OR parent_id NOT LIKE '%7' UNION ALL SELECT parent_id, strand, 'exon', start_pos, end_pos FROM fx_exons WHERE file_level <> 2
+    UNION ALL SELECT parent_id, strand, 'mRNA', min(start_pos), max(end_pos) FROM fx_exons WHERE file_level <> 2 GROUP BY parent_id, strand),
+    bd AS (SELECT parent_id, min(start_pos) FILTER (type = 'mRNA') AS ms, max(end_pos) FILTER (type = 'mRNA') AS me, coalesce(max(end_pos) FILTER (type = CASE WHEN strand <> -1 THEN 'five_prime_UTR' ELSE 'three_prime_UTR' END), -99) AS l,
+    coalesce(min(start_pos) FILTER (type = CASE WHEN strand <> -1 THEN 'three_prime_UTR' ELSE 'five_prime_UTR' END), -99) AS r FROM f GROUP BY parent_id),
+    v AS (SELECT f.*, ms, me, l, r, CASE WHEN type = 'exon' OR (l = -99 AND r = -99) THEN start_pos = ms OR (type = 'exon' AND (l <> -99 OR r <> -99) AND start_pos = l) ELSE start_pos = ms OR (l <> -99 AND start_pos = l + 1) END AS one,
+    CASE WHEN type = 'exon' OR (l = -99 AND r = -99) THEN end_pos = me OR (type = 'exon' AND (l <> -99 OR r <> -99) AND end_pos = r) ELSE end_pos = me OR (r <> -99 AND end_pos = r - 1) END AS two FROM f JOIN bd USING (parent_id)),
+    z AS (SELECT *, type = 'exon' AND (l <> -99 OR r <> -99) AS deep FROM v WHERE type IN ('exon', 'polypeptide')),
+    y AS (SELECT *, CASE WHEN deep THEN start_pos = ms OR (l <> -99 AND start_pos <= l AND end_pos > l) ELSE one END AS low, CASE WHEN deep THEN end_pos = me OR (r <> -99 AND start_pos < r AND end_pos >= r) ELSE two END AS high FROM z)
+    SELECT parent_id, type, start_pos, end_pos, CASE WHEN one AND two THEN 'Single' WHEN deep AND ((l <> -99 AND end_pos <= l) OR (r <> -99 AND start_pos >= r)) THEN 'External'
+    WHEN low THEN CASE WHEN strand = -1 THEN 'Terminal' ELSE 'Initial' END WHEN high THEN CASE WHEN strand = -1 THEN 'Initial' ELSE 'Terminal' END ELSE 'Internal' END AS subtype FROM y""",
+)
+def g3(t):
+    pieces = S.split_utr_cds(t.fx_exons, orfs(t)).where("type = 'polypeptide' or parent_id not like '%7'").select("parent_id", "strand", "type", "start_pos", "end_pos")
+    exons = t.fx_exons.where("file_level <> 2").select("parent_id", "strand", F.lit("exon").alias("type"), "start_pos", "end_pos")
+    mrna = exons.groupBy("parent_id", "strand").agg(F.min("start_pos").alias("start_pos"), F.max("end_pos").alias("end_pos")).withColumn("type", F.lit("mRNA"))
+    rows = X.utr_subtype(pieces.unionByName(exons).unionByName(mrna), ["parent_id"])
+    return rows.where("type in ('exon', 'polypeptide')").select("parent_id", "type", "start_pos", "end_pos", "subtype")
+
+
+def coding_pieces(t):
+    """UTRs and coding parts of the models on fx_sequences: up to 8 bases before and 20 behind the coding region."""
+    sums = t.fx_cds.distinct().groupBy("parent_id").agg((F.min("start_pos") % 9 + 1).alias("orf_start"), (F.sum(F.col("end_pos") - F.col("start_pos") + 1) - F.max("end_pos") % 21).alias("orf_end"))
+    return S.split_utr_cds(t.fx_cds.distinct(), sums)
+
+
+@query("n22_extend_cds")
+def n22(t):
+    tiles, lengths = codon_tiles(t)
+    of = lambda mode: S.extend_cds(coding_pieces(t), tiles, lengths, 60, mode, width=WIDTH).withColumn("mode", F.lit(mode))
+    return of(0).unionByName(of(1)).unionByName(of(2))
 
 
 @query(
@@ -223,7 +294,7 @@ def n30(t):
     SELECT seq_id, (k + 1)::INT AS chunk_no, k * 250 + 1 AS chunk_start, least(length(residues), k * 250 + 300)::BIGINT AS chunk_end, substring(residues, CAST(k * 250 + 1 AS INT), 300) AS residues FROM c""",
 )
 def n31(t):
-    return C.split_sequences(t.fx_sequences.select("seq_id", "residues"), 300, 50)
+    return C.split_sequences(*codon_tiles(t), 300, 50, width=WIDTH)
 
 
 def chunked(t):
@@ -263,17 +334,19 @@ def e15(t):
 
 @query(
     "n33_prediction_hints",
-    """WITH d AS (SELECT *, lead(start_pos) OVER (PARTITION BY seq_id, strand, evidence_id ORDER BY start_pos, end_pos) AS nx FROM fx_evidence WHERE category = 'proteicEvidences')
-    SELECT seq_id, 'CDSpart' AS type, start_pos, end_pos, strand, count(*) AS score, 'src=P' AS note FROM d GROUP BY seq_id, strand, start_pos, end_pos
-    UNION ALL SELECT seq_id, 'intron', end_pos, nx, strand, count(*), 'src=P;pri=4' FROM d WHERE nx IS NOT NULL GROUP BY seq_id, strand, end_pos, nx""",
+    """WITH d AS (SELECT *, lead(start_pos) OVER (PARTITION BY seq_id, strand, evidence_id ORDER BY start_pos, end_pos) AS nx, CASE WHEN category = 'proteicEvidences' THEN 'P' ELSE 'W' END AS src FROM fx_evidence)
+    SELECT seq_id, CASE WHEN src = 'P' THEN 'CDSpart' ELSE 'ep' END AS type, start_pos, end_pos, strand, count(*) AS score, concat('src=', src, ';mult=', count(*)::VARCHAR, ';') AS note FROM d GROUP BY seq_id, strand, start_pos, end_pos, src
+    UNION ALL SELECT seq_id, 'intron', end_pos, nx, strand, 0, concat('grp=', evidence_id, ';pri=4;src=', src, ';') FROM d WHERE nx IS NOT NULL""",
 )
 def n33(t):
-    return S.prediction_hints(t.fx_evidence.where("category = 'proteicEvidences'"), "protein", ["seq_id", "strand", "evidence_id"])
+    protein = F.col("category") == "proteicEvidences"
+    of = lambda rows, kind: S.prediction_hints(rows, kind, ["seq_id", "strand", "evidence_id"], "evidence_id")
+    return of(t.fx_evidence.where(protein), "protein").unionByName(of(t.fx_evidence.where(~protein), "RNAseq"))
 
 
 @query("f9_hint_multiplicity", "SELECT seq_id, start_pos, end_pos, strand, count(*) AS n FROM fx_evidence GROUP BY ALL")
 def f9(t):
-    return t.fx_evidence.groupBy("seq_id", "start_pos", "end_pos", "strand").agg(F.count("*").alias("n"))
+    return S.multiplicity(t.fx_evidence)
 
 
 DOMAINS = "dom AS (SELECT DISTINCT parent_id, concat('d', parent_id) AS domain_id, 1 + file_level * 10 AS aa_start, 30 + file_level * 12 AS aa_end FROM fx_exons)"
@@ -323,8 +396,9 @@ def n37(t):
 
 @query("e16_superseded_sets", "SELECT query_id, hit_id, q_start FROM fx_hsps h WHERE strand = 1 AND NOT EXISTS (SELECT 1 FROM fx_hsps r WHERE r.strand = -1 AND r.query_id = h.query_id AND r.hit_id = h.hit_id)")
 def e16(t):
-    refined = t.fx_hsps.where("strand = -1").select("query_id", "hit_id")
-    return t.fx_hsps.where("strand = 1").join(refined, ["query_id", "hit_id"], "left_anti").select("query_id", "hit_id", "q_start")
+    from strandweave.operators.hits import superseded
+
+    return superseded(t.fx_hsps.where("strand = 1"), t.fx_hsps.where("strand = -1"), ["query_id", "hit_id"]).select("query_id", "hit_id", "q_start")
 
 
 @query("e19_replace_by_id", "SELECT parent_id, feature_id, start_pos FROM fx_exons WHERE parent_id NOT IN (SELECT parent_id FROM fx_exons WHERE file_level = 1) UNION ALL SELECT parent_id, concat(feature_id, '_new'), start_pos + 1 FROM fx_exons WHERE file_level = 1")
@@ -349,7 +423,13 @@ def n24(t):
 
 @query("n26_dedupe_windows")
 def n26(t):
-    return S.dedupe_windows(t.fx_exons.select("seq_id", F.col("feature_id").alias("window_id"), "start_pos", "end_pos"))
+    return S.dedupe_windows(windows(t))
+
+
+def windows(t):
+    """Windows of up to 150 bases around the exons."""
+    left, right = F.col("end_pos") % 4 * 50, F.col("start_pos") % 4 * 50
+    return t.fx_exons.select("seq_id", F.col("feature_id").alias("window_id"), (F.col("start_pos") - left).alias("start_pos"), (F.col("end_pos") + right).alias("end_pos"), F.col("start_pos").alias("g_start"), F.col("end_pos").alias("g_end"))
 
 
 @query("f18_status_counts", "SELECT status, count(*) AS n FROM fx_task_runs GROUP BY status")

@@ -54,3 +54,33 @@ def embl_table(features: DataFrame, profile: DataFrame, colors: Column) -> DataF
     spans = F.transform("parts", lambda p: F.concat(p["start_pos"].cast("string"), F.lit(".."), p["end_pos"].cast("string")))
     inner = F.when(F.size("parts") > 1, F.concat(F.lit("join("), F.array_join(spans, ","), F.lit(")"))).otherwise(spans[0])
     return parts.select("seq_id", "key", F.col("embl_type").alias("type"), F.when(F.col("strand") == -1, F.concat(F.lit("complement("), inner, F.lit(")"))).otherwise(inner).alias("location"), "color")
+
+
+#: How tags of a feature are worded in a feature table.
+SIMILAR, OTHER, WARNINGS, FILES = "Similar_to: ", "Other_annotation: ", "Structure_warnings: ", ("blastp_file", "fasta_file")
+
+
+def embl_qualifiers(attributes: Column, kind: Column, remove_details: Column) -> Column:
+    """Qualifiers (structs name, value) of a feature's attributes (map of arrays), by tag.
+
+    Where details are removed only the id is left. Else the first Note is what the feature is similar to (the function of
+    a tRNA), a status of ``pseudo`` makes a pseudogene, files keep their names, and other tags that begin with a small
+    letter, and the ontology term, become notes. Tags such as Parent and Name are no qualifiers.
+    """
+    qualifier = lambda name, value: F.struct(F.lit(name).alias("name") if isinstance(name, str) else name.alias("name"), value.alias("value"))
+    capital = lambda c: F.concat(F.upper(F.substring(c, 1, 1)), F.substring(c, F.lit(2), F.length(c)))
+
+    def of(e: Column) -> Column:
+        k, v = e["key"], e["value"]
+        first = F.when(kind == "tRNA", qualifier("function", v[0])).otherwise(qualifier("note", F.concat(F.lit(SIMILAR), v[0])))
+        others = F.transform(F.slice(v, F.lit(2), F.size(v)), lambda x: qualifier("note", F.concat(F.lit(OTHER), x)))
+        status = F.transform(v, lambda x: F.when(x == "pseudo", qualifier("pseudogene", F.lit("unknown"))).otherwise(qualifier("note", capital(x))))
+        none = F.lit([]).cast("array<struct<name string, value string>>")
+        return (
+            F.when(k == "ID", F.array(qualifier("id", v[0]))).when(remove_details, none)
+            .when(k == "Note", F.concat(F.array(first), others)).when(k.isin(*FILES), F.array(qualifier(k, v[0]))).when(k == "status", status)
+            .when(k == "structure_warnings", F.array(qualifier("note", F.concat(F.lit(WARNINGS), F.array_join(v, " ")))))
+            .when(k.rlike("^[a-z]") | (k == "Ontology_term"), F.array(qualifier("note", F.concat(capital(k), F.lit(": "), F.array_join(v, ","))))).otherwise(none)
+        )
+
+    return F.flatten(F.transform(F.array_sort(F.map_entries(attributes)), of))

@@ -105,9 +105,10 @@ def test_transcript_clusters_are_transitive(spark):
     assert {r.parent_id: r.cluster for r in T.cluster_transcripts(exons).collect()} == {"a": "a", "b": "a", "d": "a", "e": "e", "f": "f"}
 
 
-def test_covered_windows_go(spark):
-    rows = spark.createDataFrame([("c", "big", 1, 100), ("c", "in", 10, 60), ("c", "half", 80, 130)], "seq_id string, window_id string, start_pos long, end_pos long")
-    assert sorted(r.window_id for r in T.dedupe_windows(rows).collect()) == ["big", "half"]
+def test_covered_windows_go_and_others_are_trimmed(spark):
+    rows = spark.createDataFrame([("c", "big", 1, 100, 5, 50), ("c", "in", 10, 95, 20, 60), ("c", "half", 80, 130, 90, 120)], "seq_id string, window_id string, start_pos long, end_pos long, g_start long, g_end long")
+    # The windows "big" and "in" share 86 bases, all of "in"; "half" begins behind both alignments.
+    assert sorted(tuple(r)[1:] for r in T.dedupe_windows(rows).collect()) == [("big", 1, 89), ("half", 61, 130)]
 
 
 def test_chains(spark):
@@ -115,3 +116,10 @@ def test_chains(spark):
     rows = [("q", "h", 1, 100, 1, 40, 1001, 1040, 40, 40, 50), ("q", "h", 1, 100, 41, 100, 2001, 2060, 60, 60, 90), ("q", "h", 1, 100, 41, 100, 90_001, 90_060, 60, 60, 10)]
     got = T.chain_hsps(spark.createDataFrame(rows, columns)).collect()
     assert [(r.q_start, r.q_end, r.h_start, r.h_end, r.n_hsps, r.coverage) for r in got] == [(1, 100, 1001, 2060, 2, 1.0)]
+
+
+def test_chains_on_the_minus_strand(spark):
+    columns = "query_id string, hit_id string, strand int, query_len long, q_start long, q_end long, h_start long, h_end long, align_len long, n_identical long, bit_score long"
+    rows = [("q", "h", -1, 100, 1, 40, 2001, 2040, 40, 40, 50), ("q", "h", -1, 100, 41, 100, 1001, 1060, 60, 60, 90), ("q", "h", -1, 100, 41, 100, 3001, 3060, 60, 60, 10)]
+    got = T.chain_hsps(spark.createDataFrame(rows, columns)).collect()
+    assert [(r.q_start, r.q_end, r.h_start, r.h_end, r.n_hsps, r.coverage) for r in got] == [(1, 100, 1001, 2040, 2, 1.0)]
