@@ -32,6 +32,24 @@ GRAM = 20
 #: Suffixes sorted at once.
 SLICE = 400_000
 _TABLE = R.mix(np.arange(1, 257, dtype=np.uint64) * R.U(0x9E3779B97F4A7C15))
+_STEP = R.U(0x9FB21C651E98DF25)
+
+
+def words_at(data: np.ndarray, order: str = "<") -> np.ndarray:
+    """The eight bytes from each place on as a number; ``>`` makes numbers in the order of the bytes."""
+    return np.ndarray(max(len(data) - 7, 0), f"{order}u8", np.ascontiguousarray(data), strides=(1,)).astype(np.uint64)
+
+
+def window_names(data: np.ndarray, length: int) -> np.ndarray:
+    """A name for the ``length`` bytes at each place. Equal bytes have equal names, others hardly ever; nothing relies on it."""
+    n = max(len(data) - length + 1, 0)
+    if length < 8 or not n:
+        return R.Hasher(_TABLE[data]).fixed(length) if n else np.zeros(0, R.U)
+    eight, names = words_at(data), np.zeros(n, R.U)
+    for k in sorted({*range(0, length - 7, 8), length - 8}):
+        names = (names + eight[k : k + n]) * _STEP
+        names ^= names >> R.U(29)
+    return R.mix(names)
 
 
 def _chunk_runs(min_bytes: int):
@@ -41,7 +59,7 @@ def _chunk_runs(min_bytes: int):
         n = len(data) - min_bytes + 1
         if n < 1:
             return np.zeros(0, R.U), np.zeros((0, 2), R.U), *(np.zeros(0, np.int64) for _ in range(4)), bounds
-        names = R.Hasher(_TABLE[data]).fixed(gram)
+        names = window_names(data, gram)
         at = R.leftmost_minimum(names, min_bytes - gram + 1)[:n]
         doc, first, count = R.runs_of(at, bounds, min_bytes)
         q = at[first].astype(np.int64)
@@ -52,10 +70,7 @@ def _chunk_runs(min_bytes: int):
 
 def suffix_order(data: np.ndarray, start: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Order of the suffixes at ``start``, cut to ``depth``; and the length of each one's common prefix with the one before."""
-    padded = np.concatenate([data, np.zeros(depth + 8, np.uint8)]).astype(np.uint64)
-    eight = np.zeros(len(data) + depth, np.uint64)
-    for k in range(8):
-        eight |= padded[k : k + len(eight)] << np.uint64(56 - 8 * k)
+    eight = words_at(np.concatenate([data, np.zeros(8, np.uint8)]), ">")
     offsets = sorted({*range(0, depth - 7, 8), depth - 8}) if depth >= 8 else [0]
     words = [eight[start + o] for o in offsets]
     if depth < 8:
@@ -136,12 +151,11 @@ def _contexts(min_bytes: int, buckets: int):
                 hot = status == R.HOT
                 at, many, doc, local = [], [], [], []
                 at.append((first + bounds[row])[~hot]), many.append(count[~hot]), doc.append(row[~hot]), local.append(first[~hot])
-                hashes = R.Hasher(_TABLE[data])
                 spread = np.repeat(np.flatnonzero(hot), count[hot])
                 step = np.arange(len(spread)) - np.repeat(np.cumsum(count[hot]) - count[hot], count[hot])
                 at.append((first + bounds[row])[spread] + step), many.append(np.ones(len(spread), np.int64)), doc.append(row[spread]), local.append(first[spread] + step)
                 q = at[0] + dq[~hot]
-                by = np.concatenate([hashes(q, q + gram), hashes(at[1], at[1] + min_bytes)])
+                by = np.concatenate([window_names(data, gram)[q], window_names(data, min_bytes)[at[1]]])
                 at, many, doc, local = (np.concatenate(x) for x in (at, many, doc, local))
                 docs = ids[low:high][doc].astype(np.int64)
                 size = many + min_bytes - 1
@@ -166,13 +180,17 @@ def _factors(min_bytes: int):
             step = np.arange(len(run)) - np.repeat(np.cumsum(count) - count, count)
             start = base[run] + step
             found = np.zeros(len(run), bool)
-            slices = -(-len(run) // SLICE)
-            # Equal suffixes have equal first bytes: a slice by their hash holds whole groups.
-            lead = R.Hasher(_TABLE[data])(start, start + min_bytes) % R.U(slices) if slices > 1 else None
-            for k in range(slices):
-                own = np.flatnonzero(lead == k) if slices > 1 else np.arange(len(run))
-                if len(own):
-                    found[own] = longest_previous_factors(data, start[own], doc[run[own]], min_bytes) >= min_bytes
+            names = window_names(data, min_bytes)[start]
+            # A window whose name no other has has no factor of its length; equal windows are in one slice.
+            order = np.argsort(names, kind="stable")
+            same = names[order][1:] == names[order][:-1]
+            shared = order[np.append(same, False) | np.append(False, same)]
+            names, low = names[shared], 0
+            while low < len(shared):
+                high = int(np.searchsorted(names, names[min(low + SLICE, len(shared)) - 1], "right"))
+                own = shared[low:high]
+                found[own] = longest_previous_factors(data, start[own], doc[run[own]], min_bytes) >= min_bytes
+                low = high
             R.release()
             new = found.copy()
             new[1:] &= ~(found[:-1] & (run[1:] == run[:-1]))
