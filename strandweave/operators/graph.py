@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,17 +53,42 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Edges (32 bytes or so each) that one task takes at the end of ``components``.
+REMAINDER = 20_000
+
+
+def _joined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(node, root) of the few edges that are left."""
+    root: dict = {}
+
+    def top(x):
+        while root.setdefault(x, x) != x:
+            root[x] = x = root.setdefault(root[x], root[x])
+        return x
+
+    for batch in batches:
+        for u, v in zip(batch["u"], batch["v"], strict=True):
+            a, b = top(u), top(v)
+            root[max(a, b)] = min(a, b)
+    yield pd.DataFrame({"node": list(root), "root": [top(x) for x in list(root)]}, columns=["node", "root"])
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """(node, root) for each node of the undirected ``edges(u, v)``: the root is the least node that it is linked to.
 
     Each round points every node at the one with the least hash among itself and its neighbours, and replaces the ends
     of all edges by these; edges inside a group vanish and the rest meet as one, so that the table shrinks by a constant
     factor, and quickly where a group is linked many times over. The rounds' tables are written to the shared folder,
-    and the pointers are followed at the end. Self edges are ignored.
+    and the pointers are followed at the end. Once at most ``REMAINDER`` edges are left, one task finishes them instead
+    of many more rounds. Self edges are ignored.
     """
     now = written(edges.where("u <> v").select("u", "v").distinct(), name)
     steps = []
-    while not now.isEmpty():
+    while (left := now.count()) > 0:
+        if left <= REMAINDER:
+            kind = now.schema["u"].dataType.simpleString()
+            steps.append(written(now.coalesce(1).mapInPandas(_joined, f"node {kind}, root {kind}"), name))
+            break
         arcs = now.unionAll(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         ranked = lambda c, salt=len(steps): F.struct(F.xxhash64(c, F.lit(salt)).alias("hash"), F.col(c).alias("id"))
         step = arcs.groupBy(F.col("u").alias("node")).agg(F.min(ranked("v")).alias("near")).select("node", F.least("near", ranked("node"))["id"].alias("root"))
