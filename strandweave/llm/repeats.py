@@ -203,7 +203,8 @@ def _flush(parts: list[tuple], buckets: int, earlier: bool) -> Iterator[pa.Recor
     # Settled rows only pass through: they have key 0 and may go to any bucket.
     bucket = np.where(done, mix(doc.astype(U)), np.where(hot & ~new_key, mix(key ^ ctx[:, 0]), key))
     bucket = (bucket % U(buckets)).astype(np.int64)
-    key = np.where(done, U(0), key)
+    # Inside a bucket half of the key tells keys apart; should two share it, their contexts still differ.
+    key = np.where(done, U(0), np.maximum(key >> U(32), U(1))).astype(np.uint32)
     # Back in the order of the text, in which documents and places compress well.
     back = np.empty(len(order), np.int64)
     back[order] = np.arange(len(order))
@@ -276,7 +277,7 @@ def settle(blobs: DataFrame, earlier: bool) -> DataFrame:
     """
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, ctx, doc, pk in buckets_of(batches, [U, U, np.int64, np.int64]):
+        for key, ctx, doc, pk in buckets_of(batches, [np.uint32, U, np.int64, np.int64]):
             passed, ctx = key == 0, ctx.reshape(-1, 2)
             out_doc, out_pk = [doc[passed]], [(pk[passed] & ~15) | SETTLED]
             key, doc, pk = (c[~passed] for c in (key, doc, pk))

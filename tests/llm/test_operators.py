@@ -15,6 +15,7 @@ from strandweave.llm import decontaminate, jaccard_join, mixing, quality_classif
 from strandweave.llm import repeats as R
 from strandweave.llm import store
 from strandweave.llm.common import numbered, scratch_dir
+from strandweave.operators import graph
 from strandweave.operators.graph import components
 
 #: The columns of documents, and others named like columns that operators make.
@@ -271,7 +272,9 @@ def test_crowded_prefixes_end_deeper_and_short_texts_are_tied(spark, monkeypatch
         assert {(r.u, r.v) for r in edges.collect()} == tied
 
 
-def test_components_of_a_chain_and_of_nothing(spark):
+@pytest.mark.parametrize("remainder", [0, 5, 1000])
+def test_components_of_a_chain_and_of_nothing(spark, monkeypatch, remainder):
+    monkeypatch.setattr(graph, "REMAINDER", remainder)
     chain = spark.createDataFrame([(i, i + 1) for i in range(30)] + [(50, 50), (60, 61)], "u long, v long")
     assert {r.node: r.root for r in components(chain).collect()} == {**dict.fromkeys(range(31), 0), 60: 60, 61: 60}
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
