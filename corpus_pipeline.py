@@ -1,4 +1,8 @@
-"""The corpus pipeline: documents in, documents with their shards out. Each stage gets what the one before it kept."""
+"""The corpus pipeline: documents in, documents with their shards out. Each stage gets what the one before it kept.
+
+Stages judge rows, whether their doc_ids are missing, repeated or neither; empty tables pass as empty tables, and extra
+columns are kept, but for those named like the store's own (see ``sharding``).
+"""
 
 from __future__ import annotations
 
@@ -13,27 +17,27 @@ from strandweave.llm.sharding import sharded
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the quality rules."""
+    """Rows that pass the quality rules; rows without a text don't."""
     return keep_good(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the least doc_id, of each group of near duplicates."""
+    """One row, the first by doc_id, of each group of near duplicates; rows without a doc_id come last."""
     return drop_near_duplicates(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Rows whose text holds no benchmark item."""
     return drop_leaky(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix to target weights; at most one epoch, so that no text comes back after deduplication."""
+    """The mix to target weights; at most one epoch, so that no row comes back after deduplication."""
     return mixed_documents(docs, max_epochs=1)
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents from a compacted store, with their shards."""
+    """The rows from a compacted store, with their shards."""
     return sharded(docs)
 
 

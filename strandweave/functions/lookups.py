@@ -13,6 +13,10 @@ BASES = "TCAG"
 STANDARD_CODE = "FFLLSSSSYY**CC*WLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG"
 NUCLEIC_ALPHABET = "ACGTURYSWKMBDHVN"
 PROTEIC_ALPHABET = "ABCDEFGHIKLMNPQRSTVWXYZ*"
+#: First token of a header, its databank prefix, and what a name may not hold.
+HEADER_TOKEN = r"^>?\s*(\S*)"
+DATABANK_PREFIX = r"^(?:gi|lcl|bbs|bbm|gim|gb|emb|pir|sp|ref|dbj|prf|pdb|tp[ged]|tr|gpp|nat|gnl\|[^|]+)\|([^|\s]+)"
+NOT_IN_NAMES = r"[^A-Za-z0-9_#.\-,=]"
 AMINO_NAMES = {
     "Ala": "Alanine", "Arg": "Arginine", "Asn": "Asparagine", "Asp": "Aspartate", "Cys": "Cysteine", "Glu": "Glutamate", "Gln": "Glutamine",
     "Gly": "Glycine", "His": "Histidine", "Ile": "Isoleucine", "Leu": "Leucine", "Lys": "Lysine", "Met": "Methionine", "Phe": "Phenylalanine",

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .lookups import AMINO_NAMES, HYPOTHETICAL, SO_DEFAULT, SO_SUBTYPES, SO_TERMS, TE_CODES, TE_DEFAULT, TE_KEYWORDS, TE_LIKE, literal_map, looked_up
+from .lookups import AMINO_NAMES, DATABANK_PREFIX, HEADER_TOKEN, HYPOTHETICAL, NOT_IN_NAMES, SO_DEFAULT, SO_SUBTYPES, SO_TERMS, TE_CODES, TE_DEFAULT, TE_KEYWORDS, TE_LIKE, literal_map, looked_up
 
 
 def _col(c: Column | str) -> Column:
@@ -21,11 +21,10 @@ def clean_description(text: Column | str) -> Column:
 
 def clean_seq_name(header: Column | str) -> Column:
     """First token without a databank prefix; other than plain characters become ``_``; unknownId if nothing stays."""
-    token = F.regexp_extract(_col(header), r"^>?\s*(\S*)", 1)
-    prefix = r"^(?:gi|lcl|bbs|bbm|gim|gb|emb|pir|sp|ref|dbj|prf|pdb|tp[ged]|tr|gpp|nat|gnl\|[^|]+)\|([^|\s]+)"
-    inner = F.regexp_extract(token, prefix, 1)
+    token = F.regexp_extract(_col(header), HEADER_TOKEN, 1)
+    inner = F.regexp_extract(token, DATABANK_PREFIX, 1)
     token = F.when(inner != "", inner).otherwise(token)
-    token = F.regexp_replace(F.regexp_replace(token, r"[^A-Za-z0-9_#.\-,=]", "_"), r"_+$", "")
+    token = F.regexp_replace(F.regexp_replace(token, NOT_IN_NAMES, "_"), r"_+$", "")
     return F.when(token == "", "unknownId").otherwise(token)
 
 

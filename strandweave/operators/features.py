@@ -131,6 +131,17 @@ def expand_gene_features(parts: DataFrame, source: str) -> DataFrame:
     return rows.withColumn("source", F.lit(source))
 
 
+def look_up(rows: DataFrame, library: DataFrame, key: str, defaults: dict) -> DataFrame:
+    """``rows`` with the columns of ``library(key, …)``, one row a key, named in ``defaults``; those where it has none."""
+    joined = rows.join(library.select(key, *defaults), key, "left")
+    return joined.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in defaults.items()})
+
+
+def subset_bank(sequences: DataFrame, hits: DataFrame, key: str = "seq_id") -> DataFrame:
+    """The sequences that the hits name."""
+    return sequences.join(hits.select(key).distinct(), key, "left_semi")
+
+
 def attach_annotations(features: DataFrame, annotations: DataFrame, key: str) -> DataFrame:
     """Attributes of ``annotations(key, added)`` replace those of the same name; features without any stay as they are."""
     joined = features.join(annotations, key, "left")

@@ -34,6 +34,17 @@ def timings(runs: DataFrame, column: str = "real_time") -> DataFrame:
     return runs.groupBy("kind").agg(F.min(c).alias("least"), F.max(c).alias("most"), F.avg(c).alias("mean"), F.sum(c).alias("total"), F.count("*").alias("n"))
 
 
+def chunk_counts(chunks: DataFrame, finished: DataFrame) -> DataFrame:
+    """(seq_id, chunks, runs): chunks of each sequence with finished runs, and how many runs these are."""
+    joined = chunks.join(finished.select("seq_id", "chunk_no"), ["seq_id", "chunk_no"])
+    return joined.groupBy("seq_id").agg(F.count_distinct("chunk_no").alias("chunks"), F.count("*").alias("runs"))
+
+
+def totals(runs: DataFrame, columns: Sequence[str] = ("real_time",), by: Sequence[str] = ("seq_id",)) -> DataFrame:
+    """(by, columns, n): sums of what the runs took, and their number."""
+    return runs.groupBy(*by).agg(*(F.sum(c).alias(c) for c in columns), F.count("*").alias("n"))
+
+
 def report(runs: DataFrame, ready: DataFrame) -> DataFrame:
     """A row a sequence: progress of its chunks, the statuses seen, total time and number of runs."""
     spent = runs.groupBy("seq_id").agg(F.round(F.sum("real_time"), 2).alias("total"), F.count("*").alias("runs"))

@@ -176,6 +176,11 @@ def junction_chains(exons: DataFrame, transcript: Sequence[str]) -> DataFrame:
     return rows.withColumn("links", F.transform("links", lambda x: x["text"])).withColumn("chain", F.concat(F.lit("_"), F.array_join("links", "_"), F.lit("_")))
 
 
+def transcript_figures(mapped: DataFrame, orfs: DataFrame, extended: DataFrame, transcript: str = "parent_id") -> DataFrame:
+    """Mapping, reading frame and extended frame of the transcripts that have all three."""
+    return mapped.join(orfs, transcript).join(extended, transcript)
+
+
 def contained_chains(chains: DataFrame, abinitio: DataFrame) -> DataFrame:
     """(parent_id, model_id, file_order): ab-initio models whose whole junction chain is a stretch of the transcript's.
 

@@ -104,9 +104,9 @@ _HEADERS = "SELECT doc_id, concat(CASE doc_id % 4 WHEN 0 THEN '>lcl|' WHEN 1 THE
 
 @query(
     "c10_clean_seq_name",
-    rf"""WITH h AS ({_HEADERS}), a AS (SELECT doc_id, regexp_extract(header, '^>?\s*(\S*)', 1) AS token FROM h),
-    b AS (SELECT doc_id, token, regexp_extract(token, '^(?:gi|lcl|bbs|bbm|gim|gb|emb|pir|sp|ref|dbj|prf|pdb|tp[ged]|tr|gpp|nat|gnl\|[^|]+)\|([^|\s]+)', 1) AS i FROM a),
-    c AS (SELECT doc_id, regexp_replace(regexp_replace(CASE WHEN i <> '' THEN i ELSE token END, '[^A-Za-z0-9_#.\-,=]', '_', 'g'), '_+$', '') AS n FROM b)
+    f"""WITH h AS ({_HEADERS}), a AS (SELECT doc_id, regexp_extract(header, '{L.HEADER_TOKEN}', 1) AS token FROM h),
+    b AS (SELECT doc_id, token, regexp_extract(token, '{L.DATABANK_PREFIX}', 1) AS i FROM a),
+    c AS (SELECT doc_id, regexp_replace(regexp_replace(CASE WHEN i <> '' THEN i ELSE token END, '{L.NOT_IN_NAMES}', '_', 'g'), '_+$', '') AS n FROM b)
     SELECT doc_id, CASE WHEN n = '' THEN 'unknownId' ELSE n END AS name FROM c""",
 )
 def c10(t):

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from strandweave.functions.lookups import SUBFEATURE_RANK, looked_up
@@ -96,13 +95,18 @@ def e7(t):
 @query("e9_lookup_join", "SELECT x.l_orderkey, x.l_linenumber, x.l_partkey, coalesce(p.p_name, 'unknown') AS description FROM lineitem x LEFT JOIN (SELECT * FROM part WHERE p_partkey % 3 <> 0) p ON p_partkey = l_partkey")
 def e9(t):
     names = t.part.where("p_partkey % 3 <> 0").select(F.col("p_partkey").alias("l_partkey"), "p_name")
-    return t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey").join(names, "l_partkey", "left").select("l_orderkey", "l_linenumber", "l_partkey", F.coalesce("p_name", F.lit("unknown")).alias("description"))
+    from strandweave.operators.features import look_up
+
+    rows = look_up(t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey"), names.withColumnRenamed("p_name", "description"), "l_partkey", {"description": "unknown"})
+    return rows.select("l_orderkey", "l_linenumber", "l_partkey", "description")
 
 
 @query("e10_subset_bank", "SELECT seq_id, residues FROM fx_sequences WHERE seq_id IN (SELECT concat('seq', CAST(l_orderkey AS VARCHAR)) FROM lineitem WHERE l_returnflag = 'R')")
 def e10(t):
     hits = t.lineitem.where("l_returnflag = 'R'").select(F.concat(F.lit("seq"), F.col("l_orderkey").cast("string")).alias("seq_id"))
-    return t.fx_sequences.join(hits, "seq_id", "left_semi").select("seq_id", "residues")
+    from strandweave.operators.features import subset_bank
+
+    return subset_bank(t.fx_sequences, hits).select("seq_id", "residues")
 
 
 @query("g1_numbering", "SELECT feature_id, lpad(row_number() OVER (PARTITION BY seq_id, strand ORDER BY start_pos, end_pos, feature_id)::VARCHAR, 5, '0') AS number FROM fx_exons")
@@ -154,13 +158,14 @@ def g7(t):
 
 @query(
     "g8_adjacent_overlap",
-    """SELECT query_id, hit_id, sum(greatest(0, q_end - nxt + 1))::BIGINT AS shared FROM (SELECT *, lead(q_start) OVER (PARTITION BY query_id, hit_id ORDER BY q_start, q_end) AS nxt FROM fx_hsps)
-    WHERE nxt IS NOT NULL GROUP BY query_id, hit_id""",
+    """SELECT query_id, hit_id, strand, q_start, q_end, h_start, coalesce(greatest(0, q_end - lead(q_start) OVER (PARTITION BY query_id, hit_id, strand ORDER BY q_start, q_end) + 1), 0)::BIGINT AS shared
+    FROM (SELECT DISTINCT query_id, hit_id, strand, q_start, q_end, min(h_start) AS h_start FROM fx_hsps GROUP BY ALL)""",
 )
 def g8(t):
-    following = F.lead("q_start").over(W.partitionBy("query_id", "hit_id").orderBy("q_start", "q_end"))
-    rows = t.fx_hsps.withColumn("nxt", following).where("nxt is not null")
-    return rows.groupBy("query_id", "hit_id").agg(F.sum(F.greatest(F.lit(0), F.col("q_end") - F.col("nxt") + 1)).alias("shared"))
+    from strandweave.operators.hits import adjacent_overlap
+
+    rows = t.fx_hsps.groupBy("query_id", "hit_id", "strand", "q_start", "q_end").agg(F.min("h_start").alias("h_start"))
+    return adjacent_overlap(rows)
 
 
 @query(
@@ -175,10 +180,12 @@ def g13(t):
 
 @query(
     "g14_drop_identical",
-    """SELECT DISTINCT query_id, hit_id, strand, q_start, q_end FROM fx_hsps""",
+    """SELECT query_id, hit_id, strand, q_start, q_end, h_start, h_end, query_len, min(n_identical) AS n_identical, min(align_len) AS align_len FROM fx_hsps GROUP BY ALL""",
 )
 def g14(t):
-    return t.fx_hsps.select("query_id", "hit_id", "strand", "q_start", "q_end").dropDuplicates(["query_id", "hit_id", "strand", "q_start", "q_end"])
+    from strandweave.operators.hits import distinct_alignments
+
+    return distinct_alignments(t.fx_hsps)
 
 
 @query(

@@ -129,7 +129,7 @@ def d15(t):
 @query("e18_three_way_join", f"WITH {_FIGS}, {OFFSETS} SELECT parent_id, status, coverage, orf_start, orf_end, start_pos FROM fg JOIN orf USING (parent_id) JOIN (SELECT parent_id, min(start_pos) AS start_pos FROM fx_exons WHERE file_level > 0 GROUP BY parent_id) USING (parent_id)")
 def e18(t):
     mapped = t.fx_exons.where("file_level > 0").groupBy("parent_id").agg(F.min("start_pos").alias("start_pos"))
-    return figures(t).join(orfs(t), "parent_id").join(mapped, "parent_id").select("parent_id", "status", "coverage", "orf_start", "orf_end", "start_pos")
+    return S.transcript_figures(mapped, orfs(t), figures(t)).select("parent_id", "status", "coverage", "orf_start", "orf_end", "start_pos")
 
 
 CHAINS = """l AS (SELECT seq_id, parent_id, file_level, start_pos, concat(end_pos::VARCHAR, '_', lead(start_pos) OVER (PARTITION BY seq_id, parent_id ORDER BY start_pos, end_pos)::VARCHAR) AS j, lead(start_pos) OVER (PARTITION BY seq_id, parent_id ORDER BY start_pos, end_pos) AS nx FROM fx_exons),
@@ -453,8 +453,7 @@ def f19(t):
 @query("e14_chunk_readiness", "SELECT seq_id, count(DISTINCT chunk_no) AS chunks, count(*) AS runs FROM fx_task_runs WHERE status = 10 GROUP BY seq_id")
 def e14(t):
     chunks = t.fx_task_runs.select("seq_id", "chunk_no").distinct()
-    done = t.fx_task_runs.where("status = 10").select("seq_id", "chunk_no")
-    return chunks.join(done, ["seq_id", "chunk_no"]).groupBy("seq_id").agg(F.count_distinct("chunk_no").alias("chunks"), F.count("*").alias("runs"))
+    return R.chunk_counts(chunks, t.fx_task_runs.where("status = 10"))
 
 
 @query("f20_timings", "SELECT kind, min(real_time) AS least, max(real_time) AS most, round(avg(real_time), 4) AS mean, round(sum(real_time), 2) AS total, count(*) AS n FROM fx_task_runs GROUP BY kind")
@@ -464,7 +463,7 @@ def f20(t):
 
 @query("f21_run_totals", "SELECT seq_id, round(sum(real_time), 2) AS total, count(*) AS n FROM fx_task_runs GROUP BY seq_id")
 def f21(t):
-    return t.fx_task_runs.groupBy("seq_id").agg(F.round(F.sum("real_time"), 2).alias("total"), F.count("*").alias("n"))
+    return R.totals(t.fx_task_runs).select("seq_id", F.round("real_time", 2).alias("total"), "n")
 
 
 @query("n38_run_report", f"WITH {READY} SELECT seq_id, chunks, finished, statuses, total, runs FROM ready JOIN (SELECT seq_id, round(sum(real_time), 2) AS total, count(*) AS runs FROM fx_task_runs GROUP BY seq_id) USING (seq_id)")
