@@ -86,8 +86,8 @@ def test_stages(spark, tmp_path):
 
 
 def test_stages_keep_columns_and_take_rows_without_ids(spark, tmp_path):
-    spark.createDataFrame([(1, TEXTS[14])], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
-    rows = table(spark, [(None, TEXTS[10]), (None, TEXTS[14]), (11, TEXTS[11]), (11, TEXTS[12]), (15, None), (15, TEXTS[15])])
+    spark.createDataFrame([(1, TEXTS[30])], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    rows = table(spark, [(None, TEXTS[10]), (None, TEXTS[30]), (11, TEXTS[11]), (11, TEXTS[12]), (15, None), (15, TEXTS[15])])
     docs = rows
     for name, stage in corpus_pipeline.STAGES[:-1]:
         docs = stage(spark, docs, str(tmp_path))
