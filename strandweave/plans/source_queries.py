@@ -29,11 +29,16 @@ def a1(t):
     return P.parse_gff3(gff_lines(t)).select("feature_id", "parent_id", "seq_id", "type", "start_pos", "end_pos", "score", "strand", F.array_join(F.col("attributes")["Note"], "|").alias("note"))
 
 
-@query("a2_parse_attributes", "SELECT feature_id, 3::INT AS n, parent_id AS parent, 2::INT AS notes FROM fx_exons")
+@query(
+    "a2_parse_attributes",
+    """SELECT feature_id, (CASE WHEN file_level = 0 THEN 2 ELSE 3 END)::INT AS n, parent_id AS parent, CASE WHEN file_level > 0 THEN (start_pos % 4 + 1)::INT END AS notes, CASE WHEN file_level > 0 THEN concat('n', CASE WHEN start_pos % 4 = 0 THEN end_pos::VARCHAR ELSE (start_pos % 4)::VARCHAR END) END AS last_note FROM fx_exons""",
+)
 def a2(t):
-    attributes = T.parse_attributes(F.concat(F.lit("ID="), "feature_id", F.lit("; Parent="), "parent_id", F.lit(";Note=a,b;;flag")))
-    rows = t.fx_exons.select("feature_id", attributes.alias("a"))
-    return rows.select("feature_id", F.size("a").alias("n"), F.col("a")["Parent"][0].alias("parent"), F.size(F.col("a")["Note"]).alias("notes"))
+    notes = F.array_join(F.transform(F.sequence(F.lit(0).cast("long"), F.col("start_pos") % 4), lambda k: F.concat(F.lit("n"), F.when(k == 0, F.col("end_pos")).otherwise(k).cast("string"))), ",")
+    text = F.concat(F.lit("ID="), "feature_id", F.lit("; Parent="), "parent_id", F.when(F.col("file_level") > 0, F.concat(F.lit(";Note="), notes)).otherwise(""), F.lit(";;flag"))
+    rows = t.fx_exons.select("feature_id", T.parse_attributes(text).alias("a"))
+    note = F.col("a")["Note"]
+    return rows.select("feature_id", F.size("a").alias("n"), F.col("a")["Parent"][0].alias("parent"), F.when(note.isNotNull(), F.size(note)).alias("notes"), F.element_at(note, -1).alias("last_note"))
 
 
 @query("a6_read_kmer_counts", "SELECT CASE WHEN strand = 1 THEN '+' ELSE '-' END AS strand, start_pos AS pos, end_pos % 11 AS n, feature_id AS mer FROM fx_exons")
@@ -255,13 +260,16 @@ def a5(t):
     return P.read_domain_table(rows.sparkSession, saved(rows, "domains")).select("target", "domain_id", "evalue", "description")
 
 
-@query("a8_read_ncrna_table", "SELECT feature_id AS name, seq_id, start_pos, end_pos, strand, 2.5::DOUBLE AS score FROM fx_exons")
+@query("a8_read_ncrna_table", "SELECT feature_id AS name, seq_id, start_pos, end_pos, strand, (start_pos % 100 / 4)::DOUBLE AS score, concat('RF', file_level::VARCHAR) AS accession, concat('like ', parent_id, ' and more') AS description FROM fx_exons")
 def a8(t):
     minus = F.col("strand") == -1
     s, e = F.col("start_pos").cast("string"), F.col("end_pos").cast("string")
-    line = F.concat_ws("  ", "feature_id", F.lit("RF1"), "seq_id", F.lit("- cm 1 9"), F.when(minus, e).otherwise(s), F.when(minus, s).otherwise(e), F.when(minus, "-").otherwise("+"), F.lit("no 1 0.5 0.0 2.5 1e-3 ! some text"))
+    line = F.concat_ws(
+        "  ", "feature_id", F.concat(F.lit("RF"), F.col("file_level").cast("string")), "seq_id", F.lit("- cm 1 9"), F.when(minus, e).otherwise(s), F.when(minus, s).otherwise(e), F.when(minus, "-").otherwise("+"),
+        F.lit("no 1 0.5 0.0"), (F.col("start_pos") % 100 / 4).cast("string"), F.lit("1e-3 !"), F.concat(F.lit("like "), "parent_id", F.lit(" and more")),
+    )
     rows = t.fx_exons.select(line.alias("value"))
-    return P.read_ncrna_table(rows.sparkSession, saved(rows, "ncrna")).select("name", "seq_id", "start_pos", "end_pos", "strand", "score")
+    return P.read_ncrna_table(rows.sparkSession, saved(rows, "ncrna")).select("name", "seq_id", "start_pos", "end_pos", "strand", "score", "accession", "description")
 
 
 @query("a9_read_rrna_gff", "SELECT seq_id, start_pos, end_pos, strand, feature_id AS note FROM fx_exons")
@@ -298,11 +306,17 @@ def a21(t):
 
 @query(
     "a22_spliced_alignments",
-    """WITH k AS (SELECT feature_id, start_pos AS s, end_pos % 90 + 40 AS n FROM fx_exons)
-    SELECT feature_id AS transcript_id, 1::INT AS exon, 1::BIGINT AS q_start, 4::BIGINT AS q_end, s AS g_start, s + 3 AS g_end, 3::INT AS match_len FROM k UNION ALL SELECT feature_id, 2, 5, 7, s + 4 + n, s + 7 + n, 3 FROM k""",
+    """WITH k AS (SELECT seq_id, seq_no, residues, 10 + seq_no % 20 AS n1, 15 + seq_no % 30 AS n2, seq_no % 1000 + 1 AS s, 40 + seq_no % 90 AS gap FROM fx_sequences), p AS (SELECT *, substring(residues, 41, CAST(n2 AS INT)) AS b FROM k)
+    SELECT seq_id AS transcript_id, 1::INT AS exon, 1::BIGINT AS q_start, n1 AS q_end, s AS g_start, s + n1 - 1 AS g_end, n1::INT AS match_len FROM p
+    UNION ALL SELECT seq_id, 2, n1 + 1, n1 + n2 - 1, s + n1 + gap, s + n1 + gap + n2 - 1, (length(replace(b, 'A', '')) - CASE WHEN left(b, 1) = 'A' THEN 0 ELSE 1 END)::INT FROM p""",
 )
 def a22(t):
-    rows = t.fx_exons.select(F.col("feature_id").alias("transcript_id"), F.lit(1).cast("long").alias("q_start"), F.col("start_pos").alias("t_start"), F.lit("ACGT....AC-T").alias("query"), F.lit("ACCT....ACGT").alias("subject"), F.array(F.col("end_pos") % 90 + 40).alias("introns"))
+    """Two exons of each sequence: the first one alike, in the second one the query lacks a letter and has G for each A."""
+    n1, n2 = F.col("seq_no") % 20 + 10, F.col("seq_no") % 30 + 15
+    piece = lambda at, n: F.substring(F.col("residues"), F.lit(at), n.cast("int"))
+    second = piece(41, n2)
+    query = F.concat(piece(1, n1), F.lit("...."), F.lit("-"), F.substring(F.translate(second, "A", "G"), F.lit(2), n2.cast("int")))
+    rows = t.fx_sequences.select(F.col("seq_id").alias("transcript_id"), F.lit(1).cast("long").alias("q_start"), (F.col("seq_no") % 1000 + 1).alias("t_start"), query.alias("query"), F.concat(piece(1, n1), F.lit("...."), second).alias("subject"), F.array(F.col("seq_no") % 90 + 40).alias("introns"))
     return P.parse_spliced_alignments(rows).select("transcript_id", "exon", "q_start", "q_end", "g_start", "g_end", "match_len")
 
 
