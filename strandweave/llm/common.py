@@ -40,7 +40,9 @@ def numbered(docs: DataFrame, row: bool = False) -> tuple[DataFrame, Callable[..
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), *whole)
     if has_clean_ids(docs):
         return docs, lambda found, *columns: found
-    docs = written(docs.orderBy(F.col("doc_id").asc_nulls_last(), "text").withColumn("number", F.monotonically_increasing_id()), "numbered")
+    # The place in the input keeps many equal rows from ending in one range of the sort.
+    docs = docs.withColumn("place", F.monotonically_increasing_id()).orderBy(F.col("doc_id").asc_nulls_last(), "text", "place")
+    docs = written(docs.drop("place").withColumn("number", F.monotonically_increasing_id()), "numbered")
     of = docs.select(F.col("number").alias("__number"), F.col("doc_id").alias("__id"))
 
     def named(found: DataFrame, *columns: str) -> DataFrame:

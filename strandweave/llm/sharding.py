@@ -112,10 +112,13 @@ def _write(rows: DataFrame, store: str, shard: Column) -> DataFrame:
 def append(docs: DataFrame, store: str, rows: int = ARRIVAL_ROWS) -> int:
     """Write new documents as small immutable shards and commit a version that lists them too; returns the version.
 
-    An arrival that the store has already gets another shard of the same number; both are read.
+    An arrival that the store has already gets another shard of the same number; both are read. An empty table commits
+    nothing.
     """
     spark = docs.sparkSession
     base, live = current(spark, store)
+    if docs.isEmpty():
+        return base
     return _commit(spark, store, live.unionByName(_write(docs.drop(*OWN), store, arrival_of(rows))), base)
 
 

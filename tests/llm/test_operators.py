@@ -722,6 +722,7 @@ def test_empty_tables(spark, empty):
     assert decontaminate.find_leaks(empty, bench).count() == 0
     assert mixing.mix(mixing.leaves_of(empty)).count() == 0
     assert sharding.sharded(empty).count() == 0
+    assert sharding.append(empty, scratch_dir(spark, "store")) == 0
     assert token_counts.count_tokens(empty, {}).count() == 0
     model = quality_classifier.fit(empty, spark.createDataFrame([], "doc_id long, label int"))
     assert quality_classifier.score(empty, model).count() == 0
