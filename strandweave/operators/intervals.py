@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -139,21 +140,43 @@ def following(df: DataFrame, keys: Sequence[str], value: Column, place: Column,
     return t.withColumn("__inside", inside).join(beyond, by).withColumn(name, F.coalesce("__inside", "__beyond")).drop("__v", "__stretch", "__inside", "__beyond")
 
 
-def folded(df: DataFrame, keys: Sequence[str], fold: Callable[[pd.DataFrame], pd.DataFrame], schema: str, alone: bool = False, per_partition: int = 8) -> DataFrame:
+def folded(df: DataFrame, keys: Sequence[str], fold: Callable[[pd.DataFrame], pd.DataFrame], schema: str, per_partition: int = 8) -> DataFrame:
     """``fold`` over each group of ``keys``, for choices that depend on an order.
 
     Groups are dealt to a few buckets a partition, so that many small ones share a call; a bucket has to fit into memory.
-    ``alone``: rows that are alone in their group pass as they are.
     """
     buckets = per_partition * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = list(keys)
-    columns = [c.split()[0] for c in schema.split(", ")]
 
     def each(bucket: pd.DataFrame) -> pd.DataFrame:
-        parts = []
-        if alone:
-            single = ~bucket.duplicated(keys, keep=False)
-            parts, bucket = [bucket.loc[single, columns]], bucket[~single]
-        return pd.concat(parts + [fold(g) for _, g in bucket.groupby(keys, sort=False)], ignore_index=True)
+        return pd.concat([fold(g) for _, g in bucket.groupby(keys, sort=False)], ignore_index=True)
+
+    return df.groupBy(F.pmod(F.xxhash64(*keys), F.lit(buckets)).alias("__bucket")).applyInPandas(each, schema)
+
+
+def chosen(df: DataFrame, keys: Sequence[str], order: Sequence[str], choose: Callable[[dict], tuple[Sequence[int], dict]], schema: str, per_partition: int = 8) -> DataFrame:
+    """Rows that ``choose`` takes from each group of ``keys``, for choices that depend on an order.
+
+    ``choose`` gets the columns of one group as arrays, sorted by ``order``, and gives the places of its rows and new values
+    of columns for them. Groups of one row pass as they are. Groups are dealt to a few buckets a partition, so that many
+    small ones share a call; a bucket has to fit into memory.
+    """
+    buckets = per_partition * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys, columns = list(keys), [c.split()[0] for c in schema.split(", ")]
+
+    def each(bucket: pd.DataFrame) -> pd.DataFrame:
+        bucket = bucket.sort_values([*keys, *order], kind="stable", ignore_index=True)
+        first = np.flatnonzero((bucket[keys] != bucket[keys].shift()).any(axis=1).to_numpy())
+        last = np.append(first[1:], len(bucket))
+        arrays = {c: bucket[c].to_numpy() for c in bucket.columns}
+        single = last - first == 1
+        rows, values = [first[single]], {}
+        for low, high in zip(first[~single].tolist(), last[~single].tolist(), strict=True):
+            at, new = choose({c: a[low:high] for c, a in arrays.items()})
+            rows.append(np.asarray(at, np.int64) + low)
+            for c, v in new.items():
+                values.setdefault(c, [arrays[c][first[single]]]).append(np.asarray(v))
+        found = bucket.iloc[np.concatenate(rows)][columns]
+        return found.assign(**{c: np.concatenate(v) for c, v in values.items()})
 
     return df.groupBy(F.pmod(F.xxhash64(*keys), F.lit(buckets)).alias("__bucket")).applyInPandas(each, schema)

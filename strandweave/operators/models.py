@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from strandweave.functions import lookups as L
 from strandweave.functions.sequence import internal_stop_count, revcomp, splice_site_class, translate_codons
 
-from .intervals import band_join, cluster_intervals, folded, introns, overlap_join
+from .intervals import band_join, chosen, cluster_intervals, introns, overlap_join
 from .masking import TILE, coding_sequences, extract_subseq
 
 
@@ -64,37 +64,34 @@ def score(models: DataFrame) -> DataFrame:
     return models.withColumn("score", total.cast("double"))
 
 
-def _choose(group: pd.DataFrame) -> pd.DataFrame:
+def _choose(group: dict) -> tuple[list[int], dict]:
     """One component: seeds by level and place; the best of what overlaps a seed wins, and what it overlaps is done."""
-    g = group.sort_values(["file_level", "start_pos", "end_pos", "model_id"], kind="stable").reset_index(drop=True)
-    start, end, level = g["start_pos"].to_numpy(), g["end_pos"].to_numpy(), g["file_level"].to_numpy()
-    coverage, points = g["hit_coverage"].to_numpy(), g["score"].to_numpy()
-    done = pd.Series(False, index=g.index).to_numpy(copy=True)
-    winners = []
-    for seed in range(len(g)):
+    start, end, level, coverage, points = (group[c] for c in ("start_pos", "end_pos", "file_level", "hit_coverage", "score"))
+    done, winners = np.zeros(len(start), bool), []
+    for seed in range(len(start)):
         if done[seed]:
             continue
         near = (start < end[seed]) & (end > start[seed]) & ~done & (level >= level[seed])
         near[seed] = True
-        rows = sorted(near.nonzero()[0], key=lambda r: (-coverage[r], r))
-        winner, best = rows[0], 0.0
-        for r in rows:
-            if points[r] > best:
-                winner, best = r, points[r]
+        rows = np.flatnonzero(near)
+        rows = rows[np.argsort(-coverage[rows], kind="stable")]
+        best = int(np.argmax(points[rows]))
+        winner = int(rows[best] if points[rows[best]] > 0 else rows[0])
         winners.append(winner)
         done |= (start < end[winner]) & (end > start[winner])
         done[[seed, winner]] = True
-    return g.iloc[winners][["seq_id", "model_id", "file_level", "start_pos", "end_pos", "score"]]
+    return winners, {}
 
 
 def select_models(models: DataFrame) -> DataFrame:
     """The winning models: (seq_id, model_id, file_level, start_pos, end_pos, score).
 
-    The choice is greedy and depends on its order, so each component of overlapping models is folded by itself; distant
-    components are independent and spread over the cluster. Models of one locus have to fit into a task's memory.
+    The choice is greedy and depends on its order, so each component of overlapping models is gone through by itself;
+    distant components are independent and spread over the cluster. Models of one locus have to fit into a task's memory.
     """
     rows = cluster_intervals(models, ["seq_id"]).select("seq_id", "cluster_start", "model_id", F.col("file_level").cast("int"), "start_pos", "end_pos", F.col("hit_coverage").cast("double"), F.col("score").cast("double"))
-    return folded(rows, ["seq_id", "cluster_start"], _choose, "seq_id string, model_id string, file_level int, start_pos long, end_pos long, score double", alone=True)
+    order = ["file_level", "start_pos", "end_pos", "model_id"]
+    return chosen(rows, ["seq_id", "cluster_start"], order, _choose, "seq_id string, model_id string, file_level int, start_pos long, end_pos long, score double")
 
 
 def splice_sites(parts: DataFrame, tiles: DataFrame, model: str = "parent_id", width: int = TILE) -> DataFrame:

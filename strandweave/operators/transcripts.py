@@ -15,7 +15,7 @@ from strandweave.functions.sequence import aa_length, is_premature, revcomp, tra
 
 from .graph import components
 from .hits import mapped_figures
-from .intervals import cluster_intervals, cumulative_offset, folded, following, merge_intervals, overlap_join
+from .intervals import chosen, cluster_intervals, cumulative_offset, folded, following, merge_intervals, overlap_join
 from .masking import TILE, coding_sequences, extract_subseq, narrow_tiles
 
 STOPS = ("TAA", "TAG", "TGA")
@@ -297,14 +297,13 @@ def dedupe_windows(windows: DataFrame, share: float = 0.9) -> DataFrame:
     ``windows`` also have ``g_start`` and ``g_end``, the alignment inside the window. Inside a cluster of overlapping
     windows, by the start of their alignments, each one that hasn't been dropped meets the others: one whose alignment
     ends before its own moves its start behind that, the first whose alignment begins after its own moves its end
-    before that and ends the search; another one on the way is dropped, unless it was kept before, if the common bases are ``share`` of it. The order decides, so it is a fold over one cluster at a time.
+    before that and ends the search; another one on the way is dropped, unless it was kept before, if the common bases are ``share`` of it. The order decides, so one cluster is gone through at a time.
     """
-    def keep(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["g_start", "g_end", "window_id"], ignore_index=True)
-        start, end, inner, outer = (group[c].to_numpy().copy() for c in ("start_pos", "end_pos", "g_start", "g_end"))
-        whole_start, whole_end = start.copy(), end.copy()
-        gone, kept = np.zeros(len(group), bool), []
-        for i in range(len(group)):
+    def keep(group: dict) -> tuple[list[int], dict]:
+        whole_start, whole_end, inner, outer = (group[c] for c in ("start_pos", "end_pos", "g_start", "g_end"))
+        start, end = whole_start.copy(), whole_end.copy()
+        gone, kept = np.zeros(len(start), bool), []
+        for i in range(len(start)):
             if gone[i]:
                 continue
             kept.append(i)
@@ -314,16 +313,16 @@ def dedupe_windows(windows: DataFrame, share: float = 0.9) -> DataFrame:
             before = seen[outer[seen] < inner[i]]
             if len(before):
                 start[i] = outer[before[-1]] + 1
-            if reach < len(group):
+            if reach < len(start):
                 end[i] = inner[reach] - 1
             beside = seen[outer[seen] >= inner[i]]
             apart = np.abs(whole_start[i] - whole_start[beside]) + np.abs(whole_end[i] - whole_end[beside])
             size = whole_end[beside] - whole_start[beside] + 1
             gone[beside] |= (whole_end[i] - whole_start[i] + 1 + size - apart) / 2 >= share * size
-        return group.assign(start_pos=start, end_pos=end)[["seq_id", "window_id", "start_pos", "end_pos"]].iloc[kept]
+        return kept, {"start_pos": start[kept], "end_pos": end[kept]}
 
     rows = cluster_intervals(windows, ["seq_id"]).select("seq_id", "cluster_start", "window_id", "start_pos", "end_pos", "g_start", "g_end")
-    return folded(rows, ["seq_id", "cluster_start"], keep, "seq_id string, window_id string, start_pos long, end_pos long", alone=True)
+    return chosen(rows, ["seq_id", "cluster_start"], ["g_start", "g_end", "window_id"], keep, "seq_id string, window_id string, start_pos long, end_pos long")
 
 
 def chain_hsps(hsps: DataFrame, t_gap: int = 10, g_gap: int = 10_000, coverage: float = 0.8) -> DataFrame:
