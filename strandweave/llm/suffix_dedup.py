@@ -5,10 +5,11 @@ suffix order it is the larger of two common prefixes: with the nearest suffix ab
 (previous smaller position) and with the nearest one below (next smaller position). A window of ``min_bytes`` goes if the
 LPF at its start is that long.
 
-A corpus has no single suffix array. ``repeats`` deals all windows by an anchor (the least 20-byte gram in them), so that
-equal windows are in one bucket; windows whose anchor no other document has take no further part, and runs of windows
-whose whole content an earlier document has too are settled as copies of it before the sort (equal suffixes would only
-stand side by side). Suffix, common-prefix and previous-factor arrays of the rest are built a bucket at a time.
+A corpus has no single suffix array. All windows are dealt by an anchor (the least 20-byte gram in them), so that equal
+windows are in one bucket; windows whose anchor no other document has take no further part. Suffix, common-prefix and
+previous-factor arrays of all others are built a bucket at a time from their bytes, which decide. Anchors with many
+windows are dealt window by window, and equal ones of a batch combined, so that a phrase or passage that very many
+documents have doesn't gather in one task.
 
 Null texts are empty. Texts shorter than ``min_bytes`` stay whole. Each row is a document. Rows are taken in the order of
 their doc_ids, rows with one doc_id in the order of their texts, rows without a doc_id last (see ``numbered``). An empty
@@ -52,20 +53,76 @@ def window_names(data: np.ndarray, length: int) -> np.ndarray:
     return R.mix(names)
 
 
-def _chunk_runs(min_bytes: int):
+def _anchored(docs: DataFrame, min_bytes: int, buckets: int) -> DataFrame:
+    """Round 1, map side: packed rows (bucket, key, doc, pk) of the runs of windows with one anchor, dealt by its name.
+
+    Rows of a key with over ``HOT_IN_FLUSH`` runs in a batch pass on at once as hot, whatever bucket they get, with a
+    notice (a row without windows) to the key's own bucket, so that no key gathers in one task.
+    """
     gram = min(GRAM, max(1, min_bytes // 2))
 
-    def of(data: np.ndarray, bounds: np.ndarray) -> tuple:
+    def runs(data: np.ndarray, bounds: np.ndarray, ids: np.ndarray) -> tuple:
         n = len(data) - min_bytes + 1
-        if n < 1:
-            return np.zeros(0, R.U), np.zeros((0, 2), R.U), *(np.zeros(0, np.int64) for _ in range(4)), bounds
         names = window_names(data, gram)
         at = R.leftmost_minimum(names, min_bytes - gram + 1)[:n]
         doc, first, count = R.runs_of(at, bounds, min_bytes)
-        q = at[first].astype(np.int64)
-        return names[q], R.digests(data.tobytes(), first, first + count - 1 + min_bytes), doc, first, q, count, bounds
+        q, begin = at[first].astype(np.int64), bounds[doc]
+        return np.maximum(names[q] >> R.U(32), R.U(1)), names[q], ids[doc].astype(np.int64), R.pack(first - begin, q - begin, count)
+
+    def flush(parts: list[tuple]) -> Iterator[pa.RecordBatch]:
+        key, name, doc, pk = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.argsort(name, kind="stable")
+        new = np.append(True, name[order][1:] != name[order][:-1])
+        group = np.cumsum(new) - 1
+        hot = np.zeros(len(key), bool)
+        hot[order] = np.bincount(group)[group] > R.HOT_IN_FLUSH
+        notices = order[new & hot[order]]
+        bucket = np.where(hot, R.mix(doc.astype(R.U)), name) % R.U(buckets)
+        key, pk = np.where(hot, R.U(0), key), np.where(hot, pk | R.HOT, pk)
+        columns = np.append(bucket, name[notices] % R.U(buckets)), np.append(key, np.maximum(name[notices] >> R.U(32), R.U(1))), np.append(doc, doc[notices]), np.append(pk, np.full(len(notices), R.SALTED))
+        rows = [(b, k.astype(np.uint32).tobytes(), d.tobytes(), p.tobytes()) for b, (k, d, p) in R.split_groups(columns[0].astype(np.int64), *columns[1:])]
+        cols = list(zip(*rows, strict=True))
+        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[1:])], names=["bucket", "key", "doc", "pk"])
 
-    return of
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, held = [], 0
+        for batch in batches:
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            for low, high, data, bounds in R.text_chunks(batch):
+                if len(data) < min_bytes:
+                    continue
+                parts.append(runs(data, bounds, ids[low:high]))
+                held += len(parts[-1][0])
+                if held >= R.FLUSH:
+                    yield from flush(parts)
+                    parts, held = [], 0
+            R.release()
+        if held:
+            yield from flush(parts)
+
+    return docs.select("doc_id", "text").mapInArrow(of, "bucket int, key binary, doc binary, pk binary")
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Round 1, reduce side: the runs (doc_id, pk) whose anchor two documents have: ``OPEN``, or ``HOT`` if it has many."""
+    for key, doc, pk in R.buckets_of(batches, [np.uint32, np.int64, np.int64]):
+        passed = key == 0
+        out_doc, out_pk = [doc[passed]], [pk[passed]]
+        order = np.flatnonzero(~passed)
+        order = order[np.lexsort((doc[order], key[order]))]
+        key, doc, pk = key[order], doc[order], pk[order]
+        if len(key):
+            start = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+            size = np.diff(np.append(start, len(key)))
+            told = np.maximum.reduceat(pk & R.SALTED, start) > 0
+            hot, several = told | (size > R.HOT_CONTEXTS), doc[start] < doc[start + size - 1]
+            keep = np.repeat(hot | several, size) & (pk & R.SALTED == 0)
+            out_doc.append(doc[keep])
+            out_pk.append((pk | np.where(np.repeat(hot, size), R.HOT, R.OPEN))[keep])
+        doc, pk = np.concatenate(out_doc), np.concatenate(out_pk)
+        R.release()
+        for low in range(0, len(doc), 200_000):
+            yield pa.RecordBatch.from_arrays([pa.array(doc[low : low + 200_000]), pa.array(pk[low : low + 200_000])], names=["doc_id", "pk"])
 
 
 def suffix_order(data: np.ndarray, start: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -136,7 +193,11 @@ def longest_previous_factors(data: np.ndarray, start: np.ndarray, doc: np.ndarra
 
 
 def _contexts(min_bytes: int, buckets: int):
-    """Round 2, map side: the bytes around open runs, dealt by anchor, or by window where the anchor is hot."""
+    """Round 2, map side: the bytes of runs, dealt by anchor, or by window where the anchor is hot.
+
+    Equal hot windows of one batch are combined: all but those of its first document that has them are known to have a
+    factor of their length, and only pass through.
+    """
     gram = min(GRAM, max(1, min_bytes // 2))
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,20 +210,27 @@ def _contexts(min_bytes: int, buckets: int):
                 row = np.repeat(np.arange(high - low), np.diff(edges[low : high + 1]))
                 first, dq, count, status = R.unpack(marks)
                 hot = status == R.HOT
-                at, many, doc, local = [], [], [], []
-                at.append((first + bounds[row])[~hot]), many.append(count[~hot]), doc.append(row[~hot]), local.append(first[~hot])
                 spread = np.repeat(np.flatnonzero(hot), count[hot])
                 step = np.arange(len(spread)) - np.repeat(np.cumsum(count[hot]) - count[hot], count[hot])
-                at.append((first + bounds[row])[spread] + step), many.append(np.ones(len(spread), np.int64)), doc.append(row[spread]), local.append(first[spread] + step)
-                q = at[0] + dq[~hot]
-                by = np.concatenate([window_names(data, gram)[q], window_names(data, min_bytes)[at[1]]])
-                at, many, doc, local = (np.concatenate(x) for x in (at, many, doc, local))
-                docs = ids[low:high][doc].astype(np.int64)
-                size = many + min_bytes - 1
+                local = np.concatenate([first[~hot], first[spread] + step])
+                own = np.concatenate([row[~hot], row[spread]])
+                many = np.concatenate([count[~hot], np.ones(len(spread), np.int64)])
+                docs, at = ids[low:high][own].astype(np.int64), local + bounds[own]
+                n = len(at) - len(spread)
+                by = np.concatenate([window_names(data, gram)[at[:n] + dq[~hot]], window_names(data, min_bytes)[at[n:]]])
+                known = np.zeros(len(at), bool)
+                if len(spread):
+                    content = R.digests(data.tobytes(), at[n:], at[n:] + min_bytes)
+                    order = np.lexsort((docs[n:], content[:, 1], content[:, 0]))
+                    new = np.append(True, (content[order][1:] != content[order][:-1]).any(1))
+                    head = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
+                    known[n + order] = docs[n + order[head]] < docs[n + order]
+                size = np.where(known, 0, many + min_bytes - 1)
+                pk = local << 16 | many << 4 | np.where(known, R.SETTLED, 0)
                 rows = []
-                for b, (a, m, d, p, z) in R.split_groups((by % np.uint64(buckets)).astype(np.int64), at, many, docs, local, size):
+                for b, (a, d, p, z) in R.split_groups((by % np.uint64(buckets)).astype(np.int64), at, docs, pk, size):
                     index = np.repeat(a - np.cumsum(z) + z, z) + np.arange(z.sum())
-                    rows.append((b, data[index].tobytes(), d.tobytes(), (p << 16 | m << 4).tobytes()))
+                    rows.append((b, data[index].tobytes(), d.tobytes(), p.tobytes()))
                 cols = list(zip(*rows, strict=True))
                 yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[1:])], names=["bucket", "bytes", "doc", "pk"])
 
@@ -174,6 +242,9 @@ def _factors(min_bytes: int):
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for data, doc, pk in R.buckets_of(batches, [np.uint8, np.int64, np.int64]):
+            known = pk & 15 == R.SETTLED
+            yield pa.RecordBatch.from_arrays([pa.array(doc[known]), pa.array(pk[known])], names=["doc_id", "pk"])
+            doc, pk = doc[~known], pk[~known]
             first, _, count, _ = R.unpack(pk)
             base = np.cumsum(count + min_bytes - 1) - (count + min_bytes - 1)
             run = np.repeat(np.arange(len(pk)), count)
@@ -211,11 +282,11 @@ def find_repeated_bytes(docs: DataFrame, min_bytes: int = 50) -> DataFrame:
         raise ValueError("min_bytes must be from 2 to 60")
     docs, named = numbered(docs)
     buckets = R.bucket_count(docs)
-    marks = written(R.settle(R.anchor_rows(docs, _chunk_runs(min_bytes), buckets, True), True), "suffix-runs")
-    open_docs = R.listed(docs, marks.where("pk & 15 > 1"))
+    marks = written(R.dealt(_anchored(docs, min_bytes, buckets)).mapInArrow(_shared, "doc_id long, pk long"), "suffix-runs")
+    open_docs = R.listed(docs, marks)
     blobs = open_docs.where("marks is not null").mapInArrow(_contexts(min_bytes, buckets), "bucket int, bytes binary, doc binary, pk binary")
     found = R.dealt(blobs).mapInArrow(_factors(min_bytes), "doc_id long, pk long")
-    done = R.listed(docs, marks.where("pk & 15 = 1").unionAll(found))
+    done = R.listed(docs, found)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
