@@ -181,20 +181,15 @@ def split_groups(order_key: np.ndarray, *columns: np.ndarray) -> Iterator[tuple[
         yield int(sorted_key[low]), [c[order[low:high]] for c in columns]
 
 
-def _flush(parts: list[tuple], buckets: int, earlier: bool) -> Iterator[pa.RecordBatch]:
+def _flush(parts: list[tuple], buckets: int) -> Iterator[pa.RecordBatch]:
     key, ctx, doc, pk = (np.concatenate(x) for x in zip(*parts, strict=True))
     order = np.lexsort((pk, doc, ctx[:, 1], ctx[:, 0], key))
     key, ctx, doc, pk = key[order], ctx[order], doc[order], pk[order]
     new = np.ones(len(key), bool)
     new[1:] = (key[1:] != key[:-1]) | (ctx[1:] != ctx[:-1]).any(1)
-    head = np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))
-    if earlier:  # a later document's copy is settled here; the first document's rows go on
-        done = doc[head] < doc
-    else:  # copies are settled; the first goes on with a mark that it is one of several
-        again = np.append(~new[1:], False) & new
-        done = ~new
-        pk = np.where(again, pk | SETTLED, pk)
-    pk = np.where(done, pk | SETTLED, pk)
+    # Copies are settled; the first goes on with a mark that it is one of several.
+    done, again = ~new, np.append(~new[1:], False) & new
+    pk = np.where(done | again, pk | SETTLED, pk)
     # A key with many contexts is dealt by context, but for one row, which tells the key's own bucket that it is hot.
     new_key = np.append(True, key[1:] != key[:-1])
     group = np.cumsum(new_key) - 1
@@ -218,7 +213,7 @@ def _flush(parts: list[tuple], buckets: int, earlier: bool) -> Iterator[pa.Recor
         yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[1:])], names=["bucket", "key", "ctx", "doc", "pk"])
 
 
-def anchor_rows(docs: DataFrame, chunk_runs: Callable, buckets: int, earlier: bool) -> DataFrame:
+def anchor_rows(docs: DataFrame, chunk_runs: Callable, buckets: int) -> DataFrame:
     """Packed anchors of ``docs(doc_id, text)``.
 
     ``chunk_runs(bytes, bounds)`` gives the runs of a chunk (key, context's digest, document, first window, anchor, windows)
@@ -235,11 +230,11 @@ def anchor_rows(docs: DataFrame, chunk_runs: Callable, buckets: int, earlier: bo
                 parts.append((np.maximum(key, U(1)), ctx, ids[low:high][doc].astype(np.int64), pack(first - start, q - start, count)))
                 held += len(key)
                 if held >= FLUSH:
-                    yield from _flush(parts, buckets, earlier)
+                    yield from _flush(parts, buckets)
                     parts, held = [], 0
             release()
         if held:
-            yield from _flush(parts, buckets, earlier)
+            yield from _flush(parts, buckets)
 
     return docs.select("doc_id", "text").mapInArrow(of, BLOB)
 
@@ -269,10 +264,10 @@ def dealt(blobs: DataFrame) -> DataFrame:
     return blobs.repartitionById(parallelism(blobs.sparkSession), "bucket").sortWithinPartitions("bucket")
 
 
-def settle(blobs: DataFrame, earlier: bool) -> DataFrame:
+def settle(blobs: DataFrame) -> DataFrame:
     """Round 1: rows (doc_id, pk) of runs that are settled (status 1), or go on to single windows (2, or 3 for hot keys).
 
-    ``earlier``: a run counts if a smaller doc_id has its context, else if it occurs anywhere else.
+    A run is settled if its context occurs anywhere else.
     A status of ``OPEN | 4`` or ``HOT | 4`` marks a settled run that stands for its context in round 2.
     """
 
@@ -284,24 +279,18 @@ def settle(blobs: DataFrame, earlier: bool) -> DataFrame:
             if len(key):
                 order = np.lexsort((doc, ctx[:, 1], ctx[:, 0], key))
                 key, ctx, doc, pk = key[order], ctx[order], doc[order], pk[order]
-                index = np.arange(len(key))
                 new_key = np.ones(len(key), bool)
                 new_key[1:] = key[1:] != key[:-1]
                 new_ctx = new_key.copy()
                 new_ctx[1:] |= (ctx[1:] != ctx[:-1]).any(1)
-                head = np.maximum.accumulate(np.where(new_ctx, index, 0))
                 group = np.cumsum(new_key) - 1
                 contexts = np.bincount(group, new_ctx)[group]
                 salted = np.maximum.reduceat(pk & SALTED, np.flatnonzero(new_key))[group] > 0
                 several = (contexts > 1) | salted
-                if earlier:
-                    settled = doc[head] < doc
-                    goes_on = several & ~settled
-                else:
-                    size = np.bincount(np.cumsum(new_ctx) - 1)[np.cumsum(new_ctx) - 1]
-                    marked = np.maximum.reduceat((pk & SETTLED != 0).astype(np.int8), np.flatnonzero(new_ctx))[np.cumsum(new_ctx) - 1] > 0
-                    settled = (size > 1) | marked
-                    goes_on = several & new_ctx
+                context = np.cumsum(new_ctx) - 1
+                marked = np.maximum.reduceat(pk & SETTLED, np.flatnonzero(new_ctx))[context] > 0
+                settled = (np.bincount(context)[context] > 1) | marked
+                goes_on = several & new_ctx
                 status = np.where(goes_on, np.where((contexts > HOT_CONTEXTS) | salted, HOT, OPEN), 0) | np.where(settled, 4, 0)
                 keep = status > 0
                 out_doc.append(doc[keep])
@@ -315,10 +304,6 @@ def settle(blobs: DataFrame, earlier: bool) -> DataFrame:
     return dealt(blobs).mapInArrow(of, "doc_id long, pk long")
 
 
-def is_settled(pk: np.ndarray) -> np.ndarray:
-    return ((pk & 15) == SETTLED) | ((pk & 4) > 0)
-
-
 def listed(docs: DataFrame, marks: DataFrame) -> DataFrame:
     """``docs(doc_id, text)`` with the array ``marks`` of all pk of each document (null: none).
 

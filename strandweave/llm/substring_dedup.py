@@ -149,10 +149,10 @@ def _open_windows(window: int, buckets: int):
                 parts.append((np.maximum(digest[:, 0], R.U(1)), digest, ids[low:high][row[run]].astype(np.int64), R.pack(local, local, np.ones(len(local), np.int64))))
                 held += len(run)
                 if held >= R.FLUSH:
-                    yield from R._flush(parts, buckets, False)
+                    yield from R._flush(parts, buckets)
                     parts, held = [], 0
         if held:
-            yield from R._flush(parts, buckets, False)
+            yield from R._flush(parts, buckets)
 
     return of
 
@@ -166,10 +166,10 @@ def remove_repeated_passages(docs: DataFrame, window: int = 35) -> DataFrame:
         raise ValueError("window must be from 2 to 60")
     docs, named = numbered(docs)
     buckets = R.bucket_count(docs)
-    marks = written(R.settle(R.anchor_rows(docs, _chunk_runs(window), buckets, False), False), "passage-runs")
+    marks = written(R.settle(R.anchor_rows(docs, _chunk_runs(window), buckets)), "passage-runs")
     open_docs = R.listed(docs, marks.where("pk & 2 > 0"))
     blobs = open_docs.where("marks is not null").mapInArrow(_open_windows(window, buckets), R.BLOB)
-    found = R.settle(blobs, False)
+    found = R.settle(blobs)
     done = R.listed(docs, marks.where("pk & 15 <> 2 and pk & 15 <> 3").unionAll(found.where("pk & 15 = 1 or pk & 4 > 0")))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
