@@ -31,14 +31,14 @@ from .common import documents, numbered, written
 #: Length of the hashed grams that anchor the windows.
 GRAM = 20
 #: Suffixes sorted at once.
-SLICE = 400_000
+SLICE = 200_000
 _TABLE = R.mix(np.arange(1, 257, dtype=np.uint64) * R.U(0x9E3779B97F4A7C15))
 _STEP = R.U(0x9FB21C651E98DF25)
 
 
-def words_at(data: np.ndarray, order: str = "<") -> np.ndarray:
-    """The eight bytes from each place on as a number; ``>`` makes numbers in the order of the bytes."""
-    return np.ndarray(max(len(data) - 7, 0), f"{order}u8", np.ascontiguousarray(data), strides=(1,)).astype(np.uint64)
+def words_at(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as a number."""
+    return np.ndarray(max(len(data) - 7, 0), "<u8", np.ascontiguousarray(data), strides=(1,)).astype(np.uint64)
 
 
 def window_names(data: np.ndarray, length: int) -> np.ndarray:
@@ -127,15 +127,14 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def suffix_order(data: np.ndarray, start: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Order of the suffixes at ``start``, cut to ``depth``; and the length of each one's common prefix with the one before."""
-    eight = words_at(np.concatenate([data, np.zeros(8, np.uint8)]), ">")
-    offsets = sorted({*range(0, depth - 7, 8), depth - 8}) if depth >= 8 else [0]
-    words = [eight[start + o] for o in offsets]
-    if depth < 8:
-        words = [words[0] >> np.uint64(64 - 8 * depth) << np.uint64(64 - 8 * depth)]
+    cut = np.zeros((len(start), -(-depth // 8) * 8), np.uint8)
+    cut[:, :depth] = data[start[:, None] + np.arange(depth)]
+    # Numbers in the order of eight bytes each; the zeros at the end are alike in all of them.
+    words = list(cut.view(">u8").astype(np.uint64).T)
     order = np.lexsort(words[::-1])
     common = np.full(len(order), depth)
     common[:1] = 0
-    for o, w in zip(reversed(offsets), reversed(words), strict=True):
+    for o, w in zip(range(8 * len(words) - 8, -1, -8), reversed(words), strict=True):
         w = w[order]
         changed = np.zeros(len(order), np.uint64)
         changed[1:] = w[1:] ^ w[:-1]
@@ -247,11 +246,14 @@ def _factors(min_bytes: int):
             doc, pk = doc[~known], pk[~known]
             first, _, count, _ = R.unpack(pk)
             base = np.cumsum(count + min_bytes - 1) - (count + min_bytes - 1)
-            run = np.repeat(np.arange(len(pk)), count)
-            step = np.arange(len(run)) - np.repeat(np.cumsum(count) - count, count)
+            run = np.repeat(np.arange(len(pk), dtype=np.int32), count)
+            step = (np.arange(len(run)) - np.repeat(np.cumsum(count) - count, count)).astype(np.int32)
             start = base[run] + step
             found = np.zeros(len(run), bool)
-            names = window_names(data, min_bytes)[start]
+            names = np.empty(len(start), np.uint64)
+            for low in range(0, len(start), SLICE):  # names of a stretch of bytes at a time: they are eight times as long
+                part = start[low : low + SLICE]
+                names[low : low + SLICE] = window_names(data[part[0] : part[-1] + min_bytes], min_bytes)[part - part[0]]
             # A window whose name no other has has no factor of its length; equal windows are in one slice.
             order = np.argsort(names, kind="stable")
             same = names[order][1:] == names[order][:-1]
@@ -284,7 +286,8 @@ def find_repeated_bytes(docs: DataFrame, min_bytes: int = 50) -> DataFrame:
     buckets = R.bucket_count(docs)
     marks = written(R.dealt(_anchored(docs, min_bytes, buckets)).mapInArrow(_shared, "doc_id long, pk long"), "suffix-runs")
     open_docs = R.listed(docs, marks)
-    blobs = open_docs.where("marks is not null").mapInArrow(_contexts(min_bytes, buckets), "bucket int, bytes binary, doc binary, pk binary")
+    # Twice as many buckets: the bytes of their runs are some four times the texts.
+    blobs = open_docs.where("marks is not null").mapInArrow(_contexts(min_bytes, 2 * buckets), "bucket int, bytes binary, doc binary, pk binary")
     found = R.dealt(blobs).mapInArrow(_factors(min_bytes), "doc_id long, pk long")
     done = R.listed(docs, found)
 
