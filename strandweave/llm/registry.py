@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, jaccard_join, mixing, quality_classifier, quality_rules, secret_scan, sharding, substring_dedup, suffix_dedup, token_counts
+from . import decontaminate, jaccard_join, mixing, periodic_runs, quality_classifier, quality_rules, secret_scan, sharding, substring_dedup, suffix_dedup, token_counts
 
 QUERIES = {
     "op1_sharding": sharding.op1_sharding,
@@ -15,5 +15,6 @@ QUERIES = {
     "op8_ngram_jaccard_join": jaccard_join.op8_ngram_jaccard_join,
     "op9_mixing": mixing.op9_mixing,
     "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
+    "op13_periodic_runs": periodic_runs.op13_periodic_runs,
 }
 SQL: dict[str, str] = {"op1_sharding": sharding.SQL, "op9_mixing": mixing.SQL}
