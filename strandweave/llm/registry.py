@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import conversation_trie, decontaminate, jaccard_join, mixing, periodic_runs, quality_classifier, quality_rules, secret_scan, sharding, substring_dedup, suffix_dedup, token_counts
+from . import conversation_trie, decontaminate, jaccard_join, lm_scoring, mixing, periodic_runs, quality_classifier, quality_rules, secret_scan, sharding, substring_dedup, suffix_dedup, token_counts
 
 QUERIES = {
     "op1_sharding": sharding.op1_sharding,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_ngram_jaccard_join": jaccard_join.op8_ngram_jaccard_join,
     "op9_mixing": mixing.op9_mixing,
     "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
+    "op11_lm_scoring": lm_scoring.op11_lm_scoring,
     "op12_conversation_trie": conversation_trie.op12_conversation_trie,
     "op13_periodic_runs": periodic_runs.op13_periodic_runs,
 }
