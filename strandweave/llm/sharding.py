@@ -1,30 +1,37 @@
 """Shards of a growing corpus, compacted by size tiers.
 
-A store is a folder of immutable data and of versions. Data lie in ``data/store_batch=b.../store_shard=n``, one file a
-shard, written by one append or one compaction. A version lists the live shards with their batch, rows and bytes; it is
-committed by an atomic rename as the next version of the one that its writer read, so that readers see one version or the
-other, and of two writers who started from the same version one fails (``Conflict``) and nothing is lost. Readers take
-one scan of the data folder, pruned by a join with the version's list, however many appends there were. ``vacuum``
-removes what the newest version doesn't list.
+A store is a folder of immutable data and of versions. An append writes its rows as files of the size that its tasks make,
+in ``data/store_batch=b.../store_file=arrivals``, each arrival (a shard) in one file, with the shard's number in each row.
+A compaction writes a file for each run, in ``data/store_batch=b.../store_file=n``. A version lists the live shards with
+their batch, rows and bytes, and has the columns of the store; it is committed by an atomic rename as the next version of
+the one that its writer read, so that readers see one version or the other, and of two writers who started from the same
+version one fails (``Conflict``) and nothing is lost. Readers scan the batches that the version lists, pruned by a join
+with its shards. ``vacuum`` removes what the newest version doesn't list.
+
+The columns of a store are those of all its appends: a new one is added at the end (older rows have nulls), an absent one
+is null, and one that has another type than before is refused with ``ValueError`` before anything is written.
 
 Arrivals are small shards of ``ARRIVAL_ROWS`` neighbouring doc_ids each. A shard's tier grows by one with each factor of
 ``fan_in`` in size from ``smallest`` on. Compaction is planned on the table of shard sizes alone: in each round, runs of
 one tier below the target, in the order of their first shard, are merged ``fan_in`` at a time (fewer in the upper tiers,
 so that no merged run passes twice the target), and rounds go on until none merges. ``compact`` rewrites the runs that
-merged, a file each, and leaves the others where they lie.
+merged, a file each, with the few others that shared a file of arrivals with them, and leaves the rest where they lie.
 
 Null texts have no bytes. Rows without a doc_id are dealt to the shards -1 to -4096 by their texts. Repeated rows are
 kept. An empty table gives an empty result (no version is committed). Extra columns are kept as they are; those named like
-the store's own (``store_batch``, ``store_shard``, ``shard``, ``shard_rows``, ``shard_bytes``, ``tier``) are replaced.
+the store's own (``store_batch``, ``store_file``, ``store_shard``, ``shard``, ``shard_rows``, ``shard_bytes``, ``tier``, in upper
+or lower case) are replaced. A text lies in one row of one file, however long.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from .common import documents, parallelism, scratch_dir, without_shuffle_files, written
 from .store import children, commit, newest, remove, stage, version_path
@@ -34,8 +41,13 @@ ARRIVAL_ROWS, FAN_IN, SMALLEST, TARGET = 200, 4, 1 << 20, 32 << 20
 MAX_BROADCAST_SHARDS = 200_000
 #: Neighbouring shards that are numbered in one task while compaction is planned.
 SECTION = 4096
-OWN = ("store_batch", "store_shard", "shard", "shard_rows", "shard_bytes", "tier")
-VERSION = "store_batch string, shard long, rows long, bytes long"
+#: The file name of shards that came together.
+ARRIVALS = "arrivals"
+#: Shards (about 40 bytes each) in one file of a version's list.
+LISTED = 1_000_000
+OWN = ("store_batch", "store_file", "store_shard", "shard", "shard_rows", "shard_bytes", "tier")
+VERSION = "store_batch string, store_file string, shard long, rows long, bytes long"
+LIST = ("store_batch", "store_file", "shard", "rows", "bytes")
 
 
 def arrival_of(rows: int = ARRIVAL_ROWS) -> Column:
@@ -70,13 +82,13 @@ def _numbered(runs: DataFrame) -> DataFrame:
 def plan_compaction(shards: DataFrame, fan_in: int = FAN_IN, smallest: int = SMALLEST, target: int = TARGET) -> DataFrame:
     """(old, shard, shard_rows, shard_bytes, tier) from ``shards(shard, rows, bytes)``: the run that each shard ends in.
 
-    A run is named by its first shard. The table of runs shrinks with each round and is written in between.
+    A run is named by its first shard; shards with one number are one run. The table of runs shrinks with each round and is written in between.
     """
     bounds, fans = tier_bounds(fan_in, smallest, target), fan_ins(fan_in, smallest, target)
     tier = sum(((F.col("bytes") >= b).cast("int") for b in bounds), F.lit(0))
     fan = F.element_at(F.array(*map(F.lit, fans)), F.col("tier") + 1)
-    at = written(shards.select(F.col("shard").alias("old"), "shard"), "shards")
-    runs = written(shards.select("shard", "rows", "bytes"), "runs")
+    runs = written(shards.groupBy("shard").agg(F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes")), "runs")
+    at = written(runs.select(F.col("shard").alias("old"), "shard"), "shards")
     while True:
         small = _numbered(runs.where(F.col("bytes") < target).withColumn("tier", tier)).withColumn("part", F.floor(F.col("n") / fan))
         whole = small.groupBy("tier", "part").agg(F.min("shard").alias("name"), F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes"), F.count("*").alias("many")).where(F.col("many") == fan)
@@ -90,23 +102,63 @@ def plan_compaction(shards: DataFrame, fan_in: int = FAN_IN, smallest: int = SMA
 
 
 def current(spark: SparkSession, store: str) -> tuple[int, DataFrame]:
-    """The newest version, 0 if there is none, and its live shards (store_batch, shard, rows, bytes)."""
+    """The newest version, 0 if there is none, and its live shards (store_batch, store_file, shard, rows, bytes)."""
     version = newest(spark, f"{store}/versions")
-    return version, spark.read.schema(VERSION).parquet(version_path(f"{store}/versions", version)) if version else spark.createDataFrame([], VERSION)
+    return version, spark.read.schema(VERSION).parquet(f"{version_path(f'{store}/versions', version)}/shards") if version else spark.createDataFrame([], VERSION)
+
+
+def columns_of(spark: SparkSession, store: str, version: int) -> StructType:
+    """The documents' columns in a version."""
+    return StructType.fromJson(json.loads(spark.read.text(f"{version_path(f'{store}/versions', version)}/columns").first()[0])) if version else StructType([])
+
+
+def merged_columns(before: StructType, now: StructType) -> StructType:
+    """The columns before and the new ones after them; raises ``ValueError`` if one has another type than before."""
+    known, out = {f.name.lower(): f for f in before}, list(before)
+    for field in now:
+        old, own = known.get(field.name.lower()), StructField(field.name, _nullable(field.dataType))
+        if old is None:
+            out.append(own)
+        elif old.dataType != own.dataType:
+            raise ValueError(f"column {field.name} is {own.dataType.simpleString()}, in the store it is {old.dataType.simpleString()}")
+    return StructType(out)
+
+
+def _nullable(kind):
+    """A type whose parts may all be null, as files give it back."""
+    text = StructType([StructField("x", kind)]).json()
+    for part in ("nullable", "containsNull", "valueContainsNull"):
+        text = text.replace(f'"{part}":false', f'"{part}":true')
+    return StructType.fromJson(json.loads(text))["x"].dataType
+
 
+def _commit(spark: SparkSession, store: str, rows: DataFrame, columns: StructType, base: int) -> int:
+    staged = f"{store}/staged/{uuid.uuid4().hex}"
+    stage(rows.select(*LIST), f"{staged}/shards", 1 + rows.count() // LISTED)
+    spark.createDataFrame([(columns.json(),)], "columns string").coalesce(1).write.text(f"{staged}/columns")
+    return commit(spark, staged, f"{store}/versions", base)
 
-def _commit(spark: SparkSession, store: str, rows: DataFrame, base: int) -> int:
-    return commit(spark, stage(rows.select("store_batch", "shard", "rows", "bytes"), f"{store}/staged/{uuid.uuid4().hex}"), f"{store}/versions", base)
 
+def _write(rows: DataFrame, store: str, run_files: bool) -> DataFrame:
+    """Write rows with their ``store_shard`` as one new batch; returns its shards (store_batch, store_file, shard, rows, bytes).
 
-def _write(rows: DataFrame, store: str, shard: Column) -> DataFrame:
-    """Write rows as one new batch, a file for each shard; returns its shards (store_batch, shard, rows, bytes)."""
+    ``run_files``: a file for each shard, else each task writes one file of the shards that were dealt to it.
+    """
     spark, batch = rows.sparkSession, f"b{uuid.uuid4().hex}"
-    rows = rows.withColumn("store_shard", shard).repartition(parallelism(spark), "store_shard").sortWithinPartitions("store_shard")
+    columns = [c for c in rows.columns if c != "store_shard"]
+    file = F.col("store_shard").cast("string") if run_files else F.lit(ARRIVALS)
+    dealt = rows.repartition(parallelism(spark), "store_shard").select(*(F.col(f"`{c}`") for c in columns), "store_shard", file.alias("store_file")).sortWithinPartitions("store_file", "store_shard")
     with without_shuffle_files(spark):
-        rows.write.option("compression", "zstd").partitionBy("store_shard").parquet(f"{store}/data/store_batch={batch}")
-    found = spark.read.option("basePath", f"{store}/data").parquet(f"{store}/data/store_batch={batch}")
-    return written(found.groupBy(F.col("store_shard").cast("long").alias("shard")).agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).cast("long").alias("bytes")).select(F.lit(batch).alias("store_batch"), "shard", "rows", "bytes"), "new-shards")
+        dealt.write.option("compression", "zstd").partitionBy("store_file").parquet(f"{store}/data/store_batch={batch}")
+    found = _files(spark, store, [batch], StructType([f for f in rows.schema if f.name.lower() == "text"]))
+    size = F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).cast("long")
+    return written(found.groupBy("store_batch", "store_file", F.col("store_shard").alias("shard")).agg(F.count("*").alias("rows"), size.alias("bytes")), "new-shards")
+
+
+def _files(spark: SparkSession, store: str, batches: list[str], columns: StructType) -> DataFrame:
+    """The rows of some batches, dead ones too, with store_shard, store_batch and store_file."""
+    schema = StructType([*columns, StructField("store_shard", LongType()), StructField("store_batch", StringType()), StructField("store_file", StringType())])
+    return spark.read.schema(schema).option("basePath", f"{store}/data").parquet(*(f"{store}/data/store_batch={b}" for b in batches))
 
 
 def append(docs: DataFrame, store: str, rows: int = ARRIVAL_ROWS) -> int:
@@ -117,9 +169,12 @@ def append(docs: DataFrame, store: str, rows: int = ARRIVAL_ROWS) -> int:
     """
     spark = docs.sparkSession
     base, live = current(spark, store)
+    docs = docs.drop(*OWN)
+    columns = merged_columns(columns_of(spark, store, base), docs.schema)
     if docs.isEmpty():
         return base
-    return _commit(spark, store, live.unionByName(_write(docs.drop(*OWN), store, arrival_of(rows))), base)
+    new = _write(docs.withColumn("store_shard", arrival_of(rows)), store, run_files=False)
+    return _commit(spark, store, live.unionByName(new), columns, base)
 
 
 def _small(table: DataFrame) -> DataFrame:
@@ -127,42 +182,66 @@ def _small(table: DataFrame) -> DataFrame:
     return F.broadcast(table) if table.limit(MAX_BROADCAST_SHARDS + 1).count() <= MAX_BROADCAST_SHARDS else table
 
 
+def _live(spark: SparkSession, store: str, version: int, live: DataFrame) -> DataFrame:
+    """The documents of the ``live`` shards of a version, with ``store_shard``."""
+    columns = columns_of(spark, store, version)
+    batches = sorted(r[0] for r in live.select("store_batch").distinct().collect())  # one for each append or compaction
+    if not batches:
+        return spark.createDataFrame([], StructType([*columns, StructField("store_shard", LongType())]))
+    rows = _files(spark, store, batches, columns)
+    keys = _small(live.select("store_batch", F.col("shard").alias("store_shard")))
+    return rows.join(keys, ["store_batch", "store_shard"], "left_semi").select(*(F.col(f"`{c}`") for c in columns.names), "store_shard")
+
+
 def read(spark: SparkSession, store: str) -> DataFrame:
     """The documents of the newest version, with their ``shard``."""
     version, live = current(spark, store)
     if not version:
         raise ValueError(f"{store} has no version")
-    rows = spark.read.parquet(f"{store}/data").withColumn("store_shard", F.col("store_shard").cast("long"))
-    live = _small(live.select("store_batch", F.col("shard").alias("store_shard")))
-    columns = [F.col(f"`{c}`") for c in rows.columns if c not in ("store_batch", "store_shard")]
-    return rows.join(live, ["store_batch", "store_shard"], "left_semi").select(*columns, F.col("store_shard").alias("shard"))
+    return _live(spark, store, version, live).withColumnRenamed("store_shard", "shard")
 
 
 def compact(spark: SparkSession, store: str, plan: DataFrame, base: int) -> int:
-    """Rewrite the runs of ``plan(old, shard)`` that merge several shards and commit the version after ``base``."""
+    """Rewrite the runs of ``plan(old, shard)`` that merge several shards and commit the version after ``base``.
+
+    Shards that lie in a file of arrivals with merging ones get files of their own, so that ``vacuum`` can remove that file.
+    """
     version, live = current(spark, store)
     if version != base:
         raise ValueError(f"the plan is for version {base}, the store is at {version}")
-    merging = plan.withColumn("parts", F.count("*").over(W.partitionBy("shard"))).where("parts > 1").select(F.col("old").alias("__old"), F.col("shard").alias("__run"))
-    now = read(spark, store)
-    moved = now.join(_small(merging), now["shard"] == merging["__old"]).drop("shard", "__old")
-    new = _write(moved, store, F.col("__run")) if not merging.isEmpty() else live.limit(0)
-    stay = live.join(merging.select(F.col("__old").alias("shard")), "shard", "left_anti")
-    return _commit(spark, store, stay.select("store_batch", "shard", "rows", "bytes").unionByName(new), base)
+    runs = plan.select(F.col("old").alias("shard"), F.col("shard").alias("run"))
+    many = runs.groupBy("run").agg((F.count("*") > 1).alias("merges"))
+    moves = live.join(runs.join(many, "run"), "shard", "left").select(*LIST, F.coalesce("run", "shard").alias("run"), F.coalesce("merges", F.lit(False)).alias("merges"))
+    # A number that was appended twice is one shard in the plan, in two batches.
+    twice = live.groupBy("shard").agg((F.count("*") > 1).alias("twice"))
+    moves = moves.join(twice, "shard").withColumn("merges", F.col("merges") | F.col("twice"))
+    touched = moves.where("merges").select("store_batch", "store_file").distinct().withColumn("touched", F.lit(True))
+    moves = written(moves.join(touched, ["store_batch", "store_file"], "left").withColumn("touched", F.coalesce("touched", F.lit(False))), "moves")
+    moving = moves.where("touched")
+    if moving.isEmpty():
+        return base
+    columns = columns_of(spark, store, base)
+    rows = _live(spark, store, base, moving)
+    of_run = _small(moving.select(F.col("shard").alias("store_shard"), F.col("run").alias("shard")).distinct())
+    rows = rows.join(of_run, "store_shard").select(*(F.col(f"`{c}`") for c in columns.names), F.col("shard").alias("store_shard"))
+    new = _write(rows, store, run_files=True)
+    return _commit(spark, store, moves.where("not touched").select(*LIST).unionByName(new), columns, base)
 
 
 def vacuum(spark: SparkSession, store: str) -> None:
-    """Remove data that the newest version doesn't list, and older versions. Not for a store that others write to now."""
+    """Remove files that the newest version doesn't list, and older versions. Not while others write to the store."""
     version, live = current(spark, store)
-    kept: dict[str, int] = {r["store_batch"]: r["n"] for r in live.groupBy("store_batch").agg(F.count("*").alias("n")).collect()}
+    kept = {r["store_batch"]: r["n"] for r in live.select("store_batch", "store_file").distinct().groupBy("store_batch").agg(F.count("*").alias("n")).collect()}
     for folder in children(spark, f"{store}/data"):
         path, batch = f"{store}/data/{folder}", folder.partition("=")[2]
         if batch not in kept:
             remove(spark, path)
-        elif kept[batch] < len([x for x in children(spark, path) if x.startswith("store_shard=")]):
-            mine = {f"store_shard={r['shard']}" for r in live.where(F.col("store_batch") == batch).select("shard").toLocalIterator()}
-            for dead in children(spark, path):
-                if dead.startswith("store_shard=") and dead not in mine:
+            continue
+        files = [x for x in children(spark, path) if x.startswith("store_file=")]
+        if kept[batch] < len(files):
+            mine = {f"store_file={r[0]}" for r in live.where(F.col("store_batch") == batch).select("store_file").distinct().toLocalIterator()}
+            for dead in files:
+                if dead not in mine:
                     remove(spark, f"{path}/{dead}")
     for old in children(spark, f"{store}/versions"):
         if old != version_path("", version)[1:]:

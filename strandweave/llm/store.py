@@ -2,7 +2,9 @@
 
 A version is a folder ``v00000001``, ``v00000002``, ...; it is staged elsewhere and renamed into place by Hadoop's
 ``FileContext``, which fails if the name is taken. A writer passes the version that it started from and commits exactly
-the next one, so that of two writers who started from the same version one fails and nothing is lost.
+the next one, so that of two writers who started from the same version one fails and nothing is lost. Old versions may be
+removed, but never the newest: a late writer whose name was free again sees a later version after its rename, takes its
+own back and fails too. Readers take the newest version, so that they never see such a one.
 """
 
 from __future__ import annotations
@@ -55,10 +57,13 @@ def commit(spark: SparkSession, staged: str, folder: str, base: int) -> int:
         if fs.exists(target):
             raise Conflict(f"{target} was committed by another writer") from error
         raise
+    if newest(spark, folder) > base + 1:
+        fs.delete(target, True)
+        raise Conflict(f"{target} was committed by another writer, and later ones after it")
     return base + 1
 
 
-def stage(rows: DataFrame, path: str) -> str:
-    """Write a small table as one file."""
-    rows.coalesce(1).write.parquet(path)
+def stage(rows: DataFrame, path: str, files: int = 1) -> str:
+    """Write a table as a few files."""
+    (rows.coalesce(1) if files == 1 else rows.repartition(files)).write.parquet(path)
     return path

@@ -560,6 +560,40 @@ def test_token_ledger_keeps_batches_that_were_committed_in_between(spark, docs,
     assert store.newest(spark, f"{ledger}/versions") == 2
 
 
+@pytest.mark.parametrize("others", [3, 5])
+def test_token_ledger_keeps_a_batch_whose_version_name_was_freed(spark, docs, monkeypatch, others):
+    counts = token_counts.count_tokens(docs, {}).cache()
+    ledger = scratch_dir(spark, "ledger")
+    token_counts.commit_batch(spark, ledger, "first", token_counts.inserted(counts))
+    usual, done = token_counts.commit, []
+
+    def interrupted(spark_, staged, folder, base):
+        if not done:
+            done.append(1)
+            for k in range(others):
+                assert token_counts.commit_batch(spark_, ledger, f"other {k}", token_counts.inserted(counts))
+        return usual(spark_, staged, folder, base)
+
+    monkeypatch.setattr(token_counts, "commit", interrupted)
+    assert token_counts.commit_batch(spark, ledger, "late", token_counts.inserted(counts))
+    assert token_counts.totals(spark, ledger).agg(F.sum("n_docs")).first()[0] == (others + 2) * len(TEXTS)
+    assert not token_counts.commit_batch(spark, ledger, "late", token_counts.inserted(counts))
+    assert not token_counts.commit_batch(spark, ledger, "first", token_counts.inserted(counts))
+
+
+def test_token_ledger_merges_its_files_of_ids(spark, monkeypatch):
+    monkeypatch.setattr(token_counts, "MERGED", 3)
+    ledger = scratch_dir(spark, "ledger")
+    deltas = spark.createDataFrame([("s", "en", "words-1", 1, 5)], "source string, lang string, tokenizer string, docs long, tokens long")
+    for k in range(10):
+        assert token_counts.commit_batch(spark, ledger, f"batch {k}", deltas)
+    for k in range(10):
+        assert not token_counts.commit_batch(spark, ledger, f"batch {k}", deltas)
+    files = token_counts._id_files(token_counts._state(spark, ledger)[1])
+    assert sum(n for _, n in files) == 10 and len(files) <= 4
+    assert tuple(token_counts.totals(spark, ledger).first())[3:] == (10, 50)
+
+
 def test_token_ledger_is_idempotent_and_signed(spark, docs):
     counts = token_counts.count_tokens(docs, {}).cache()
     assert {r.doc_id: r.n_tokens for r in counts.collect()} == {d: len(WORD.findall(x or "")) for d, x in TEXTS.items()}
@@ -676,8 +710,8 @@ def test_store_appends_compacts_and_vacuums_by_version(spark, docs):
     before = {r.shard for r in sharding.read(spark, folder).collect()}
     ids = lambda: sorted(r.doc_id for r in sharding.read(spark, folder).collect())
     assert ids() == sorted(TEXTS)
-    files = {f"{b}/{x}" for b in store.children(spark, f"{folder}/data") for x in store.children(spark, f"{folder}/data/{b}") if "=" in x}
-    assert len(files) == len(before)  # an arrival is a shard, and a shard a folder of its own
+    files = lambda: {f"{b}/{x}" for b in store.children(spark, f"{folder}/data") for x in store.children(spark, f"{folder}/data/{b}") if "=" in x}
+    assert len(files()) == 2 and len(before) > 4  # the shards of an append lie in files of the size that tasks make
     plan = sharding.plan_compaction(sharding.current(spark, folder)[1], 2, 100, 2000).cache()
     with pytest.raises(ValueError, match="the plan is for version 1"):
         sharding.compact(spark, folder, plan, 1)
@@ -688,8 +722,63 @@ def test_store_appends_compacts_and_vacuums_by_version(spark, docs):
     assert store.children(spark, f"{folder}/versions") == ["v00000001", "v00000002", "v00000003"]
     sharding.vacuum(spark, folder)
     assert ids() == sorted(TEXTS) and store.children(spark, f"{folder}/versions") == ["v00000003"]
-    live = [x for b in store.children(spark, f"{folder}/data") for x in store.children(spark, f"{folder}/data/{b}") if "=" in x]
-    assert len(live) == sharding.current(spark, folder)[1].count() == len(after)
+    assert len(files()) == sharding.current(spark, folder)[1].count() == len(after)  # a run has a file of its own
+
+
+def whole_rows(frame):
+    return sorted((repr(sorted(r.asDict().items(), key=str)) for r in frame.collect()))
+
+
+def test_a_store_is_compacted_again_and_again(spark, docs):
+    folder = scratch_dir(spark, "store")
+    plan = lambda: sharding.plan_compaction(sharding.current(spark, folder)[1], 2, 100, 2000)
+    clashing = docs.withColumn("__run", F.col("doc_id")).withColumn("__old", F.lit("kept")).withColumn("run", F.lit(1)).withColumn("old", F.lit(2)).withColumn("touched", F.lit(3)).withColumn("rows", F.lit(4))
+    parts = [clashing.where("doc_id < 8"), clashing.where("doc_id between 8 and 21"), clashing.where("doc_id > 21"), clashing.where("doc_id in (30, 31)")]
+    for k, part in enumerate(parts):
+        version = sharding.append(part, folder, 4)
+        if k < 3:
+            sharding.compact(spark, folder, plan(), version)
+        if k == 1:
+            sharding.vacuum(spark, folder)
+    for _ in range(2):
+        version = sharding.compact(spark, folder, plan(), sharding.current(spark, folder)[0])
+        found = sharding.read(spark, folder)
+        assert found.columns == [*(c for c in clashing.columns if c not in sharding.OWN), "shard"]
+        assert whole_rows(found.drop("shard")) == whole_rows(clashing.drop(*sharding.OWN).unionAll(parts[3].drop(*sharding.OWN)))
+        sharding.vacuum(spark, folder)
+    live = sharding.current(spark, folder)[1].collect()
+    assert len({r.shard for r in live}) == len(live)  # shards that were appended twice are one by now
+    sizes = Counter(r.shard for r in found.collect())
+    assert {r.shard: r.rows for r in live} == sizes
+
+
+def test_columns_of_a_store_may_be_added_but_not_retyped(spark):
+    folder = scratch_dir(spark, "store")
+    sharding.append(spark.createDataFrame([(1, "a", 3)], "doc_id long, text string, n_chars long"), folder, 4)
+    sharding.append(spark.createDataFrame([(2, "b", [1, None], "x")], "doc_id long, text string, marks array<int>, Site string"), folder, 4)
+    with pytest.raises(ValueError, match="column n_chars is string, in the store it is bigint"):
+        sharding.append(spark.createDataFrame([(3, "c", "4")], "doc_id long, text string, n_chars string"), folder, 4)
+    want = [(1, "a", 3, None, None), (2, "b", None, [1, None], "x")]
+    found = sharding.read(spark, folder).drop("shard")
+    assert found.columns == ["doc_id", "text", "n_chars", "marks", "Site"] and sorted(map(tuple, found.collect())) == want
+    version, live = sharding.current(spark, folder)
+    sharding.compact(spark, folder, live.select(F.col("shard").alias("old"), F.lit(0).cast("long").alias("shard")), version)
+    sharding.vacuum(spark, folder)
+    sharding.append(spark.createDataFrame([(4, "d", 5, None)], "doc_id long, text string, n_chars long, site string"), folder, 4)
+    assert sorted(map(tuple, sharding.read(spark, folder).drop("shard").collect())) == [*want, (4, "d", 5, None, None)]
+
+
+def test_a_version_name_that_was_freed_is_not_taken(spark):
+    folder = scratch_dir(spark, "versions")
+    rows = spark.range(1)
+    for base in range(4):
+        assert store.commit(spark, store.stage(rows, scratch_dir(spark, "staged")), folder, base) == base + 1
+    for old in (1, 2, 3):
+        store.remove(spark, store.version_path(folder, old))
+    for late in (1, 2):
+        with pytest.raises(store.Conflict):
+            store.commit(spark, store.stage(rows, scratch_dir(spark, "staged")), folder, late)
+    assert store.children(spark, folder) == ["v00000004"]
 
 
 def test_of_two_writers_one_fails_and_no_row_is_lost(spark, docs, monkeypatch):
