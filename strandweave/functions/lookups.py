@@ -55,6 +55,16 @@ TE_DEFAULT = "Unknown"
 HYPOTHETICAL = ("hypothetical", "uncharacterized", "predicted")
 TE_LIKE = ("transposase", "transposable", "transposon", "retrotransposon", "LINE", "SINE", "Copia", "Gypsy", "Mariner")
 TRANSPOSASE_LIKE = ("transposase", "transposable", "transposon", "retrotransposon")
+#: Steps of the standard annotation cascade: class, search, least identity and coverage in percent (to be passed), whether
+#: hypothetical-like descriptions count, whether only those like transposable elements do. Step 5 has the results of step 2.
+ANNOTATION_STEPS = (
+    ("known_function", "known", 80, 80, False, False),
+    ("putative_function", "putative", 45, 50, False, False),
+    ("domain_containing_protein", "domains", None, None, True, False),
+    ("expressed_sequence", "expressed", 45, 50, True, False),
+    ("conserved_unknown_function", "putative", 45, 50, True, False),
+    ("Warning - Possible Transposable Element", "transposable", 35, 40, True, True),
+)
 TYPE_NAMES = {"transcript": "mRNA", "CDS": "polypeptide"}
 #: Score of a gene model: bonuses and penalties.
 HIT_OVER_100, QUERY_OVER_100, ALL_VALID, CURATED, QUERY_BELOW_70, PARTIAL, WRONG_SPLICE = 100, 100, 200, 50, 100, 50, 50

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strandweave.functions.lookups import ANNOTATION_STEPS
 from strandweave.functions.text import is_hypothetical, is_te_like
 
 from .intervals import cumulative_offset
@@ -22,13 +23,16 @@ class Step:
 
     name: str
     hits: DataFrame
-    coverage: float
-    identity: float
+    coverage: float | None = None
+    identity: float | None = None
     hypothetical: bool = True
     te_only: bool = False
 
     def passing(self) -> DataFrame:
-        rows = self.hits.where((F.col("coverage") > self.coverage) & (F.col("identity") > self.identity))
+        rows = self.hits
+        for column, bound in (("coverage", self.coverage), ("identity", self.identity)):
+            if bound is not None:
+                rows = rows.where(F.col(column) > bound)
         if not self.hypothetical:
             rows = rows.where(~is_hypothetical(F.col("description")))
         return rows.where(is_te_like(F.col("description"))) if self.te_only else rows
@@ -42,6 +46,20 @@ def annotation_cascade(proteins: DataFrame, steps: Sequence[Step]) -> DataFrame:
     return joined.select("protein_id", F.coalesce("first.class", F.lit(HYPOTHETICAL_PROTEIN)).alias("class"), F.col("first.description").alias("description"))
 
 
+def standard_steps(searches: Mapping[str, DataFrame]) -> list[Step]:
+    """The steps of the standard cascade for the searches that were done.
+
+    ``searches``: hits (protein_id, description, coverage, identity), one a protein, by search: ``known`` and ``putative``
+    (protein banks), ``expressed`` (transcripts), ``transposable``, and ``domains``, whose hits need no coverage or identity.
+    """
+    return [Step(name, searches[search], coverage, identity, hypothetical, te_only) for name, search, identity, coverage, hypothetical, te_only in ANNOTATION_STEPS if search in searches]
+
+
+def standard_cascade(proteins: DataFrame, searches: Mapping[str, DataFrame]) -> DataFrame:
+    """``annotation_cascade`` with the standard steps and bounds."""
+    return annotation_cascade(proteins, standard_steps(searches))
+
+
 def orf_annotation(proteins: DataFrame, hits: DataFrame, identity: float = 40, coverage: float = 5) -> DataFrame:
     """(protein_id, note): the hit's description if it passes, else a note that nothing is known."""
     good = hits.where((F.col("identity") > identity) & (F.col("coverage") > coverage)).select("protein_id", "description")

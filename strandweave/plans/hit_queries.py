@@ -195,8 +195,8 @@ def i5(t):
 
 
 #: The description of the strongest alignment of a query and step stands for a step's search result.
-_STEP_HITS = f"""w AS (SELECT query_id, strand, hit_description, align_len, hit_len, n_identical, bit_score % 3 AS s, row_number() OVER (PARTITION BY query_id, bit_score % 3 ORDER BY bit_score DESC, q_start, hit_description, h_start, strand, align_len, n_identical) AS k FROM fx_hsps),
-best AS (SELECT query_id, s, CASE WHEN align_len % 4 = 0 THEN concat('predicted ', hit_description) WHEN align_len % 4 = 1 THEN concat('Gypsy ', hit_description) ELSE hit_description END AS d, 400 * align_len / hit_len AS cov, 100 * n_identical / align_len AS ident FROM w WHERE k = 1)"""
+_STEP_HITS = f"""w AS (SELECT query_id, strand, hit_description, align_len, hit_len, n_identical, bit_score, bit_score % 3 AS s, row_number() OVER (PARTITION BY query_id, bit_score % 3 ORDER BY bit_score DESC, q_start, hit_description, h_start, strand, align_len, n_identical) AS k FROM fx_hsps),
+best AS (SELECT query_id, s, CASE WHEN align_len % 4 = 0 THEN concat('predicted ', hit_description) WHEN align_len % 4 = 1 THEN concat('Gypsy ', hit_description) ELSE hit_description END AS d, least(100, 600 * align_len / hit_len) AS cov, 100 * n_identical / align_len - bit_score % 50 AS ident FROM w WHERE k = 1)"""
 
 
 def step_hits(t):
@@ -205,51 +205,43 @@ def step_hits(t):
     order = W.partitionBy("query_id", "s").orderBy(F.desc("bit_score"), "q_start", "hit_description", "h_start", "strand", "align_len", "n_identical")
     rows = t.fx_hsps.withColumn("s", F.col("bit_score") % 3).withColumn("k", F.row_number().over(order)).where("k = 1")
     text = F.when(F.col("align_len") % 4 == 0, F.concat(F.lit("predicted "), "hit_description")).when(F.col("align_len") % 4 == 1, F.concat(F.lit("Gypsy "), "hit_description")).otherwise(F.col("hit_description"))
-    return rows.select("query_id", "s", text.alias("description"), (F.col("align_len") * 400 / F.col("hit_len")).alias("coverage"), (F.col("n_identical") * 100 / F.col("align_len")).alias("identity"))
+    return rows.select("query_id", "s", text.alias("description"), F.least(F.lit(100.0), F.col("align_len") * 600 / F.col("hit_len")).alias("coverage"), (F.col("n_identical") * 100 / F.col("align_len") - F.col("bit_score") % 50).alias("identity"))
 
 
 @query(
     "n17_annotation_cascade",
     f"""WITH {_STEP_HITS}, h AS (SELECT *, regexp_matches(regexp_replace(d, '^[^-]*-', ''), '(?i){"|".join(L.HYPOTHETICAL)}') AS hypo, regexp_matches(d, '(?i){"|".join(L.TE_LIKE)}') AS te FROM best),
-    c AS (SELECT query_id, 1 AS step, 'known_function' AS class, d FROM h WHERE s = 0 AND cov > 50 AND ident > 80 AND NOT hypo
-    UNION ALL SELECT query_id, 2, 'putative_function', d FROM h WHERE s = 1 AND cov > 45 AND ident > 50 AND NOT hypo
-    UNION ALL SELECT query_id, 3, 'domain_containing_protein', string_agg(DISTINCT hit_id, ',' ORDER BY hit_id) FROM fx_hsps WHERE bit_score % 9 = 0 GROUP BY query_id
-    UNION ALL SELECT query_id, 4, 'expressed_sequence', d FROM h WHERE s = 2 AND cov > 45 AND ident > 70
-    UNION ALL SELECT query_id, 5, 'conserved_unknown_function', d FROM h WHERE s = 1 AND cov > 45 AND ident > 50
-    UNION ALL SELECT query_id, 6, 'putative_transposable_element', d FROM h WHERE s = 0 AND cov > 35 AND ident > 40 AND te),
+    c AS (SELECT query_id, 1 AS step, 'known_function' AS class, d FROM h WHERE s = 0 AND cov > 80 AND ident > 80 AND NOT hypo
+    UNION ALL SELECT query_id, 2, 'putative_function', d FROM h WHERE s = 1 AND cov > 50 AND ident > 45 AND NOT hypo
+    UNION ALL SELECT query_id, 3, 'domain_containing_protein', string_agg(DISTINCT hit_id, ',' ORDER BY hit_id) FROM fx_hsps WHERE bit_score % 97 = 0 GROUP BY query_id
+    UNION ALL SELECT query_id, 4, 'expressed_sequence', d FROM h WHERE s = 2 AND cov > 50 AND ident > 45
+    UNION ALL SELECT query_id, 5, 'conserved_unknown_function', d FROM h WHERE s = 1 AND cov > 50 AND ident > 45
+    UNION ALL SELECT query_id, 6, 'Warning - Possible Transposable Element', d FROM h WHERE s = 0 AND cov > 40 AND ident > 35 AND te),
     f AS (SELECT query_id, arg_min(class, step) AS class, arg_min(d, step) AS d FROM c GROUP BY query_id)
     SELECT DISTINCT x.query_id, coalesce(f.class, 'hypothetical_protein') AS class, f.d AS description FROM fx_hsps x LEFT JOIN f ON f.query_id = x.query_id""",
 )
 def n17(t):
     hits = step_hits(t)
     of = lambda s: hits.where(F.col("s") == s).drop("s").withColumnRenamed("query_id", "protein_id")
-    found = t.fx_hsps.where("bit_score % 9 = 0").select(F.col("query_id").alias("protein_id"), F.col("hit_id").alias("name"), F.col("hit_id").alias("place")).distinct()
-    domains = A.joined_domains(found, "protein_id").select("protein_id", F.col("domains").alias("description"), F.lit(100.0).alias("coverage"), F.lit(100.0).alias("identity"))
-    steps = [
-        A.Step("known_function", of(0), 50, 80, hypothetical=False),
-        A.Step("putative_function", of(1), 45, 50, hypothetical=False),
-        A.Step("domain_containing_protein", domains, 0, 0),
-        A.Step("expressed_sequence", of(2), 45, 70),
-        A.Step("conserved_unknown_function", of(1), 45, 50),
-        A.Step("putative_transposable_element", of(0), 35, 40, te_only=True),
-    ]
+    found = t.fx_hsps.where("bit_score % 97 = 0").select(F.col("query_id").alias("protein_id"), F.col("hit_id").alias("name"), F.col("hit_id").alias("place")).distinct()
+    domains = A.joined_domains(found, "protein_id").withColumnRenamed("domains", "description")
     proteins = t.fx_hsps.select(F.col("query_id").alias("protein_id")).distinct()
-    return A.annotation_cascade(proteins, steps).select(F.col("protein_id").alias("query_id"), "class", "description")
+    return A.standard_cascade(proteins, {"known": of(0), "putative": of(1), "domains": domains, "expressed": of(2), "transposable": of(0)}).select(F.col("protein_id").alias("query_id"), "class", "description")
 
 
 @query(
     "n18_orf_annotation",
-    f"""WITH {_STEP_HITS} SELECT DISTINCT x.query_id, coalesce(d, 'No_biological_evidence') AS note FROM fx_hsps x LEFT JOIN (SELECT * FROM best WHERE s = 0 AND ident > 85 AND cov > 60) b ON b.query_id = x.query_id""",
+    f"""WITH {_STEP_HITS} SELECT DISTINCT x.query_id, coalesce(d, 'No_biological_evidence') AS note FROM fx_hsps x LEFT JOIN (SELECT * FROM best WHERE s = 0 AND ident > 40 AND cov > 5) b ON b.query_id = x.query_id""",
 )
 def n18(t):
     hits = step_hits(t).where("s = 0").withColumnRenamed("query_id", "protein_id")
-    return A.orf_annotation(t.fx_hsps.select(F.col("query_id").alias("protein_id")).distinct(), hits, 85, 60).select(F.col("protein_id").alias("query_id"), "note")
+    return A.orf_annotation(t.fx_hsps.select(F.col("query_id").alias("protein_id")).distinct(), hits).select(F.col("protein_id").alias("query_id"), "note")
 
 
-@query("d9_no_evidence", f"WITH {_STEP_HITS} SELECT DISTINCT query_id FROM best WHERE s = 0 AND ident > 85 AND cov > 60")
+@query("d9_no_evidence", f"WITH {_STEP_HITS} SELECT DISTINCT query_id FROM best WHERE s = 0 AND ident > 40 AND cov > 5")
 def d9(t):
     hits = step_hits(t).where("s = 0").withColumnRenamed("query_id", "protein_id")
-    noted = A.orf_annotation(t.fx_hsps.select(F.col("query_id").alias("protein_id")).distinct(), hits, 85, 60)
+    noted = A.orf_annotation(t.fx_hsps.select(F.col("query_id").alias("protein_id")).distinct(), hits)
     return A.with_evidence(noted).select(F.col("protein_id").alias("query_id"))
 
 

@@ -78,17 +78,21 @@ def e17(t):
     return t.fx_exons.join(orfs(t), "parent_id").select("parent_id", "feature_id")
 
 
-#: Islands of exons; then the least transcript that one is linked to by way of islands, as far as the closure goes.
+#: Islands of exons, and each transcript with its own name as label.
 _LINKS = """il AS (SELECT DISTINCT parent_id, concat_ws(':', seq_id, strand::VARCHAR, island::VARCHAR) AS isle FROM (SELECT *, sum(CASE WHEN before IS NULL OR start_pos > before THEN 1 ELSE 0 END) OVER (PARTITION BY seq_id, strand ORDER BY start_pos, end_pos ROWS UNBOUNDED PRECEDING) AS island
 FROM (SELECT *, max(end_pos) OVER (PARTITION BY seq_id, strand ORDER BY start_pos, end_pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM fx_exons))),
 n0 AS (SELECT DISTINCT parent_id, parent_id AS label FROM fx_exons)"""
-_CLOSURE = ", ".join(
-    f"i{k} AS (SELECT isle, min(label) AS label FROM il JOIN n{k} USING (parent_id) GROUP BY isle), n{k + 1} AS (SELECT parent_id, min(i{k}.label) AS label FROM il JOIN i{k} USING (isle) GROUP BY parent_id)" for k in range(40)
-)
 
 
-#: The SQL spreads labels 40 times, which is enough for the tables of the check; a fixed point is reached long before.
-@query("n28_cluster_transcripts", f"WITH {_LINKS}, {_CLOSURE} SELECT parent_id, label AS cluster FROM n40")
+#: Each round gives a transcript the least label on its islands; the last one is the first that changes no label.
+@query(
+    "n28_cluster_transcripts",
+    f"""WITH RECURSIVE {_LINKS}, r AS (SELECT parent_id, label, true AS changed FROM n0
+    UNION ALL SELECT parent_id, least(label, near) AS label, bool_or(near < label) OVER () AS changed
+    FROM (SELECT il.parent_id, any_value(x.label) AS label, min(m.label) AS near FROM il JOIN r AS x ON x.parent_id = il.parent_id AND x.changed
+    JOIN (SELECT isle, min(label) AS label FROM il JOIN r USING (parent_id) GROUP BY isle) m ON m.isle = il.isle GROUP BY il.parent_id))
+    SELECT parent_id, label AS cluster FROM r WHERE NOT changed""",
+)
 def n28(t):
     return S.cluster_transcripts(t.fx_exons)
 
