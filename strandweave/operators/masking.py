@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from strandweave.functions.sequence import mask_residues, revcomp
 
 from .intervals import longest_gap, merge_intervals
+from .kmers import kmer_counts  # noqa: F401
 
 TILE = 65_536
 
@@ -78,40 +79,6 @@ def usable(stats: DataFrame, least_run: int = 500) -> DataFrame:
     return stats.where((F.col("percent") < 100) & (F.col("longest_clean") > least_run))
 
 
-def narrow_tiles(tiles: DataFrame, overlap: int, width: int = 256) -> DataFrame:
-    """``tiles`` that share ``overlap`` bases with the next one, cut into tiles of ``width`` that do so too.
-
-    Reading one place of a text costs as much as the place is far, so that work on every base wants short texts.
-    """
-    pieces = F.ceil((F.length("residues") - overlap) / width).cast("int")
-    rows = tiles.where(F.length("residues") > overlap).select("seq_id", "tile_start", "residues", F.explode(F.sequence(F.lit(0), pieces - 1)).alias("__k"))
-    begin = F.col("__k") * width
-    return rows.select("seq_id", (F.col("tile_start") + begin).alias("tile_start"), F.substring(F.col("residues"), begin + 1, F.lit(width + overlap)).alias("residues"))
-
-
-def _mers(tiles: DataFrame, k: int) -> DataFrame:
-    """(seq_id, pos, mer): the k-mer at each place, from 0."""
-    at = narrow_tiles(tiles, k - 1).select("seq_id", "tile_start", "residues", F.explode(F.sequence(F.lit(1), F.length("residues") - k + 1)).alias("at"))
-    return at.select("seq_id", (F.col("tile_start") - 2 + F.col("at")).alias("pos"), F.substring(F.col("residues"), F.col("at"), F.lit(k)).alias("mer"))
-
-
-def kmer_counts(tiles: DataFrame, k: int = 17, strand: str = "f") -> DataFrame:
-    """(seq_id, pos, strand, mer, n): each place of the tiles (from 0), its k-mer and how often that occurs in all of them.
-
-    ``strand``: ``f`` looks up the k-mers as they are (+), ``p`` their reverse complements (-, left out where it doesn't
-    occur), ``fp`` both; counts are those of the forward k-mers. Tiles have to share ``k - 1`` bases with the next one,
-    so that no k-mer is missed or counted twice.
-    """
-    if strand not in ("f", "p", "fp"):
-        raise ValueError("strand is f, p or fp")
-    mers = _mers(tiles, k)
-    counts = mers.groupBy("mer").agg(F.count("*").alias("n"))
-    side = lambda rows, sign: rows.join(counts, "mer").select("seq_id", "pos", F.lit(sign).alias("strand"), "mer", "n")
-    parts = [side(mers, "+")] if "f" in strand else []
-    parts += [side(mers.withColumn("mer", revcomp("mer")), "-")] if "p" in strand else []
-    return parts[0] if len(parts) == 1 else parts[0].unionAll(parts[1])
-
-
 def kmer_regions(kmers: DataFrame, threshold: int = 6, k: int = 17) -> DataFrame:
     """Merged regions of the plus-strand k-mers that occur ``threshold`` times or more; place 0 doesn't count."""
     often = kmers.where((F.col("strand") == "+") & (F.col("n") >= threshold) & (F.col("pos") > 0))

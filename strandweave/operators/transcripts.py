@@ -13,12 +13,11 @@ from pyspark.sql import functions as F
 from strandweave.functions.lookups import CATEGORY_RANK, looked_up
 from strandweave.functions.sequence import aa_length, is_premature, revcomp, translate_codons
 
+from .frames import STOPS, border_spans, inner_frames, open_spans
 from .graph import components
 from .hits import mapped_figures
 from .intervals import chosen, cluster_intervals, cumulative_offset, folded, following, merge_intervals, overlap_join
-from .masking import TILE, coding_sequences, extract_subseq, narrow_tiles
-
-STOPS = ("TAA", "TAG", "TGA")
+from .masking import TILE, coding_sequences, extract_subseq
 
 
 def covers_enough(length: Column, whole: Column, least: float) -> Column:
@@ -85,39 +84,6 @@ def representatives(clusters: DataFrame, figures: DataFrame, priority: Sequence[
     return rows.withColumn("__k", F.row_number().over(W.partitionBy("cluster").orderBy(*order, transcript))).where("__k = 1").drop("__k")
 
 
-def _codon_places(tiles: DataFrame, lengths: DataFrame, wanted: Sequence[str]) -> DataFrame:
-    """(seq_id, strand, frame, a, codon): where the codons stand, on the axis of either strand (from 1).
-
-    ``tiles`` share two bases with the next one. The minus strand's codons are found by their reverse complements.
-    """
-    reverse = {c.translate(str.maketrans("ACGT", "TGCA"))[::-1]: c for c in wanted}
-    at = narrow_tiles(tiles, 2).select("seq_id", "tile_start", F.upper("residues").alias("s"), F.explode(F.sequence(F.lit(1), F.length("residues") - 2)).alias("at"))
-    codon = at.select("seq_id", (F.col("tile_start") + F.col("at") - 1).alias("p"), F.substring(F.col("s"), F.col("at"), F.lit(3)).alias("c")).where(F.col("c").isin(*wanted, *reverse))
-    codon = codon.join(lengths.select("seq_id", "length"), "seq_id")
-    plus = codon.where(F.col("c").isin(*wanted)).select("seq_id", F.lit(1).alias("strand"), F.col("p").alias("a"), F.col("c").alias("codon"))
-    minus = codon.where(F.col("c").isin(*reverse)).select("seq_id", F.lit(-1).alias("strand"), (F.col("length") - F.col("p") - 1).alias("a"), looked_up(reverse, F.col("c")).alias("codon"))
-    return plus.unionAll(minus).withColumn("frame", ((F.col("a") - 1) % 3).cast("int"))
-
-
-def open_spans(tiles: DataFrame, lengths: DataFrame) -> DataFrame:
-    """(seq_id, length, strand, frame, before, next, stops, atg): what lies between two stops of a frame, on its strand's axis.
-
-    ``before`` and ``next`` are the first bases of the stops around; the ends of the sequence count as stops, and
-    ``stops`` tells whether ``next`` is a real one. ``atg`` is the first ATG behind ``before``, if one comes before
-    ``next``. Stops and starts are rows, so that a long sequence isn't one row's or one task's work.
-    """
-    found = _codon_places(tiles, lengths, [*STOPS, "ATG"]).select("seq_id", "strand", "frame", "a", F.when(F.col("codon") == "ATG", 1).otherwise(0).alias("kind"))
-    sides = F.array(*(F.struct(F.lit(s).alias("strand"), F.lit(f).alias("frame")) for s in (1, -1) for f in (0, 1, 2)))
-    ends = lengths.select("seq_id", "length", F.explode(sides).alias("x")).select("seq_id", "length", "x.strand", "x.frame")
-    last = F.col("frame") + F.greatest(F.floor((F.col("length") - F.col("frame")) / 3), F.lit(0)) * 3 + 1
-    fence = ends.select("seq_id", "strand", "frame", F.explode(F.array(F.struct((F.col("frame") - 2).cast("long").alias("a"), F.lit(0).alias("kind")), F.struct(last.cast("long").alias("a"), F.lit(2).alias("kind")))).alias("f")).select("seq_id", "strand", "frame", "f.a", "f.kind")
-    key = ["seq_id", "strand", "frame"]
-    events = following(found.unionAll(fence), key, F.struct("a", "kind"), F.col("a"), "event")
-    spans = following(events.where("kind <> 1"), key, F.struct("a", "kind"), F.col("a")).where("next is not null")
-    atg = F.when(F.col("event.kind") == 1, F.col("event.a"))
-    return spans.select(*key, F.col("a").alias("before"), F.col("next.a").alias("next"), (F.col("next.kind") == 0).alias("stops"), atg.alias("atg")).join(lengths.select("seq_id", "length"), "seq_id")
-
-
 def _on_plus_axis(rows: DataFrame, a: str, b: str) -> DataFrame:
     """``start_pos`` and ``end_pos`` of a stretch ``a`` to ``b`` of its strand's axis."""
     plus = F.col("strand") == 1
@@ -134,11 +100,12 @@ def scan_orfs(tiles: DataFrame, lengths: DataFrame, shortest: int = 30, longest:
     """
     if mode not in (0, 1, 2, 3):
         raise ValueError("mode is 0, 1, 2 or 3")
-    spans = open_spans(tiles, lengths)
+    spans = border_spans(tiles, lengths)
     spans = spans if reverse else spans.where("strand = 1")
     spans = spans.withColumns({"first": F.col("atg") if mode % 2 else F.col("before") + 3, "last": F.col("next") - 1}).where("first is not null")
     spans = _on_plus_axis(spans.where((F.col("last") - F.col("first") + 1).between(shortest, longest)), "first", "last")
-    found = extract_subseq(spans, tiles, ["seq_id", "strand", "frame"], width)
+    columns = ["seq_id", "strand", "frame", "start_pos", "end_pos", "part"]
+    found = extract_subseq(spans, tiles, ["seq_id", "strand", "frame"], width).select(*columns).unionAll(inner_frames(tiles, lengths, shortest, longest, mode % 2 == 1, reverse).select(*columns))
     bases = F.upper(F.when(F.col("strand") == -1, revcomp("part")).otherwise(F.col("part")))
     return found.select("seq_id", "strand", "frame", "start_pos", "end_pos", (translate_codons(bases) if mode < 2 else bases).alias("orf"))
 
