@@ -64,22 +64,58 @@ def score(models: DataFrame) -> DataFrame:
     return models.withColumn("score", total.cast("double"))
 
 
+class _Alive:
+    """The models of a component that are left, in classes by length, each sorted by start.
+
+    Of a class of lengths below ``2 ** k`` those that overlap a stretch start at most that far before it, so that looking
+    them up costs what they are. A class is packed once half of its models are gone.
+    """
+
+    def __init__(self, start: np.ndarray, end: np.ndarray):
+        self.start, self.end, self.left = start, end, np.ones(len(start), bool)
+        kind = np.ceil(np.log2(np.maximum(end - start, 1) + 1)).astype(int)
+        self.classes = {k: rows[np.argsort(start[rows], kind="stable")] for k in np.unique(kind).tolist() for rows in [np.flatnonzero(kind == k)]}
+        self.starts = {k: start[rows] for k, rows in self.classes.items()}
+        self.gone = dict.fromkeys(self.classes, 0)
+
+    def over(self, model: int) -> np.ndarray:
+        """What is left of the models that share more than a boundary with one."""
+        found = []
+        for k, rows in self.classes.items():
+            low, high = np.searchsorted(self.starts[k], (self.start[model] - (1 << k), self.end[model]))
+            rows = rows[low:high]
+            found.append(rows[self.left[rows] & (self.end[rows] > self.start[model])])
+        return np.concatenate(found)
+
+    def drop(self, rows: np.ndarray) -> None:
+        self.left[rows] = False
+        for k, of in self.classes.items():
+            self.gone[k] += len(rows)
+            if 2 * self.gone[k] > len(of) > 64:
+                self.classes[k] = of = of[self.left[of]]
+                self.starts[k], self.gone[k] = self.start[of], 0
+
+
 def _choose(group: dict) -> tuple[list[int], dict]:
-    """One component: seeds by level and place; the best of what overlaps a seed wins, and what it overlaps is done."""
-    start, end, level, coverage, points = (group[c] for c in ("start_pos", "end_pos", "file_level", "hit_coverage", "score"))
-    done, winners = np.zeros(len(start), bool), []
+    """One component: seeds by level and place; the best of what overlaps a seed wins, and what it overlaps is done.
+
+    Models of a lower level than the seed's have all been seeds or are done, so that what is left is of its level or above.
+    """
+    start, end, coverage, points = (group[c] for c in ("start_pos", "end_pos", "hit_coverage", "score"))
+    n = np.arange(len(start))
+    by_coverage, by_points = np.empty(len(n), np.int64), np.empty(len(n), np.int64)
+    by_coverage[np.lexsort((n, -coverage))] = n
+    by_points[np.lexsort((n, -coverage, -points))] = n
+    alive, winners = _Alive(start, end), []
     for seed in range(len(start)):
-        if done[seed]:
+        if not alive.left[seed]:
             continue
-        near = (start < end[seed]) & (end > start[seed]) & ~done & (level >= level[seed])
-        near[seed] = True
-        rows = np.flatnonzero(near)
-        rows = rows[np.argsort(-coverage[rows], kind="stable")]
-        best = int(np.argmax(points[rows]))
-        winner = int(rows[best] if points[rows[best]] > 0 else rows[0])
+        rows = np.append(alive.over(seed), seed)
+        winner = int(rows[np.argmin(by_points[rows])])
+        if points[winner] <= 0:
+            winner = int(rows[np.argmin(by_coverage[rows])])
         winners.append(winner)
-        done |= (start < end[winner]) & (end > start[winner])
-        done[[seed, winner]] = True
+        alive.drop(np.unique(np.append(alive.over(winner), [seed, winner])))
     return winners, {}
 
 
@@ -87,7 +123,8 @@ def select_models(models: DataFrame) -> DataFrame:
     """The winning models: (seq_id, model_id, file_level, start_pos, end_pos, score).
 
     The choice is greedy and depends on its order, so each component of overlapping models is gone through by itself;
-    distant components are independent and spread over the cluster. Models of one locus have to fit into a task's memory.
+    distant components are independent and spread over the cluster. A component costs about what its models overlap, not
+    its square, and has to fit into a task's memory (100 bytes a model).
     """
     rows = cluster_intervals(models, ["seq_id"]).select("seq_id", "cluster_start", "model_id", F.col("file_level").cast("int"), "start_pos", "end_pos", F.col("hit_coverage").cast("double"), F.col("score").cast("double"))
     order = ["file_level", "start_pos", "end_pos", "model_id"]

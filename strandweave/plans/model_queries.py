@@ -193,7 +193,24 @@ def h5(t):
     return G.top_of_locus(t.fx_models, ["seq_id"]).select("seq_id", "model_id", "place")
 
 
-@query("n1_select_gene_models")
+#: A locus is a list of its models in order; each round takes the first model's winner and what that overlaps out of the list.
+_OVER = "x.start_pos < {0}.end_pos AND x.end_pos > {0}.start_pos"
+
+
+@query(
+    "n1_select_gene_models",
+    f"""WITH RECURSIVE {SCORED}, {_islands_sql("scored", "seq_id", 0)},
+    ranked AS (SELECT seq_id, island, struct_pack(model_id := model_id, file_level := file_level, start_pos := start_pos, end_pos := end_pos, score := score,
+      by_score := row_number() OVER (PARTITION BY seq_id ORDER BY score DESC, hit_coverage DESC, file_level, start_pos, end_pos, model_id),
+      by_coverage := row_number() OVER (PARTITION BY seq_id ORDER BY hit_coverage DESC, file_level, start_pos, end_pos, model_id),
+      place := row_number() OVER (PARTITION BY seq_id ORDER BY file_level, start_pos, end_pos, model_id)) AS m FROM b),
+    r AS (SELECT seq_id, island, list(m ORDER BY m.place) AS alive, list(m ORDER BY m.place)[0] AS winner FROM ranked GROUP BY seq_id, island
+    UNION ALL SELECT seq_id, island, list_filter(alive, lambda x: NOT ({_OVER.format("winner")}) AND x.place <> winner.place AND x.place <> seed.place) AS alive, winner
+    FROM (SELECT *, CASE WHEN best.score > 0 THEN best ELSE list_filter(near, lambda x: x.by_coverage = list_min(list_transform(near, lambda y: y.by_coverage)))[1] END AS winner
+    FROM (SELECT *, list_filter(near, lambda x: x.by_score = list_min(list_transform(near, lambda y: y.by_score)))[1] AS best
+    FROM (SELECT seq_id, island, alive, alive[1] AS seed, list_filter(alive, lambda x: ({_OVER.format("alive[1]")}) OR x.place = alive[1].place) AS near FROM r WHERE len(alive) > 0))))
+    SELECT seq_id, winner.model_id, winner.file_level::INT AS file_level, winner.start_pos, winner.end_pos, winner.score FROM r WHERE winner IS NOT NULL""",
+)
 def n1(t):
     return G.select_models(scored(t))
 

@@ -286,3 +286,35 @@ def test_long_sequences_pass_in_tiles(spark):
     lengths = spark.createDataFrame([("c", n)], "seq_id string, length long")
     frames = T.scan_orfs(tiles, lengths, longest=10**9).select("strand", "frame", F.length("orf").alias("n")).collect()
     assert len(frames) == 6 and all(r.n >= n - 3 for r in frames)
+
+
+def test_one_component_of_many_models_is_chosen_as_plainly(spark):
+    """30,000 models of one locus, some of them very long."""
+    import numpy as np
+
+    from strandweave.operators import models as G
+
+    rng, n = np.random.default_rng(2), 30_000
+    start = np.sort(rng.integers(1, 3_000_000, n))
+    end = start + np.where(rng.random(n) < 0.001, rng.integers(100_000, 2_000_000, n), rng.integers(50, 2000, n))
+    level, coverage, score = rng.integers(0, 4, n), rng.integers(0, 50, n).astype(float), rng.integers(-20, 90, n).astype(float)
+    name = np.char.add("m", np.char.zfill(np.arange(n).astype(str), 5))
+    order = np.lexsort((name, end, start, level))
+    start, end, level, coverage, score, name = (c[order] for c in (start, end, level, coverage, score, name))
+    done, wanted = np.zeros(n, bool), set()
+    for seed in range(n):
+        if done[seed]:
+            continue
+        near = (start < end[seed]) & (end > start[seed]) & ~done & (level >= level[seed])
+        near[seed] = True
+        rows = np.flatnonzero(near)
+        rows = rows[np.argsort(-coverage[rows], kind="stable")]
+        best = int(np.argmax(score[rows]))
+        winner = int(rows[best] if score[rows[best]] > 0 else rows[0])
+        wanted.add(str(name[winner]))
+        done |= (start < end[winner]) & (end > start[winner])
+        done[[seed, winner]] = True
+    import pandas as pd
+
+    table = spark.createDataFrame(pd.DataFrame({"seq_id": "c", "model_id": name, "file_level": level, "start_pos": start, "end_pos": end, "hit_coverage": coverage, "score": score}))
+    assert {r.model_id for r in G.select_models(table).collect()} == wanted
