@@ -15,7 +15,8 @@ rarest windows first: an item of ``n`` windows that has to be matched in ``m`` o
 ``n - m + 1``, so its ``m - 1`` most common windows needn't find it, and are joined only with documents that it is found
 in.
 
-Null and empty texts and items match nothing. Case folding covers ASCII and Latin-1 letters. An item of fewer than
+Null and empty texts and items match nothing. Case folding and names cover the letters of one and two UTF-8 bytes
+(Latin, Greek, Cyrillic and others). A text has to fit into a task, with about 300 bytes for each word. An item of fewer than
 ``WINDOW`` words is one literal window: a text leaks it if it holds these words in a row, however few they are. Repeated
 item_ids count as one item with all their windows; items without an item_id are left out. Leaks belong to texts, not to
 doc_ids: ``drop_leaky`` drops a row for its own text, whether its doc_id is missing, repeated or neither. Empty tables
@@ -26,9 +27,10 @@ from __future__ import annotations
 
 import hashlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -39,8 +41,10 @@ from .common import documents, written
 from .substring_dedup import _TABLE, word_spans
 
 WINDOW, CONTAINED, RUN = 5, 0.5, 9
-#: Item windows whose hashes are sent to all tasks (16 MB at most); with more of them, all windows meet in a shuffle.
+#: Item windows whose hashes are sent to all tasks (16 MB at most); of more of them a Bloom filter of fixed size is sent.
 MAX_BROADCAST_WINDOWS = 2_000_000
+#: Bits of the filter (16 MB), two for each window, and those of one part that a task fills.
+BLOOM_BITS, BLOOM_PART = 1 << 27, 1 << 19
 #: Units that are replaced when they follow a number.
 UNITS = "km m cm mm mi ft kg g mg lb oz t l ml s sec secs seconds min mins minutes h hour hours day days week weeks month months year years usd eur dollars dollar euros euro pounds percent mph kmh km/h mw kw gb mb".split()
 
@@ -52,14 +56,34 @@ _ALNUM[128:] = True
 _NUMBER, _UNIT, _NAME = (np.uint64(x) for x in (11, 22, 33))
 
 
+#: Letters of two UTF-8 bytes (Latin, Greek, Cyrillic, Armenian and others) by code point: their lower case, and capitals.
+_LOWER2 = np.array([ord(low) if len(low := chr(c).lower()) == 1 and 0x80 <= ord(low) < 0x800 else c for c in range(0x800)], np.int64)
+_UPPER2 = np.array([c >= 0x80 and chr(c).isupper() for c in range(0x800)])
+
+
+def _pairs(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places among ``at`` where a letter of two bytes begins, and its code point."""
+    at = at[at + 1 < len(data)]
+    at = at[(data[at] >= 0xC2) & (data[at] <= 0xDF)]
+    return at, ((data[at] & 0x1F).astype(np.int64) << 6) | (data[at + 1] & 0x3F)
+
+
 def _folded(data: np.ndarray) -> np.ndarray:
     out = _LOWER[data]
-    if len(data) > 1:  # U+00C0 to U+00DE but the multiplication sign
-        second = np.flatnonzero((data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)) + 1
-        out[second] += 32
+    at, code = _pairs(data, np.flatnonzero(data >= 0xC2))
+    low = _LOWER2[code]
+    out[at], out[at + 1] = 0xC0 | (low >> 6), 0x80 | (low & 0x3F)
     return out
 
 
+def _capitals(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether a capital letter stands at each place."""
+    found = (data[at] >= 65) & (data[at] <= 90)
+    two, code = _pairs(data, at)
+    found[np.isin(at, two[_UPPER2[code]])] = True
+    return found
+
+
 _UNIT_NAMES = np.sort(np.array([R.Hasher(_TABLE[np.frombuffer(u.encode(), np.uint8)])(np.array([0]), np.array([len(u.encode())]))[0] for u in UNITS], np.uint64))
 
 
@@ -69,6 +93,44 @@ def _among(values: np.ndarray, table: np.ndarray) -> np.ndarray:
     return table[np.minimum(np.searchsorted(table, values), len(table) - 1)] == values
 
 
+class Bloom:
+    """A filter of hashes: those that were put in pass, of others as many as its bits are full."""
+
+    def __init__(self, bits: np.ndarray):
+        self.bits = bits
+
+    @staticmethod
+    def places(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        last = np.uint64(BLOOM_BITS - 1)
+        return values & last, R.mix(values) & last
+
+    def passes(self, values: np.ndarray) -> np.ndarray:
+        one, other = (p.astype(np.int64) for p in self.places(values))
+        return ((self.bits[one >> 3] >> (one & 7)) & (self.bits[other >> 3] >> (other & 7)) & 1).astype(bool)
+
+    @classmethod
+    def of(cls, hashes: DataFrame) -> Bloom:
+        """The filter of ``hashes(hash)``; parts of it are filled in tasks, and the driver gets its 16 MB."""
+
+        def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                values = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(cls.places(values))).astype(np.int64))], names=["place"])
+
+        def filled(part: pa.Table) -> pa.Table:
+            place = part.column("place").to_numpy()
+            bits = np.zeros(BLOOM_PART, np.uint8)
+            bits[place % BLOOM_PART] = 1
+            return pa.table({"part": pa.array([int(place[0]) // BLOOM_PART], pa.int64()), "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())})
+
+        places = hashes.mapInArrow(placed, "place long").distinct()
+        bits = np.zeros(BLOOM_BITS // 8, np.uint8)
+        for row in places.groupBy(F.floor(F.col("place") / BLOOM_PART).alias("part")).applyInArrow(filled, "part long, bits binary").toLocalIterator():
+            low = row["part"] * BLOOM_PART // 8
+            bits[low : low + BLOOM_PART // 8] = np.frombuffer(row["bits"], np.uint8)
+        return cls(bits)
+
+
 def templates(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Tokens of documents: template name, name of the literal, whether it is a placeholder; and bounds in tokens.
 
@@ -89,7 +151,7 @@ def templates(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndar
     digits = np.concatenate([[0], np.cumsum((data >= 48) & (data <= 57))])
     letters = np.concatenate([[0], np.cumsum(_ALNUM[data] & ~((data >= 48) & (data <= 57)))])
     number = (digits[end] > digits[start]) & (letters[end] == letters[start])
-    capital = (data[start] >= 65) & (data[start] <= 90) if len(start) else number
+    capital = _capitals(data, start) if len(start) else number
     unit = np.zeros(len(start), bool)
     unit[1:] = number[:-1]
     unit &= _among(literal, _UNIT_NAMES)
@@ -139,10 +201,10 @@ def token_counts(texts: DataFrame) -> DataFrame:
 WINDOW_ROWS = "id long, text_id binary, at int, hash long, exact boolean, fit boolean, fill array<long>, place array<int>"
 
 
-def window_rows(texts: DataFrame, window: int, wanted: np.ndarray | None = None, shorter: list[int] | None = None) -> DataFrame:
+def window_rows(texts: DataFrame, window: int, wanted: np.ndarray | Bloom | None = None, shorter: list[int] | None = None) -> DataFrame:
     """Windows of ``texts(id, text)``: place, hash, kind, and for templates the placeholders' values and places.
 
-    ``wanted``: sorted hashes; other windows are dropped. ``shorter``: see ``_windows``.
+    ``wanted``: sorted hashes, or a filter; other windows are dropped. ``shorter``: see ``_windows``.
     """
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,7 +212,7 @@ def window_rows(texts: DataFrame, window: int, wanted: np.ndarray | None = None,
             for low, high, data, bounds in R.text_chunks(batch):
                 text_ids: dict[int, bytes] = {}
                 for names, doc, at, fit, slot, literal in _windows(data, bounds, window, shorter):
-                    hit = slice(None) if wanted is None else np.flatnonzero(_among(names, wanted))
+                    hit = slice(None) if wanted is None else np.flatnonzero(wanted.passes(names) if isinstance(wanted, Bloom) else _among(names, wanted))
                     names, doc, at, fit = names[hit], doc[hit], at[hit], fit[hit]
                     for d in np.unique(doc).tolist():
                         if d not in text_ids:
@@ -180,14 +242,23 @@ def undisputed(typed: list[int] | None, fills: list | None, window: int) -> list
     return [x for x in typed if x not in lost]
 
 
+def _voted(window: int) -> Callable:
+    def of(typed: pd.Series, p: pd.Series, a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([undisputed(t, None if x is None else list(zip(x, y, z, strict=True)), window) for t, x, y, z in zip(typed, p, a, b, strict=True)], dtype=object)
+
+    return of
+
+
 def _leaks(docs: DataFrame, benchmark: DataFrame, window: int, contained: float, run: int) -> DataFrame:
     """(doc_id, text_id, item_id, n_windows, n_found): items by the documents' texts, which ``text_id`` is the MD5 of."""
     texts = benchmark.where("item_id is not null").select(F.col("item_id").cast("long").alias("id"), "text")
     items = written(window_rows(texts, window).drop("text_id"), "item-windows")
-    size = items.select("hash").distinct().limit(MAX_BROADCAST_WINDOWS + 1)
-    wanted = None
-    if size.count() <= MAX_BROADCAST_WINDOWS:
-        wanted = np.sort(np.array([r.hash for r in size.toLocalIterator()], np.int64).view(np.uint64))
+    hashes = items.select("hash").distinct()
+    few = hashes.limit(MAX_BROADCAST_WINDOWS + 1)
+    if few.count() <= MAX_BROADCAST_WINDOWS:
+        wanted = np.sort(np.array([r.hash for r in few.toLocalIterator()], np.int64).view(np.uint64))
+    else:
+        wanted = Bloom.of(hashes)
     shorter = sorted(r.words for r in token_counts(texts).where(F.col("words") < window).distinct().collect())
     rows = written(window_rows(docs.select(F.col("doc_id").cast("long").alias("id"), "text"), window, wanted, shorter), "document-windows")
     rows = rows.select(F.col("id").alias("doc_id"), "text_id", "at", "hash", "fill")
@@ -211,7 +282,7 @@ def _leaks(docs: DataFrame, benchmark: DataFrame, window: int, contained: float,
     lines = pairs.groupBy("doc_id", "text_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).agg(chosen(F.expr("exact and fit"), "sure"), chosen(F.expr("exact and not fit"), "bare"), chosen(F.expr("not exact"), "typed"), F.array_distinct(F.flatten(F.collect_set(fills))).alias("fills"))
     distinct = lambda *names: F.size(F.array_distinct(F.arrays_zip(*(f"fills.{x}" for x in names))))
     clash = (distinct("a") != distinct("a", "b")) | (distinct("b") != distinct("a", "b"))
-    voted = F.udf(lambda typed, fills: undisputed(typed, fills, window), "array<int>")(F.when(clash, F.col("typed")), F.when(clash, F.col("fills")))
+    voted = F.pandas_udf(_voted(window), "array<int>")(F.when(clash, F.col("typed")), *(F.when(clash, F.col(f"fills.{x}")) for x in ("p", "a", "b")))
     lines = lines.withColumn("fitting", F.array_union("sure", F.coalesce(voted, "typed"))).withColumn("found", F.array_union("fitting", "bare"))
     spread = lambda name: F.size(F.array_distinct(F.flatten(F.collect_list(name))))
     found = lines.groupBy("doc_id", "text_id", "item_id").agg(spread("found").alias("n_found"), spread("fitting").alias("n_fitting"), F.max(F.size("found")).alias("longest"))

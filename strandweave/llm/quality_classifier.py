@@ -4,11 +4,12 @@ Documents become vectors of hashed words and word shapes (case, symbols, closing
 inverse document frequency and projected on the main directions of a sample of labelled documents (truncated singular
 value decomposition). The vectors of the sample and their labels are sent to all tasks: at most ``MAX_LABELLED`` of
 them, about 1.5 MB. Each block of documents is multiplied with all of them, and the ``NEIGHBOURS`` nearest vote with
-their cosine; the votes of a label are weighted by the inverse of its frequency, so that rare labels count as much.
+their cosine (rounded to ``GRID``; of equally near ones those with the smaller doc_ids); the votes of a label are weighted
+by the inverse of its frequency, so that rare labels count as much.
 
 The sample is the labelled documents with the least hash of the id, out of the rows the caller lets in: a bounded fit,
 while every document is scored in full. Null and empty texts get the vector of "no words" and a score like all others.
-Each row of the input gets one row of output, whether its doc_id is missing, repeated or neither. An empty table gives an
+A text has to fit into a task. Each row of the input gets one row of output, whether its doc_id is missing, repeated or neither. An empty table gives an
 empty result. Other columns are ignored and may have any name.
 """
 
@@ -28,6 +29,8 @@ from .substring_dedup import _TABLE, word_spans
 WORD_DIMS, SHAPE_DIMS, LATENT = 1024, 128, 48
 MAX_LABELLED, NEIGHBOURS, SHARPNESS = 3000, 25, 8.0
 THRESHOLD = 0.7
+#: Steps of a cosine.
+GRID = 1 << 20
 
 
 def _class_table() -> np.ndarray:
@@ -101,8 +104,11 @@ class Model:
         points = self._unit((self._weighted(counts) - self.mean) @ self.axes)
         cosine = points @ self.points.T
         k = min(NEIGHBOURS, cosine.shape[1])
-        near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
-        weight = np.maximum(np.take_along_axis(cosine, near, 1), 0) ** SHARPNESS * self.votes[near] + 1e-9
+        # Products of blocks of other shapes differ in their last bits; a place in the order makes the nearest a matter of course.
+        steps = np.rint(cosine * GRID).astype(np.int64)
+        ranked = np.arange(cosine.shape[1]) - steps * cosine.shape[1]
+        near = np.argpartition(ranked, k - 1, axis=1)[:, :k]
+        weight = np.maximum(np.take_along_axis(steps, near, 1) / GRID, 0) ** SHARPNESS * self.votes[near] + 1e-9
         return ((weight * self.labels[near]).sum(1) / weight.sum(1)).astype(np.float64).clip(0, 1)
 
 
@@ -110,11 +116,11 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> Model:
     """Fit on ``docs(doc_id, text)`` with at most ``limit`` of the ``labels(doc_id, label)``.
 
     Null labels are left out; of several labels of one document the larger counts. Only the chosen labels, ``limit``
-    rows, are sent to the documents. Without any label, every text will score 0.5. Of several texts with one labelled
+    rows, are sent to the documents; labels of absent documents don't count. Without any label, every text will score 0.5. Of several texts with one labelled
     doc_id that with the least hash is learnt from.
     """
     chosen = labels.where("label is not null and doc_id is not null").groupBy("doc_id").agg(F.max("label").alias("label"))
-    chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
+    chosen = chosen.join(docs.select(F.col("doc_id").cast("long").alias("doc_id")), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -143,9 +149,10 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def op6_quality_classifier(spark, sf_dir: str) -> DataFrame:
+    """Rows without a doc_id are not held out (and have no label)."""
     docs = documents(spark, sf_dir)
     fold = lambda c: F.crc32(c.cast("string").cast("binary")) % 4
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(fold(F.col("doc_id")) != 2).select("doc_id", F.col("quality").alias("label"))
     model = fit(docs, labels)
     scored = score(docs, model)
-    return scored.select("doc_id", (fold(F.col("doc_id")) == 2).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+    return scored.select("doc_id", F.coalesce(fold(F.col("doc_id")) == 2, F.lit(False)).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

@@ -444,6 +444,34 @@ def test_decontamination_beyond_the_broadcast_bound(spark, monkeypatch):
     assert decontaminate.find_leaks(rows, bench).collect() == usual
 
 
+def test_names_and_case_beyond_ascii(spark):
+    items = {1: "un train part avec Élise vers la gare de Ouen puis revient le soir même sans Ödön ici", 2: "поезд выезжает утром и везёт Анна домой через старый мост над рекой до вечера"}
+    copies = {11: items[1].replace("Élise", "Zoé").replace("Ödön", "Émile"), 12: items[2].replace("Анна", "Борис"), 13: items[2].upper(), 14: "ничего общего здесь нет совсем и никогда не было до этого дня"}
+    bench = spark.createDataFrame([*items.items()], "item_id long, text string")
+    rows = spark.createDataFrame([*copies.items()], "doc_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(rows, bench).collect()} == {(11, 1), (12, 2), (13, 2)}
+
+
+def test_bloom_filter_holds_all_that_was_put_in(spark):
+    import numpy as np
+
+    values = np.random.default_rng(4).integers(-(2**63), 2**63, 3000)
+    bloom = decontaminate.Bloom.of(spark.createDataFrame([(int(v),) for v in values[:2000]], "hash long"))
+    passed = bloom.passes(values.view(np.uint64))
+    assert passed[:2000].all() and passed[2000:].sum() < 3
+    assert not decontaminate.Bloom.of(spark.createDataFrame([], "hash long")).passes(values.view(np.uint64)).any()
+
+
+def test_classifier_breaks_ties_by_doc_id_and_marks_rows_without_one():
+    import numpy as np
+
+    counts = np.ones((60, quality_classifier.WORD_DIMS + quality_classifier.SHAPE_DIMS), np.float32)
+    counts[30:] += np.arange(counts.shape[1]) % 3
+    model = quality_classifier.Model(counts, np.array([1] * 28 + [0] * 2 + [1, 0] * 15))
+    # All of the first thirty are equally near, and the first twenty-five of them vote.
+    assert model.score(counts[:1])[0] > 0.999 and np.ptp(np.concatenate([model.score(counts[:n]) for n in (1, 2, 7, 30)])) == 0
+
+
 def test_jaccard_join_of_a_templated_source(spark, monkeypatch):
     """Texts that share a template but too little for links aren't compared as all pairs of blocks of their component."""
     rng = random.Random(8)
@@ -855,10 +883,10 @@ def tokens_of(x: str) -> list[tuple[str, str, bool]]:
     for w in WORD.findall(x):
         core = re.sub(r"^[^0-9A-Za-z\x80-\U0010FFFF]+|[^0-9A-Za-z\x80-\U0010FFFF]+$", "", w)
         if core:
-            low = "".join(c.lower() if c < "\x7f" or "\xc0" <= c <= "\xde" and c != "\xd7" else c for c in core)
+            low = "".join(c.lower() if c < "\u0800" and len(c.lower()) == 1 and (c < "\x7f") == (c.lower() < "\x7f") and c.lower() < "\u0800" else c for c in core)
             number = bool(re.search("[0-9]", core)) and not re.search("[A-Za-z\x80-\U0010FFFF]", core)
             unit = bool(found) and found[-1][0] == "<number>" and low in decontaminate.UNITS
-            name = "A" <= core[0] <= "Z" and not fresh and not unit
+            name = core[0].isupper() and core[0] < "\u0800" and not fresh and not unit
             found.append(("<number>" if number else "<unit>" if unit else "<name>" if name else low, low, number or unit or name))
         fresh = w[-1] in ".!?:"
     return found
