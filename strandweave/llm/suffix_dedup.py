@@ -31,6 +31,8 @@ from .common import documents, numbered, written
 GRAM = 20
 #: Suffixes sorted at once.
 SLICE = 400_000
+#: Windows of hot anchors that are merged at once (50 bytes each).
+HELD = 200_000
 _TABLE = R.mix(np.arange(1, 257, dtype=np.uint64) * R.U(0x9E3779B97F4A7C15))
 _STEP = R.U(0x9FB21C651E98DF25)
 
@@ -135,11 +137,42 @@ def longest_previous_factors(data: np.ndarray, start: np.ndarray, doc: np.ndarra
     return lpf
 
 
+def _first_of_equal(windows: np.ndarray, names: np.ndarray, doc: np.ndarray, local: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of ``windows`` (a row of bytes each) that go on, and those whose bytes a smaller ``doc`` among them has."""
+    order = np.lexsort((local, doc, names))
+    new = np.ones(len(order), bool)
+    new[1:] = (names[order][1:] != names[order][:-1]) | (windows[order[1:]] != windows[order[:-1]]).any(1)
+    head = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
+    later = doc[order][head] < doc[order]
+    return np.sort(order[~later]), order[later]
+
+
 def _contexts(min_bytes: int, buckets: int):
-    """Round 2, map side: the bytes around open runs, dealt by anchor, or by window where the anchor is hot."""
+    """Round 2, map side: the bytes around open runs, dealt by anchor, or window by window where the anchor is hot.
+
+    Windows of hot anchors are held back and merged: those that an earlier document of the task has are settled here, so
+    that a passage of very many documents is a row for each flush.
+    """
     gram = min(GRAM, max(1, min_bytes // 2))
 
+    def blobs(bucket: np.ndarray, data: np.ndarray, at: np.ndarray, many: np.ndarray, docs: np.ndarray, pk: np.ndarray) -> Iterator[pa.RecordBatch]:
+        rows, size = [], np.where(many > 0, many + min_bytes - 1, 0)
+        for b, (a, d, p, z) in R.split_groups(bucket.astype(np.int64), at, docs, pk, size):
+            index = np.repeat(a - np.cumsum(z) + z, z) + np.arange(z.sum())
+            rows.append((b, data[index].tobytes(), d.tobytes(), p.tobytes()))
+        if rows:
+            cols = list(zip(*rows, strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[1:])], names=["bucket", "bytes", "doc", "pk"])
+
+    def merged(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+        windows, names, doc, local = (np.concatenate(x) for x in zip(*held, strict=True))
+        going, done = _first_of_equal(windows, names, doc, local)
+        one = np.full(len(going), 1)
+        yield from blobs(names[going] % np.uint64(buckets), windows.ravel(), going * min_bytes, one, doc[going], local[going] << 16 | 1 << 4)
+        yield from blobs(R.mix(doc[done].astype(R.U)) % np.uint64(buckets), windows.ravel(), done, np.zeros(len(done), np.int64), doc[done], local[done] << 16 | 1 << 4 | R.SETTLED)
+
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
         for batch in batches:
             ids, flat, edges = R.marks_of(batch)
             for low, high, data, bounds in R.text_chunks(batch):
@@ -148,23 +181,20 @@ def _contexts(min_bytes: int, buckets: int):
                     continue
                 row = np.repeat(np.arange(high - low), np.diff(edges[low : high + 1]))
                 first, dq, count, status = R.unpack(marks)
+                docs, at = ids[low:high][row].astype(np.int64), first + bounds[row]
                 hot = status == R.HOT
-                at, many, doc, local = [], [], [], []
-                at.append((first + bounds[row])[~hot]), many.append(count[~hot]), doc.append(row[~hot]), local.append(first[~hot])
+                cold = ~hot
+                yield from blobs(window_names(data, gram)[(at + dq)[cold]] % np.uint64(buckets), data, at[cold], count[cold], docs[cold], first[cold] << 16 | count[cold] << 4)
                 spread = np.repeat(np.flatnonzero(hot), count[hot])
-                step = np.arange(len(spread)) - np.repeat(np.cumsum(count[hot]) - count[hot], count[hot])
-                at.append((first + bounds[row])[spread] + step), many.append(np.ones(len(spread), np.int64)), doc.append(row[spread]), local.append(first[spread] + step)
-                q = at[0] + dq[~hot]
-                by = np.concatenate([window_names(data, gram)[q], window_names(data, min_bytes)[at[1]]])
-                at, many, doc, local = (np.concatenate(x) for x in (at, many, doc, local))
-                docs = ids[low:high][doc].astype(np.int64)
-                size = many + min_bytes - 1
-                rows = []
-                for b, (a, m, d, p, z) in R.split_groups((by % np.uint64(buckets)).astype(np.int64), at, many, docs, local, size):
-                    index = np.repeat(a - np.cumsum(z) + z, z) + np.arange(z.sum())
-                    rows.append((b, data[index].tobytes(), d.tobytes(), (p << 16 | m << 4).tobytes()))
-                cols = list(zip(*rows, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[1:])], names=["bucket", "bytes", "doc", "pk"])
+                if len(spread):
+                    step = np.arange(len(spread)) - np.repeat(np.cumsum(count[hot]) - count[hot], count[hot])
+                    start = at[spread] + step
+                    held.append((np.lib.stride_tricks.sliding_window_view(data, min_bytes)[start], window_names(data, min_bytes)[start], docs[spread], first[spread] + step))
+                    if sum(len(x[1]) for x in held) >= HELD:
+                        yield from merged(held)
+                        held = []
+        if held:
+            yield from merged(held)
 
     return of
 
@@ -174,6 +204,9 @@ def _factors(min_bytes: int):
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for data, doc, pk in R.buckets_of(batches, [np.uint8, np.int64, np.int64]):
+            passed = pk & 15 == R.SETTLED
+            yield pa.RecordBatch.from_arrays([pa.array(doc[passed]), pa.array(pk[passed])], names=["doc_id", "pk"])
+            doc, pk = doc[~passed], pk[~passed]
             first, _, count, _ = R.unpack(pk)
             base = np.cumsum(count + min_bytes - 1) - (count + min_bytes - 1)
             run = np.repeat(np.arange(len(pk)), count)

@@ -444,6 +444,34 @@ def test_decontamination_beyond_the_broadcast_bound(spark, monkeypatch):
     assert decontaminate.find_leaks(rows, bench).collect() == usual
 
 
+def test_a_passage_of_very_many_documents_is_merged_before_the_shuffle(spark, monkeypatch):
+    """A line in differing surroundings: its anchor is hot, most of its windows are settled where they are read."""
+    monkeypatch.setattr(R, "HOT_IN_FLUSH", 5)
+    rng = random.Random(3)
+    line = "this very line of some seventy bytes stands in each of the documents here"
+    rows = {i: "".join(rng.choice("abcdefgh ") for _ in range(70)) + line + "".join(rng.choice("abcdefgh ") for _ in range(60)) for i in range(1, 301)}
+    table_ = spark.createDataFrame(list(rows.items()), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.n_removed for r in suffix_dedup.find_repeated_bytes(table_).collect()}
+    seen, want = set(), {}
+    for i, text in rows.items():
+        gone = {p for k in range(len(text) - 49) if text[k : k + 50] in seen for p in range(k, k + 50)}
+        seen |= {text[k : k + 50] for k in range(len(text) - 49)}
+        want[i] = len(gone)
+    assert got == want and got[1] == 0 and min(n for d, n in got.items() if d > 1) >= len(line)
+
+
+def test_equal_windows_of_later_documents_are_settled():
+    import numpy as np
+
+    windows = np.array([[1, 2], [1, 2], [3, 4], [1, 2], [5, 6], [3, 4]], np.uint8)
+    names, doc, local = np.array([7, 7, 7, 7, 9, 7], np.uint64), np.array([4, 2, 3, 2, 1, 1]), np.array([0, 5, 0, 1, 0, 0])
+    going, done = suffix_dedup._first_of_equal(windows, names, doc, local)
+    assert set(done.tolist()) <= {0, 2} and sorted([*going.tolist(), *done.tolist()]) == list(range(6))
+    names = np.array([7, 7, 8, 7, 9, 8], np.uint64)
+    going, done = suffix_dedup._first_of_equal(windows, names, doc, local)
+    assert going.tolist() == [1, 3, 4, 5] and sorted(done.tolist()) == [0, 2]
+
+
 def test_names_and_case_beyond_ascii(spark):
     items = {1: "un train part avec Élise vers la gare de Ouen puis revient le soir même sans Ödön ici", 2: "поезд выезжает утром и везёт Анна домой через старый мост над рекой до вечера"}
     copies = {11: items[1].replace("Élise", "Zoé").replace("Ödön", "Émile"), 12: items[2].replace("Анна", "Борис"), 13: items[2].upper(), 14: "ничего общего здесь нет совсем и никогда не было до этого дня"}
