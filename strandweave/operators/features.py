@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from strandweave.functions import text as T
 from strandweave.functions.lookups import SUBFEATURE_RANK, looked_up
 
-from .intervals import merge_intervals
+from .intervals import TILE, latest, merge_intervals, numbered
 
 
 def exon_subtype(exons: DataFrame, transcript: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -56,13 +56,14 @@ def utr_subtype(features: DataFrame, gene: Sequence[str]) -> DataFrame:
     return rows.withColumn("subtype", subtype).drop("__s", "__e", "__l", "__r")
 
 
-def kinship_groups(rows: DataFrame, files: Sequence[str], order: Sequence[str], parent: str, feature: str) -> DataFrame:
+def kinship_groups(rows: DataFrame, files: Sequence[str], order: Sequence[str], parent: str, feature: str, width: int = TILE) -> DataFrame:
     """``rows`` with ``master``: in the order of a file, a row without a parent opens a group that the rows behind it join.
 
-    Only for tables without usable parent ids; an equi-join on ids is cheaper and doesn't need an order.
+    ``order`` begins with a number, whose stretches of ``width`` are gone through side by side. Only for tables without
+    usable parent ids; an equi-join on ids is cheaper and doesn't need an order.
     """
     opens = F.when(F.col(parent).isNull(), F.col(feature))
-    return rows.withColumn("master", F.last(opens, ignorenulls=True).over(W.partitionBy(*files).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)))
+    return latest(rows, files, opens, order, F.floor(F.col(order[0]) / width), "master")
 
 
 def subfeature_rank(kind: Column, strand: Column) -> Column:
@@ -110,8 +111,8 @@ def expand_gene_features(parts: DataFrame, source: str) -> DataFrame:
     """
     by = ["seq_id", "parent_id", "strand"]
     bounds = parts.groupBy(*by).agg(F.min("start_pos").alias("start_pos"), F.max("end_pos").alias("end_pos"))
-    number = T.four_digits(F.row_number().over(W.partitionBy("seq_id").orderBy("start_pos", "end_pos", "parent_id")))
-    bounds = bounds.withColumn("number", number)
+    bounds = numbered(bounds, ["seq_id"], ["start_pos", "end_pos", "parent_id"], place=F.col("start_pos"))
+    bounds = bounds.withColumn("number", T.four_digits(F.col("number")))
     none = F.lit(None).cast("string")
     at = [F.col("start_pos").cast("string"), F.col("end_pos").cast("string")]
     gene = bounds.withColumn("gene", F.concat_ws("_", F.lit(source), *at, F.lit("gene"), "number"))

@@ -21,17 +21,47 @@ def _bins(first: Column, last: Column, width: int) -> Column:
     return F.sequence(F.floor(first / width), F.floor(last / width))
 
 
+#: Bins of an interval at its own scale at most, and how much wider the bins of the next scale are; the number of scales.
+SPREAD, SCALES = 16, 7
+
+
+def _scale(width: int) -> Column:
+    """The scale of an interval: its bins are ``width * SPREAD ** scale`` wide, so that it lies in ``SPREAD`` + 1 at most."""
+    size = F.col("end_pos") - F.col("start_pos")
+    return sum(((size >= width * SPREAD ** (k + 1)).cast("int") for k in range(SCALES - 1)), F.lit(0))
+
+
+def _scales(df: DataFrame, width: int) -> list[int]:
+    """The scales of a table's intervals: ``SCALES`` numbers at most."""
+    return sorted(r[0] for r in df.where("start_pos is not null and end_pos is not null").select(_scale(width)).distinct().collect()) or [0]
+
+
+def _dealt(df: DataFrame, width: int, other: Sequence[int], own: Sequence[int]) -> DataFrame:
+    """``df`` with ``__at`` (scale and bin): bins at the own scale, and at the greater scales that the other side has.
+
+    An interval is shorter than the bins of a greater scale, and lies in two of them at most.
+    """
+    bins = lambda k: F.transform(_bins(F.col("start_pos"), F.col("end_pos"), width * SPREAD**k), lambda b: F.struct(F.lit(k).alias("scale"), b.alias("bin")))
+    rows = df.withColumn("__scale", _scale(width))
+    parts = [F.when((F.col("__scale") == k) | (F.lit(k in other) & (F.col("__scale") < k)), bins(k)) for k in sorted({*own, *other})]
+    return rows.withColumn("__at", F.explode(F.flatten(F.array_compact(F.array(*parts)))))
+
+
 def overlap_join(left: DataFrame, right: DataFrame, keys: Sequence[str], strict: bool = True, width: int = BIN, how: str = "inner") -> DataFrame:
     """Pairs of overlapping intervals with equal keys; the right side's columns get the prefix ``r_``.
 
-    ``strict``: intervals that share just one boundary base don't overlap. Both sides are dealt to bins of ``width``
-    bases, so that a join on (keys, bin) is an equi-join; a pair is kept in the first bin that both have, which makes it
-    once without a ``distinct``. ``how`` may be ``left_semi``: then each left row that overlaps any comes once.
+    ``strict``: intervals that share just one boundary base don't overlap. Both sides are dealt to bins, so that a join on
+    (keys, scale, bin) is an equi-join. An interval has bins of its own scale, by its length, and a bin or two of each
+    greater scale that the other side has, so that a long feature makes few rows and doesn't meet all short ones of its
+    kind at a narrow scale. A pair meets at the greater one of its scales, in the first bin that both have there, which
+    makes it once without a ``distinct``. A bin with very many intervals is split by Spark's adaptive join.
+    ``how`` may be ``left_semi``: then each left row that overlaps any comes once.
     """
-    prefixed = right.select(*(F.col(c).alias(f"r_{c}") for c in right.columns))
-    a = left.withColumn("__bin", F.explode(_bins(F.col("start_pos"), F.col("end_pos"), width)))
-    b = prefixed.withColumn("__r_bin", F.explode(_bins(F.col("r_start_pos"), F.col("r_end_pos"), width)))
-    on = F.col("__bin") == F.col("__r_bin")
+    ours, theirs = _scales(left, width), _scales(right, width)
+    a = _dealt(left, width, theirs, ours)
+    b = _dealt(right, width, ours, theirs)
+    b = b.select(*(F.col(c).alias(f"r_{c}") for c in right.columns), F.col("__at").alias("__r_at"), F.col("__scale").alias("__r_scale"))
+    on = (F.col("__at") == F.col("__r_at")) & (F.col("__at.scale") == F.greatest("__scale", "__r_scale"))
     for k in keys:
         on &= F.col(k) == F.col(f"r_{k}")
     if strict:
@@ -40,8 +70,9 @@ def overlap_join(left: DataFrame, right: DataFrame, keys: Sequence[str], strict:
         on &= (F.col("start_pos") <= F.col("r_end_pos")) & (F.col("end_pos") >= F.col("r_start_pos"))
     if how == "left_semi":
         return a.join(b, on, "left_semi").select(*left.columns).distinct()
-    once = F.col("__bin") == F.floor(F.greatest("start_pos", "r_start_pos") / width)
-    return a.join(b, on & once).drop("__bin", "__r_bin", *(f"r_{k}" for k in keys))
+    wide = sum((F.when(F.col("__at.scale") == k, F.lit(width * SPREAD**k)).otherwise(0) for k in {*ours, *theirs}), F.lit(0))
+    once = F.col("__at.bin") == F.floor(F.greatest("start_pos", "r_start_pos") / wide)
+    return a.join(b, on & once).drop("__at", "__r_at", "__scale", "__r_scale", *(f"r_{k}" for k in keys))
 
 
 def band_join(left: DataFrame, right: DataFrame, keys: Sequence[str], column: str, reach: int, step: int = 1) -> DataFrame:
@@ -92,11 +123,11 @@ def cluster_intervals(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def longest_gap(merged: DataFrame, lengths: DataFrame, keys: Sequence[str]) -> DataFrame:
     """(keys, longest_gap): the longest run of bases outside the merged intervals of each row of ``lengths(keys, length)``."""
-    order = W.partitionBy(*keys).orderBy("start_pos")
-    gaps = merged.select(*keys, "end_pos", (F.col("start_pos") - F.coalesce(F.lag("end_pos").over(order), F.lit(0)) - 1).alias("gap"))
-    inner = gaps.groupBy(*keys).agg(F.max("gap").alias("gap"), F.max("end_pos").alias("last"))
+    nexts = following(merged.select(*keys, "start_pos", "end_pos"), keys, F.col("start_pos"), F.col("start_pos"))
+    inner = nexts.groupBy(*keys).agg(F.max(F.col("next") - F.col("end_pos") - 1).alias("between"), F.min("start_pos").alias("first"), F.max("end_pos").alias("last"))
     found = lengths.join(inner, list(keys), "left")
-    return found.select(*keys, F.when(F.col("gap").isNull(), F.col("length")).otherwise(F.greatest("gap", F.col("length") - F.col("last"))).alias("longest_gap"))
+    gap = F.greatest("between", F.col("first") - 1, F.col("length") - F.col("last"))
+    return found.select(*keys, F.when(F.col("first").isNull(), F.col("length")).otherwise(gap).alias("longest_gap"))
 
 
 def tiles_of(seqs: DataFrame, longest: int, overlap: int) -> DataFrame:
@@ -122,9 +153,34 @@ def cumulative_offset(exons: DataFrame, transcript: Sequence[str], strand: str =
     return exons.withColumn("offset", F.coalesce(F.sum(length).over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
 
 
-def numbered(df: DataFrame, groups: Sequence[str], order: Sequence[str | Column], name: str = "number") -> DataFrame:
-    """Rows numbered from 1 inside each group."""
-    return df.withColumn(name, F.row_number().over(W.partitionBy(*groups).orderBy(*order)))
+def numbered(df: DataFrame, groups: Sequence[str], order: Sequence[str | Column], name: str = "number", place: Column | None = None, width: int = TILE) -> DataFrame:
+    """Rows numbered from 1 inside each group.
+
+    ``place``: what the order begins with, if that is a number. Groups are then cut into stretches of ``width`` places and
+    numbered inside them; the counts of the stretches before come from a small table, so that no group is one task.
+    """
+    if place is None:
+        return df.withColumn(name, F.row_number().over(W.partitionBy(*groups).orderBy(*order)))
+    t = df.withColumn("__stretch", F.floor(place / width))
+    by = [*groups, "__stretch"]
+    before = W.partitionBy(*groups).orderBy("__stretch").rowsBetween(W.unboundedPreceding, -1)
+    ahead = t.groupBy(*by).agg(F.count("*").alias("__n")).select(*by, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__ahead"))
+    inside = F.row_number().over(W.partitionBy(*by).orderBy(*order))
+    return t.withColumn("__inside", inside).join(ahead, by).withColumn(name, F.col("__ahead") + F.col("__inside")).drop("__stretch", "__inside", "__ahead")
+
+
+def latest(df: DataFrame, keys: Sequence[str], value: Column, order: Sequence[str], stretch: Column, name: str) -> DataFrame:
+    """``df`` with the last ``value`` up to each row that isn't null, in the order of ``order``.
+
+    ``stretch`` grows with the order: values cross from stretch to stretch by way of a small table of last values.
+    """
+    t = df.withColumn("__v", value).withColumn("__stretch", stretch)
+    by = [*keys, "__stretch"]
+    before = W.partitionBy(*keys).orderBy("__stretch").rowsBetween(W.unboundedPreceding, -1)
+    ends = t.groupBy(*by).agg(F.max_by("__v", F.when(F.col("__v").isNotNull(), F.struct(*order))).alias("__last"))
+    ends = ends.select(*by, F.last("__last", ignorenulls=True).over(before).alias("__before"))
+    inside = F.last("__v", ignorenulls=True).over(W.partitionBy(*by).orderBy(*order).rowsBetween(W.unboundedPreceding, 0))
+    return t.withColumn("__inside", inside).join(ends, by).withColumn(name, F.coalesce("__inside", "__before")).drop("__v", "__stretch", "__inside", "__before")
 
 
 def following(df: DataFrame, keys: Sequence[str], value: Column, place: Column, name: str = "next", width: int = TILE) -> DataFrame:

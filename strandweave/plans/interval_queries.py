@@ -111,7 +111,7 @@ def e10(t):
 
 @query("g1_numbering", "SELECT feature_id, lpad(row_number() OVER (PARTITION BY seq_id, strand ORDER BY start_pos, end_pos, feature_id)::VARCHAR, 5, '0') AS number FROM fx_exons")
 def g1(t):
-    return I.numbered(t.fx_exons, ["seq_id", "strand"], ["start_pos", "end_pos", "feature_id"]).select("feature_id", F.lpad(F.col("number").cast("string"), 5, "0").alias("number"))
+    return I.numbered(t.fx_exons, ["seq_id", "strand"], ["start_pos", "end_pos", "feature_id"], place=F.col("start_pos"), width=4096).select("feature_id", F.lpad(F.col("number").cast("string"), 5, "0").alias("number"))
 
 
 @query(
@@ -175,7 +175,7 @@ def g8(t):
 def g13(t):
     from strandweave.operators.features import kinship_groups
 
-    return kinship_groups(t.fx_exons.withColumn("parent", F.when(F.col("file_level") != 0, F.lit("any"))), ["seq_id"], ["start_pos", "feature_id"], "parent", "feature_id").select("feature_id", F.col("master"))
+    return kinship_groups(t.fx_exons.withColumn("parent", F.when(F.col("file_level") != 0, F.lit("any"))), ["seq_id"], ["start_pos", "feature_id"], "parent", "feature_id", 4096).select("feature_id", F.col("master"))
 
 
 @query(
@@ -216,7 +216,7 @@ def g17(t):
 
 @query("h1_sorted_features", "SELECT seq_id, feature_id, row_number() OVER (PARTITION BY seq_id ORDER BY start_pos, end_pos, feature_id) AS place FROM fx_exons")
 def h1(t):
-    return I.numbered(t.fx_exons, ["seq_id"], ["start_pos", "end_pos", "feature_id"], "place").select("seq_id", "feature_id", F.col("place").cast("long").alias("place"))
+    return I.numbered(t.fx_exons, ["seq_id"], ["start_pos", "end_pos", "feature_id"], "place", F.col("start_pos"), 4096).select("seq_id", "feature_id", F.col("place").cast("long").alias("place"))
 
 
 @query("h2_strand_order", "SELECT parent_id, feature_id, row_number() OVER (PARTITION BY parent_id ORDER BY start_pos * strand, feature_id) AS place FROM fx_exons")

@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from strandweave.functions import text as T
+from strandweave.operators.intervals import latest
 
 
 
@@ -67,14 +68,19 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
 def read_fasta_tiles(spark: SparkSession, path: str, width: int = 65_536) -> DataFrame:
     """(seq_id, tile_no, tile_start, residues): lines find their header and their offset, then meet by tile.
 
-    No record has to fit into a row. Lines of one file are in one window, so files should hold a few sequences each.
+    No record has to fit into a row, and no file into a task: header and offset are carried from block to block of a file
+    by a table with a row for each block (the bases in it, and its last header).
     """
     rows = lines(spark, path).where("trim(value) <> ''")
-    order = W.partitionBy("file").orderBy("ordinal")
     header = F.when(F.startswith("value", F.lit(">")), T.clean_seq_name(F.col("value")))
-    rows = rows.withColumn("seq_id", F.last(header, ignorenulls=True).over(order)).where("value not like '>%' and seq_id is not null").withColumn("value", F.trim("value"))
-    before = F.coalesce(F.sum(F.length("value")).over(W.partitionBy("file", "seq_id").orderBy("ordinal").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    rows = rows.withColumn("at", before)
+    rows = rows.withColumns({"header": header, "value": F.trim("value")}).withColumn("size", F.when(F.col("header").isNull(), F.length("value")).otherwise(0))
+    blocks = rows.groupBy("file", "__block").agg(F.sum("size").alias("bases"))
+    blocks = blocks.select("file", "__block", F.coalesce(F.sum("bases").over(W.partitionBy("file").orderBy("__block").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("ahead"))
+    inside = F.coalesce(F.sum("size").over(W.partitionBy("file", "__block").orderBy("ordinal").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    rows = rows.withColumn("inside", inside).join(blocks, ["file", "__block"]).withColumn("before", F.col("ahead") + F.col("inside"))
+    opens = F.when(F.col("header").isNotNull(), F.struct(F.col("header").alias("seq_id"), F.col("before").alias("base")))
+    rows = latest(rows, ["file"], opens, ["ordinal"], F.col("__block"), "record").where("header is null and record is not null")
+    rows = rows.select("value", F.col("record.seq_id").alias("seq_id"), (F.col("before") - F.col("record.base")).alias("at"))
     first, last = F.floor(F.col("at") / width), F.floor((F.col("at") + F.length("value") - 1) / width)
     cut = rows.withColumn("tile_no", F.explode(F.sequence(first, last)))
     begin = F.greatest(F.col("at"), F.col("tile_no") * width)

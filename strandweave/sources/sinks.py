@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from strandweave.functions.sequence import wrap_sequence
@@ -25,9 +26,20 @@ def region_lines(sequences: DataFrame, note: str) -> DataFrame:
 
 
 def write_gff3(features: DataFrame, sequences: DataFrame, path: str, note: str = "annotation") -> None:
-    """One folder a sequence: its region line, then its features by start."""
+    """One folder a sequence, with its region line and then its features by start in one file or several.
+
+    Rows are dealt by ranges of (seq_id, start_pos, line), so that a long sequence is the work of several tasks. Files of a
+    folder follow each other by name; ``gff3_files`` lists them.
+    """
     rows = region_lines(sequences, note).unionByName(gff3_lines(features))
-    rows.repartition("seq_id").sortWithinPartitions("seq_id", "start_pos", "line").select("seq_id", F.col("line").alias("value")).write.partitionBy("seq_id").text(path)
+    rows = rows.repartitionByRange("seq_id", "start_pos", "line").sortWithinPartitions("seq_id", "start_pos", "line")
+    rows.select("seq_id", F.col("line").alias("value")).write.partitionBy("seq_id").text(path)
+
+
+def gff3_files(spark: SparkSession, path: str) -> DataFrame:
+    """(seq_id, nth, file): the files of ``write_gff3`` in the order in which they make up each sequence's sorted GFF3."""
+    found = spark.read.text(path).select("seq_id", F.col("_metadata.file_path").alias("file")).distinct()
+    return found.select(F.col("seq_id").cast("string").alias("seq_id"), F.row_number().over(W.partitionBy("seq_id").orderBy("file")).alias("nth"), "file")
 
 
 def write_fasta(seqs: DataFrame, path: str, width: int = 60) -> None:

@@ -123,3 +123,45 @@ def test_chains_on_the_minus_strand(spark):
     rows = [("q", "h", -1, 100, 1, 40, 2001, 2040, 40, 40, 50), ("q", "h", -1, 100, 41, 100, 1001, 1060, 60, 60, 90), ("q", "h", -1, 100, 41, 100, 3001, 3060, 60, 60, 10)]
     got = T.chain_hsps(spark.createDataFrame(rows, columns)).collect()
     assert [(r.q_start, r.q_end, r.h_start, r.h_end, r.n_hsps, r.coverage) for r in got] == [(1, 100, 1001, 2040, 2, 1.0)]
+
+
+def scaled(rng, n, longest):
+    starts = [rng.randrange(1, 3_000_000) for _ in range(n)]
+    return [(a, a + int(10 ** (rng.random() * longest))) for a in starts]
+
+
+@pytest.mark.parametrize(("ours", "theirs"), [(2, 2), (2, 6.5), (6.5, 2), (6.5, 6.5)])
+@pytest.mark.parametrize("strict", [True, False])
+def test_range_join_of_all_lengths(spark, ours, theirs, strict):
+    rng = random.Random(11)
+    left, right = scaled(rng, 150, ours), scaled(rng, 150, theirs)
+    meets = (lambda a, b: a[0] < b[1] and a[1] > b[0]) if strict else (lambda a, b: a[0] <= b[1] and a[1] >= b[0])
+    want = sorted((i, j) for i, a in enumerate(left) for j, b in enumerate(right) if meets(a, b))
+    l, r = spans(spark, left), spans(spark, right)
+    assert sorted((x.id, x.r_id) for x in I.overlap_join(l, r, ["seq_id"], strict, 100).collect()) == want
+    assert sorted(x.id for x in I.overlap_join(l, r, ["seq_id"], strict, 100, "left_semi").collect()) == sorted({i for i, _ in want})
+    assert I.overlap_join(l, r.limit(0), ["seq_id"]).collect() == []
+
+
+def test_a_long_feature_makes_few_rows(spark):
+    long = spans(spark, [(1, 100_000_000), (5, 9), (7, 160_000), (9, 160_009)])
+    n = {r.id: r.n for r in I._dealt(long, I.BIN, [0, 1, 2, 3, 4], [0, 1, 2, 3, 4]).groupBy("id").agg(F.count("*").alias("n")).collect()}
+    assert n[0] < 50 and n[1] == 5 and n[2] == 17 + 5 and max(n.values()) < 50
+
+
+def test_numbers_and_latest_values_cross_stretches(spark):
+    rng = random.Random(12)
+    rows = [(rng.choice("ab"), rng.randrange(1, 500), i, rng.choice([None, None, f"v{i}"])) for i in range(300)]
+    table = spark.createDataFrame(rows, "seq_id string, start_pos long, id long, v string")
+    got = {r.id: (r.number, r.last) for r in I.latest(I.numbered(table, ["seq_id"], ["start_pos", "id"], place=F.col("start_pos"), width=7), ["seq_id"], F.col("v"), ["start_pos", "id"], F.floor(F.col("start_pos") / 16), "last").collect()}
+    for name in "ab":
+        last = None
+        for k, (_, _, i, v) in enumerate(sorted((r for r in rows if r[0] == name), key=lambda r: (r[1], r[2])), 1):
+            last = v or last
+            assert got[i] == (k, last)
+
+
+def test_longest_gap(spark):
+    lengths = spark.createDataFrame([("a", 100), ("b", 50), ("c", 9)], "seq_id string, length long")
+    merged = spark.createDataFrame([("a", 11, 20), ("a", 61, 70), ("b", 40, 45), ("z", 1, 2)], "seq_id string, start_pos long, end_pos long")
+    assert {tuple(r) for r in I.longest_gap(merged, lengths, ["seq_id"]).collect()} == {("a", 40), ("b", 39), ("c", 9)}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from strandweave.sources import reports, sinks
 
@@ -38,6 +39,20 @@ def test_fasta(spark, tmp_path):
     assert tiles == [("seq_1", 0, 1, "ACGT"), ("seq_1", 1, 5, "AC"), ("unknownId", 0, 1, "A"), ("x", 0, 1, "GGG")]
 
 
+def test_a_long_record_is_read_by_all_splits_of_its_file(spark, tmp_path):
+    bases = "".join("ACGT"[(i * i + i // 7) % 4] for i in range(60_000))
+    wrapped = "\n".join(bases[i : i + 60] for i in range(0, len(bases), 60))
+    path = write(tmp_path / "long.fa", f">first\nACGT\n\n>long one\n{wrapped}\n>last\nGG\nTT\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "7000")
+    try:
+        assert reports.lines(spark, path).rdd.getNumPartitions() > 5
+        tiles = sorted(tuple(r) for r in reports.read_fasta_tiles(spark, path, 1000).collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert tiles == sorted([("first", 0, 1, "ACGT"), ("last", 0, 1, "GGTT"), *(("long", k, 1000 * k + 1, bases[1000 * k : 1000 * k + 1000]) for k in range(60))])
+
+
 def test_search_xml(spark, tmp_path):
     text = """<BlastOutput><BlastOutput_iterations><Iteration><Iteration_query-def>q1</Iteration_query-def><Iteration_hits>
 <Hit><Hit_accession>h1</Hit_accession><Hit_len>100</Hit_len><Hit_def>some def</Hit_def><Hit_hsps>
@@ -112,6 +127,22 @@ def test_gff3_round_trip(spark, tmp_path):
     assert as_set(again.where("type <> 'region'")) == as_set(features)
 
 
+def test_a_long_sequence_is_written_by_several_tasks_in_order(spark, tmp_path):
+    features = spark.range(4000).select(F.when(F.col("id") < 3990, "chr1").otherwise("chr2").alias("seq_id"), F.lit("T").alias("source"), F.lit("exon").alias("type"), (F.col("id") * 7919 % 100_003 + 1).alias("start_pos"), (F.col("id") * 7919 % 100_003 + 9).alias("end_pos"), F.lit(None).cast("double").alias("score"), F.lit(1).alias("strand"), F.lit(None).cast("int").alias("phase"), F.create_map(F.lit("ID"), F.array(F.col("id").cast("string"))).alias("attributes"))
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sinks.write_gff3(features, spark.createDataFrame([("chr1", 200_000), ("chr2", 200_000)], "seq_id string, length long"), str(tmp_path / "out"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    files = sinks.gff3_files(spark, str(tmp_path / "out")).orderBy("seq_id", "nth").collect()
+    assert sum(r.seq_id == "chr1" for r in files) > 1
+    for name, n in (("chr1", 3990), ("chr2", 10)):
+        text = "".join(open(r.file.removeprefix("file:")).read() for r in files if r.seq_id == name).splitlines()
+        starts = [int(line.split("\t")[3]) for line in text]
+        assert len(text) == n + 1 and "\tregion\t" in text[0] and starts[1:] == sorted(starts[1:])
+
+
 def test_plain_sinks(spark, tmp_path):
     sinks.write_fasta(spark.createDataFrame([("s", "ACGTACGTA")], "seq_id string, residues string"), str(tmp_path / "f"), 4)
     assert [tuple(r) for r in reports.read_fasta(spark, str(tmp_path / "f")).collect()] == [("s", "", "ACGTACGTA")]
