@@ -262,3 +262,24 @@ def repair_start_stop(parts: DataFrame, tiles: DataFrame, lengths: DataFrame, mo
     a, b = F.coalesce("start_shift", F.lit(0)), F.coalesce("stop_shift", F.lit(0))
     low, high = F.when(plus, F.col("low") - a).otherwise(F.col("low") - b), F.when(plus, F.col("high") + b).otherwise(F.col("high") + a)
     return rows.select(model, "strand", low.alias("start_pos"), high.alias("end_pos"), "start_shift", "stop_shift", "unsure")
+
+
+def apply_repairs(features: DataFrame, repaired: DataFrame, model: str = "parent_id", transcript: str = "transcript_id") -> DataFrame:
+    """``features`` with the ends of repaired models moved (``repair_start_stop``).
+
+    ``features(model, transcript, type, start_pos, end_pos, …)`` are gene (without a transcript), mRNA, exon and
+    polypeptide rows. A start or stop that was found moves the gene, each mRNA, and of each transcript the exon and the
+    polypeptide at that end; ends that needed no repair stay where they are. Rows of other types and models stay too.
+    """
+    plus = F.col("strand") != -1
+    moves = repaired.select(
+        model, F.when(F.when(plus, F.col("start_shift")).otherwise(F.col("stop_shift")).isNotNull(), F.col("start_pos")).alias("__low"),
+        F.when(F.when(plus, F.col("stop_shift")).otherwise(F.col("start_shift")).isNotNull(), F.col("end_pos")).alias("__high"),
+    )
+    of = [model, transcript, "type"]
+    ends = features.where(F.col("type").isin("gene", "mRNA", "exon", "polypeptide")).groupBy(*of).agg(F.min(F.struct("start_pos", "end_pos")).alias("__first"), F.max(F.struct("start_pos", "end_pos")).alias("__last"))
+    ends = ends.join(moves, model).withColumnsRenamed({c: f"__of_{c}" for c in of})
+    rows = features.join(ends, (F.col(model) == F.col(f"__of_{model}")) & F.col(transcript).eqNullSafe(F.col(f"__of_{transcript}")) & (F.col("type") == F.col("__of_type")), "left")
+    here = F.struct("start_pos", "end_pos")
+    low, high = F.when(here == F.col("__first"), F.col("__low")), F.when(here == F.col("__last"), F.col("__high"))
+    return rows.withColumns({"start_pos": F.coalesce(low, "start_pos"), "end_pos": F.coalesce(high, "end_pos")}).select(*features.columns)

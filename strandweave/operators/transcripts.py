@@ -165,6 +165,38 @@ def rescue_by_junctions(chains: DataFrame, abinitio: DataFrame) -> DataFrame:
     return found.groupBy("parent_id").agg(F.min(F.struct("file_order", "model_id")).alias("m")).select("parent_id", F.col("m.model_id").alias("model_id"))
 
 
+def take_over_cds(parts: DataFrame, rescued: DataFrame, model_parts: DataFrame) -> DataFrame:
+    """The transcripts of ``rescued(parent_id, model_id)`` with the coding region of their model.
+
+    ``parts(seq_id, parent_id, strand, type, start_pos, end_pos)`` are exons, or UTR and polypeptide pieces, of all
+    transcripts; ``model_parts(model_id, start_pos, end_pos)`` are the models' coding parts. Pieces of a rescued transcript
+    that touch are one exon again, and are cut anew where the model's region begins and ends; the other transcripts keep
+    theirs. Columns are those of ``parts``, and ``model_id``.
+    """
+    by = ["seq_id", "parent_id", "strand"]
+    spans = model_parts.groupBy("model_id").agg(F.min("start_pos").alias("low"), F.max("end_pos").alias("high"))
+    exons = merge_intervals(parts.join(rescued, "parent_id", "left_semi"), by).drop("n").join(rescued, "parent_id").join(spans, "model_id")
+    piece = lambda name, a, b: F.struct(name.alias("type"), a.alias("start_pos"), b.alias("end_pos"))
+    plus = F.col("strand") != -1
+    left, right = F.when(plus, "five_prime_UTR").otherwise("three_prime_UTR"), F.when(plus, "three_prime_UTR").otherwise("five_prime_UTR")
+    cut = F.array(
+        piece(left, F.col("start_pos"), F.least(F.col("end_pos"), F.col("low") - 1)),
+        piece(F.lit("polypeptide"), F.greatest("start_pos", "low"), F.least("end_pos", "high")),
+        piece(right, F.greatest(F.col("start_pos"), F.col("high") + 1), F.col("end_pos")),
+    )
+    new = exons.select(*by, "model_id", F.explode(F.filter(cut, lambda p: p["start_pos"] <= p["end_pos"])).alias("p")).select(*by, "p.*", "model_id")
+    others = parts.join(rescued, "parent_id", "left_anti").select(*by, "type", "start_pos", "end_pos", F.lit(None).cast("string").alias("model_id"))
+    return others.unionByName(new)
+
+
+def rescued_figures(figures: DataFrame, rescued: DataFrame, model_parts: DataFrame) -> DataFrame:
+    """``figures(parent_id, status, aa_length, …)`` with the rescued transcripts complete, and their new protein length (without the stop)."""
+    bases = model_parts.groupBy("model_id").agg(F.sum(F.col("end_pos") - F.col("start_pos") + 1).alias("__bases"))
+    rows = figures.join(rescued.join(bases, "model_id").select("parent_id", "__bases"), "parent_id", "left")
+    new = F.col("__bases").isNotNull()
+    return rows.withColumns({"status": F.when(new, "complete").otherwise(F.col("status")), "aa_length": F.when(new, F.floor(F.col("__bases") / 3) - 1).otherwise(F.col("aa_length"))}).select(*figures.columns)
+
+
 def multiplicity(parts: DataFrame) -> DataFrame:
     """(seq_id, strand, start_pos, end_pos, n): how often each part occurs."""
     return parts.groupBy("seq_id", "strand", "start_pos", "end_pos").agg(F.count("*").alias("n"))

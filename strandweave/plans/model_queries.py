@@ -317,7 +317,46 @@ def f24(t):
     return rows.select("parent_id", "strand", F.array_join(F.transform("segments", lambda s: F.concat(s["start_pos"].cast("string"), F.lit("-"), s["end_pos"].cast("string"), s["class"])), " ").alias("segments"))
 
 
-@query("n6_repair_start_stop")
-def n6(t):
+#: Sequences and models on the axis of their strand; codons upstream and downstream are lists from the model's ends on.
+REPAIRED = f"""{CODING}, ends AS (SELECT seq_id, parent_id, strand, min(start_pos) AS low, max(end_pos) AS high, arg_min(end_pos - start_pos + 1, start_pos * strand) AS first_len FROM d GROUP BY ALL),
+ax AS (SELECT e.seq_id, e.parent_id, e.strand, low, high, length(residues) AS n, upper(CASE WHEN e.strand <> -1 THEN residues ELSE {sql_revcomp("residues")} END) AS s,
+  CASE WHEN e.strand <> -1 THEN low ELSE length(residues) - high + 1 END AS a, CASE WHEN e.strand <> -1 THEN high ELSE length(residues) - low + 1 END AS b,
+  (CASE WHEN first_len - 12 <= 6 THEN greatest(0, first_len - 6) ELSE 12 END) // 3 * 3 AS inside, {sql_protein("coding")} AS protein
+  FROM ends e JOIN fx_sequences q ON q.seq_id = e.seq_id JOIN coding c ON c.parent_id = e.parent_id AND c.seq_id = e.seq_id),
+cd AS (SELECT *, protein LIKE 'M%' AS has_start, protein LIKE '%*' AS has_stop,
+  list_transform(range(0, (least(600, a - 1) + inside) // 3 + 1), lambda k: substring(s, CAST(a + inside - 3 * k AS INT), 3)) AS ups,
+  list_transform(range(0, least(600, n - b) // 3), lambda k: substring(s, CAST(b + 1 + 3 * k AS INT), 3)) AS downs FROM ax),
+wh AS (SELECT *, list_position(ups, 'ATG') AS atg, list_min(list_filter([list_position(ups, 'TAA'), list_position(ups, 'TAG'), list_position(ups, 'TGA')], lambda x: x > 0)) AS bar,
+  list_min(list_filter([list_position(downs, 'TAA'), list_position(downs, 'TAG'), list_position(downs, 'TGA')], lambda x: x > 0)) AS stop FROM cd),
+sh AS (SELECT *, CASE WHEN NOT has_start AND atg > 0 AND (bar IS NULL OR atg < bar) THEN (atg - 1) * 3 - inside END AS start_shift, CASE WHEN NOT has_stop THEN stop * 3 END AS stop_shift,
+  (NOT has_start AND len(list_filter(ups[1:least(CASE WHEN atg > 0 THEN atg ELSE len(ups) END, coalesce(bar, len(ups)))], lambda c: contains(c, 'N'))) > 0)
+  OR (NOT has_stop AND len(list_filter(downs[1:coalesce(stop, len(downs))], lambda c: contains(c, 'N'))) > 0) AS unsure FROM wh),
+repaired AS (SELECT parent_id, strand, (CASE WHEN strand <> -1 THEN low - coalesce(start_shift, 0) ELSE low - coalesce(stop_shift, 0) END)::BIGINT AS start_pos,
+  (CASE WHEN strand <> -1 THEN high + coalesce(stop_shift, 0) ELSE high + coalesce(start_shift, 0) END)::BIGINT AS end_pos, start_shift::BIGINT AS start_shift, stop_shift::BIGINT AS stop_shift, unsure FROM sh)"""
+
+
+def repaired(t):
     lengths = t.fx_sequences.select("seq_id", F.length("residues").cast("long").alias("length"))
     return G.repair_start_stop(t.fx_cds.distinct(), tiles(t), lengths, width=W)
+
+
+@query("n6_repair_start_stop", f"WITH {REPAIRED} SELECT * FROM repaired")
+def n6(t):
+    return repaired(t)
+
+
+@query(
+    "n6_apply_repairs",
+    f"""WITH {REPAIRED}, ft AS (SELECT parent_id, NULL::VARCHAR AS transcript_id, 'gene' AS type, low - 30 AS start_pos, high + 30 AS end_pos FROM ends
+    UNION ALL SELECT parent_id, concat(parent_id, '_t'), 'mRNA', low - 30, high + 30 FROM ends UNION ALL SELECT parent_id, concat(parent_id, '_t'), 'polypeptide', start_pos, end_pos FROM d
+    UNION ALL SELECT parent_id, concat(parent_id, '_t'), 'intron', low, high FROM ends),
+    kx AS (SELECT ft.*, row_number() OVER w AS k, count(*) OVER (PARTITION BY ft.parent_id, transcript_id, type) AS n FROM ft WINDOW w AS (PARTITION BY ft.parent_id, transcript_id, type ORDER BY start_pos, end_pos))
+    SELECT kx.parent_id, transcript_id, type, CASE WHEN type <> 'intron' AND k = 1 AND CASE WHEN strand <> -1 THEN start_shift ELSE stop_shift END IS NOT NULL THEN r.start_pos ELSE kx.start_pos END AS start_pos,
+    CASE WHEN type <> 'intron' AND k = n AND CASE WHEN strand <> -1 THEN stop_shift ELSE start_shift END IS NOT NULL THEN r.end_pos ELSE kx.end_pos END AS end_pos FROM kx LEFT JOIN repaired r ON r.parent_id = kx.parent_id""",
+)
+def n6_apply(t):
+    parts = t.fx_cds.distinct()
+    ends = parts.groupBy("parent_id").agg(F.min("start_pos").alias("low"), F.max("end_pos").alias("high"))
+    row = lambda df, kind, a, b, own=True: df.select("parent_id", (F.concat("parent_id", F.lit("_t")) if own else F.lit(None).cast("string")).alias("transcript_id"), F.lit(kind).alias("type"), F.expr(a).alias("start_pos"), F.expr(b).alias("end_pos"))
+    features = row(ends, "gene", "low - 30", "high + 30", False).unionAll(row(ends, "mRNA", "low - 30", "high + 30")).unionAll(row(parts, "polypeptide", "start_pos", "end_pos")).unionAll(row(ends, "intron", "low", "high"))
+    return G.apply_repairs(features, repaired(t))

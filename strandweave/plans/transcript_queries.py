@@ -15,7 +15,7 @@ from strandweave.operators import transcripts as S
 from strandweave.operators.masking import to_tiles
 
 from .expression_queries import _sql_so, sql_protein, sql_revcomp
-from .interval_queries import GENES, genes
+from .interval_queries import GENES, _islands_sql, genes
 from .registry import query
 
 #: Tiles are narrow, so that features of the short test sequences cross them.
@@ -149,17 +149,55 @@ def shifted_chains(t):
     return S.junction_chains(rest, ["seq_id", "model_id", "file_order"])
 
 
-@query(
-    "n23_rescue_by_junctions",
-    """WITH n AS (SELECT *, row_number() OVER (PARTITION BY seq_id, parent_id ORDER BY start_pos, end_pos) AS k, lead(start_pos) OVER (PARTITION BY seq_id, parent_id ORDER BY start_pos, end_pos) AS nx FROM fx_exons),
+RESCUED = """n AS (SELECT *, row_number() OVER (PARTITION BY seq_id, parent_id ORDER BY start_pos, end_pos) AS k, lead(start_pos) OVER (PARTITION BY seq_id, parent_id ORDER BY start_pos, end_pos) AS nx FROM fx_exons),
     ch AS (SELECT seq_id, parent_id, concat('_', string_agg(concat(end_pos::VARCHAR, '_', nx::VARCHAR), '_' ORDER BY start_pos, concat(end_pos::VARCHAR, '_', nx::VARCHAR)), '_') AS chain FROM n WHERE nx IS NOT NULL GROUP BY seq_id, parent_id),
-    ab AS (SELECT seq_id, concat('a', parent_id) AS model_id, CAST(substring(parent_id, 2) AS BIGINT) AS ord, concat('_', string_agg(concat(end_pos::VARCHAR, '_', nx::VARCHAR), '_' ORDER BY start_pos, concat(end_pos::VARCHAR, '_', nx::VARCHAR)), '_') AS wanted FROM n WHERE nx IS NOT NULL AND k > 1 GROUP BY seq_id, parent_id)
-    SELECT parent_id, arg_min(model_id, ord) AS model_id FROM ch JOIN ab ON ch.seq_id = ab.seq_id AND contains(chain, wanted) GROUP BY parent_id""",
-)
+    ab AS (SELECT seq_id, concat('a', parent_id) AS model_id, CAST(substring(parent_id, 2) AS BIGINT) AS ord, concat('_', string_agg(concat(end_pos::VARCHAR, '_', nx::VARCHAR), '_' ORDER BY start_pos, concat(end_pos::VARCHAR, '_', nx::VARCHAR)), '_') AS wanted FROM n WHERE nx IS NOT NULL AND k > 1 GROUP BY seq_id, parent_id),
+    res AS (SELECT parent_id, arg_min(model_id, ord) AS model_id FROM ch JOIN ab ON ch.seq_id = ab.seq_id AND contains(chain, wanted) GROUP BY parent_id)"""
+
+
+@query("n23_rescue_by_junctions", f"WITH {RESCUED} SELECT parent_id, model_id FROM res")
 def n23(t):
     return S.rescue_by_junctions(S.junction_chains(t.fx_exons, ["seq_id", "parent_id"]), shifted_chains(t))
 
 
+#: The models' coding parts: the genes' exons but the first.
+MODEL_PARTS = f"""{RESCUED}, mp AS (SELECT concat('a', parent_id) AS model_id, start_pos, end_pos FROM n WHERE k > 1)"""
+
+
+def model_parts(t):
+    from pyspark.sql import Window as W
+
+    k = F.row_number().over(W.partitionBy("seq_id", "parent_id").orderBy("start_pos", "end_pos"))
+    return t.fx_exons.withColumn("k", k).where("k > 1").select(F.concat(F.lit("a"), "parent_id").alias("model_id"), "start_pos", "end_pos")
+
+
+@query(
+    "n23_take_over_cds",
+    f"""WITH {MODEL_PARTS}, sp AS (SELECT model_id, min(start_pos) AS low, max(end_pos) AS high FROM mp GROUP BY model_id),
+    ex AS (SELECT x.*, res.model_id FROM fx_exons x JOIN res ON res.parent_id = x.parent_id), {_islands_sql("ex", "seq_id, parent_id, strand", 1)},
+    m AS (SELECT seq_id, parent_id, strand, model_id, min(start_pos) AS s, max(end_pos) AS e FROM b GROUP BY seq_id, parent_id, strand, model_id, island),
+    pc AS (SELECT seq_id, parent_id, strand, CASE WHEN strand <> -1 THEN 'five_prime_UTR' ELSE 'three_prime_UTR' END AS type, s AS start_pos, least(e, low - 1) AS end_pos, model_id FROM m JOIN sp USING (model_id)
+    UNION ALL SELECT seq_id, parent_id, strand, 'polypeptide', greatest(s, low), least(e, high), model_id FROM m JOIN sp USING (model_id)
+    UNION ALL SELECT seq_id, parent_id, strand, CASE WHEN strand <> -1 THEN 'three_prime_UTR' ELSE 'five_prime_UTR' END, greatest(s, high + 1), e, model_id FROM m JOIN sp USING (model_id))
+    SELECT * FROM pc WHERE start_pos <= end_pos
+    UNION ALL SELECT x.seq_id, x.parent_id, x.strand, 'exon', x.start_pos, x.end_pos, NULL FROM fx_exons x LEFT JOIN res ON res.parent_id = x.parent_id WHERE res.parent_id IS NULL""",
+)
+def n23_cds(t):
+    return S.take_over_cds(t.fx_exons.withColumn("type", F.lit("exon")), n23(t), model_parts(t))
+
+
+@query(
+    "n23_rescued_figures",
+    f"""WITH {MODEL_PARTS}, g AS (SELECT parent_id, CASE WHEN min(start_pos) % 3 = 0 THEN '5''partial' ELSE 'complete' END AS status, min(end_pos) % 100 AS aa_length FROM fx_exons GROUP BY parent_id),
+    bs AS (SELECT parent_id, sum(end_pos - start_pos + 1) AS bases FROM res JOIN mp USING (model_id) GROUP BY parent_id)
+    SELECT g.parent_id, CASE WHEN bases IS NULL THEN status ELSE 'complete' END AS status, (CASE WHEN bases IS NULL THEN aa_length ELSE bases // 3 - 1 END)::BIGINT AS aa_length FROM g LEFT JOIN bs ON bs.parent_id = g.parent_id""",
+)
+def n23_figures(t):
+    rows = t.fx_exons.groupBy("parent_id").agg(F.min("start_pos").alias("s"), F.min("end_pos").alias("e"))
+    given = rows.select("parent_id", F.when(F.col("s") % 3 == 0, "5'partial").otherwise("complete").alias("status"), (F.col("e") % 100).alias("aa_length"))
+    return S.rescued_figures(given, n23(t), model_parts(t))
+
+
 @query(
     "e8_chain_containment",
     """WITH n AS (SELECT *, row_number() OVER (PARTITION BY seq_id, parent_id ORDER BY start_pos, end_pos) AS k, lead(start_pos) OVER (PARTITION BY seq_id, parent_id ORDER BY start_pos, end_pos) AS nx FROM fx_exons),
