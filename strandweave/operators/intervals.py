@@ -196,6 +196,38 @@ def following(df: DataFrame, keys: Sequence[str], value: Column, place: Column,
     return t.withColumn("__inside", inside).join(beyond, by).withColumn(name, F.coalesce("__inside", "__beyond")).drop("__v", "__stretch", "__inside", "__beyond")
 
 
+class Overlaps:
+    """Intervals of one group in a task, in classes by length, each sorted by start.
+
+    Of a class of lengths below ``2 ** k`` those that reach into a stretch start at most that far before it, so that looking
+    them up costs about what is found. A class is packed once half of what it had is gone.
+    """
+
+    def __init__(self, start: np.ndarray, end: np.ndarray):
+        self.start, self.end, self.left = start, end, np.ones(len(start), bool)
+        kind = np.ceil(np.log2(np.maximum(end - start, 1) + 1)).astype(int)
+        self.classes = {k: rows[np.argsort(start[rows], kind="stable")] for k in np.unique(kind).tolist() for rows in [np.flatnonzero(kind == k)]}
+        self.starts = {k: start[rows] for k, rows in self.classes.items()}
+        self.gone = dict.fromkeys(self.classes, 0)
+
+    def over(self, low: int, high: int) -> np.ndarray:
+        """What is left of the intervals that start before ``high`` and end behind ``low``."""
+        found = [np.zeros(0, np.int64)]
+        for k, rows in self.classes.items():
+            first, last = np.searchsorted(self.starts[k], (low - (1 << k), high))
+            rows = rows[first:last]
+            found.append(rows[self.left[rows] & (self.end[rows] > low)])
+        return np.concatenate(found)
+
+    def drop(self, rows: np.ndarray) -> None:
+        self.left[rows] = False
+        for k, of in self.classes.items():
+            self.gone[k] += len(rows)
+            if 2 * self.gone[k] > len(of) > 64:
+                self.classes[k] = of = of[self.left[of]]
+                self.starts[k], self.gone[k] = self.start[of], 0
+
+
 def folded(df: DataFrame, keys: Sequence[str], fold: Callable[[pd.DataFrame], pd.DataFrame], schema: str, per_partition: int = 8) -> DataFrame:
     """``fold`` over each group of ``keys``, for choices that depend on an order.
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from strandweave.functions import lookups as L
 from strandweave.functions.sequence import internal_stop_count, revcomp, splice_site_class, translate_codons
 
-from .intervals import band_join, chosen, cluster_intervals, introns, overlap_join
+from .intervals import Overlaps, band_join, chosen, cluster_intervals, introns, overlap_join
 from .masking import TILE, coding_sequences, extract_subseq
 
 
@@ -64,38 +64,6 @@ def score(models: DataFrame) -> DataFrame:
     return models.withColumn("score", total.cast("double"))
 
 
-class _Alive:
-    """The models of a component that are left, in classes by length, each sorted by start.
-
-    Of a class of lengths below ``2 ** k`` those that overlap a stretch start at most that far before it, so that looking
-    them up costs what they are. A class is packed once half of its models are gone.
-    """
-
-    def __init__(self, start: np.ndarray, end: np.ndarray):
-        self.start, self.end, self.left = start, end, np.ones(len(start), bool)
-        kind = np.ceil(np.log2(np.maximum(end - start, 1) + 1)).astype(int)
-        self.classes = {k: rows[np.argsort(start[rows], kind="stable")] for k in np.unique(kind).tolist() for rows in [np.flatnonzero(kind == k)]}
-        self.starts = {k: start[rows] for k, rows in self.classes.items()}
-        self.gone = dict.fromkeys(self.classes, 0)
-
-    def over(self, model: int) -> np.ndarray:
-        """What is left of the models that share more than a boundary with one."""
-        found = []
-        for k, rows in self.classes.items():
-            low, high = np.searchsorted(self.starts[k], (self.start[model] - (1 << k), self.end[model]))
-            rows = rows[low:high]
-            found.append(rows[self.left[rows] & (self.end[rows] > self.start[model])])
-        return np.concatenate(found)
-
-    def drop(self, rows: np.ndarray) -> None:
-        self.left[rows] = False
-        for k, of in self.classes.items():
-            self.gone[k] += len(rows)
-            if 2 * self.gone[k] > len(of) > 64:
-                self.classes[k] = of = of[self.left[of]]
-                self.starts[k], self.gone[k] = self.start[of], 0
-
-
 def _choose(group: dict) -> tuple[list[int], dict]:
     """One component: seeds by level and place; the best of what overlaps a seed wins, and what it overlaps is done.
 
@@ -106,16 +74,16 @@ def _choose(group: dict) -> tuple[list[int], dict]:
     by_coverage, by_points = np.empty(len(n), np.int64), np.empty(len(n), np.int64)
     by_coverage[np.lexsort((n, -coverage))] = n
     by_points[np.lexsort((n, -coverage, -points))] = n
-    alive, winners = _Alive(start, end), []
+    alive, winners = Overlaps(start, end), []
     for seed in range(len(start)):
         if not alive.left[seed]:
             continue
-        rows = np.append(alive.over(seed), seed)
+        rows = np.append(alive.over(start[seed], end[seed]), seed)
         winner = int(rows[np.argmin(by_points[rows])])
         if points[winner] <= 0:
             winner = int(rows[np.argmin(by_coverage[rows])])
         winners.append(winner)
-        alive.drop(np.unique(np.append(alive.over(winner), [seed, winner])))
+        alive.drop(np.unique(np.append(alive.over(start[winner], end[winner]), [seed, winner])))
     return winners, {}
 
 

@@ -16,10 +16,14 @@ from strandweave.functions.sequence import aa_length, is_premature, revcomp, tra
 from .frames import STOPS, border_spans, inner_frames, open_spans
 from .graph import components
 from .hits import mapped_figures
-from .intervals import chosen, cluster_intervals, cumulative_offset, folded, following, merge_intervals, overlap_join
+from .intervals import Overlaps, chosen, cluster_intervals, cumulative_offset, folded, following, merge_intervals, overlap_join
 from .masking import TILE, coding_sequences, extract_subseq
 
 
+#: Windows of a cluster that are passed over at once.
+BLOCK = 256
+
+
 def covers_enough(length: Column, whole: Column, least: float) -> Column:
     """Whether a match covers its query; a query of unknown or no length passes."""
     return whole.isNull() | (whole == 0) | (length / whole >= least)
@@ -301,20 +305,25 @@ def dedupe_windows(windows: DataFrame, share: float = 0.9) -> DataFrame:
     def keep(group: dict) -> tuple[list[int], dict]:
         whole_start, whole_end, inner, outer = (group[c] for c in ("start_pos", "end_pos", "g_start", "g_end"))
         start, end = whole_start.copy(), whole_end.copy()
-        gone, kept = np.zeros(len(start), bool), []
+        gone, kept, near = np.zeros(len(start), bool), [], Overlaps(inner, outer)
+        lows = np.minimum.reduceat(outer, np.arange(0, len(outer), BLOCK))
         for i in range(len(start)):
             if gone[i]:
                 continue
             kept.append(i)
             # Sorted by their alignments' starts: the first one behind this window's alignment ends the search.
             reach = int(np.searchsorted(inner, outer[i], "right"))
-            seen = np.delete(np.arange(reach), i)
-            before = seen[outer[seen] < inner[i]]
-            if len(before):
-                start[i] = outer[before[-1]] + 1
+            # The last one before that whose alignment ends in front of this one's, block by block backwards.
+            for block in range((reach - 1) // BLOCK, -1, -1):
+                if lows[block] < inner[i]:
+                    at = np.flatnonzero(outer[block * BLOCK : min((block + 1) * BLOCK, reach)] < inner[i])
+                    if len(at):
+                        start[i] = outer[block * BLOCK + at[-1]] + 1
+                        break
             if reach < len(start):
                 end[i] = inner[reach] - 1
-            beside = seen[outer[seen] >= inner[i]]
+            beside = near.over(inner[i] - 1, outer[i] + 1)
+            beside = beside[beside != i]
             apart = np.abs(whole_start[i] - whole_start[beside]) + np.abs(whole_end[i] - whole_end[beside])
             size = whole_end[beside] - whole_start[beside] + 1
             gone[beside] |= (whole_end[i] - whole_start[i] + 1 + size - apart) / 2 >= share * size
@@ -324,6 +333,53 @@ def dedupe_windows(windows: DataFrame, share: float = 0.9) -> DataFrame:
     return chosen(rows, ["seq_id", "cluster_start"], ["g_start", "g_end", "window_id"], keep, "seq_id string, window_id string, start_pos long, end_pos long")
 
 
+class _Facing:
+    """Free alignments that may stand before a chain, sorted by their ends on the query and on the subject.
+
+    If few end within ``g_gap`` on the subject, these are looked at; else those that end nearest on the query, in stretches
+    of doubling length until none beyond can be nearer. Both lists are packed once half of them aren't free any more.
+    """
+
+    FEW = 256
+
+    def __init__(self, qs: np.ndarray, qe: np.ndarray, b: np.ndarray, free: np.ndarray, t_gap: int, g_gap: int):
+        self.qs, self.qe, self.b, self.free, self.t_gap, self.g_gap = qs, qe, b, free, t_gap, g_gap
+        self.by_subject, self.by_query, self.asked = np.argsort(b, kind="stable"), np.argsort(qe, kind="stable"), 0
+        self.ends, self.query_ends = b[self.by_subject], qe[self.by_query]
+
+    def _pack(self) -> None:
+        self.asked += 1
+        if 2 * self.asked > len(self.by_query) > 64:
+            self.by_subject, self.by_query = (x[self.free[x]] for x in (self.by_subject, self.by_query))
+            self.ends, self.query_ends, self.asked = self.b[self.by_subject], self.qe[self.by_query], 0
+
+    def _best(self, rows: np.ndarray, q0: int, q1: int, a0: int) -> tuple | None:
+        """The least (distance on the query, distance on the subject, place in the order) of the rows that fit."""
+        query, subject = q0 - self.qe[rows], a0 - self.b[rows]
+        fits = self.free[rows] & (self.qs[rows] < q0) & (self.qe[rows] < q1) & (query > -self.t_gap) & (subject > 0) & (subject < self.g_gap)
+        rows, query, subject = rows[fits], np.abs(query[fits]), subject[fits]
+        if not len(rows):
+            return None
+        at = np.lexsort((rows, subject, query))[0]
+        return int(query[at]), int(subject[at]), int(rows[at])
+
+    def nearest(self, q0: int, q1: int, a0: int) -> int | None:
+        self._pack()
+        low, high = np.searchsorted(self.ends, (a0 - self.g_gap, a0))
+        if high - low <= self.FEW:
+            best = self._best(self.by_subject[low:high], q0, q1, a0)
+            return best and best[2]
+        last, step, best = int(np.searchsorted(self.query_ends, q0 + self.t_gap)), self.FEW, None
+        while last > 0:
+            first = max(0, last - step)
+            found = self._best(self.by_query[first:last], q0, q1, a0)
+            best = min(x for x in (best, found) if x) if best or found else None
+            if best and first and q0 - self.query_ends[first - 1] > best[0]:
+                break
+            last, step = first, 2 * step
+        return best and best[2]
+
+
 def chain_hsps(hsps: DataFrame, t_gap: int = 10, g_gap: int = 10_000, coverage: float = 0.8) -> DataFrame:
     """Chains of alignments of one query, subject and strand: (query_id, hit_id, strand, chain, q_start, q_end, h_start,
     h_end, n_hsps, coverage, identity).
@@ -343,19 +399,16 @@ def chain_hsps(hsps: DataFrame, t_gap: int = 10, g_gap: int = 10_000, coverage:
         # On the mirrored axis a minus-strand subject runs along with the query.
         a, b = (hs, he) if names[2] != -1 else (-he, -hs)
         free, out = np.ones(len(g), bool), []
-
-        def nearest(fits: np.ndarray, on_query: np.ndarray, on_subject: np.ndarray) -> int | None:
-            fits = np.flatnonzero(fits & (on_query > -t_gap) & (on_subject > 0) & (on_subject < g_gap))
-            return min(fits, key=lambda i: (abs(on_query[i]), on_subject[i], i), default=None)
-
+        # What lies behind a chain lies before it on the axes read backwards.
+        ahead, beyond = _Facing(qs, qe, b, free, t_gap, g_gap), _Facing(-qe, -qs, -a, free, t_gap, g_gap)
         for seed in range(len(g)):
             if not free[seed]:
                 continue
-            free[seed], members = False, [seed]
+            members = [seed]
+            free[seed] = False
             q0, q1, a0, a1 = qs[seed], qe[seed], a[seed], b[seed]
             while True:
-                before = nearest(free & (qs < q0) & (qe < q1), q0 - qe, a0 - b)
-                behind = nearest(free & (qe > q1) & (qs > q0), qs - q1, a - a1)
+                before, behind = ahead.nearest(q0, q1, a0), beyond.nearest(-q1, -q0, -a1)
                 if before is None and behind is None:
                     break
                 if before is not None:

@@ -318,3 +318,70 @@ def test_one_component_of_many_models_is_chosen_as_plainly(spark):
 
     table = spark.createDataFrame(pd.DataFrame({"seq_id": "c", "model_id": name, "file_level": level, "start_pos": start, "end_pos": end, "hit_coverage": coverage, "score": score}))
     assert {r.model_id for r in G.select_models(table).collect()} == wanted
+
+
+def plain_chains(rows, t_gap=10, g_gap=10_000):
+    """Chains of one hit, looking at all that is free at each step; rows are (score, q_start, q_end, h_start, h_end)."""
+    rows = sorted(rows, key=lambda r: (-r[0], *r[1:]))
+    free, out = set(range(len(rows))), []
+    while free:
+        seed = min(free)
+        free.discard(seed)
+        (_, q0, q1, a0, a1), n = rows[seed], 1
+        while True:
+            before = [(abs(q0 - rows[i][2]), a0 - rows[i][4], i) for i in free if rows[i][1] < q0 and rows[i][2] < q1 and q0 - rows[i][2] > -t_gap and 0 < a0 - rows[i][4] < g_gap]
+            behind = [(abs(rows[i][1] - q1), rows[i][3] - a1, i) for i in free if rows[i][2] > q1 and rows[i][1] > q0 and rows[i][1] - q1 > -t_gap and 0 < rows[i][3] - a1 < g_gap]
+            if not before and not behind:
+                break
+            one, other = min(before, default=None), min(behind, default=None)
+            if one:
+                free.discard(one[2])
+                q0, a0, n = rows[one[2]][1], rows[one[2]][3], n + 1
+            if other:
+                free.discard(other[2])
+                q1, a1, n = rows[other[2]][2], rows[other[2]][4], n + 1
+        out.append((q0, q1, a0, a1, n))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("few", [0, 8, 256])
+def test_chains_of_many_alignments(spark, monkeypatch, few):
+    import random
+
+    monkeypatch.setattr(T._Facing, "FEW", few)
+    rng = random.Random(few)
+    rows = []
+    for _ in range(500):
+        q, h = rng.randrange(1, 3000), rng.randrange(1, 60_000)
+        rows.append((rng.randrange(100), q, q + rng.randrange(5, 60), h, h + rng.randrange(5, 60)))
+    # One coverage and identity for all, so that every chain is kept.
+    table = spark.createDataFrame([("q", "h", 1, 1, s, q0, q1, a, b, 10, 9) for s, q0, q1, a, b in rows], "query_id string, hit_id string, strand int, query_len long, bit_score long, q_start long, q_end long, h_start long, h_end long, align_len long, n_identical long")
+    got = sorted((r.q_start, r.q_end, r.h_start, r.h_end, r.n_hsps) for r in T.chain_hsps(table).collect())
+    assert got == plain_chains(rows)
+
+
+def test_a_hundred_thousand_alignments_of_one_hit(spark):
+    n = 100_000
+    table = spark.range(n).select(F.lit("q").alias("query_id"), F.lit("h").alias("hit_id"), F.lit(1).alias("strand"), F.lit(1).cast("long").alias("query_len"), (F.xxhash64("id") % 1000).alias("bit_score"), *((F.col("id") * step + plus).alias(c) for c, step, plus in (("q_start", 40, 1), ("q_end", 40, 30), ("h_start", 90, 1), ("h_end", 90, 30))), F.lit(30).cast("long").alias("align_len"), F.lit(29).cast("long").alias("n_identical"))
+    rows = T.chain_hsps(table).collect()
+    assert [(r.q_start, r.q_end, r.h_start, r.h_end, r.n_hsps) for r in rows] == [(1, 40 * n - 10, 1, 90 * n - 60, n)]
+
+
+def test_a_cluster_of_many_windows(spark):
+    """4,000 windows of one cluster, against a plain pass over neighbours."""
+    import numpy as np
+
+    rng, n = np.random.default_rng(5), 4000
+    inner = np.sort(rng.integers(1, 400_000, n))
+    outer = inner + rng.integers(20, 900, n)
+    low, high = inner - rng.integers(0, 500, n), outer + rng.integers(0, 500, n)
+    rows = [(f"w{i:05d}", int(low[i]), int(high[i]), int(inner[i]), int(outer[i])) for i in range(n)]
+    rows.append(("whole", 1, 500_000, 400_500, 400_600))
+    table = spark.createDataFrame([("c", *r) for r in rows], "seq_id string, window_id string, start_pos long, end_pos long, g_start long, g_end long")
+    got = {tuple(r) for r in T.dedupe_windows(table).collect()}
+
+    class Row:
+        def __init__(self, r):
+            self.seq_id, (self.window_id, self.start_pos, self.end_pos, self.g_start, self.g_end) = "c", r
+
+    assert got == brute_windows([Row(r) for r in rows])
