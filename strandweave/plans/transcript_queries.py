@@ -458,12 +458,50 @@ def n25(t):
     return S.clip_windows(rows.withColumn("g_len", F.lit(25000).cast("long"))).select("query_id", "hit_id", "strand", "w_start", "w_end")
 
 
-@query("n24_chain_hsps")
+#: The state of a hit: what is free, in order, the chain that grows, and one that was closed in this round.
+_FITS = "list_sort(list_transform(list_filter(free, lambda x: {0}), lambda x: struct_pack(d := abs({1}), s := {2}, x := x)))[1]"
+
+
+@query(
+    "n24_chain_hsps",
+    f"""WITH RECURSIVE pl AS (SELECT query_id, hit_id, strand, query_len, q_start AS qs, q_end AS qe, CASE WHEN strand <> -1 THEN h_start ELSE -h_end END AS a, CASE WHEN strand <> -1 THEN h_end ELSE -h_start END AS b, align_len, n_identical,
+      row_number() OVER (PARTITION BY query_id, hit_id, strand ORDER BY bit_score DESC, q_start, q_end, h_start, h_end) AS place FROM fx_hsps),
+    st AS (SELECT query_id, hit_id, strand, any_value(query_len) AS query_len, list(struct_pack(place := place, qs := qs, qe := qe, a := a, b := b, size := align_len, same := n_identical) ORDER BY place) AS free FROM pl GROUP BY ALL),
+    r AS (SELECT *, CASE WHEN FALSE THEN struct_pack(q0 := free[1].qs, q1 := free[1].qe, a0 := free[1].a, a1 := free[1].b, n := 1, size := free[1].size, same := free[1].same) END AS cur,
+      CASE WHEN FALSE THEN struct_pack(q0 := free[1].qs, q1 := free[1].qe, a0 := free[1].a, a1 := free[1].b, n := 1, size := free[1].size, same := free[1].same) END AS closed, -1 AS chain FROM st
+    UNION ALL SELECT query_id, hit_id, strand, query_len,
+      CASE WHEN cur IS NULL THEN free[2:] ELSE list_filter(free, lambda x: coalesce(x.place <> bf.x.place, TRUE) AND coalesce(x.place <> bh.x.place, TRUE)) END AS free,
+      CASE WHEN cur IS NULL THEN struct_pack(q0 := free[1].qs, q1 := free[1].qe, a0 := free[1].a, a1 := free[1].b, n := 1, size := free[1].size, same := free[1].same)
+        WHEN bf IS NOT NULL OR bh IS NOT NULL THEN struct_pack(q0 := coalesce(bf.x.qs, cur.q0), q1 := coalesce(bh.x.qe, cur.q1), a0 := coalesce(bf.x.a, cur.a0), a1 := coalesce(bh.x.b, cur.a1),
+          n := cur.n + (bf IS NOT NULL)::INT + (bh IS NOT NULL)::INT, size := cur.size + coalesce(bf.x.size, 0) + coalesce(bh.x.size, 0), same := cur.same + coalesce(bf.x.same, 0) + coalesce(bh.x.same, 0)) END AS cur,
+      CASE WHEN cur IS NOT NULL AND bf IS NULL AND bh IS NULL THEN cur END AS closed, chain + (cur IS NULL)::INT AS chain
+    FROM (SELECT *, CASE WHEN cur IS NOT NULL THEN {_FITS.format("x.qs < cur.q0 AND x.qe < cur.q1 AND cur.q0 - x.qe > -10 AND cur.a0 - x.b > 0 AND cur.a0 - x.b < 10000", "cur.q0 - x.qe", "cur.a0 - x.b")} END AS bf,
+      CASE WHEN cur IS NOT NULL THEN {_FITS.format("x.qe > cur.q1 AND x.qs > cur.q0 AND x.qs - cur.q1 > -10 AND x.a - cur.a1 > 0 AND x.a - cur.a1 < 10000", "x.qs - cur.q1", "x.a - cur.a1")} END AS bh
+      FROM r WHERE len(free) > 0 OR cur IS NOT NULL)),
+    ch AS (SELECT query_id, hit_id, strand::INT AS strand, chain::INT AS chain, closed.q0::BIGINT AS q_start, closed.q1::BIGINT AS q_end, (CASE WHEN strand <> -1 THEN closed.a0 ELSE -closed.a1 END)::BIGINT AS h_start, (CASE WHEN strand <> -1 THEN closed.a1 ELSE -closed.a0 END)::BIGINT AS h_end,
+      closed.n::INT AS n_hsps, least(1::DOUBLE, closed.size / query_len) AS coverage, closed.same / closed.size AS identity FROM r WHERE closed IS NOT NULL),
+    lv AS (SELECT * FROM ch QUALIFY coverage >= 0.3::DOUBLE - 0.05::DOUBLE * greatest(0, ceil((0.3::DOUBLE - max(coverage) OVER (PARTITION BY query_id)) / 0.05::DOUBLE - 1e-9::DOUBLE)) - 1e-9::DOUBLE)
+    SELECT * FROM lv QUALIFY identity >= max(identity) OVER (PARTITION BY query_id) - 0.05::DOUBLE""",
+)
 def n24(t):
     return S.chain_hsps(t.fx_hsps, coverage=0.3)
 
 
-@query("n26_dedupe_windows")
+#: A cluster's windows are a list that is gone through by place; ``seen`` are those whose alignments begin before this one's ends.
+@query(
+    "n26_dedupe_windows",
+    f"""WITH RECURSIVE wi AS (SELECT seq_id, feature_id AS window_id, start_pos - end_pos % 4 * 50 AS start_pos, end_pos + start_pos % 4 * 50 AS end_pos, start_pos AS g_start, end_pos AS g_end FROM fx_exons), {_islands_sql("wi", "seq_id", 0)},
+    cl AS (SELECT seq_id, island, list(struct_pack(g_start := g_start, g_end := g_end, window_id := window_id, start_pos := start_pos, end_pos := end_pos, place := place) ORDER BY place) AS ws
+      FROM (SELECT *, row_number() OVER (PARTITION BY seq_id, island ORDER BY g_start, g_end, window_id) AS place FROM b) GROUP BY ALL),
+    r AS (SELECT seq_id, island, ws, 1::BIGINT AS i, []::BIGINT[] AS gone, ws[0] AS kept FROM cl
+    UNION ALL SELECT seq_id, island, ws, i + 1 AS i,
+      CASE WHEN list_contains(gone, i) THEN gone ELSE list_distinct(list_concat(gone, list_transform(list_filter(seen, lambda x: x.place <> i AND x.g_end >= w.g_start
+        AND ((w.end_pos - w.start_pos + 1) + (x.end_pos - x.start_pos + 1) - abs(w.start_pos - x.start_pos) - abs(w.end_pos - x.end_pos)) / 2 >= 0.9::DOUBLE * (x.end_pos - x.start_pos + 1)), lambda x: x.place))) END AS gone,
+      CASE WHEN NOT list_contains(gone, i) THEN struct_pack(g_start := w.g_start, g_end := w.g_end, window_id := w.window_id, start_pos := coalesce(list_filter(seen, lambda x: x.place <> i AND x.g_end < w.g_start)[-1].g_end + 1, w.start_pos),
+        end_pos := CASE WHEN len(seen) < len(ws) THEN ws[len(seen) + 1].g_start - 1 ELSE w.end_pos END, place := i) END AS kept
+    FROM (SELECT *, ws[i] AS w, list_filter(ws, lambda x: x.g_start <= ws[i].g_end) AS seen FROM r WHERE i <= len(ws)))
+    SELECT seq_id, kept.window_id, kept.start_pos, kept.end_pos FROM r WHERE kept IS NOT NULL""",
+)
 def n26(t):
     return S.dedupe_windows(windows(t))
 
