@@ -228,16 +228,23 @@ class Overlaps:
                 self.starts[k], self.gone[k] = self.start[of], 0
 
 
-def folded(df: DataFrame, keys: Sequence[str], fold: Callable[[pd.DataFrame], pd.DataFrame], schema: str, per_partition: int = 8) -> DataFrame:
-    """``fold`` over each group of ``keys``, for choices that depend on an order.
+def folded(df: DataFrame, keys: Sequence[str], order: Sequence[str], fold: Callable[[tuple, dict], list[tuple]], schema: str, per_partition: int = 8) -> DataFrame:
+    """``fold`` over each group of ``keys``, for results that depend on an order: new rows from a group's names and arrays.
 
-    Groups are dealt to a few buckets a partition, so that many small ones share a call; a bucket has to fit into memory.
+    The arrays are sorted by ``order`` (a minus sign: downwards). Groups are dealt to a few buckets a partition, so that
+    many small ones share a call; a bucket has to fit into memory.
     """
     buckets = per_partition * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = list(keys)
+    keys, columns = list(keys), [c.split()[0] for c in schema.split(", ")]
 
     def each(bucket: pd.DataFrame) -> pd.DataFrame:
-        return pd.concat([fold(g) for _, g in bucket.groupby(keys, sort=False)], ignore_index=True)
+        bucket = bucket.sort_values([*keys, *(c.lstrip("-") for c in order)], ascending=[True] * len(keys) + [c[0] != "-" for c in order], kind="stable", ignore_index=True)
+        first = np.flatnonzero((bucket[keys] != bucket[keys].shift()).any(axis=1).to_numpy())
+        last = np.append(first[1:], len(bucket))
+        arrays = {c: bucket[c].to_numpy() for c in bucket.columns}
+        names = zip(*(arrays[k][first].tolist() for k in keys), strict=True)
+        rows = [row for name, low, high in zip(names, first.tolist(), last.tolist(), strict=True) for row in fold(name, {c: a[low:high] for c, a in arrays.items()})]
+        return pd.DataFrame(rows, columns=columns)
 
     return df.groupBy(F.pmod(F.xxhash64(*keys), F.lit(buckets)).alias("__bucket")).applyInPandas(each, schema)
 

@@ -390,24 +390,20 @@ def chain_hsps(hsps: DataFrame, t_gap: int = 10, g_gap: int = 10_000, coverage:
     side joins at a time, until none fits. Of a query's chains those stay that reach the coverage and come within 0.05
     of the best identity; if none does, the coverage is lowered by 0.05 at a time.
     """
-    def fold(g: pd.DataFrame) -> pd.DataFrame:
-        columns = ("bit_score", "q_start", "q_end", "h_start", "h_end", "align_len", "n_identical")
-        score, qs, qe, hs, he, size, same = (g[c].to_numpy() for c in columns)
-        order = np.lexsort((he, hs, qe, qs, -score))
-        qs, qe, hs, he, size, same = (x[order] for x in (qs, qe, hs, he, size, same))
-        names, query_len = tuple(g[["query_id", "hit_id", "strand"]].iloc[0]), int(g["query_len"].iloc[0])
+    def fold(names: tuple, g: dict) -> list[tuple]:
+        qs, qe, hs, he, size, same = (g[c] for c in ("q_start", "q_end", "h_start", "h_end", "align_len", "n_identical"))
+        query_len, free, out = int(g["query_len"][0]), np.ones(len(qs), bool), []
         # On the mirrored axis a minus-strand subject runs along with the query.
         a, b = (hs, he) if names[2] != -1 else (-he, -hs)
-        free, out = np.ones(len(g), bool), []
-        # What lies behind a chain lies before it on the axes read backwards.
-        ahead, beyond = _Facing(qs, qe, b, free, t_gap, g_gap), _Facing(-qe, -qs, -a, free, t_gap, g_gap)
-        for seed in range(len(g)):
+        if len(qs) > 1:  # What lies behind a chain lies before it on the axes read backwards.
+            ahead, beyond = _Facing(qs, qe, b, free, t_gap, g_gap), _Facing(-qe, -qs, -a, free, t_gap, g_gap)
+        for seed in range(len(qs)):
             if not free[seed]:
                 continue
             members = [seed]
             free[seed] = False
             q0, q1, a0, a1 = qs[seed], qe[seed], a[seed], b[seed]
-            while True:
+            while len(qs) > 1:
                 before, behind = ahead.nearest(q0, q1, a0), beyond.nearest(-q1, -q0, -a1)
                 if before is None and behind is None:
                     break
@@ -419,10 +415,10 @@ def chain_hsps(hsps: DataFrame, t_gap: int = 10, g_gap: int = 10_000, coverage:
                     members.append(behind)
             h0, h1 = (a0, a1) if names[2] != -1 else (-a1, -a0)
             out.append((*names, len(out), q0, q1, h0, h1, len(members), min(1.0, size[members].sum() / query_len), same[members].sum() / size[members].sum()))
-        return pd.DataFrame(out, columns=["query_id", "hit_id", "strand", "chain", "q_start", "q_end", "h_start", "h_end", "n_hsps", "coverage", "identity"])
+        return out
 
     columns = ["query_id", "hit_id", "strand", "query_len", "q_start", "q_end", "h_start", "h_end", "align_len", "n_identical", "bit_score"]
-    chains = folded(hsps.select(*columns), ["query_id", "hit_id", "strand"], fold, "query_id string, hit_id string, strand int, chain int, q_start long, q_end long, h_start long, h_end long, n_hsps int, coverage double, identity double")
+    chains = folded(hsps.select(*columns), ["query_id", "hit_id", "strand"], ["-bit_score", "q_start", "q_end", "h_start", "h_end"], fold, "query_id string, hit_id string, strand int, chain int, q_start long, q_end long, h_start long, h_end long, n_hsps int, coverage double, identity double")
     # The level that the best-covered chain reaches, in steps of 0.05 below the threshold.
     by_query = W.partitionBy("query_id")
     steps = F.greatest(F.lit(0), F.ceil((coverage - F.max("coverage").over(by_query)) / 0.05 - 1e-9))
