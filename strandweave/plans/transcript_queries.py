@@ -323,7 +323,32 @@ def coding_pieces(t):
     return S.split_utr_cds(t.fx_cds.distinct(), sums)
 
 
-@query("n22_extend_cds")
+#: Spliced texts with up to 60 bases of the genome on either side; codons are lists from the start upwards and from the last one on.
+@query(
+    "n22_extend_cds",
+    f"""WITH d AS (SELECT DISTINCT * FROM fx_cds), orf AS (SELECT parent_id, min(start_pos) % 9 + 1 AS os, (sum(end_pos - start_pos + 1) - max(end_pos) % 21)::BIGINT AS oe FROM d GROUP BY parent_id),
+    o AS (SELECT *, end_pos - start_pos + 1 AS size, coalesce(sum(end_pos - start_pos + 1) OVER (PARTITION BY parent_id ORDER BY start_pos * strand, end_pos * strand ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS off FROM d),
+    q AS (SELECT o.*, os - 1 - off AS x, oe - off AS y FROM o JOIN orf USING (parent_id)),
+    pp AS (SELECT *, 'five_prime_UTR' AS type, 0 AS f, least(x, size) AS u FROM q UNION ALL SELECT *, 'polypeptide', greatest(x, 0), least(y, size) FROM q UNION ALL SELECT *, 'three_prime_UTR', greatest(y, 0), size FROM q),
+    pc AS (SELECT seq_id, parent_id, strand, type, CASE WHEN strand <> -1 THEN start_pos + f ELSE end_pos - u + 1 END AS start_pos, CASE WHEN strand <> -1 THEN start_pos + u - 1 ELSE end_pos - f END AS end_pos FROM pp WHERE f < u),
+    fg AS (SELECT seq_id, parent_id, strand, sum(CASE WHEN type = 'five_prime_UTR' THEN end_pos - start_pos + 1 ELSE 0 END)::BIGINT AS utr, sum(CASE WHEN type = 'polypeptide' THEN end_pos - start_pos + 1 ELSE 0 END)::BIGINT AS coding_len, min(start_pos) AS low, max(end_pos) AS high FROM pc GROUP BY ALL),
+    {_islands_sql("pc", "seq_id, parent_id, strand", 1)},
+    ex AS (SELECT seq_id, parent_id, strand, min(start_pos) AS start_pos, max(end_pos) AS end_pos FROM b GROUP BY seq_id, parent_id, strand, island),
+    eo AS (SELECT *, coalesce(sum(end_pos - start_pos + 1) OVER (PARTITION BY seq_id, parent_id, strand ORDER BY start_pos * strand ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS off FROM ex),
+    sp AS (SELECT e.seq_id, e.parent_id, e.strand, string_agg(substring(residues, CAST(start_pos AS INT), CAST(end_pos - start_pos + 1 AS INT)), '' ORDER BY start_pos) AS plus, max(off) AS last_off, any_value(residues) AS residues FROM eo e JOIN fx_sequences s ON s.seq_id = e.seq_id GROUP BY ALL),
+    fl AS (SELECT sp.*, utr, coding_len, substring(residues, CAST(greatest(1, low - 60) AS INT), CAST(low - greatest(1, low - 60) AS INT)) AS l, substring(residues, CAST(high + 1 AS INT), 60) AS r FROM sp JOIN fg USING (seq_id, parent_id, strand) WHERE coding_len >= 3),
+    tx AS (SELECT seq_id, parent_id, strand, utr, coding_len, last_off, length(CASE WHEN strand <> -1 THEN l ELSE r END) AS f, upper(CASE WHEN strand <> -1 THEN concat(l, plus, r) ELSE {sql_revcomp("concat(l, plus, r)")} END) AS text FROM fl),
+    cd AS (SELECT *, f + utr AS p, list_transform(range(0, (f + utr) // 3 + 1), lambda k: struct_pack(pos := f + utr - 3 * k, c := substring(text, CAST(f + utr - 3 * k + 1 AS INT), 3))) AS ups,
+      list_transform(range(0, (length(text) - (f + utr + coding_len // 3 * 3 - 3) - 3) // 3 + 1), lambda k: struct_pack(pos := f + utr + coding_len // 3 * 3 - 3 + 3 * k, c := substring(text, CAST(f + utr + coding_len // 3 * 3 - 3 + 3 * k + 1 AS INT), 3))) AS downs FROM tx),
+    br AS (SELECT *, list_filter(ups, lambda z: z.c IN ('TAA', 'TAG', 'TGA') OR (NOT regexp_full_match(z.c, '[ACGT]{{3}}') AND z.pos <= f + 2))[1].pos AS bar,
+      list_filter(downs, lambda z: z.c IN ('TAA', 'TAG', 'TGA') OR (NOT regexp_full_match(z.c, '[ACGT]{{3}}') AND z.pos >= f + last_off))[1].pos AS dbar FROM cd),
+    wk AS (SELECT *, coalesce(list_filter(ups, lambda z: z.c = 'ATG' AND (bar IS NULL OR z.pos > bar))[-1].pos, bar + 3, ups[-1].pos) AS walked, coalesce(dbar, downs[-1].pos) + 3 AS e FROM br),
+    md AS (SELECT *, unnest([0, 1, 2]) AS mode FROM wk), fd AS (SELECT *, CASE WHEN (mode = 2 AND utr > 2) OR (mode = 1 AND ups[1].c = 'ATG') THEN p ELSE walked END AS s FROM md),
+    ct AS (SELECT eo.seq_id, eo.parent_id, eo.strand, mode, start_pos, end_pos, f + off AS a0, CASE WHEN off = 0 THEN least(f + off, s) ELSE f + off END AS a,
+      CASE WHEN off = last_off THEN greatest(f + off + end_pos - start_pos + 1, e) ELSE f + off + end_pos - start_pos + 1 END AS b, s, e FROM eo JOIN fd USING (seq_id, parent_id, strand)),
+    nw AS (SELECT *, 'five_prime_UTR' AS type, a AS x, least(b, s) AS y FROM ct UNION ALL SELECT *, 'polypeptide', greatest(a, s), least(b, e) FROM ct UNION ALL SELECT *, 'three_prime_UTR', greatest(a, e), b FROM ct)
+    SELECT seq_id, parent_id, strand, type, (CASE WHEN strand <> -1 THEN start_pos + x - a0 ELSE end_pos - (y - a0) + 1 END)::BIGINT AS start_pos, (CASE WHEN strand <> -1 THEN start_pos + y - a0 - 1 ELSE end_pos - (x - a0) END)::BIGINT AS end_pos, mode FROM nw WHERE x < y""",
+)
 def n22(t):
     tiles, lengths = codon_tiles(t)
     of = lambda mode: S.extend_cds(coding_pieces(t), tiles, lengths, 60, mode, width=WIDTH).withColumn("mode", F.lit(mode))
