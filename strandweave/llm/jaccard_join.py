@@ -22,7 +22,9 @@
 Shingles are 64-bit names of words and of their sequences (see ``repeats.Hasher``); sets are compared by all their names.
 
 Null texts, and texts without words, are linked to nothing. Texts of fewer than ``n`` words are one shingle. Each row is
-a document; rows with one doc_id, or without, are told apart (see ``numbered``).
+a document; rows with one doc_id, or without, are told apart (see ``numbered``). An empty table gives an empty result. A
+text has to fit into a task, with about 100 bytes for each word. Other columns are ignored, or kept by
+``drop_near_duplicates``, and may have any name.
 """
 
 from __future__ import annotations

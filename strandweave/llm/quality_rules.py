@@ -5,7 +5,9 @@ rejects there, among documents that pass the base rule; rules then run by reject
 rule rejects isn't shown to the next. The order decides only how long it takes: a document is kept if it passes all
 rules. Statistics that are reported for every document anyhow cost a rule nothing.
 
-Null and empty texts have no words and fail the base rule. Documents may repeat; each row gets its own verdict.
+Null and empty texts have no words and fail the base rule. Documents may repeat; each row gets its own verdict. An empty
+table gives an empty result. A text has to fit into a task, with about 150 bytes for each word. Other columns are ignored,
+or kept by ``keep_good``, and may have any name.
 """
 
 from __future__ import annotations

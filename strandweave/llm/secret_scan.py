@@ -8,7 +8,7 @@ key or a secret, and an endpoint needs both.
 
 The join is a semi-join on bins of ``SCOPE`` code points with the scopes as condition, so that a page with
 thousands of parts makes no pairs. Each row of the input gets one row with the spans of its own text, whether its doc_id
-is missing, repeated or neither. Null texts are empty; empty texts and empty tables have no spans. Other columns are
+is missing, repeated or neither. A text has to fit into a task. Null texts are empty; empty texts and empty tables have no spans. Other columns are
 ignored and may have any name.
 """
 
@@ -100,7 +100,8 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     scanned = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_scan, f"doc_id long, text_id binary, base {spans}, weak {spans}")
     scanned = written(scanned, "secret-parts")
     linkable = scanned.where("text_id is not null")
-    parts = lambda column, *kinds: linkable.select("text_id", F.explode(column).alias("s")).select("text_id", "s.*").where(F.col("kind").isin(*kinds))
+    # One text of very many rows without a doc_id has one text_id: its parts are joined once.
+    parts = lambda column, *kinds: linkable.select("text_id", F.explode(column).alias("s")).select("text_id", "s.*").where(F.col("kind").isin(*kinds)).distinct()
     ids = parts("weak", "id").unionAll(parts("base", "access"))
     keys = parts("weak", "key").unionAll(parts("base", "assign", "hex"))
     endpoints = parts("weak", "endpoint")

@@ -11,7 +11,8 @@ high-level symbols, and are then compared by their whole content (``repeats``),
 by one.
 
 Null or empty texts have no words. Each row is a document; rows with one doc_id, or without, are told apart (see
-``numbered``), and equal texts are repeats of each other. An empty table gives an empty result. Other columns are
+``numbered``), and equal texts are repeats of each other. A text has to fit into a task, with about 50 bytes for each of its
+own. An empty table gives an empty result. Other columns are
 ignored and may have any name.
 """
 

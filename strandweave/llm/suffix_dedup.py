@@ -11,8 +11,8 @@ whose whole content an earlier document has too are settled as copies of it befo
 stand side by side). Suffix, common-prefix and previous-factor arrays of the rest are built a bucket at a time.
 
 Null texts are empty. Texts shorter than ``min_bytes`` stay whole. Each row is a document. Rows are taken in the order of
-their doc_ids, rows with one doc_id in the order of their texts, rows without a doc_id last (see ``numbered``). An empty
-table gives an empty result. Other columns are ignored and may have any name.
+their doc_ids, rows with one doc_id in the order of their texts, rows without a doc_id last (see ``numbered``). A text has to fit
+into a task, with about 50 bytes for each of its own. An empty table gives an empty result. Other columns are ignored and may have any name.
 """
 
 from __future__ import annotations
