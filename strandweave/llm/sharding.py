@@ -173,7 +173,7 @@ def append(docs: DataFrame, store: str, rows: int = ARRIVAL_ROWS) -> int:
     columns = merged_columns(columns_of(spark, store, base), docs.schema)
     if docs.isEmpty():
         return base
-    new = _write(docs.withColumn("store_shard", arrival_of(rows)), store, run_files=False)
+    new = _write(docs.withColumn("store_shard", arrival_of(rows)), store, False)
     return _commit(spark, store, live.unionByName(new), columns, base)
 
 
@@ -224,7 +224,7 @@ def compact(spark: SparkSession, store: str, plan: DataFrame, base: int) -> int:
     rows = _live(spark, store, base, moving)
     of_run = _small(moving.select(F.col("shard").alias("store_shard"), F.col("run").alias("shard")).distinct())
     rows = rows.join(of_run, "store_shard").select(*(F.col(f"`{c}`") for c in columns.names), F.col("shard").alias("store_shard"))
-    new = _write(rows, store, run_files=True)
+    new = _write(rows, store, True)
     return _commit(spark, store, moves.where("not touched").select(*LIST).unionByName(new), columns, base)
 
 
