@@ -31,9 +31,11 @@ def _scale(width: int) -> Column:
     return sum(((size >= width * SPREAD ** (k + 1)).cast("int") for k in range(SCALES - 1)), F.lit(0))
 
 
-def _scales(df: DataFrame, width: int) -> list[int]:
-    """The scales of a table's intervals: ``SCALES`` numbers at most."""
-    return sorted(r[0] for r in df.where("start_pos is not null and end_pos is not null").select(_scale(width)).distinct().collect()) or [0]
+def _scales(left: DataFrame, right: DataFrame, width: int) -> tuple[list[int], list[int]]:
+    """The scales of both tables' intervals, ``SCALES`` numbers each at most, by one small job."""
+    of = lambda df, side: df.where("start_pos is not null and end_pos is not null").select(F.lit(side).alias("side"), _scale(width).alias("scale"))
+    found = of(left, 0).unionAll(of(right, 1)).distinct().collect()
+    return tuple(sorted(r["scale"] for r in found if r["side"] == side) or [0] for side in (0, 1))
 
 
 def _dealt(df: DataFrame, width: int, other: Sequence[int], own: Sequence[int]) -> DataFrame:
@@ -57,7 +59,7 @@ def overlap_join(left: DataFrame, right: DataFrame, keys: Sequence[str], strict:
     makes it once without a ``distinct``. A bin with very many intervals is split by Spark's adaptive join.
     ``how`` may be ``left_semi``: then each left row that overlaps any comes once.
     """
-    ours, theirs = _scales(left, width), _scales(right, width)
+    ours, theirs = _scales(left, right, width)
     a = _dealt(left, width, theirs, ours)
     b = _dealt(right, width, ours, theirs)
     b = b.select(*(F.col(c).alias(f"r_{c}") for c in right.columns), F.col("__at").alias("__r_at"), F.col("__scale").alias("__r_scale"))
