@@ -77,6 +77,37 @@ def overlap_join(left: DataFrame, right: DataFrame, keys: Sequence[str], strict:
     return a.join(b, on & once).drop("__at", "__r_at", "__scale", "__r_scale", *(f"r_{k}" for k in keys))
 
 
+def overlap_counts(left: DataFrame, right: DataFrame, keys: Sequence[str], groups: Sequence[str], width: int = TILE, **flags: Column) -> DataFrame:
+    """(keys, groups, n_overlaps): how many right intervals each left one overlaps, added up over the groups of left rows.
+
+    No pair is made: what overlaps an interval starts before its end and doesn't end by its start, so that the number is a
+    difference of two ranks (intervals that share just one boundary base don't overlap, as in ``overlap_join``). Running
+    counts cross stretches of ``width`` places by a small table, so that no sequence is one task. Every group of left rows
+    with keys and positions comes, with 0 if nothing overlaps it. ``start_pos`` may not be behind ``end_pos``.
+    ``flags`` are conditions on right rows; the overlaps with those that meet one come as a column of its name.
+    """
+    known = " and ".join(f"{c} is not null" for c in (*keys, "start_pos", "end_pos"))
+    point, counts = F.col("start_pos") == F.col("end_pos"), {"n_overlaps": F.lit(True), **flags}
+    # Steps order what lies at one place; of two intervals of one base there, neither overlaps the other.
+    event = lambda place, step, kind: F.struct(F.col(place).cast("long").alias("place"), step.alias("step"), F.lit(kind).alias("kind"))
+    asked = F.array(event("end_pos", F.lit(0), "upto"), event("start_pos", F.when(point, 2).otherwise(4), "from"))
+    given = F.array(event("start_pos", F.lit(1), "start"), event("end_pos", F.when(point, 3).otherwise(1), "end"))
+    rows = left.where(known).select(*keys, F.struct(*groups).alias("__of"), *(F.lit(0).alias(c) for c in counts), F.inline(asked))
+    none = F.lit(None).cast(rows.schema["__of"].dataType)
+    rows = rows.unionAll(right.where(known).select(*keys, none, *(F.when(on, 1).otherwise(0).alias(c) for c, on in counts.items()), F.inline(given)))
+    rows = rows.withColumn("__stretch", F.floor(F.col("place") / width))
+    by = [*keys, "__stretch"]
+    before = W.partitionBy(*keys).orderBy("__stretch").rowsBetween(W.unboundedPreceding, -1)
+    upto = W.partitionBy(*by).orderBy("place", "step").rowsBetween(W.unboundedPreceding, W.currentRow)
+    of_kind = {(c, kind): F.sum(F.when(F.col("kind") == kind, F.col(c)).otherwise(0)) for c in counts for kind in ("start", "end")}
+    ahead = rows.groupBy(*by).agg(*(n.alias(f"{c}_{kind}") for (c, kind), n in of_kind.items()))
+    ahead = ahead.select(*by, *(F.coalesce(F.sum(f"{c}_{kind}").over(before), F.lit(0)).alias(f"__{c}_{kind}") for c, kind in of_kind))
+    rows = rows.withColumns({f"{c}_{kind}": n.over(upto) for (c, kind), n in of_kind.items()}).where("kind in ('upto', 'from')").join(ahead, by)
+    rank = lambda c, kind: F.col(f"{c}_{kind}") + F.col(f"__{c}_{kind}")
+    found = rows.groupBy(*keys, "__of").agg(*(F.sum(F.when(F.col("kind") == "upto", rank(c, "start")).otherwise(-rank(c, "end"))).alias(c) for c in counts))
+    return found.select(*keys, "__of.*", *counts)
+
+
 def band_join(left: DataFrame, right: DataFrame, keys: Sequence[str], column: str, reach: int, step: int = 1) -> DataFrame:
     """Pairs whose ``column`` differs by at most ``reach`` and by a multiple of ``step``; right columns get ``r_``."""
     prefixed = right.select(*(F.col(c).alias(f"r_{c}") for c in right.columns))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from strandweave.functions import lookups as L
 from strandweave.functions.sequence import internal_stop_count, revcomp, splice_site_class, translate_codons
 
-from .intervals import Overlaps, band_join, chosen, cluster_intervals, introns, overlap_join
+from .intervals import Overlaps, band_join, chosen, cluster_intervals, introns, overlap_counts, overlap_join
 from .masking import TILE, coding_sequences, extract_subseq
 
 
@@ -23,15 +23,41 @@ def partitions(df: DataFrame, flag: Column) -> tuple[DataFrame, DataFrame]:
 
 
 def evidence_summary(exons: DataFrame, evidence: DataFrame, model: str = "parent_id") -> DataFrame:
-    """(model, n_features, n_sources) for the models with an exon that evidence of their strand overlaps."""
-    pairs = overlap_join(exons, evidence, ["seq_id", "strand"]).select(model, "r_evidence_id", "r_category", "r_db").distinct()
-    return pairs.groupBy(model).agg(F.count_distinct("r_evidence_id").alias("n_features"), F.count_distinct(F.struct("r_category", "r_db")).alias("n_sources"))
+    """(model, n_features, n_sources) for the models with an exon that evidence of their strand overlaps.
+
+    Sources are pairs of category and database (nulls are values), features are evidence_ids (nulls don't count). A source
+    counts if its number of overlaps, a difference of ranks, isn't 0. Evidence of one row counts once for each of a model's
+    merged exons that it overlaps, again by ranks, less once for each gap between two of them that it spans; only these
+    spans are made as pairs. Evidence of several rows may meet a model at several places, so that it is paired with it.
+    Exons without a model don't count.
+    """
+    keys, own = ["seq_id", "strand"], ["seq_id", "strand", model]
+    # A model's exons, merged where they share more than a boundary base: few rows a model.
+    order = W.partitionBy(*own).orderBy("start_pos", "end_pos")
+    opens = F.col("start_pos") >= F.max("end_pos").over(order.rowsBetween(W.unboundedPreceding, -1))
+    solid = exons.select(*own, "start_pos", "end_pos").dropna().withColumn("opens", F.coalesce(opens, F.lit(True)).cast("int")).withColumn("n", F.sum("opens").over(order.rowsBetween(W.unboundedPreceding, W.currentRow)))
+    solid = solid.groupBy(*own, "n").agg(F.min("start_pos").alias("start_pos"), F.max("end_pos").alias("end_pos"))
+
+    evidence = evidence.select("evidence_id", *keys, F.struct("category", "db").alias("source"), "start_pos", "end_pos").dropna(subset=[*keys, "start_pos", "end_pos"])
+    evidence = evidence.join(evidence.groupBy("evidence_id").agg((F.count("*") == 1).alias("single")), "evidence_id", "left")
+    sources = evidence.select(*keys, "source").distinct()
+    counted = overlap_counts(solid.join(sources, keys), evidence, [*keys, "source"], [model], single=F.col("single"))
+    counts = counted.select(model, F.col("single").alias("n"), F.when(F.col("n_overlaps") > 0, F.col("source")).alias("source"))
+
+    # One join for two questions: several rows over a merged exon, or a single one over the end of an exon and the next start.
+    nexts = F.lead("start_pos").over(W.partitionBy(*own).orderBy("n"))
+    whole, gap = (F.struct(F.lit(single).alias("single"), at.alias("start_pos"), F.col("end_pos"), until.alias("until")) for single, at, until in ((False, F.col("start_pos"), F.lit(None).cast("long")), (True, F.col("end_pos"), nexts)))
+    asked = solid.withColumns({"whole": whole, "gap": gap}).select(*own, F.inline(F.array("whole", "gap"))).where("not single or until is not null")
+    pairs = overlap_join(asked, evidence.where("evidence_id is not null").drop("source"), [*keys, "single"]).where("not single or r_end_pos > until")
+    pairs = pairs.groupBy(model, "r_evidence_id").agg(F.sum(F.when(F.col("single"), -1)).alias("spans"))
+    counts = counts.unionByName(pairs.select(model, F.coalesce("spans", F.lit(1)).alias("n")), allowMissingColumns=True)
+    return counts.groupBy(model).agg(F.sum("n").alias("n_features"), F.count_distinct("source").alias("n_sources")).where("n_sources > 0")
 
 
 def expressed(exons: DataFrame, evidence: DataFrame, databases: Sequence[str], model: str = "parent_id") -> DataFrame:
-    """(model, expressed): whether evidence of one of the databases overlaps an exon."""
-    pairs = overlap_join(exons, evidence, ["seq_id", "strand"])
-    seen = pairs.groupBy(model).agg(F.bool_or(F.col("r_db").isin(*databases)).alias("expressed"))
+    """(model, expressed): whether evidence of one of the databases overlaps an exon; by ranks, no pair is made."""
+    found = overlap_counts(exons, evidence.where(F.col("db").isin(*databases)), ["seq_id", "strand"], [model])
+    seen = found.groupBy(model).agg((F.sum("n_overlaps") > 0).alias("expressed"))
     return exons.select(model).distinct().join(seen, model, "left").select(model, F.coalesce("expressed", F.lit(False)).alias("expressed"))
 
 

@@ -165,3 +165,44 @@ def test_longest_gap(spark):
     lengths = spark.createDataFrame([("a", 100), ("b", 50), ("c", 9)], "seq_id string, length long")
     merged = spark.createDataFrame([("a", 11, 20), ("a", 61, 70), ("b", 40, 45), ("z", 1, 2)], "seq_id string, start_pos long, end_pos long")
     assert {tuple(r) for r in I.longest_gap(merged, lengths, ["seq_id"]).collect()} == {("a", 40), ("b", 39), ("c", 9)}
+
+
+def _random_spans(r, n, longest=40, upto=300):
+    return [(a, a + r.choice((0, 1, r.randint(0, longest)))) for a in (r.randint(1, upto) for _ in range(n))]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_overlaps_counted_by_ranks(spark, seed):
+    r = random.Random(seed)
+    table = lambda n: [(r.choice("cd"), i % 5, *s) for i, s in enumerate(_random_spans(r, n))] + [("c", 6, None, 9), (None, 6, 1, 9)]
+    left, right = table(60), table(80)
+    frame = lambda rows: spark.createDataFrame(rows, "seq_id string, id int, start_pos long, end_pos long")
+    want = {}
+    for seq, i, a, b in left[:-2]:
+        want[seq, i] = want.get((seq, i), 0) + sum(q == seq and a < y and b > x for q, _, x, y in right[:-2])
+    got = I.overlap_counts(frame(left), frame(right), ["seq_id"], ["id"], 16).collect()
+    assert len(got) == len(want) and {(x.seq_id, x.id): x.n_overlaps for x in got} == want
+    assert {x.n_overlaps for x in I.overlap_counts(frame(left), frame(right[:0]), ["seq_id"], ["id"]).collect()} == {0}
+    assert I.overlap_counts(frame(left[:0]), frame(right), ["seq_id"], ["id"]).collect() == []
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_evidence_summary_counts_what_pairs_would(spark, seed):
+    r = random.Random(seed)
+    exons = [("c", r.choice((1, -1)) if seed == 3 else 1 - 2 * (i % 2), f"m{i % 8}", *s) for i, s in enumerate(_random_spans(r, 50, 60))]
+    exons += [("c", 1, None, 5, 50), ("c", 1, "m0", None, 7)]  # An exon without a model, one without a start.
+    # Most evidence has one row, some several; ids, categories and databases may be missing; some rows are there twice.
+    ids = lambda i: r.choice((f"v{i}", f"v{i}", f"v{i % 9}", None))
+    evidence = [("c", r.choice((1, -1)), ids(i), r.choice(("p", "q", None)), r.choice(("db1", "db2", None)), *s) for i, s in enumerate(_random_spans(r, 70, 120))]
+    evidence += evidence[:5] + [("c", 1, "w", "p", "db1", 3, None), ("c", None, "w", "p", "db9", 1, 900)]
+    ours = spark.createDataFrame(exons, "seq_id string, strand int, parent_id string, start_pos long, end_pos long")
+    theirs = spark.createDataFrame(evidence, "seq_id string, strand int, evidence_id string, category string, db string, start_pos long, end_pos long")
+    found = {}
+    for q, s, m, a, b in exons:
+        for w, t, i, c, d, x, y in evidence:
+            if None not in (m, a, b, x, y, t) and (q, s) == (w, t) and a < y and b > x:
+                found.setdefault(m, []).append((i, (c, d)))
+    want = {m: (len({i for i, _ in f} - {None}), len({s for _, s in f})) for m, f in found.items()}
+    assert {x.parent_id: (x.n_features, x.n_sources) for x in G.evidence_summary(ours, theirs).collect()} == want
+    seen = {m for m, f in found.items() if any(d == "db1" for _, (_, d) in f)}
+    assert {x.parent_id: x.expressed for x in G.expressed(ours, theirs, ["db1"]).collect() if x.parent_id} == {m: m in seen for m in {e[2] for e in exons} - {None}}
