@@ -21,6 +21,20 @@ def split_sequences(tiles: DataFrame, lengths: DataFrame, longest: int, overlap:
     return found.select("seq_id", "chunk_no", F.col("start_pos").alias("chunk_start"), F.col("end_pos").alias("chunk_end"), F.col("part").alias("residues"))
 
 
+def in_chunks(features: DataFrame, chunks: DataFrame, longest: int, overlap: int) -> DataFrame:
+    """``features`` with ``chunk_no``, ``chunk_start`` and ``chunk_end`` of each chunk that they lie wholly inside.
+
+    ``chunks`` are those of ``tiles_of`` with the same bounds: the numbers of a feature's chunks follow from its ends, so
+    that the join is on (seq_id, chunk_no).
+    """
+    step = longest - overlap
+    first = F.greatest(F.lit(1).cast("long"), F.ceil((F.col("end_pos") - longest) / step) + 1)
+    rows = features.withColumns({"__first": first, "__last": F.floor((F.col("start_pos") - 1) / step) + 1}).where("__first <= __last")
+    rows = rows.withColumn("chunk_no", F.explode(F.sequence(F.col("__first").cast("int"), F.col("__last").cast("int")))).drop("__first", "__last")
+    found = rows.join(chunks.select("seq_id", "chunk_no", "chunk_start", "chunk_end"), ["seq_id", "chunk_no"])
+    return found.where("start_pos >= chunk_start and end_pos <= chunk_end")
+
+
 def to_global(features: DataFrame, chunks: DataFrame) -> DataFrame:
     """Feature positions on the whole sequence; ``region`` rows drop out."""
     rows = features.where("type <> 'region'").join(chunks.select("seq_id", "chunk_no", "chunk_start"), ["seq_id", "chunk_no"])

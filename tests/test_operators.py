@@ -206,3 +206,15 @@ def test_evidence_summary_counts_what_pairs_would(spark, seed):
     assert {x.parent_id: (x.n_features, x.n_sources) for x in G.evidence_summary(ours, theirs).collect()} == want
     seen = {m for m, f in found.items() if any(d == "db1" for _, (_, d) in f)}
     assert {x.parent_id: x.expressed for x in G.expressed(ours, theirs, ["db1"]).collect() if x.parent_id} == {m: m in seen for m in {e[2] for e in exons} - {None}}
+
+
+def test_features_meet_their_chunks_by_number(spark):
+    from strandweave.operators.stitching import in_chunks
+
+    rng = random.Random(6)
+    rows = [(a, a + rng.choice([5, 40, 99, 100, 140])) for a in (rng.randrange(1, 900) for _ in range(200))] + [(1, 100), (81, 180), (901, 950)]
+    features = spans(spark, rows)
+    chunks = I.tiles_of(spark.createDataFrame([("c", 950)], "seq_id string, length long"), 100, 20)
+    want = features.join(chunks, "seq_id").where("start_pos >= chunk_start and end_pos <= chunk_end").select("id", "chunk_no", "chunk_start", "chunk_end")
+    got = in_chunks(features, chunks, 100, 20).select("id", "chunk_no", "chunk_start", "chunk_end")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
