@@ -218,3 +218,12 @@ def test_features_meet_their_chunks_by_number(spark):
     want = features.join(chunks, "seq_id").where("start_pos >= chunk_start and end_pos <= chunk_end").select("id", "chunk_no", "chunk_start", "chunk_end")
     got = in_chunks(features, chunks, 100, 20).select("id", "chunk_no", "chunk_start", "chunk_end")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_an_intron_may_be_an_inner_exon_of_the_transcript(spark):
+    exons = lambda name, *parts: [("c", name, 1, a, b) for a, b in parts]
+    schema = "seq_id string, parent_id string, file_order long, start_pos long, end_pos long"
+    chains = T.junction_chains(spark.createDataFrame(exons("t", (1, 100), (500, 600), (900, 990)) + exons("u", (1, 100), (500, 700)), schema), ["seq_id", "parent_id"])
+    models = spark.createDataFrame(exons("m", (450, 500), (600, 650)) + exons("k", (20, 100), (500, 520)), schema).withColumnRenamed("parent_id", "model_id")
+    found = T.contained_chains(chains, T.junction_chains(models, ["seq_id", "model_id", "file_order"]))
+    assert sorted((r.parent_id, r.model_id) for r in found.collect()) == [("t", "k"), ("t", "m"), ("u", "k")]
