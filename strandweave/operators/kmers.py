@@ -4,7 +4,11 @@ The minimizer of a k-mer is the least name among its m-mers and their reverse co
 complement have the same one. Neighbouring k-mers of one bucket are shipped together as a stretch of bases, two bits each.
 A minimizer that holds a large share of all k-mers (its share is known from a count of all minimizers, of which there are
 ``4 ** M`` at most) isn't dealt to a bucket: its k-mers, and those with other letters than A, C, G and T, are rows that are
-grouped and joined, with combining before the shuffle, so that no task gets them all.
+grouped and joined, with combining before the shuffle, so that no task gets them all. The number of buckets follows from
+that count too, so that a bucket has about the same size whatever the input.
+
+Short k-mers (up to ``SHORT`` letters) need no buckets: each task counts them in a table of all ``4 ** k``, the sums go to all
+tasks, and places are looked up in their own tile. Nothing but the tables is shuffled.
 """
 
 from __future__ import annotations
@@ -20,6 +24,10 @@ from strandweave.functions.sequence import revcomp
 
 #: Letters of a minimizer at most, and of a k-mer that fits into 64 bits.
 M, LONGEST = 7, 31
+#: K-mers up to this length are counted in a table of all of them: 65,536 numbers.
+SHORT = 8
+#: K-mers of a bucket at most, on average; a task needs some 60 bytes for each.
+BUCKET = 1 << 22
 #: A minimizer with more than this part of a bucket's even share is hot.
 HOT = 0.5
 #: Bases that are handled at a time.
@@ -149,7 +157,7 @@ def _letters(mers: np.ndarray, k: int) -> pa.Array:
     return pa.LargeStringArray.from_buffers(len(mers), pa.py_buffer((np.arange(len(mers) + 1) * k).astype(np.int64)), pa.py_buffer(out)).cast(pa.string())
 
 
-def _counted(k: int, strand: str):
+def _counted(k: int, strand: str, everywhere: bool):
     """The counts at all places of a bucket's stretches."""
 
     def bucket_of(rows: list[dict]) -> Iterator[pa.RecordBatch]:
@@ -175,7 +183,7 @@ def _counted(k: int, strand: str):
             sides.append(("-", other, np.where(distinct[at] == other, n[at], 0)))
         for sign, mer, count in sides:
             text, count = _letters(mer, k), count[of_]
-            there = np.flatnonzero(count)
+            there = np.arange(len(count)) if everywhere else np.flatnonzero(count)
             for low in range(0, len(there), 200_000):
                 part = there[low : low + 200_000]
                 yield pa.RecordBatch.from_arrays([names.take(pa.array(seq[part])), pa.array(place[part]), pa.array([sign]).take(pa.array(np.zeros(len(part), np.int8))), text.take(pa.array(of_[part])), pa.array(count[part].astype(np.int64))], names=["seq_id", "pos", "strand", "mer", "n"])
@@ -214,20 +222,88 @@ def _rows(k: int, hot: np.ndarray):
     return of
 
 
-def count_by_rows(mers: DataFrame, strand: str) -> DataFrame:
+def _whole(data: np.ndarray, bounds: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The places of the k-mers of A, C, G and T that end inside their tile, and the numbers of these."""
+    codes = _CODE[data]
+    n = len(codes) - k + 1
+    if n <= 0:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    other = np.concatenate([[0], np.cumsum(codes > 3)])
+    good = other[k:] == other[:-k]
+    for end in bounds[1:-1].tolist():
+        good[max(end - k + 1, 0) : end] = False
+    at = np.flatnonzero(good)
+    return at, _joined(codes & np.uint8(3), k)[at].astype(np.int64)
+
+
+def _short_weights(k: int):
+    """(name, n): how often each k-mer occurs; -1 stands for those with other letters."""
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, other = np.zeros(4**k, np.int64), 0
+        for _, _, data, bounds in tile_chunks(batches):
+            at, mers = _whole(data, bounds, k)
+            total += np.bincount(mers, minlength=4**k)
+            other += int(np.maximum(np.diff(bounds) - k + 1, 0).sum()) - len(at)
+        seen = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(seen, -1)), pa.array(np.append(total[seen], other))], names=["name", "n"])
+
+    return of
+
+
+def _looked_up(k: int, strand: str, everywhere: bool, total: np.ndarray):
+    """The counts at all places of the tiles by the table of all k-mers."""
+    mers = np.arange(4**k, dtype=np.uint64)
+    sides = [("+", _letters(mers, k), total)] if "f" in strand else []
+    if "p" in strand:
+        other = _complement(mers, k)
+        sides.append(("-", _letters(other, k), total[other.astype(np.int64)]))
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, starts, data, bounds in tile_chunks(batches):
+            at, mers = _whole(data, bounds, k)
+            for low in range(0, len(at), 200_000):
+                places, names = at[low : low + 200_000], mers[low : low + 200_000]
+                tile = np.searchsorted(bounds, places, "right") - 1
+                seqs, place = ids.take(pa.array(tile)), starts[tile] + places - bounds[tile]
+                for sign, text, count in sides:
+                    n = count[names]
+                    there = slice(None) if everywhere or n.all() else np.flatnonzero(n)
+                    of_place = seqs if isinstance(there, slice) else seqs.take(pa.array(there))
+                    yield pa.RecordBatch.from_arrays([of_place, pa.array(place[there]), pa.array([sign]).take(pa.array(np.zeros(len(of_place), np.int8))), text.take(pa.array(names[there])), pa.array(n[there])], names=["seq_id", "pos", "strand", "mer", "n"])
+
+    return of
+
+
+def place_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(seq_id, start_pos, end_pos, n): neighbouring rows of one length that overlap or touch, in order, as one row; ``n`` counts them."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        ids, (start, end) = batch.column(0), (batch.column(c).to_numpy(zero_copy_only=False) for c in (1, 2))
+        name = ids.dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+        opens = np.ones(len(start), bool)
+        opens[1:] = (name[1:] != name[:-1]) | (start[1:] < start[:-1]) | (start[1:] > end[:-1] + 1)
+        first = np.flatnonzero(opens)
+        last = np.append(first[1:], len(start)) - 1
+        yield pa.RecordBatch.from_arrays([ids.take(pa.array(first)), pa.array(start[first]), pa.array(end[last]), pa.array(last - first + 1)], names=["seq_id", "start_pos", "end_pos", "n"])
+
+
+def count_by_rows(mers: DataFrame, strand: str, everywhere: bool = False) -> DataFrame:
     """``mers(seq_id, pos, mer)`` with the number of each k-mer (of its reverse complement where the strand is -)."""
     counts = mers.groupBy("mer").agg(F.count("*").alias("n"))
-    side = lambda rows, sign: rows.join(counts, "mer").select("seq_id", "pos", F.lit(sign).alias("strand"), "mer", "n")
+    n = F.coalesce("n", F.lit(0).cast("long")).alias("n")
+    side = lambda rows, sign: rows.join(counts, "mer", "left" if everywhere else "inner").select("seq_id", "pos", F.lit(sign).alias("strand"), "mer", n)
     parts = [side(mers, "+")] if "f" in strand else []
     parts += [side(mers.withColumn("mer", revcomp("mer")), "-")] if "p" in strand else []
     return parts[0] if len(parts) == 1 else parts[0].unionAll(parts[1])
 
 
-def kmer_counts(tiles: DataFrame, k: int = 17, strand: str = "f") -> DataFrame:
+def kmer_counts(tiles: DataFrame, k: int = 17, strand: str = "f", everywhere: bool = False) -> DataFrame:
     """(seq_id, pos, strand, mer, n): each place of the tiles (from 0), its k-mer and how often that occurs in all of them.
 
     ``strand``: ``f`` looks up the k-mers as they are (+), ``p`` their reverse complements (-, left out where it doesn't
-    occur), ``fp`` both; counts are those of the forward k-mers. ``tiles(seq_id, tile_start, residues)`` have to share
+    occur unless ``everywhere``, then with 0), ``fp`` both; counts are those of the forward k-mers. ``tiles(seq_id, tile_start, residues)`` have to share
     ``k - 1`` bases with the next one, so that no k-mer is missed or counted twice; residues are ASCII letters.
     """
     if strand not in ("f", "p", "fp"):
@@ -236,15 +312,22 @@ def kmer_counts(tiles: DataFrame, k: int = 17, strand: str = "f") -> DataFrame:
         raise ValueError(f"k is from 1 to {LONGEST}")
     spark = tiles.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = 2 * parts
     rows = tiles.select("seq_id", F.col("tile_start").cast("long"), "residues").where("residues is not null")
-    # At most 4 ** M rows.
-    weights = {r["name"]: r["total"] for r in rows.mapInArrow(_weights(k), "name long, n long").groupBy("name").agg(F.sum("n").alias("total")).collect()}
+    short = k <= SHORT
+    # At most 4 ** M or 4 ** SHORT rows.
+    weights = {r["name"]: r["total"] for r in rows.mapInArrow(_short_weights(k) if short else _weights(k), "name long, n long").groupBy("name").agg(F.sum("n").alias("total")).collect()}
     other = weights.pop(-1, 0)
-    share = HOT * sum(weights.values()) / buckets
-    hot = np.array([name for name, n in weights.items() if n > share], np.uint32)
-    dealt = rows.mapInArrow(_stretches(k, buckets, hot), STRETCHES).repartitionById(parts, F.pmod("bucket", F.lit(parts)).cast("int")).sortWithinPartitions("bucket")
-    found = dealt.mapInArrow(_counted(k, strand), FOUND)
+    if short:
+        total, hot = np.zeros(4**k, np.int64), np.zeros(0, np.uint32)
+        total[list(weights)] = list(weights.values())
+        found = rows.mapInArrow(_looked_up(k, strand, everywhere, total), FOUND)
+    else:
+        buckets = max(2 * parts, -(-sum(weights.values()) // BUCKET))
+        share = HOT * sum(weights.values()) / buckets
+        hot = np.array([name for name, n in weights.items() if n > share], np.uint32)
+        dealt = rows.mapInArrow(_stretches(k, buckets, hot), STRETCHES).repartitionById(parts, F.pmod("bucket", F.lit(parts)).cast("int")).sortWithinPartitions("bucket")
+        found = dealt.mapInArrow(_counted(k, strand, everywhere), FOUND)
     if not other and not len(hot):
         return found
-    return found.unionAll(count_by_rows(rows.mapInArrow(_rows(k, hot), "seq_id string, pos long, mer string"), strand).select("seq_id", "pos", "strand", "mer", "n"))
+    others = rows.mapInArrow(_rows(k, hot), "seq_id string, pos long, mer string")
+    return found.unionAll(count_by_rows(others, strand, everywhere).select("seq_id", "pos", "strand", "mer", "n"))

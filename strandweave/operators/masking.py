@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from strandweave.functions.sequence import mask_residues, revcomp
 
-from .intervals import longest_gap, merge_intervals
-from .kmers import kmer_counts  # noqa: F401
+from .intervals import TILE as STRETCH
+from .intervals import islands, longest_gap, merge_intervals
+from .kmers import kmer_counts, place_runs
 
 TILE = 65_536
 
@@ -82,7 +83,20 @@ def usable(stats: DataFrame, least_run: int = 500) -> DataFrame:
 def kmer_regions(kmers: DataFrame, threshold: int = 6, k: int = 17) -> DataFrame:
     """Merged regions of the plus-strand k-mers that occur ``threshold`` times or more; place 0 doesn't count."""
     often = kmers.where((F.col("strand") == "+") & (F.col("n") >= threshold) & (F.col("pos") > 0))
-    return merge_intervals(often.select("seq_id", (F.col("pos") + 1).alias("start_pos"), (F.col("pos") + k).alias("end_pos")), ["seq_id"])
+    regions = often.select("seq_id", (F.col("pos") + 1).cast("long").alias("start_pos"), (F.col("pos") + k).cast("long").alias("end_pos"))
+    # What lies together already is merged before the shuffle, which the steps of ``islands`` share.
+    runs = regions.mapInArrow(place_runs, "seq_id string, start_pos long, end_pos long, n long").repartition(F.col("seq_id"), F.floor(F.col("start_pos") / STRETCH))
+    merged = islands(runs, ["seq_id"], 1).groupBy("seq_id", F.col("island_start").alias("start_pos"))
+    return merged.agg(F.max("end_pos").alias("end_pos"), F.sum("n").alias("n"))
+
+
+def kmer_track_of_tiles(tiles: DataFrame, k: int = 17, least: int = 1, default: float = -0.1) -> DataFrame:
+    """``kmer_track`` of all places of the tiles (as for ``kmer_counts``), where k-mers under ``least`` count as none.
+
+    Counts come with their places, so that no table of places is joined with them.
+    """
+    counts = kmer_counts(tiles, k, "fp", everywhere=True)
+    return counts.select("seq_id", "strand", "pos", F.when(F.col("n") >= least, F.round(F.log10("n"), 5)).otherwise(F.lit(default)).alias("value"))
 
 
 def kmer_track(kmers: DataFrame, lengths: DataFrame, k: int = 17, default: float = -0.1, strands: Sequence[str] = ("+", "-")) -> DataFrame:

@@ -134,8 +134,7 @@ def n13(t):
 
 @query("b6_kmer_track", f"WITH {_BOTH_STRANDS}, al AS (SELECT seq_id, pos, unnest(['+', '-']) AS strand FROM km) SELECT al.seq_id, al.strand, al.pos, CASE WHEN n >= 280 THEN round(log10(n), 5) ELSE -0.1::DOUBLE END AS value FROM al LEFT JOIN kb ON kb.seq_id = al.seq_id AND kb.pos = al.pos AND kb.strand = al.strand")
 def b6(t):
-    lengths = t.fx_sequences.select("seq_id", F.length("residues").cast("long").alias("length"))
-    return M.kmer_track(kmers(t, "fp").where("n >= 280"), lengths, 6)
+    return M.kmer_track_of_tiles(M.to_tiles(t.fx_sequences, W, 5), 6, 280)
 
 
 PAIRS = """pairs AS (SELECT DISTINCT x.parent_id, v.evidence_id, v.category, v.db FROM fx_exons x JOIN fx_evidence v

@@ -6,10 +6,13 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from strandweave.operators import frames, kmers
+from strandweave.operators import intervals as I
+from strandweave.operators import masking as M
 from strandweave.operators import transcripts as T
 from strandweave.operators.masking import to_tiles
 
@@ -115,3 +118,44 @@ def test_frames_equal_plain_ones(spark, mode):
         assert {tuple(r) for r in got} == want
     else:
         assert all(len(r.orf) * 3 == r.end_pos - r.start_pos + 1 for r in got)
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_short_kmers_are_looked_up_without_a_shuffle(spark):
+    seqs = {s: x for s, x in sequences(8).items() if set(x) <= set("ACGT")}
+    found = kmers.kmer_counts(to_tiles(seq_table(spark, seqs).coalesce(1).localCheckpoint(), 64, 5), 6, "fp")
+    assert "Exchange" not in plan_of(found)
+    assert sorted(map(tuple, found.collect())) == brute_kmers(seqs, 6, "fp")
+
+
+@pytest.mark.parametrize("k", [3, 6, 11])
+def test_kmer_track_of_tiles_is_the_track_of_all_places(spark, k):
+    seqs = sequences(k)
+    table = seq_table(spark, seqs)
+    tiles, lengths = to_tiles(table, 70, k - 1), table.select("seq_id", F.length("residues").cast("long").alias("length"))
+    want = M.kmer_track(kmers.kmer_counts(tiles, k, "fp").where("n >= 2"), lengths, k)
+    assert sorted(map(tuple, M.kmer_track_of_tiles(tiles, k, 2).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_buckets_follow_the_number_of_kmers(spark, monkeypatch):
+    monkeypatch.setattr(kmers, "BUCKET", 64)
+    seen = []
+    monkeypatch.setattr(kmers, "_stretches", lambda k, buckets, hot, of=kmers._stretches: seen.append(buckets) or of(k, buckets, hot))
+    seqs = sequences(5)
+    got = kmers.kmer_counts(to_tiles(seq_table(spark, seqs), 80, 10), 11, "fp").collect()
+    assert sorted(map(tuple, got)) == brute_kmers(seqs, 11, "fp")
+    assert seen[0] >= len(brute_kmers({s: x for s, x in seqs.items() if set(x) <= set("ACGT")}, 11, "f")) // 64
+
+
+def test_kmer_regions_are_merged_before_the_shuffle(spark):
+    rng = random.Random(2)
+    rows = sorted({(f"s{rng.randrange(3)}", rng.randrange(900)) for _ in range(700)})
+    rows += rng.sample(rows, 200)
+    found = spark.createDataFrame([(s, p, "+", "x", 9) for s, p in rows], kmers.FOUND)
+    want = I.merge_intervals(found.where("pos > 0").select("seq_id", (F.col("pos") + 1).alias("start_pos"), (F.col("pos") + 4).alias("end_pos")), ["seq_id"])
+    got = M.kmer_regions(found, 6, 4)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert sum(b.num_rows for b in kmers.place_runs(iter([pa.RecordBatch.from_pylist([{"seq_id": "a", "start_pos": p, "end_pos": p + 3} for p in range(50)])]))) == 1
