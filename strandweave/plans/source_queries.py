@@ -208,18 +208,26 @@ def saved(lines, name: str) -> str:
     return path
 
 
+#: Records of an XML file on average, if there are more than eight such files.
+PER_FILE = 250_000
+
+
 def saved_xml(records, root: str, files: int = 8) -> str:
-    """XML records written to the shared folder, one document a file: the reader takes only the first of a file."""
+    """XML records written to the shared folder, one document a file: the reader takes only the first of a file.
+
+    There are ``files`` of them, more where these would have over ``PER_FILE`` records each; a task writes one.
+    """
     import uuid
 
     from strandweave.operators.graph import shared_folder
 
     spark = records.sparkSession
+    files = max(files, -(-records.count() // PER_FILE))
     rows = records.select(F.pmod(F.xxhash64("value"), F.lit(files)).cast("int").alias("part"), F.lit(1).alias("place"), "value")
     ends = F.explode(F.array(*(F.struct(F.lit(k).alias("place"), F.lit(v).alias("value")) for k, v in ((0, f"<{root}>"), (2, f"</{root}>"))))).alias("x")
     rows = rows.unionByName(spark.range(files).select(F.col("id").cast("int").alias("part"), ends).select("part", "x.place", "x.value"))
     path = f"{shared_folder(spark)}/{root}-{uuid.uuid4().hex}"
-    rows.repartition("part").sortWithinPartitions("part", "place").select("part", "value").write.partitionBy("part").text(path)
+    rows.repartitionById(files, "part").sortWithinPartitions("part", "place").select("part", "value").write.partitionBy("part").text(path)
     return path
 
 

@@ -150,3 +150,13 @@ def test_plain_sinks(spark, tmp_path):
     assert spark.read.text(str(tmp_path / "r")).first()[0] == "1\t9"
     sinks.write_list(spark.createDataFrame([("h",)], "hit_id string"), "hit_id", str(tmp_path / "l"))
     assert spark.read.text(str(tmp_path / "l")).first()[0] == "h"
+
+
+def test_xml_files_follow_the_number_of_records(spark, monkeypatch):
+    from strandweave.plans import source_queries as Q
+
+    monkeypatch.setattr(Q, "PER_FILE", 10)
+    records = spark.range(300).select(F.concat(F.lit("<r>"), F.col("id").cast("string"), F.lit("</r>")).alias("value"))
+    lines = spark.read.text(Q.saved_xml(records, "all")).select("part", "value").collect()
+    assert len({r.part for r in lines}) == 30
+    assert sum(r.value.startswith("<r>") for r in lines) == 300 and sum(r.value == "<all>" for r in lines) == 30
