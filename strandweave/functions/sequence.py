@@ -46,6 +46,12 @@ def translate_codons(seq: Column | str, partial: str = "drop") -> Column:
     return protein
 
 
+def first_codon(text: Column, *wanted: str) -> Column:
+    """The number (from 1) of the first whole codon of ``text`` that is one of ``wanted``, or null."""
+    upto = F.length(F.regexp_extract(text, f"(?s)^(?:...)*?(?:{'|'.join(wanted)})", 0))
+    return F.nullif(F.floor(upto / 3), F.lit(0).cast("long"))
+
+
 def subseq(seq: Column | str, start: Column | str, end: Column | str, strand: Column | None = None) -> Column:
     """Bases from start to end; reverse-complemented where strand is -1."""
     part = F.substring(_col(seq), _col(start), _col(end) - _col(start) + 1)
