@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from .lookups import BASES, NUCLEIC_ALPHABET, PROTEIC_ALPHABET, STANDARD_CODE
 
@@ -22,22 +28,41 @@ def revcomp_iupac(seq: Column | str) -> Column:
     return F.reverse(F.translate(_col(seq), "ATGCURYMKSWHBVDN", "TACGAYRKMSWDVBHN"))
 
 
-def amino_acid(codon: Column) -> Column:
-    """Letter of the standard code; X if a base is none of A, C, G and T."""
-    places = [F.instr(F.lit(BASES), F.substring(codon, k, 1)) - 1 for k in (1, 2, 3)]
-    known = (F.length(codon) == 3) & (F.least(*places) >= 0)
-    return F.when(known, F.substring(F.lit(STANDARD_CODE), places[0] * 16 + places[1] * 4 + places[2] + 1, F.lit(1))).otherwise("X")
+_PLACE = np.full(256, 4, np.uint8)
+for _letters in (BASES, BASES.lower()):
+    _PLACE[np.frombuffer(_letters.encode(), np.uint8)] = range(4)
+#: The letter of each codon's number (base 5; 4 for a letter that is no base).
+_LETTERS = np.full(125, ord("X"), np.uint8)
+_LETTERS[[a * 25 + b * 5 + c for a in range(4) for b in range(4) for c in range(4)]] = np.frombuffer(STANDARD_CODE.encode(), np.uint8)
+
+
+def _letter(codon: str) -> str:
+    return chr(_LETTERS[_PLACE[list(codon.encode())] @ (25, 5, 1)]) if codon.isascii() else "X"
 
 
-def codons(seq: Column | str) -> Column:
-    """Whole codons of frame 0."""
-    return F.regexp_extract_all(F.upper(_col(seq)), F.lit("(...)"), F.lit(1))
+@F.arrow_udf(StringType())
+def _protein(texts: pa.Array) -> pa.Array:
+    """Letters of the standard code for the whole codons of each text, all texts of a batch at once."""
+    texts = texts.cast(pa.large_string())
+    ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+    if ((data[ends[0] : ends[-1]] > 127) | (data[ends[0] : ends[-1]] == 10) | (data[ends[0] : ends[-1]] == 13)).any():
+        # Other letters take several bytes, and a codon doesn't go over the end of a line.
+        codons = lambda text: re.findall("[^\n\r\x85\u2028\u2029]{3}", text)
+        return pa.array([None if x is None else "".join(map(_letter, codons(x))) for x in texts.to_pylist()], pa.string())
+    sizes = np.diff(ends) // 3
+    bounds = np.concatenate(([0], np.cumsum(sizes)))
+    at = np.repeat(ends[:-1] - 3 * bounds[:-1], sizes) + 3 * np.arange(bounds[-1])
+    codes = _PLACE[data]
+    letters = _LETTERS[codes[at] * np.uint8(25) + codes[at + 1] * np.uint8(5) + codes[at + 2]]
+    proteins = pa.Array.from_buffers(pa.large_string(), len(texts), [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(letters)])
+    return pc.if_else(texts.is_valid(), proteins, pa.scalar(None, pa.large_string())).cast(pa.string())
 
 
 def translate_codons(seq: Column | str, partial: str = "drop") -> Column:
-    """Protein of frame 0. A rest of one or two bases is dropped, an ``X``, or an error (``fail``)."""
+    """Protein of frame 0, X for a codon with another letter. A rest of one or two bases is dropped, an ``X``, or an error (``fail``)."""
     seq = _col(seq)
-    protein = F.array_join(F.transform(codons(seq), amino_acid), "")
+    protein = _protein(F.upper(seq))
     rest = F.length(seq) % 3
     if partial == "X":
         return F.concat(protein, F.when(rest > 0, "X").otherwise(""))

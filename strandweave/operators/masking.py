@@ -43,11 +43,21 @@ def extract_subseq(features: DataFrame, tiles: DataFrame, key: Sequence[str], wi
     return inside.unionAll(pieces.select(*key, "start_pos", "end_pos", F.array_join(F.transform("pieces", lambda p: p["piece"]), "").alias("part")))
 
 
+def pieces(features: DataFrame, tiles: DataFrame, width: int = TILE) -> DataFrame:
+    """``features(seq_id, start_pos, end_pos, …)`` with ``tile_no`` and ``piece``: a row for each tile that one has bases in."""
+    first, last = F.floor((F.col("start_pos") - 1) / width), F.floor((F.col("end_pos") - 1) / width)
+    source = tiles.select("seq_id", F.col("tile_no").cast("long").alias("tile_no"), "tile_start", "residues")
+    rows = features.where(first <= last).withColumn("tile_no", F.explode(F.sequence(first, last))).join(source, ["seq_id", "tile_no"])
+    begin = F.greatest("start_pos", "tile_start")
+    size = F.least(F.col("end_pos"), F.col("tile_start") + width - 1) - begin + 1
+    return rows.select(*features.columns, "tile_no", F.substring("residues", (begin - F.col("tile_start") + 1).cast("int"), size.cast("int")).alias("piece"))
+
+
 def coding_sequences(parts: DataFrame, tiles: DataFrame, model: str = "parent_id", width: int = TILE) -> DataFrame:
     """(model, coding): the parts of each model in order, reverse-complemented as a whole on the minus strand."""
-    found = extract_subseq(parts, tiles, ["seq_id", model, "strand"], width)
-    rows = found.groupBy("seq_id", model, "strand").agg(F.sort_array(F.collect_list(F.struct("start_pos", "end_pos", "part"))).alias("parts"))
-    whole: Column = F.array_join(F.transform("parts", lambda p: p["part"]), "")
+    found = pieces(parts.select("seq_id", model, "strand", "start_pos", "end_pos"), tiles, width)
+    rows = found.groupBy("seq_id", model, "strand").agg(F.sort_array(F.collect_set(F.struct("start_pos", "end_pos", "tile_no", "piece"))).alias("parts"))
+    whole: Column = F.array_join(F.transform("parts", lambda p: p["piece"]), "")
     return rows.select("seq_id", model, "strand", F.when(F.col("strand") == -1, revcomp(whole)).otherwise(whole).alias("coding"))
 
 

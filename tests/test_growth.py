@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
+from strandweave.functions.sequence import translate_codons
 from strandweave.operators import transcripts as T
-from strandweave.operators.masking import to_tiles
+from strandweave.operators.masking import coding_sequences, pieces, to_tiles
 
 
 def test_extension_reads_texts_once_for_all_modes(spark):
@@ -19,3 +21,19 @@ def test_extension_reads_texts_once_for_all_modes(spark):
     got = {tuple(r) for r in together.select("mode", "parent_id", "strand", "type", "start_pos", "end_pos").collect()}
     alone = {(m, *tuple(r)) for m in (0, 1, 2) for r in T.extend_cds(parts, tiles, lengths, 9, m, width=16).drop("seq_id").collect()}
     assert got == alone and {r[1] for r in got} == {"a", "b"}
+
+
+@pytest.mark.parametrize("text", ["atgGCCTAANNNAC", "", "AC", "ACGTTé" * 3, "ACG\nTTACC\rGATT", "AC\U0001f600TTA", None])
+def test_translation_by_batches(spark, text):
+    rows = spark.createDataFrame([(0, "ATG"), (1, text), (2, "TAAACGTGC"), (3, None)], "k int, s string").coalesce(1)
+    got = {r.k: r.p for r in rows.select("k", translate_codons("s").alias("p")).collect()}
+    known = {"atgGCCTAANNNAC": "MA*X", "": "", "AC": "", "ACGTTé" * 3: "TX" * 3, "ACG\nTTACC\rGATT": "TLD", "AC\U0001f600TTA": "XL", None: None}
+    assert got == {0: "M", 1: known[text], 2: "*TC", 3: None}
+
+
+def test_one_plan_reads_each_text_once(spark):
+    seqs = spark.createDataFrame([("s", "CCATGATGCCCNAAATTTCATGGGCCC")], "seq_id string, residues string")
+    parts = spark.createDataFrame([("s", "a", 1, 3, 20), ("s", "a", 1, 3, 20), ("s", "a", 1, 23, 27), ("s", "z", 1, 90, 99)], "seq_id string, parent_id string, strand int, start_pos long, end_pos long")
+    tiles = to_tiles(seqs, 8)
+    assert [(r.parent_id, r.coding) for r in coding_sequences(parts, tiles, width=8).collect()] == [("a", "ATGATGCCCNAAATTTCAGGCCC")]
+    assert [tuple(pieces(parts.limit(0), tiles, 8).columns)] == [("seq_id", "parent_id", "strand", "start_pos", "end_pos", "tile_no", "piece")]
