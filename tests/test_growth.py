@@ -37,3 +37,31 @@ def test_one_plan_reads_each_text_once(spark):
     tiles = to_tiles(seqs, 8)
     assert [(r.parent_id, r.coding) for r in coding_sequences(parts, tiles, width=8).collect()] == [("a", "ATGATGCCCNAAATTTCAGGCCC")]
     assert [tuple(pieces(parts.limit(0), tiles, 8).columns)] == [("seq_id", "parent_id", "strand", "start_pos", "end_pos", "tile_no", "piece")]
+
+
+def test_named_files_are_written_by_several_tasks(spark, tmp_path):
+    from strandweave.plans.source_queries import named_files
+    from strandweave.sources.reports import read_named_set
+
+    rows = spark.range(40).repartition(4).select(F.when(F.col("id") % 2 == 0, "1_TOOLA_some_db.gff").otherwise("12_TOOLB_other.db.gff").alias("name"), F.concat_ws("\t", F.lit("c"), F.lit("T"), F.lit("exon"), F.col("id").cast("string"), F.lit("99"), F.lit("."), F.lit("+"), F.lit("."), F.lit("ID=x")).alias("value"))
+    named_files(rows, str(tmp_path / "set"))
+    assert len(list((tmp_path / "set").glob("*/*.gff"))) > 2
+    got = read_named_set(spark, f"{tmp_path}/set/*/*.gff").select("step", "tool", "db", "start_pos").collect()
+    assert sorted(tuple(r) for r in got) == sorted((1, "TOOLA", "some_db", i) if i % 2 == 0 else (12, "TOOLB", "other.db", i) for i in range(40))
+
+
+def test_frames_of_hits_read_tiles_once(spark):
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    seqs = spark.createDataFrame([(str(k), "ATGAAATAACCC") for k in range(6)], "seq_id string, residues string")
+    tiles = to_tiles(seqs, 8, 2)
+    tiles = tiles.mapInArrow(counted, tiles.schema)
+    lengths = seqs.select("seq_id", F.length("residues").cast("long").alias("length"))
+    hits = spark.createDataFrame([("3", 1, 4), ("3", 1, 4), ("none", 1, 4)], "seq_id string, strand int, h_start long")
+    assert [tuple(r) for r in T.orfs_from_hits(tiles, lengths, hits, 8).collect()] == [("3", 1, 4, 1, 9, "MK*")]
+    assert reads.value == 12
