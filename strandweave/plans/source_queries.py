@@ -339,18 +339,21 @@ def a20(t):
 
     folder = f"{shared_folder(t.fx_exons.sparkSession)}/named-{uuid.uuid4().hex}"
     line = F.concat_ws("\t", "seq_id", F.lit("T"), F.lit("exon"), F.col("start_pos").cast("string"), F.col("end_pos").cast("string"), F.lit("."), F.when(F.col("strand") == -1, "-").otherwise("+"), F.lit("."), F.concat(F.lit("ID="), "feature_id"))
-    for level, name in ((0, "1_TOOLA_some_db.gff"), (1, "12_TOOLB_other.db.gff")):
-        one_file(t.fx_exons.where(F.col("file_level") == level).select(line.alias("value")), folder, name)
-    return P.read_named_set(t.fx_exons.sparkSession, f"{folder}/*.gff").select("step", "tool", "db", F.col("attributes")["ID"][0].alias("feature_id"), "start_pos")
+    name = F.when(F.col("file_level") == 0, "1_TOOLA_some_db.gff").otherwise("12_TOOLB_other.db.gff")
+    named_files(t.fx_exons.where("file_level < 2").select(name.alias("name"), line.alias("value")), folder)
+    return P.read_named_set(t.fx_exons.sparkSession, f"{folder}/*/*.gff").select("step", "tool", "db", F.col("attributes")["ID"][0].alias("feature_id"), "start_pos")
 
 
-def one_file(lines, folder: str, name: str) -> None:
-    """Lines as one text file of a given name, as a tool would have written it."""
+def named_files(lines, folder: str) -> None:
+    """``lines(name, value)`` as text files of these names, as a tool would have written them.
+
+    Each task writes its own file of a name, into a folder of its own, so that no name is the work of one task.
+    """
     spark = lines.sparkSession
-    written = f"{folder}/parts-{name}"
-    lines.coalesce(1).write.text(written)
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(written)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    (part,) = (x.getPath() for x in fs.listStatus(path) if x.getPath().getName().startswith("part-"))
-    fs.rename(part, jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}"))
+    written = f"{folder}/written"
+    lines.write.partitionBy("name").text(written)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(written).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for k, part in enumerate(fs.globStatus(path(f"{written}/name=*/part-*"))):
+        fs.mkdirs(path(f"{folder}/{k:05d}"))
+        fs.rename(part.getPath(), path(f"{folder}/{k:05d}/{part.getPath().getParent().getName().removeprefix('name=')}"))
