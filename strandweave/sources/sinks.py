@@ -55,6 +55,10 @@ def write_list(values: DataFrame, column: str, path: str) -> None:
     values.select(F.col(column).cast("string").alias("value")).write.text(path)
 
 
+#: Shares of a shuffle partition in which feature tables are grouped, so that a task holds less at a time.
+SHARES = 8
+
+
 def embl_table(features: DataFrame, profile: DataFrame, colors: Column) -> DataFrame:
     """Feature-table rows by ``profile(type, embl_type, joined)``: other types are left out.
 
@@ -62,7 +66,9 @@ def embl_table(features: DataFrame, profile: DataFrame, colors: Column) -> DataF
     """
     rows = features.join(profile, "type").withColumn("color", colors)
     key = F.when(F.col("joined"), F.col("parent_id")).otherwise(F.col("feature_id"))
-    parts = rows.groupBy("seq_id", "embl_type", "strand", key.alias("key"), "color").agg(F.sort_array(F.collect_list(F.struct("start_pos", "end_pos"))).alias("parts"))
+    # Hardly any rows meet before the shuffle; they are dealt as they are, to several smaller groups of keys a partition.
+    rows = rows.select("seq_id", "embl_type", "strand", key.alias("key"), "color", "start_pos", "end_pos").repartition(SHARES * int(features.sparkSession.conf.get("spark.sql.shuffle.partitions")), "key")
+    parts = rows.groupBy("seq_id", "embl_type", "strand", "key", "color").agg(F.sort_array(F.collect_list(F.struct("start_pos", "end_pos"))).alias("parts"))
     spans = F.transform("parts", lambda p: F.concat(p["start_pos"].cast("string"), F.lit(".."), p["end_pos"].cast("string")))
     inner = F.when(F.size("parts") > 1, F.concat(F.lit("join("), F.array_join(spans, ","), F.lit(")"))).otherwise(spans[0])
     return parts.select("seq_id", "key", F.col("embl_type").alias("type"), F.when(F.col("strand") == -1, F.concat(F.lit("complement("), inner, F.lit(")"))).otherwise(inner).alias("location"), "color")
