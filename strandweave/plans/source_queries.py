@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from strandweave.functions import lookups as L
@@ -109,11 +110,11 @@ _SITES = f"{GENES}, st AS (SELECT *, CASE WHEN file_level > 0 THEN CASE WHEN str
     UNION ALL SELECT seq_id, parent_id, strand, 'three_prime_UTR', CASE WHEN strand = 1 THEN end_pos + 1 ELSE poly_a END, CASE WHEN strand = 1 THEN poly_a ELSE start_pos - 1 END FROM st WHERE poly_a IS NOT NULL""",
 )
 def a15(t):
-    from .interval_queries import genes
-
-    plus = F.col("strand") == 1
-    sites = genes(t).select("parent_id", F.when(F.col("file_level") > 0, F.when(plus, F.col("start_pos") - 30).otherwise(F.col("end_pos") + 30)).alias("promoter"), F.when(F.col("file_level") > 1, F.when(plus, F.col("end_pos") + 40).otherwise(F.col("start_pos") - 40)).alias("poly_a"))
-    return P.exons_to_genes(t.fx_exons.join(sites, "parent_id").select("seq_id", F.col("parent_id").alias("gene_id"), "strand", "start_pos", "end_pos", "promoter", "poly_a"))
+    plus, gene = F.col("strand") == 1, W.partitionBy("parent_id")
+    exons = t.dealt("fx_exons", "parent_id").withColumns({"first": F.min("start_pos").over(gene), "last": F.max("end_pos").over(gene)})
+    promoter = F.when(F.col("file_level") > 0, F.when(plus, F.col("first") - 30).otherwise(F.col("last") + 30))
+    poly_a = F.when(F.col("file_level") > 1, F.when(plus, F.col("last") + 40).otherwise(F.col("first") - 40))
+    return P.exons_to_genes(exons.select("seq_id", F.col("parent_id").alias("gene_id"), "strand", "start_pos", "end_pos", promoter.alias("promoter"), poly_a.alias("poly_a")))
 
 
 @query("a16_read_markers", f"SELECT feature_id, start_pos FROM ({_GFF}) WHERE type <> 'region'")

@@ -226,18 +226,18 @@ def parse_orf_headers(rows: DataFrame) -> DataFrame:
 def exons_to_genes(exons: DataFrame) -> DataFrame:
     """gene, mRNA, exon and polypeptide rows of exon-level predictions, and UTRs up to a promoter or polyA site.
 
-    ``exons(seq_id, gene_id, strand, start_pos, end_pos, promoter, poly_a)``; sites are positions or null.
+    ``exons(seq_id, gene_id, strand, start_pos, end_pos, promoter, poly_a)``; sites are positions or null. Genes are
+    grouped where they are if ``exons`` is partitioned by gene, so that its number of partitions bounds a task.
     """
     by = ["seq_id", "gene_id", "strand"]
-    bounds = exons.groupBy(*by).agg(F.min("start_pos").alias("start_pos"), F.max("end_pos").alias("end_pos"), F.first("promoter").alias("promoter"), F.first("poly_a").alias("poly_a"))
-    row = lambda df, kind, a="start_pos", b="end_pos": df.select(*by, F.lit(kind).alias("type"), F.col(a).alias("start_pos") if isinstance(a, str) else a.alias("start_pos"), F.col(b).alias("end_pos") if isinstance(b, str) else b.alias("end_pos"))
-    rows = row(bounds, "gene").unionByName(row(bounds, "mRNA")).unionByName(row(exons, "exon")).unionByName(row(exons, "polypeptide"))
+    bounds = exons.groupBy(*by).agg(F.min("start_pos").alias("first"), F.max("end_pos").alias("last"), F.first("promoter").alias("promoter"), F.first("poly_a").alias("poly_a"))
     plus = F.col("strand") != -1
-    for site, kind, low in (("promoter", "five_prime_UTR", plus), ("poly_a", "three_prime_UTR", ~plus)):
-        s = F.col(site)
-        utr = row(bounds, kind, F.when(low, s).otherwise(F.col("end_pos") + 1), F.when(low, F.col("start_pos") - 1).otherwise(s))
-        rows = rows.unionByName(utr.where("start_pos is not null and end_pos is not null and start_pos <= end_pos"))
-    return rows
+    row = lambda kind, a, b: F.struct(F.lit(kind).alias("type"), F.col(a).alias("start_pos") if isinstance(a, str) else a.alias("start_pos"), F.col(b).alias("end_pos") if isinstance(b, str) else b.alias("end_pos"))
+    utr = lambda kind, site, low: row(kind, F.when(low, F.col(site)).otherwise(F.col("last") + 1), F.when(low, F.col("first") - 1).otherwise(F.col(site)))
+    of_gene = F.array(row("gene", "first", "last"), row("mRNA", "first", "last"), utr("five_prime_UTR", "promoter", plus), utr("three_prime_UTR", "poly_a", ~plus))
+    rows = bounds.select(*by, F.inline(of_gene)).where("type in ('gene', 'mRNA') or start_pos <= end_pos")
+    of_exon = F.explode(F.array(F.lit("exon"), F.lit("polypeptide"))).alias("type")
+    return rows.unionByName(exons.select(*by, of_exon, "start_pos", "end_pos"))
 
 
 def read_named_set(spark: SparkSession, path: str) -> DataFrame:

@@ -92,3 +92,17 @@ def test_evidence_is_paired_or_ranked_alike(spark, monkeypatch, seed):
 def test_comparisons_of_a_range_join(spark):
     rows = spark.createDataFrame([("c", 1, 5), ("c", 7, 9), ("c", 25_000, 25_001), ("d", 1, 2)], "seq_id string, start_pos long, end_pos long")
     assert I.comparisons(rows, rows, ["seq_id"]) == 6 and I.comparisons(rows, rows.limit(0), ["seq_id"]) == 0
+
+
+def test_derived_rows_and_genes_are_dealt_by_the_number_of_lines(spark, monkeypatch):
+    from strandweave.plans import QUERIES, fixtures
+
+    data = "/root/testdata/sf0.001"
+    plain = {tuple(r) for r in QUERIES["a15_exons_to_genes"](spark, data).collect()}
+    monkeypatch.setattr(fixtures, "ROWS", 500)
+    most = lambda df: df.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    for name in ("fx_exons", "fx_cds", "fx_evidence"):
+        assert most(fixtures.table(spark, data, name)) < 800
+    rows = QUERIES["a15_exons_to_genes"](spark, data)
+    assert {tuple(r) for r in rows.collect()} == plain
+    assert most(rows.where("type = 'gene'")) < 300 and most(rows.where("type = 'exon'")) < 800
