@@ -106,3 +106,36 @@ def test_derived_rows_and_genes_are_dealt_by_the_number_of_lines(spark, monkeypa
     rows = QUERIES["a15_exons_to_genes"](spark, data)
     assert {tuple(r) for r in rows.collect()} == plain
     assert most(rows.where("type = 'gene'")) < 300 and most(rows.where("type = 'exon'")) < 800
+
+
+def test_alignments_of_a_crowded_hit_are_looked_up_in_few_steps(monkeypatch):
+    """Alignments that begin together on the query and lie beside each other on the subject: none may follow another."""
+    steps, last = [], T._Slab._last
+    monkeypatch.setattr(T._Slab, "_last", lambda *x: steps.append(1) or last(*x))
+    n = 3000
+    facing = T._Facing([1] * n, list(range(50, 50 + n)), list(range(0, 30 * n, 30)), 10, 10_000)
+    assert all(facing.nearest(k % 60, 20_000, 90_000) is None for k in (0, 1)) and len(steps) < 10
+    assert facing.nearest(55, 20_000, 120) == 3
+    for k in (3, 2, 1, 0):
+        assert facing.nearest(55, 20_000, 120) == k
+        facing.drop(k)
+    assert facing.nearest(55, 20_000, 120) is None and len(steps) < 60
+
+
+@pytest.mark.parametrize("few", [0, 3, 8])
+def test_nearest_alignment_is_the_least_of_all(monkeypatch, few):
+    monkeypatch.setattr(T._Facing, "FEW", few)
+    r = random.Random(few)
+    for _ in range(60):
+        n, wide, t_gap, g_gap = r.randint(1, 60), r.choice((20, 200)), r.choice((-3, 1, 10)), r.choice((1, 2, 30, 1000))
+        rows = [(a, a + r.randint(-2, 30), r.randint(-wide, wide)) for a in (r.randint(0, 60) for _ in range(n))]
+        rows[0] = (float("nan"), *rows[0][1:])
+        facing, free = T._Facing(*(list(x) for x in zip(*rows, strict=True)), t_gap, g_gap), set(range(n))
+        for _ in range(2 * n):
+            q0, q1, a0 = r.randint(0, 80), r.randint(0, 120), r.randint(-wide, 2 * wide)
+            fits = [(abs(q0 - e), a0 - y, k) for k, (s, e, y) in enumerate(rows) if k in free and s < q0 and e < q1 and q0 - e > -t_gap and 0 < a0 - y < g_gap]
+            found = facing.nearest(q0, q1, a0)
+            assert found == (min(fits)[2] if fits else None)
+            if found is not None and r.random() < 0.7:
+                free.discard(found)
+                facing.drop(found)
