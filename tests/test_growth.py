@@ -139,3 +139,23 @@ def test_nearest_alignment_is_the_least_of_all(monkeypatch, few):
             if found is not None and r.random() < 0.7:
                 free.discard(found)
                 facing.drop(found)
+
+
+@pytest.mark.parametrize("near", [0, 3, 1000])
+def test_windows_of_a_cluster_meet_their_neighbours_only(monkeypatch, near):
+    from types import SimpleNamespace
+
+    import numpy as np
+
+    from tests.test_folds import brute_windows
+
+    monkeypatch.setattr(T, "NEAR", near)
+    monkeypatch.setattr(T, "BLOCK", 7)
+    r = random.Random(near)
+    for _ in range(40):
+        wide = r.choice((30, 300, 3000))
+        rows = sorted((a, a + r.randint(0, 40)) for a in (r.randint(1, wide) for _ in range(60)))
+        # The first window spans them all, so that they are one cluster.
+        windows = [SimpleNamespace(seq_id="c", window_id=k, g_start=a, g_end=b, start_pos=a - r.randint(0, 30) if k else -99, end_pos=b + r.randint(0, 30) if k else 4000) for k, (a, b) in enumerate(rows)]
+        kept, bounds = T._kept_windows({c: np.array([getattr(w, c) for w in windows]) for c in ("start_pos", "end_pos", "g_start", "g_end")}, 0.9)
+        assert {("c", k, int(a), int(b)) for k, a, b in zip(kept, bounds["start_pos"], bounds["end_pos"], strict=True)} == brute_windows(windows)
