@@ -159,3 +159,18 @@ def test_windows_of_a_cluster_meet_their_neighbours_only(monkeypatch, near):
         windows = [SimpleNamespace(seq_id="c", window_id=k, g_start=a, g_end=b, start_pos=a - r.randint(0, 30) if k else -99, end_pos=b + r.randint(0, 30) if k else 4000) for k, (a, b) in enumerate(rows)]
         kept, bounds = T._kept_windows({c: np.array([getattr(w, c) for w in windows]) for c in ("start_pos", "end_pos", "g_start", "g_end")}, 0.9)
         assert {("c", k, int(a), int(b)) for k, a, b in zip(kept, bounds["start_pos"], bounds["end_pos"], strict=True)} == brute_windows(windows)
+
+
+def test_clusters_read_their_exons_once(spark):
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    rows = [("c", 1, "b", 1, 10), ("c", 1, "a", 10, 20), ("c", 1, "a", 40, 50), ("c", 1, "d", 50, 60), ("c", -1, "e", 1, 99), ("c", None, "f", 1, 99), (None, 1, "g", 1, 99), ("c", 1, None, 5, 6)]
+    exons = spark.createDataFrame(rows, "seq_id string, strand int, parent_id string, start_pos long, end_pos long")
+    found = T.cluster_transcripts(exons.mapInArrow(counted, exons.schema)).collect()
+    assert {tuple(r) for r in found} == {("b", "a"), ("a", "a"), ("d", "a"), ("e", "e"), ("f", "f"), ("g", "g"), (None, None)}
+    assert reads.value == len(rows)
