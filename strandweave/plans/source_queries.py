@@ -213,22 +213,26 @@ def saved(lines, name: str) -> str:
 PER_FILE = 250_000
 
 
-def saved_xml(records, root: str, files: int = 8) -> str:
+def saved_xml(records, root: str, files: int = 8, value="value") -> str:
     """XML records written to the shared folder, one document a file: the reader takes only the first of a file.
 
-    There are ``files`` of them, more where these would have over ``PER_FILE`` records each; a task writes one.
+    There are ``files`` of them, more where these would have over ``PER_FILE`` records each; a task writes one. ``value``
+    is the text of a record by the columns of ``records``. It is made behind the shuffle and written as gzip, so that
+    markup is neither shuffled nor kept whole; a file is read by one task anyway.
     """
     import uuid
 
-    from strandweave.operators.graph import shared_folder
+    from strandweave.operators.graph import shared_folder, without_shuffle_files
 
     spark = records.sparkSession
-    files = max(files, -(-records.count() // PER_FILE))
-    rows = records.select(F.pmod(F.xxhash64("value"), F.lit(files)).cast("int").alias("part"), F.lit(1).alias("place"), "value")
-    ends = F.explode(F.array(*(F.struct(F.lit(k).alias("place"), F.lit(v).alias("value")) for k, v in ((0, f"<{root}>"), (2, f"</{root}>"))))).alias("x")
-    rows = rows.unionByName(spark.range(files).select(F.col("id").cast("int").alias("part"), ends).select("part", "x.place", "x.value"))
     path = f"{shared_folder(spark)}/{root}-{uuid.uuid4().hex}"
-    rows.repartitionById(files, "part").sortWithinPartitions("part", "place").select("part", "value").write.partitionBy("part").text(path)
+    with without_shuffle_files(spark):
+        files = max(files, -(-records.count() // PER_FILE))
+        rows = records.withColumns({"part": F.pmod(F.xxhash64(*records.columns), F.lit(files)).cast("int"), "place": F.lit(1)})
+        ends = spark.range(files).select(F.col("id").cast("int").alias("part"), F.explode(F.array(F.lit(0), F.lit(2))).alias("place"))
+        rows = rows.unionByName(ends, allowMissingColumns=True).repartitionById(files, "part").sortWithinPartitions("part", "place")
+        line = F.when(F.col("place") == 0, f"<{root}>").when(F.col("place") == 2, f"</{root}>").otherwise(F.col(value) if isinstance(value, str) else value)
+        rows.select("part", line.alias("value")).write.partitionBy("part").option("compression", "gzip").text(path)
     return path
 
 
@@ -258,8 +262,8 @@ def a4(t):
     )
     hit = F.concat(tag("Hit_accession", c("hit_id")), tag("Hit_len", c("hit_len")), F.lit("<Hit_hsps><Hsp>"), hsp, F.lit("</Hsp></Hit_hsps>"))
     line = F.concat(F.lit("<Iteration>"), tag("Iteration_query-def", c("query_id")), tag("Iteration_query-len", c("query_len")), F.lit("<Iteration_hits><Hit>"), hit, F.lit("</Hit></Iteration_hits></Iteration>"))
-    rows = t.fx_hsps.select(line.alias("value"))
-    return P.read_search_xml(rows.sparkSession, saved_xml(rows, "report")).select("query_id", "query_len", "hit_id", "hit_len", "strand", "q_start", "q_end", "h_start", "h_end", "align_len", "gaps", "hit_len_aligned", "n_identical")
+    rows = t.fx_hsps.select("query_id", "query_len", "hit_id", "hit_len", "strand", "q_start", "q_end", "h_start", "h_end", "align_len", "n_identical")
+    return P.read_search_xml(rows.sparkSession, saved_xml(rows, "report", value=line)).select("query_id", "query_len", "hit_id", "hit_len", "strand", "q_start", "q_end", "h_start", "h_end", "align_len", "gaps", "hit_len_aligned", "n_identical")
 
 
 @query("a5_read_domain_table", "SELECT p_partkey::VARCHAR AS target, concat('D', (p_size)::VARCHAR) AS domain_id, 0.5::DOUBLE AS evalue, concat(p_name, ' x') AS description FROM part")
@@ -302,15 +306,15 @@ def a11(t):
     size = F.col("p_size").cast("string")
     own = F.when(F.col("p_partkey") % 2 == 0, ' evalue="0.25"').otherwise("")
     line = F.concat(F.lit('<protein><xref id="'), "p_name", F.lit('"/><matches><match evalue="0.5"><signature ac="S'), size, F.lit('"/><locations><location start="'), size, F.lit('" end="'), (F.col("p_size") + 9).cast("string"), F.lit('"'), own, F.lit("/></locations></match></matches></protein>"))
-    rows = t.part.select(line.alias("value"))
-    return P.read_domains_xml(rows.sparkSession, saved_xml(rows, "matches")).select("protein_id", "signature", "aa_start", "aa_end", "evalue")
+    rows = t.part.select("p_partkey", "p_name", "p_size")
+    return P.read_domains_xml(rows.sparkSession, saved_xml(rows, "matches", value=line)).select("protein_id", "signature", "aa_start", "aa_end", "evalue")
 
 
 @query("a21_read_run_tables", "SELECT task_id, kind AS name, status, chunk_no::DOUBLE AS real_time FROM fx_task_runs")
 def a21(t):
     line = F.concat(F.lit('<program id="'), F.col("task_id").cast("string"), F.lit('" name="'), "kind", F.lit('"><status>'), F.col("status").cast("string"), F.lit("</status><real_time>"), F.col("chunk_no").cast("string"), F.lit("</real_time></program>"))
-    rows = t.fx_task_runs.select(line.alias("value"))
-    return P.read_run_tables(rows.sparkSession, saved_xml(rows, "unit")).select("task_id", "name", "status", "real_time")
+    rows = t.fx_task_runs.select("task_id", "kind", "status", "chunk_no")
+    return P.read_run_tables(rows.sparkSession, saved_xml(rows, "unit", value=line)).select("task_id", "name", "status", "real_time")
 
 
 @query(

@@ -160,3 +160,18 @@ def test_xml_files_follow_the_number_of_records(spark, monkeypatch):
     lines = spark.read.text(Q.saved_xml(records, "all")).select("part", "value").collect()
     assert len({r.part for r in lines}) == 30
     assert sum(r.value.startswith("<r>") for r in lines) == 300 and sum(r.value == "<all>" for r in lines) == 30
+
+
+def test_xml_text_is_not_kept_whole(spark):
+    from pathlib import Path
+
+    from strandweave.plans import source_queries as Q
+
+    text = F.concat(F.lit("<r><first_name>"), F.col("id").cast("string"), F.lit("</first_name><second_name>none</second_name></r>"))
+    for rows, options in ((spark.range(5000).select(text.alias("value")), {}), (spark.range(5000), {"value": text})):
+        path = Q.saved_xml(rows, "all", **options)
+        files = list(Path(path.removeprefix("file:")).glob("part=*/part-*"))
+        found = [r.value for r in spark.read.text(path).collect()]
+        assert sorted(r for r in found if r.startswith("<r>")) == sorted(f"<r><first_name>{i}</first_name><second_name>none</second_name></r>" for i in range(5000))
+        assert len(files) == 8 and 4 * sum(f.stat().st_size for f in files) < sum(map(len, found))
+        assert spark.read.schema("first_name int").option("rowTag", "r").xml(path).agg(F.sum("first_name")).first()[0] == sum(range(5000))
