@@ -9,6 +9,7 @@ from strandweave.operators import features as X
 from strandweave.operators import intervals as I
 from strandweave.operators import masking as M
 from strandweave.operators import models as G
+from strandweave.operators.graph import written
 
 from .expression_queries import sql_protein, sql_revcomp
 from .interval_queries import GENES, _islands_sql, genes
@@ -334,9 +335,9 @@ repaired AS (SELECT parent_id, strand, (CASE WHEN strand <> -1 THEN low - coales
   (CASE WHEN strand <> -1 THEN high + coalesce(stop_shift, 0) ELSE high + coalesce(start_shift, 0) END)::BIGINT AS end_pos, start_shift::BIGINT AS start_shift, stop_shift::BIGINT AS stop_shift, unsure FROM sh)"""
 
 
-def repaired(t):
+def repaired(t, parts=None):
     lengths = t.fx_sequences.select("seq_id", F.length("residues").cast("long").alias("length"))
-    return G.repair_start_stop(t.fx_cds.distinct(), tiles(t), lengths, width=W)
+    return G.repair_start_stop(t.fx_cds if parts is None else parts, tiles(t), lengths, width=W)
 
 
 @query("n6_repair_start_stop", f"WITH {REPAIRED} SELECT * FROM repaired")
@@ -354,8 +355,11 @@ def n6(t):
     CASE WHEN type <> 'intron' AND k = n AND CASE WHEN strand <> -1 THEN stop_shift ELSE start_shift END IS NOT NULL THEN r.end_pos ELSE kx.end_pos END AS end_pos FROM kx LEFT JOIN repaired r ON r.parent_id = kx.parent_id""",
 )
 def n6_apply(t):
-    parts = t.fx_cds.distinct()
-    ends = parts.groupBy("parent_id").agg(F.min("start_pos").alias("low"), F.max("end_pos").alias("high"))
-    row = lambda df, kind, a, b, own=True: df.select("parent_id", (F.concat("parent_id", F.lit("_t")) if own else F.lit(None).cast("string")).alias("transcript_id"), F.lit(kind).alias("type"), F.expr(a).alias("start_pos"), F.expr(b).alias("end_pos"))
-    features = row(ends, "gene", "low - 30", "high + 30", False).unionAll(row(ends, "mRNA", "low - 30", "high + 30")).unionAll(row(parts, "polypeptide", "start_pos", "end_pos")).unionAll(row(ends, "intron", "low", "high"))
-    return G.apply_repairs(features, repaired(t))
+    # A row for each model with its distinct parts, written once for the repairs and the features.
+    models = t.fx_cds.groupBy("seq_id", "parent_id", "strand").agg(F.sort_array(F.collect_set(F.struct("start_pos", "end_pos"))).alias("parts"))
+    models = written(models, "models")
+    row = lambda kind, start, end, own=True: F.struct((F.concat("parent_id", F.lit("_t")) if own else F.lit(None).cast("string")).alias("transcript_id"), F.lit(kind).alias("type"), start.alias("start_pos"), end.alias("end_pos"))
+    low, high = F.array_min(F.transform("parts", lambda p: p["start_pos"])), F.array_max(F.transform("parts", lambda p: p["end_pos"]))
+    whole = F.array(row("gene", low - 30, high + 30, False), row("mRNA", low - 30, high + 30), row("intron", low, high))
+    features = models.repartition("parent_id").select("parent_id", F.inline(F.concat(whole, F.transform("parts", lambda p: row("polypeptide", p["start_pos"], p["end_pos"])))))
+    return G.apply_repairs(features, repaired(t, models.select("seq_id", "parent_id", "strand", F.inline("parts"))))

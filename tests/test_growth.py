@@ -174,3 +174,49 @@ def test_clusters_read_their_exons_once(spark):
     found = T.cluster_transcripts(exons.mapInArrow(counted, exons.schema)).collect()
     assert {tuple(r) for r in found} == {("b", "a"), ("a", "a"), ("d", "a"), ("e", "e"), ("f", "f"), ("g", "g"), (None, None)}
     assert reads.value == len(rows)
+
+
+def test_repairs_ask_for_few_bases_and_once(spark, monkeypatch):
+    rng, asked = random.Random(7), []
+    residues = "".join(rng.choice("ACGT") for _ in range(9000))
+    tiles = to_tiles(spark.createDataFrame([("c", residues)], "seq_id string, residues string"), 512)
+    lengths = spark.createDataFrame([("c", 9000)], "seq_id string, length long")
+    parts = spark.createDataFrame([("c", f"m{i}", 1 - 2 * (i % 2), a, b) for i in range(40) for a, b in ((1000, 1099), (8000, 8100))], "seq_id string, parent_id string, strand int, start_pos long, end_pos long")
+    monkeypatch.setattr(G, "pieces", lambda features, *rest: asked.append(features) or pieces(features, *rest))
+    found = G.repair_start_stop(parts, tiles, lengths, width=512).collect()
+    assert len(found) == 40 and len({tuple(r)[1:] for r in found}) == 2
+    # A codon at either end and a search from it, on both strands, not 40 genes of 7101 bases.
+    bases = sum(f.agg(F.sum(F.col("end_pos") - F.col("start_pos") + 1)).first()[0] for f in asked)
+    assert 2000 < bases < 2 * (6 + 2 * 620)
+
+
+@pytest.mark.parametrize("strand", [1, -1])
+def test_repairs_know_codons_of_several_parts(spark, strand):
+    rng = random.Random(8)
+    residues = "".join(rng.choice("ACGT") for _ in range(400))
+    models = {}
+    for i in range(150):
+        at, models[f"m{i}"] = rng.randrange(1, 380), []
+        for _ in range(rng.randrange(1, 6)):
+            at, end = at + rng.randrange(1, 9), at + rng.randrange(0, 9)
+            models[f"m{i}"].append((min(at, end), max(at, end)))
+            at = max(at, end)
+    rows = [("c", m, strand, a, b) for m, spans in models.items() for a, b in spans]
+    tiles = to_tiles(spark.createDataFrame([("c", residues)], "seq_id string, residues string"), 16)
+    parts = spark.createDataFrame(rows, "seq_id string, parent_id string, strand int, start_pos long, end_pos long")
+    found = G.repair_start_stop(parts, tiles, spark.createDataFrame([("c", 400)], "seq_id string, length long"), reach=90, width=16).collect()
+    shifts = {r.parent_id: (r.start_shift, r.stop_shift) for r in found}
+    turn = str.maketrans("ACGT", "TGCA")
+    for m, spans in models.items():
+        coding = "".join(residues[a - 1 : b] for a, b in sorted(set(spans)))
+        coding = coding[::-1].translate(turn) if strand == -1 else coding
+        assert (m in shifts) == bool(coding)
+        whole = len(coding) // 3 * 3
+        if coding[:3] == "ATG":
+            assert shifts[m][0] is None
+        if whole and coding[whole - 3 : whole] in ("TAA", "TAG", "TGA"):
+            assert shifts[m][1] is None
+        elif coding:
+            axis, end = (residues, max(b for _, b in spans)) if strand == 1 else (residues[::-1].translate(turn), 401 - min(a for a, _ in spans))
+            stops = [k for k in range(3, 91, 3) if axis[end + k - 3 : end + k] in ("TAA", "TAG", "TGA")]
+            assert shifts[m][1] == (stops[0] if stops else None)
