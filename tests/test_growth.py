@@ -220,3 +220,42 @@ def test_repairs_know_codons_of_several_parts(spark, strand):
             axis, end = (residues, max(b for _, b in spans)) if strand == 1 else (residues[::-1].translate(turn), 401 - min(a for a, _ in spans))
             stops = [k for k in range(3, 91, 3) if axis[end + k - 3 : end + k] in ("TAA", "TAG", "TGA")]
             assert shifts[m][1] == (stops[0] if stops else None)
+
+
+def test_rescue_reads_parts_once(spark):
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(len(batch))
+            yield batch
+
+    rows = [("c", "t", 1, "exon", 1, 100), ("c", "t", 1, "exon", 101, 150), ("c", "t", 1, "exon", 140, 145), ("c", "t", 1, "exon", 300, 400), ("c", "u", -1, "polypeptide", 5, 9), ("c", "u", -1, "polypeptide", 5, 9), ("c", "v", -1, "exon", 10, 90), ("c", "w", 1, "exon", 1, 9)]
+    schema = "seq_id string, parent_id string, strand int, type string, start_pos long, end_pos long"
+    parts = spark.createDataFrame(rows, schema).coalesce(1).mapInPandas(counted, schema)
+    rescued = spark.createDataFrame([("t", "m"), ("v", "k"), ("w", "none")], "parent_id string, model_id string")
+    model_parts = spark.createDataFrame([("m", 50, 120), ("m", 310, 350), ("k", 20, 30)], "model_id string, start_pos long, end_pos long")
+    got = sorted(tuple(r)[1:] for r in T.take_over_cds(parts, rescued, model_parts).collect())
+    want = [("t", 1, "five_prime_UTR", 1, 49, "m"), ("t", 1, "polypeptide", 50, 150, "m"), ("t", 1, "polypeptide", 300, 350, "m"), ("t", 1, "three_prime_UTR", 351, 400, "m")]
+    want += [("u", -1, "polypeptide", 5, 9, None)] * 2 + [("v", -1, "five_prime_UTR", 31, 90, "k"), ("v", -1, "polypeptide", 20, 30, "k"), ("v", -1, "three_prime_UTR", 10, 19, "k")]
+    assert got == want and reads.value == len(rows)
+
+
+def test_chains_are_searched_behind_their_first_junction(spark):
+    rng = random.Random(9)
+    schema, rows = "seq_id string, parent_id string, start_pos long, end_pos long", []
+    for i in range(60):
+        at = rng.randrange(1, 6)
+        for _ in range(rng.randrange(1, 7)):
+            rows.append(("c", f"t{i}", at, at + rng.randrange(0, 3)))
+            at += rng.randrange(0, 5)
+    exons = spark.createDataFrame(rows, schema)
+    chains, models = T.junction_chains(exons, ["seq_id", "parent_id"]), T.junction_chains(exons.withColumn("file_order", F.lit(1).cast("long")).withColumnRenamed("parent_id", "model_id"), ["seq_id", "model_id", "file_order"])
+    plain = {}
+    for name in {r[1] for r in rows}:
+        own = sorted(r[2:] for r in rows if r[1] == name)
+        links = sorted((a, f"{b}_{c}") for (a, b), (c, _) in zip(own, own[1:]))
+        if links:
+            plain[name] = f"_{'_'.join(text for _, text in links)}_"
+    got = sorted(tuple(r) for r in T.contained_chains(chains, models).select("parent_id", "model_id").collect())
+    assert got == sorted((t, m) for t, chain in plain.items() for m, wanted in plain.items() if wanted in chain)
