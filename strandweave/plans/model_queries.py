@@ -12,6 +12,7 @@ from strandweave.operators import models as G
 from strandweave.operators.graph import written
 
 from .expression_queries import sql_protein, sql_revcomp
+from .fixtures import shares
 from .interval_queries import GENES, _islands_sql, genes
 from .registry import query
 
@@ -355,11 +356,12 @@ def n6(t):
     CASE WHEN type <> 'intron' AND k = n AND CASE WHEN strand <> -1 THEN stop_shift ELSE start_shift END IS NOT NULL THEN r.end_pos ELSE kx.end_pos END AS end_pos FROM kx LEFT JOIN repaired r ON r.parent_id = kx.parent_id""",
 )
 def n6_apply(t):
-    # A row for each model with its distinct parts, written once for the repairs and the features.
+    # A row for each model with its distinct parts, written once for the repairs and the features; these are made of it in
+    # as many tasks as the lines ask for, since a model has several.
     models = t.fx_cds.groupBy("seq_id", "parent_id", "strand").agg(F.sort_array(F.collect_set(F.struct("start_pos", "end_pos"))).alias("parts"))
     models = written(models, "models")
     row = lambda kind, start, end, own=True: F.struct((F.concat("parent_id", F.lit("_t")) if own else F.lit(None).cast("string")).alias("transcript_id"), F.lit(kind).alias("type"), start.alias("start_pos"), end.alias("end_pos"))
     low, high = F.array_min(F.transform("parts", lambda p: p["start_pos"])), F.array_max(F.transform("parts", lambda p: p["end_pos"]))
     whole = F.array(row("gene", low - 30, high + 30, False), row("mRNA", low - 30, high + 30), row("intron", low, high))
-    features = models.repartition("parent_id").select("parent_id", F.inline(F.concat(whole, F.transform("parts", lambda p: row("polypeptide", p["start_pos"], p["end_pos"])))))
+    features = models.repartition(shares(t.lineitem), "parent_id").select("parent_id", F.inline(F.concat(whole, F.transform("parts", lambda p: row("polypeptide", p["start_pos"], p["end_pos"])))))
     return G.apply_repairs(features, repaired(t, models.select("seq_id", "parent_id", "strand", F.inline("parts"))))
